@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cellpub.llm.exact_dedup import exact_groups
+from cellpub.llm.quality_rules import quality_verdicts
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,9 +16,56 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_docs(spark, sf_dir)).drop("content_key")
 
 
-QUERIES = {"op4_exact_dedup": op4_exact_dedup}
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(_docs(spark, sf_dir))
+
+
+QUERIES = {
+    "op2_quality_rules": op2_quality_rules,
+    "op4_exact_dedup": op4_exact_dedup,
+}
 
 ORACLES = {
+    "op2_quality_rules": r"""
+with w as (
+  select doc_id, source, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words,
+         row_number() over () as row
+  from documents),
+grams as (
+  select row, i, array_to_string(words[i : i + 7], ' ') as gram
+  from (select row, words, unnest(range(1, len(words) - 6)) as i from w)),
+repeated as (select row, i from grams qualify count(*) over (partition by row, gram) > 1),
+covered as (select row, count(distinct i + k) as n from repeated, range(8) t(k) group by row),
+lines as (
+  select row, count(*) - count(distinct line) as n
+  from (select row, unnest(string_split(text, chr(10))) as line from w)
+  where regexp_matches(line, '[^\x20\x09-\x0D]') group by row),
+m as (
+  select doc_id, source, len(words) as n_words,
+         length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) as word_chars,
+         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols,
+         coalesce(lines.n, 0) as n_dup_lines, coalesce(covered.n, 0) as n_repeat_words
+  from w left join covered using (row) left join lines using (row)),
+f as (
+  select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
+         100 * n_symbols > 10 * word_chars as symbols_failed, 100 * n_dup_lines > 5 * n_words as lines_failed
+  from m),
+g as (select *, cast(base_failed as int) + cast(symbols_failed as int) + cast(lines_failed as int) as n_failed from f),
+h as (select source, count(*) as n, count(*) filter (n_failed > 0) as x from g group by source),
+s as (
+  select sum(n) as docs, sum(x) as failing, avg(x / n) as mean, coalesce(var_samp(x / n), 0) as var, avg(1 / n) as inverse from h),
+p as (
+  select *, case when mean > 0 and mean < 1 then mean else (failing + 0.5) / (docs + 1.0) end as m0 from s),
+q as (
+  select *, m0 * (1 - m0) as spread, case when inverse < 1 then (var - m0 * (1 - m0) * inverse) / (1 - inverse) else 0 end as true_var from p),
+r as (
+  select *, greatest(case when true_var > spread / (docs + 1.0) then spread / true_var - 1 else docs end, 1e-3) as strength from q),
+v as (select source, (x + m0 * strength) / (n + strength) as rate from h, r)
+select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars, cast(n_symbols as bigint) as n_symbols,
+       cast(n_dup_lines as bigint) as n_dup_lines, cast(n_repeat_words as bigint) as n_repeat_words, base_failed,
+       not base_failed and rate < 0.5 and n_failed < (case when rate >= 0.02 then 1 else 2 end) as kept,
+       symbols_failed, lines_failed, rate >= 0.5 as host_rejected
+from g join v on g.source is not distinct from v.source""",
     "op4_exact_dedup": r"""
 with t as (
   select doc_id, length(coalesce(text, '')) as n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as norm
