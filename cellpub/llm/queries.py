@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cellpub.llm.exact_dedup import exact_groups
+from cellpub.llm.near_dedup import near_groups
 from cellpub.llm.quality_rules import quality_verdicts
 
 
@@ -12,6 +13,10 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(_docs(spark, sf_dir), shingle=4).drop("content_key", "class_id")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_docs(spark, sf_dir)).drop("content_key")
 
@@ -22,6 +27,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_near_dedup": op3_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
 }
 
@@ -66,6 +72,23 @@ select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as
        not base_failed and rate < 0.5 and n_failed < (case when rate >= 0.02 then 1 else 2 end) as kept,
        symbols_failed, lines_failed, rate >= 0.5 as host_rejected
 from g join v on g.source is not distinct from v.source""",
+    "op3_near_dedup": r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as words
+  from documents),
+s as (
+  select distinct doc_id, unnest(case when len(words) = 0 then [] when len(words) < 4 then [array_to_string(words, ' ')]
+    else [array_to_string(words[i : i + 3], ' ') for i in range(1, len(words) - 2)] end) as shingle
+  from w where words is not null),
+n as (select doc_id, count(*) as n from s group by doc_id),
+common as (select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b using (shingle) where a.doc_id <> b.doc_id group by all),
+links as (
+  select x, y from common join n a on a.doc_id = x join n b on b.doc_id = y where 100 * c >= 80 * (a.n + b.n - c)),
+reach(x, y) as (select x, y from links union select reach.x, links.y from reach join links on reach.y = links.x),
+least as (select x, min(y) as y from reach group by x)
+select d.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, least(d.doc_id, coalesce(least.y, d.doc_id)) as component_id,
+       d.doc_id = least(d.doc_id, coalesce(least.y, d.doc_id)) as kept
+from documents d left join n using (doc_id) left join least on d.doc_id = least.x""",
     "op4_exact_dedup": r"""
 with t as (
   select doc_id, length(coalesce(text, '')) as n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as norm
