@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cellpub.llm.exact_dedup import exact_groups
+from cellpub.llm.mixing import mixed_documents
 from cellpub.llm.near_dedup import near_groups
+from cellpub.llm.packing import packed
 from cellpub.llm.quality_rules import quality_verdicts
 
 
@@ -21,14 +23,24 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_docs(spark, sf_dir)).drop("content_key")
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(_docs(spark, sf_dir))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(_docs(spark, sf_dir))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed_documents(_docs(spark, sf_dir)).drop("content_key")
+
+
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_rules": op2_quality_rules,
     "op3_near_dedup": op3_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
+    "op9_mixing": op9_mixing,
 }
 
 ORACLES = {
