@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from cellpub.llm.common import shared_folder
 from cellpub.llm.exact_dedup import exact_groups
 from cellpub.llm.mixing import mixed_documents
 from cellpub.llm.near_dedup import near_groups
 from cellpub.llm.packing import packed
 from cellpub.llm.quality_rules import quality_verdicts
+from cellpub.llm.token_store import read_digests, write_store
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +35,14 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(_docs(spark, sf_dir))
 
 
+def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = f"{shared_folder(spark)}/store-{uuid.uuid4().hex}"
+    write_store(_docs(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return read_digests(spark, path)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_documents(_docs(spark, sf_dir)).drop("content_key")
 
@@ -40,6 +52,7 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_near_dedup": op3_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_token_store": op6_token_store,
     "op9_mixing": op9_mixing,
 }
 
