@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cellpub.llm.common import shared_folder
 from cellpub.llm.exact_dedup import exact_groups
@@ -13,6 +14,7 @@ from cellpub.llm.near_dedup import near_groups
 from cellpub.llm.packing import packed
 from cellpub.llm.quality_rules import quality_verdicts
 from cellpub.llm.token_store import read_digests, write_store
+from cellpub.llm.toxicity import toxicity
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +29,15 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_docs(spark, sf_dir)).drop("content_key")
 
 
+def _remainder(n: int) -> Column:
+    """crc32 of the doc_id as text, modulo n."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def _with_verdict(scores: DataFrame, held_out: Column, least: float) -> DataFrame:
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted"))
+
+
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(_docs(spark, sf_dir))
 
@@ -47,6 +58,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_documents(_docs(spark, sf_dir)).drop("content_key")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return _with_verdict(toxicity(_docs(spark, sf_dir), labels, _remainder(3) != 1), _remainder(3) == 1, 0.7)
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_rules": op2_quality_rules,
@@ -54,6 +70,7 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op6_token_store": op6_token_store,
     "op9_mixing": op9_mixing,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES = {
