@@ -11,7 +11,8 @@ many documents a source has. Steps that leave the bracket known so far are halve
 integers (rates count in billionths), so neither partitioning nor order changes a multiplier.
 
 Rates become copies by systematic rounding along the sizes: up to every size, the copies of a source differ from its
-rates by at most one half, so its tokens differ by at most half of its longest document. Which documents of a (source, size) cell
+rates by at most one half, so its tokens differ by at most half of its longest document. That rest is then worked off with
+documents of the fitting size, the largest first. Which documents of a (source, size) cell
 get the extra copy follows from a hash; cells are ranked in bounded buckets, as one may hold a third of all rows.
 
 Defined cases: null text has size 0 and is never taken; a null source is a source of its own and comes last; repeated
@@ -29,6 +30,8 @@ from cellpub.llm.common import content_key, running_sum, sorted_table, stored, w
 WEIGHTS, SHARE_PERCENT, MOST = (3, 1, 2), 150, 2
 #: Rates count in units of 1 / UNIT. A source is through when its tokens are this near its target.
 UNIT, TOLERANCE, ROUNDS = 1_000_000_000, 1e-6, 80
+#: Rounds of working off what rounding leaves.
+CORRECTIONS = 5
 #: Rows of a cell that are ranked together.
 BUCKET = 20_000
 
@@ -41,7 +44,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cells = stored(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "cells")
     sources = targets(cells)
     rates = balanced(cells, sources)
-    taken = rounded(rates)
+    taken = corrected(rounded(rates))
 
     buckets = F.ceil(F.col("n") / BUCKET)
     place = F.xxhash64("doc_id", "content_key")
@@ -138,3 +141,20 @@ def rounded(rates: DataFrame) -> DataFrame:
     up_to = lambda c: F.floor(c / F.lit(UNIT).cast("decimal(10,0)")).cast("long")
     extra = up_to(F.col("start") + F.col("part")) - up_to(F.col("start"))
     return cells.select("source", "size", "n", "source_size", "target", F.floor(F.col("rate") / UNIT).cast("long").alias("whole"), extra.alias("extra"))
+
+
+def corrected(cells: DataFrame) -> DataFrame:
+    """Changes ``extra`` so that each source's tokens come nearer its target: in each round, in the cell of the largest size that is no more than the gap."""
+    for _ in range(CORRECTIONS):
+        cells = stored(cells, "extra")
+        tokens = F.sum((F.col("whole") * F.col("n") + F.col("extra")) * F.col("size"))
+        gaps = cells.groupBy("source").agg((F.round(F.first("target")).cast("long") - tokens).alias("gap")).where("gap <> 0")
+        free = F.when(F.col("gap") > 0, F.col("n") - F.col("extra")).otherwise(F.col("extra"))
+        fitting = cells.where(f"size > 0 and whole < {MOST}").join(gaps, "source").withColumn("free", free).where("free > 0 and size <= abs(gap)")
+        step = fitting.groupBy("source").agg(F.max(F.struct("size", "free", "gap")).alias("m")).select("source", "m.*")
+        changes = F.least("free", F.floor(F.abs("gap") / F.col("size")).cast("long")) * F.signum("gap").cast("long")
+        step = stored(step.select("source", "size", changes.alias("change")), "changes")
+        if step.isEmpty():
+            break
+        cells = cells.join(step, ["source", "size"], "left").withColumn("extra", F.col("extra") + F.coalesce("change", F.lit(0))).drop("change")
+    return cells
