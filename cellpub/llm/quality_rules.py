@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellpub.llm.common import stored, text_or_empty
-from cellpub.llm.text_stats import SYMBOLS, n_dup_lines, n_matches, n_repeat_words, word_chars, words_of
+from cellpub.llm.text_stats import SYMBOLS, n_dup_lines, n_matches, with_repeat_words, word_chars, words_of
 
 #: Fixed values of the contract.
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
@@ -32,6 +32,7 @@ def measured(docs: DataFrame, carry: list[str], text_col: str = "text", host_col
     """``carry`` and the measures and failures of each document, stored."""
     text = text_or_empty(text_col)
     rows = docs.select(*[F.col(c).alias(f"own_{i}") for i, c in enumerate(carry)], F.col(host_col).alias("host"), text.alias("text"), words_of(text).alias("words"))
+    rows = with_repeat_words(rows)
     rows = rows.select(
         *[f"own_{i}" for i in range(len(carry))],
         # A null host has a key of its own, so that all joins are plain equalities.
@@ -40,7 +41,7 @@ def measured(docs: DataFrame, carry: list[str], text_col: str = "text", host_col
         word_chars(F.col("text")).alias("word_chars"),
         n_matches(F.col("text"), SYMBOLS).alias("n_symbols"),
         n_dup_lines(F.col("text")).alias("n_dup_lines"),
-        n_repeat_words(F.col("words")).alias("n_repeat_words"),
+        "n_repeat_words",
     )
     return stored(rows.withColumns(failures()), "measured")
 
