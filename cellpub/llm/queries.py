@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from cellpub.llm.common import shared_folder
 from cellpub.llm.exact_dedup import exact_groups
+from cellpub.llm.html_text import extracted
 from cellpub.llm.mixing import mixed_documents
 from cellpub.llm.near_dedup import near_groups
 from cellpub.llm.packing import packed
+from cellpub.llm.quality_classifier import quality
 from cellpub.llm.quality_rules import quality_verdicts
 from cellpub.llm.token_store import read_digests, write_store
 from cellpub.llm.toxicity import toxicity
+from cellpub.llm.warc import crawl_of, header_lines, resolved
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +49,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(_docs(spark, sf_dir))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return _with_verdict(quality(_docs(spark, sf_dir), labels, _remainder(5) != 0), _remainder(5) == 0, 0.3)
+
+
 def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -54,6 +62,15 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_digests(spark, path)
 
 
+def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resolved(crawl_of(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+    return found.withColumn("headers", header_lines(F.col("headers")))
+
+
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_documents(_docs(spark, sf_dir)).drop("content_key")
 
@@ -68,7 +85,10 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_near_dedup": op3_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_token_store": op6_token_store,
+    "op7_warc_revisits": op7_warc_revisits,
+    "op8_html_text": op8_html_text,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
 }
@@ -140,4 +160,44 @@ g as (
          row_number() over w = 1 as kept, sha256(norm) as text_sha256
   from t window w as (partition by norm order by n desc, doc_id))
 select doc_id, keep_id, cast(group_size as bigint) as group_size, kept, text_sha256 from g""",
+    "op7_warc_revisits": r"""
+with p as (
+  select page_id, coalesce(html, '') as html,
+         regexp_replace(regexp_replace(trim(coalesce(url, '')), '#.*$', ''), '^[a-zA-Z][a-zA-Z0-9+.\-]*://', '') as bare
+  from pages),
+k as (
+  select page_id, '"' || md5(html) || '"' as tag, sha256(html) as digest, 'day ' || (page_id // 1440) as modified,
+         regexp_replace(regexp_replace(lower(regexp_extract(bare, '^([^/?]*)', 1)), ':(80|443)$', ''), '^www[0-9]*\.', '')
+         || regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/+$', '') as place,
+         list_sort([x for x in string_split(regexp_extract(bare, '^[^?]*\?(.*)$', 1), '&')
+           if x <> '' and not regexp_matches(lower(x), '^(utm_[a-z]+|gclid|fbclid|ref|sessionid|phpsessid)(=|$)')]) as parts
+  from p),
+u as (select *, place || case when len(parts) > 0 then '?' || array_to_string(parts, '&') else '' end as url_key from k),
+a as (select url_key, page_id * 3 as id, page_id * 60 as date, tag, modified, digest from u),
+r as (
+  select url_key, page_id * 3 + 1 as record_id, page_id * 60 + 604800 as date,
+         case when page_id % 11 = 0 or page_id % 7 = 0 then null else tag end as tag,
+         case when page_id % 11 <> 0 and page_id % 7 = 0 then modified end as modified, 1 as k from u
+  union all
+  select url_key, page_id * 3 + 2, page_id * 60 + 1209600, case when page_id % 5 = 0 then '"other"' else tag end, null, 2 from u),
+j as (
+  select r.*, x.id, x.date as response_date, x.tag as its_tag, x.modified as its_modified, x.digest
+  from r left join lateral (select * from a where a.url_key = r.url_key and a.date < r.date order by a.date desc, a.id desc limit 1) x on true),
+v as (
+  select *, case when id is null then 'no response' when coalesce(tag = its_tag, modified = its_modified) is null then 'unchecked'
+                 when coalesce(tag = its_tag, modified = its_modified) then 'resolved' else 'changed' end as verdict
+  from j),
+h as (
+  select *, verdict = 'resolved' as ok, k = 1 and tag is not null as tagged from v)
+select cast(record_id as bigint) as record_id, url_key, cast(date as bigint) as date, verdict, cast(id as bigint) as response_id,
+       cast(response_date as bigint) as response_date, case when ok then 200 else 304 end as status, case when ok then digest end as payload_digest,
+       array_to_string([x for x in [
+         case when tagged then 'cache-control: max-age=120' when ok then 'cache-control: max-age=60' end,
+         case when tagged and not ok then 'content-length: 0' end,
+         case when ok then 'content-type: text/html' end,
+         case when k = 2 then 'date: second' when tag is null then 'date: first' end,
+         case when tagged then 'etag: W/' || tag when k = 2 then 'etag: ' || tag when ok then 'etag: ' || its_tag end,
+         case when modified is not null then 'last-modified: ' || modified when ok then 'last-modified: ' || its_modified end]
+         if x is not null], chr(10)) as headers
+from h""",
 }
