@@ -1,7 +1,6 @@
 """Registered queries (``QUERIES``) and their SQL (``ORACLES``)."""
 
-from cellpub.plans.facts import ORACLES as FACT_ORACLES
-from cellpub.plans.facts import QUERIES as FACT_QUERIES
+from cellpub.plans import cube, facts
 
-QUERIES = {**FACT_QUERIES}
-ORACLES = {**FACT_ORACLES}
+QUERIES = {**facts.QUERIES, **cube.QUERIES}
+ORACLES = {**facts.ORACLES, **cube.ORACLES}
