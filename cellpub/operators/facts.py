@@ -9,3 +9,14 @@ from pyspark.sql import functions as F
 def monthly_fact(events: DataFrame, keys: list[str]) -> DataFrame:
     """Count of events by all keys; partial counts go over the shuffle, not events."""
     return events.groupBy(*keys).agg(F.count("*").alias("value"))
+
+
+def events_union(units: DataFrame, parents: DataFrame, notices: DataFrame) -> DataFrame:
+    """indicator, month, area, detail of creations (takeovers told apart, future dates left out) and of classified notices."""
+
+    def creations(df: DataFrame, indicator: str) -> DataFrame:
+        detail = F.when(F.col("is_takeover"), "takeover").otherwise("new")
+        return df.where("not is_future").select(F.lit(indicator).alias("indicator"), "month", F.col("area").cast("string").alias("area"), detail.alias("detail"))
+
+    events = notices.where("event is not null").select(F.col("event").alias("indicator"), F.trunc("event_date", "month").alias("month"), F.lit(None).cast("string").alias("area"), F.col("procedure").alias("detail"))
+    return creations(units, "creations_units").unionByName(creations(parents, "creations_parents")).unionByName(events)

@@ -1,6 +1,6 @@
 """Registered queries (``QUERIES``) and their SQL (``ORACLES``)."""
 
-from cellpub.plans import cube, facts
+from cellpub.plans import cube, facts, registers
 
-QUERIES = {**facts.QUERIES, **cube.QUERIES}
-ORACLES = {**facts.ORACLES, **cube.ORACLES}
+QUERIES = {**facts.QUERIES, **registers.QUERIES, **cube.QUERIES}
+ORACLES = {**facts.ORACLES, **registers.ORACLES, **cube.ORACLES}
