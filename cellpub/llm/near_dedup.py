@@ -1,15 +1,16 @@
 """MinHash near-dedup with SuperMinHash signatures.
 
 1. ``signed``: each text becomes its set of distinct word shingles (64-bit hashes), a SuperMinHash signature, band
-   keys and a 128-bit key of the whole set. Texts with equal sets form a class; from here on, only classes
+   keys, an odd sketch (it bounds the difference of two sets from below) and a 128-bit key of the whole set. Texts with equal sets form a class; from here on, only classes
    are compared, so exact copies, however many, cost one row.
-2. ``_stars``: in each bucket (band, key), every class is paired with the bucket's smallest class only: a group of n
-   gives n - 1 pairs, not n (n - 1) / 2. Pairs whose signatures rule the threshold out by over six standard
-   deviations are dropped; for the others, whole texts are compared (``_confirmed``).
+2. ``_stars``: in each bucket (band, key), every class is paired with the bucket's centre only: a group of n
+   gives n - 1 pairs, not n (n - 1) / 2. The centre is the class with most company in all its buckets, as the text that others
+   were copied from has. Pairs whose sketches rule the threshold out are dropped; for the others, whole texts are compared (``_confirmed``).
 3. ``grouped``: union-find over the confirmed links: local forests in each partition, then stars over all.
-4. The rest exactly: in buckets where several components are left, classes of different components are paired,
-   and 2 and 3 are done again for these. So no link that shares a bucket is lost. Pairs inside a component, which
-   cannot change the result, are never made.
+4. The rest exactly: buckets where several components are left are scanned in blocks of bounded size, and classes of different
+   components whose sketches are near enough become pairs. For each class and foreign component the likeliest pair is
+   confirmed first; most components merge by that, and of the other pairs only those between components are left to confirm.
+   So no link that shares a bucket is lost, and pairs inside a component, which cannot change the result, are never made.
 
 With ``BANDS`` bands of ``ROWS`` values, a pair at similarity 0.8 shares no bucket with probability (1 - 0.8^6)^44 =
 1.6e-6, and signatures of SuperMinHash (correlated ranks) do not exceed that.
@@ -26,15 +27,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellpub.llm.common import content_key, only_kept, partitions, stored
 
 BANDS, ROWS = 44, 6
 SLOTS = BANDS * ROWS
-#: Rows of a star that are checked against one reading of its centre.
-CHUNK = 64
+#: Bits of an odd sketch.
+BITS = 2048
+#: Rows of a star that are checked against one reading of its centre, and classes of a bucket that are scanned together.
+CHUNK, BLOCK = 64, 512
 #: Elements that take a step together, and the sets that count as small.
 ELEMENTS, SMALL = 4096, 100
 
@@ -49,12 +52,16 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = _classes(rows)
     keyed = classes.select("class_id", F.explode("bands").alias("bucket"))
 
-    links = _confirmed(texts, _likely(_stars(keyed), classes, percent), classes, shingle, percent)
+    shared = _shared(keyed)
+    links = _confirmed(texts, _likely(_stars(shared), classes, percent), classes, shingle, percent)
     roots = grouped(links)
-    left = _between(keyed, roots)
-    if not left.isEmpty():
-        more = _confirmed(texts, _likely(left, classes, percent), classes, shingle, percent)
-        roots = grouped(links.unionByName(more))
+    left = _between(shared, roots, classes, percent)
+    for first in (True, False):
+        some = _foremost(left, roots) if first else _apart(left, roots)
+        if some.isEmpty():
+            break
+        links = links.unionByName(_confirmed(texts, some, classes, shingle, percent))
+        roots = grouped(links)
 
     named = classes.join(roots, classes["class_id"] == roots["node"], "left").select("set_key", "class_id", "rep_doc", F.coalesce("root", "class_id").alias("root"))
     smallest = named.groupBy("root").agg(F.min("rep_doc").alias("component_id"))
@@ -149,9 +156,32 @@ def _ranked(sets: list[np.ndarray], slots: int, dense: bool) -> np.ndarray:
     return h.reshape(-1, slots)
 
 
+def odd_sketch(s: np.ndarray) -> bytes:
+    """A bit for each of ``BITS`` groups of hashes: does the set have an odd number of them. In the exclusive or of two
+    sketches each bit stands for at least one element of one set only, so its ones never exceed the symmetric difference."""
+    return np.packbits((np.bincount((s & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1).astype(np.uint8)).tobytes()
+
+
+def unpacked(sketches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures, a byte a slot, and odd sketches as words."""
+    rows = np.frombuffer(b"".join(sketches), dtype=np.uint8).reshape(-1, SLOTS + BITS // 8)
+    return rows[:, :SLOTS], np.ascontiguousarray(rows[:, SLOTS:]).view(np.uint64)
+
+
+def near_enough(sig, odd, sig_b, odd_b, n, n_b, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that may reach the threshold, and their equal slots. Odd sketches rule out exactly; a signature does if it is
+    five standard deviations of plain MinHash below the threshold (SuperMinHash spreads less)."""
+    j = percent / 100
+    least = SLOTS * j - 5 * (SLOTS * j * (1 - j)) ** 0.5
+    # similarity >= p / 100 exactly if (100 + p) * symmetric difference <= (100 - p) * sum of sizes
+    apart = np.bitwise_count(odd ^ odd_b).sum(axis=1, dtype=np.int64)
+    same = (sig == sig_b).sum(axis=1)
+    return ((100 + percent) * apart <= (100 - percent) * (n + n_b)) & (same >= least), same
+
+
 def signed(texts: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, content_key, n_shingles, set_key, sig (a byte a slot), bands; stored."""
-    schema = "doc_id long, content_key long, n_shingles long, set_key binary, sig binary, bands array<long>"
+    """doc_id, content_key, n_shingles, set_key, sketch (signature, a byte a slot, and odd sketch), bands; stored."""
+    schema = "doc_id long, content_key long, n_shingles long, set_key binary, sketch binary, bands array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,13 +191,14 @@ def signed(texts: DataFrame, shingle: int) -> DataFrame:
             keys = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(full), 1))
             for r in range(ROWS):
                 keys = mixed((keys + np.uint64(GAMMA)) ^ values[:, r::ROWS])
-            by_set = zip((xxhash.xxh3_128_digest(s.tobytes()) for s in full), (v.tobytes() for v in values.astype(np.uint8)), keys.view(np.int64), strict=True)
+            sketches = (v.tobytes() + odd_sketch(s) for v, s in zip(values.astype(np.uint8), full, strict=True))
+            by_set = zip((xxhash.xxh3_128_digest(s.tobytes()) for s in full), sketches, keys.view(np.int64), strict=True)
             rows = [next(by_set) if len(s) else (None, None, None) for s in sets]
             sizes = [len(s) for s in sets]
-            keys, sigs, bands = zip(*rows, strict=True) if rows else ((), (), ())
+            keys, sketches, bands = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("content_key"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["doc_id", "content_key", "n_shingles", "set_key", "sig", "bands"],
+                [batch.column("doc_id"), batch.column("content_key"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sketches, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                names=["doc_id", "content_key", "n_shingles", "set_key", "sketch", "bands"],
             )
 
     return stored(texts.mapInArrow(run, schema), "signed")
@@ -176,50 +207,117 @@ def signed(texts: DataFrame, shingle: int) -> DataFrame:
 def _classes(rows: DataFrame) -> DataFrame:
     """A row for each distinct set, with a number of its own and the smallest row that has the set."""
     rep = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content_key"))
-    classes = rows.where("n_shingles > 0").groupBy("set_key").agg(rep.alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
-    classes = classes.select(F.monotonically_increasing_id().alias("class_id"), "set_key", F.col("rep.doc_id").alias("rep_doc"), F.col("rep.content_key").alias("rep_key"), "n_shingles", "sig", "bands")
+    classes = rows.where("n_shingles > 0").groupBy("set_key").agg(rep.alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
+    classes = classes.select(F.monotonically_increasing_id().alias("class_id"), "set_key", F.col("rep.doc_id").alias("rep_doc"), F.col("rep.content_key").alias("rep_key"), "n_shingles", "sketch", "bands")
     return stored(classes, "classes")
 
 
 # -- candidates ----------------------------------------------------------------------------------------------
 
 
-def _stars(keyed: DataFrame) -> DataFrame:
-    """(centre, class_id): each class of a bucket with the smallest one."""
-    centres = keyed.groupBy("bucket").agg(F.min("class_id").alias("centre"), F.count("*").alias("n")).where("n > 1").select("bucket", "centre")
-    return keyed.join(centres, "bucket").where("class_id <> centre").select("centre", "class_id").distinct()
+def _shared(keyed: DataFrame) -> DataFrame:
+    """(bucket, class_id, n): the rows of buckets with n > 1 classes; stored."""
+    sizes = keyed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    return stored(keyed.join(sizes, "bucket"), "shared")
+
+
+def _stars(shared: DataFrame) -> DataFrame:
+    """(centre, class_id): each class of a bucket with the one that has most company."""
+    company = shared.groupBy("class_id").agg(F.sum("n").alias("company"))
+    best = F.max(F.struct("company", (-F.col("class_id")).alias("less")))
+    centres = shared.join(company, "class_id").groupBy("bucket").agg(best.alias("best")).select("bucket", (-F.col("best.less")).alias("centre"))
+    return shared.join(centres, "bucket").where("class_id <> centre").select("centre", "class_id").distinct()
+
+
+def _rooted(rows: DataFrame, roots: DataFrame, column: str, out: str) -> DataFrame:
+    found = roots.select(F.col("node").alias(column), F.col("root").alias(out))
+    return rows.join(found, column, "left").withColumn(out, F.coalesce(out, column))
+
 
+def _between(shared: DataFrame, roots: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(centre, class_id, alike): pairs of one bucket that are in different components and near enough by size and signature; stored.
 
-def _between(keyed: DataFrame, roots: DataFrame) -> DataFrame:
-    """(centre, class_id): pairs of classes of one bucket that are in different components."""
-    rooted = keyed.join(roots.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("root", F.coalesce("root", "class_id"))
-    mixed_up = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("class_id").alias("first")).where("low <> high").select("bucket", "first")
-    rooted = rooted.join(mixed_up, "bucket")
-    one = rooted.select("bucket", "first", F.col("class_id").alias("centre"), F.col("root").alias("centre_root"))
-    two = rooted.select("bucket", "class_id", "root")
-    # Pairs with the bucket's first class were looked at before.
-    pairs = one.join(two, "bucket").where("centre < class_id and centre_root <> root and centre <> first")
-    return stored(pairs.select("centre", "class_id").distinct(), "between")
+    A bucket of m classes is cut into ceil(m / BLOCK) chunks, and each pair of chunks is a block of its own. Rows meet by block, and a
+    task holds one block at a time; only pairs that pass leave it.
+    """
+    rooted = _rooted(shared, roots, "class_id", "root")
+    open_ones = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
+    rows = rooted.join(open_ones, "bucket").join(classes.select("class_id", "n_shingles", "sketch"), "class_id")
+    chunks = F.ceil(F.col("n") / BLOCK).cast("int")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("class_id"), chunks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    rows = rows.select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "class_id", "root", "n_shingles", "sketch")
+    rows = rows.repartition(partitions(shared.sparkSession), "bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
+    def pairs_of(lo, own, ids, roots, sizes, sketches) -> tuple[np.ndarray, ...]:
+        a, b, alike = [], [], []
+        sig, odd = unpacked(sketches)
+        own, ids, roots, sizes = np.array(own), np.array(ids), np.array(roots), np.array(sizes)
+        one_chunk = (own == own[0]).all()
+        for i in range(len(ids)):
+            if one_chunk:
+                to = np.arange(i + 1, len(ids))
+            elif own[i] == lo:
+                to = np.flatnonzero(own != lo)
+            else:
+                continue
+            to = to[(roots[to] != roots[i]) & (100 * np.minimum(sizes[to], sizes[i]) >= percent * np.maximum(sizes[to], sizes[i]))]
+            near, same = near_enough(sig[to], odd[to], sig[i], odd[i], sizes[to], sizes[i], percent)
+            to = to[near]
+            a.append(np.minimum(ids[i], ids[to])), b.append(np.maximum(ids[i], ids[to])), alike.append(same[near])
+        return tuple(np.concatenate(x) if x else np.empty(0, dtype=np.int64) for x in (a, b, alike))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def flush():
+            columns = list(zip(*held, strict=True))
+            if len(held) > 1 and len(set(columns[2])) > 1:
+                # Blocks of two chunks pair members of different chunks; those of one chunk are the block (own, own).
+                if key[1] == key[2] or len(set(columns[0])) > 1:
+                    a, b, alike = pairs_of(key[1], *columns)
+                    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(alike, pa.int64())], names=["centre", "class_id", "alike"])
+            return None
+
+        for batch in batches:
+            for bucket, lo, hi, *row in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
+                if key != (bucket, lo, hi):
+                    if held and (out := flush()) is not None:
+                        yield out
+                    key, held = (bucket, lo, hi), []
+                held.append(row)
+        if held and (out := flush()) is not None:
+            yield out
+
+    return stored(rows.mapInArrow(run, "centre long, class_id long, alike long").distinct(), "between")
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    return _rooted(_rooted(pairs, roots, "centre", "root_a"), roots, "class_id", "root_b").where("root_a <> root_b").select("centre", "class_id")
+
+
+def _foremost(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """For each class and each component it is not in, the likeliest pair."""
+    both = _rooted(_rooted(pairs, roots, "centre", "root_a"), roots, "class_id", "root_b")
+    one = lambda x, root: both.groupBy(x, root).agg(F.max(F.struct("alike", "centre", "class_id")).alias("best")).select("best.centre", "best.class_id")
+    return one("centre", "root_b").unionByName(one("class_id", "root_a")).distinct()
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs that sizes allow, and signatures within six standard deviations of the threshold."""
-    small = classes.select("class_id", "n_shingles", "sig")
-    a = small.select(F.col("class_id").alias("centre"), F.col("n_shingles").alias("n_a"), F.col("sig").alias("sig_a"))
+    """Pairs that sizes and signatures allow."""
+    small = classes.select("class_id", "n_shingles", "sketch")
+    a = small.select(F.col("class_id").alias("centre"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("sketch_a"))
     joined = pairs.join(a, "centre").join(small, "class_id")
     joined = joined.where((100 * F.least("n_a", "n_shingles") >= percent * F.greatest("n_a", "n_shingles")))
-    j = percent / 100
-    least = SLOTS * j - 6 * (SLOTS * j * (1 - j)) ** 0.5
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(-1, SLOTS) for c in ("sig_a", "sig"))
-            keep = pa.array((a == b).sum(axis=1) >= least)
+            (sig, odd), (sig_b, odd_b) = (unpacked(batch.column(c).to_pylist()) for c in ("sketch_a", "sketch"))
+            n, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_shingles"))
+            keep = pa.array(near_enough(sig, odd, sig_b, odd_b, n, n_b, percent)[0])
             yield pa.RecordBatch.from_arrays([batch.column("centre").filter(keep), batch.column("class_id").filter(keep)], names=["centre", "class_id"])
 
-    return stored(joined.select("centre", "class_id", "sig_a", "sig").mapInArrow(run, "centre long, class_id long"), "likely")
+    return stored(joined.select("centre", "class_id", "n_a", "n_shingles", "sketch_a", "sketch").mapInArrow(run, "centre long, class_id long"), "likely")
 
 
 # -- confirmation on whole sets ------------------------------------------------------------------------------
