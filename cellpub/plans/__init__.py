@@ -1,6 +1,7 @@
 """Registered queries (``QUERIES``) and their SQL (``ORACLES``)."""
 
-from cellpub.plans import cube, facts, registers
+from cellpub.plans import cube, facts, quality, registers, series
 
-QUERIES = {**facts.QUERIES, **registers.QUERIES, **cube.QUERIES}
-ORACLES = {**facts.ORACLES, **registers.ORACLES, **cube.ORACLES}
+_PARTS = (facts, registers, cube, series, quality)
+QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
+ORACLES = {name: sql for part in _PARTS for name, sql in part.ORACLES.items()}
