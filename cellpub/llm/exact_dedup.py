@@ -1,12 +1,12 @@
 """Exact dedup by deterministic block naming.
 
 The normalised text is cut into blocks of a fixed length. All blocks are sorted, and equal blocks get one
-integer name: the place of the first of them in the sorted order. Then adjacent pairs of names are named the
+integer name: the place of the first of them in the sorted order (by a hash, then by the block itself). Then adjacent pairs of names are named the
 same way, again and again, until one name is left of each document. Two documents have one identity
 (number of blocks, name) exactly if all their blocks are equal, so nothing rests on hashes.
 
-The sort is by (block, row, position), so copies of a block, however many, are spread over several
-sorted parts. A part only needs to know whether its first run began in an earlier part: one row for each part says so.
+Ties are sorted by (row, position), so copies of a block, however many, are spread over several
+sorted parts; a few rows for each part say which blocks go on from one part to the next.
 
 Defined cases: null text counts as empty; all empty texts are equal; repeated rows are members of their
 group and exactly one of them is kept; null doc_ids sort last among ties; other columns are not read.
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,70 +87,61 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def _named(rows: DataFrame, keys: list[str], what: str) -> DataFrame:
-    """``rows`` with ``name`` in place of ``keys``: equal keys have equal names, others not. The result is stored."""
+    """``rows`` with ``name`` in place of ``keys``: equal keys have equal names, others not. The result is stored.
+
+    Rows are sorted by (hash of the keys, keys, row, pos) and dealt to sorted parts by (hash, row, pos), so bounds between parts
+    are short, and copies of a key may take many parts. A key that goes over such a bound has the first or the
+    last hash of its part; such keys (mostly two a part) are written beside the rows, whole, and agree on their least name.
+    """
     n = partitions(rows.sparkSession)
     carried = [T.StructField(f.name, f.dataType) for f in rows.schema.fields if f.name not in keys]
-    ends = [T.StructField(f"{end}_{f.name}", f.dataType) for end in ("first", "last") for f in rows.schema.fields if f.name in keys]
-    schema = T.StructType([*carried, T.StructField("name", T.LongType()), T.StructField("in_first", T.BooleanType()), T.StructField("part", T.IntegerType()), *ends, T.StructField("last_name", T.LongType()), T.StructField("runs", T.LongType())])
-    ordered = rows.repartitionByRange(n, *keys, "row", "pos").sortWithinPartitions(*keys, "row", "pos")
+    ends = [T.StructField(f"end_{f.name}", f.dataType) for f in rows.schema.fields if f.name in keys]
+    schema = T.StructType([*carried, T.StructField("name", T.LongType()), T.StructField("part", T.IntegerType()), *ends])
+    ordered = rows.withColumn("hash", F.xxhash64(*keys)).repartitionByRange(n, "hash", "row", "pos").sortWithinPartitions("hash", *keys, "row", "pos")
     ordered = ordered.withColumn("part", F.spark_partition_id())
     named = stored(ordered.mapInArrow(_name_runs(keys, [f.name for f in carried]), schema), what)
 
-    # One row for each sorted part: does its first run go on from the part before, and with which name.
-    order = Window.orderBy("part")
-    parts = named.where("runs is not null").select("part", "runs", "last_name", *[f.name for f in ends])
-    goes_on = F.lit(True)
-    for k in keys:
-        goes_on = goes_on & (F.col(f"first_{k}") == F.lag(f"last_{k}").over(order))
-    parts = parts.withColumn("goes_on", F.coalesce(goes_on, F.lit(False)))
-    own = F.when((F.col("runs") > 1) | ~F.col("goes_on"), F.col("last_name"))
-    parts = parts.withColumn("own", own).withColumn("carried", F.last("own", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)))
-    parts = parts.where("goes_on").select("part", "carried")
-    rows = named.where("runs is null").join(F.broadcast(parts), "part", "left")  # at most a row for each shuffle partition
-    name = F.when(F.col("in_first"), F.coalesce("carried", "name")).otherwise(F.col("name"))
-    return rows.select(*[f.name for f in carried], name.alias("name"))
+    cut = named.where("row is null").groupBy(*[f.name for f in ends]).agg(F.min("name").alias("least"), F.collect_set("name").alias("names"))
+    # A name for each part that the key is in: at most a row or two for each shuffle partition, so it is broadcast.
+    cut = cut.where(F.size("names") > 1).select("least", F.explode("names").alias("name")).where("name <> least")
+    rows = named.where("row is not null").join(F.broadcast(cut), "name", "left")
+    return stored(rows.select(*[f.name for f in carried], F.coalesce("least", "name").alias("name")), f"{what}-named")
 
 
 def _name_runs(keys: list[str], carried: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, last, place, runs, name = None, None, 0, 0, 0
-        part = 0
+        last, place, name, part = None, 0, 0, 0
+        first_hash = last_hash = None
+        first: dict[tuple, int] = {}
+        tail: dict[tuple, int] = {}
         for batch in batches:
             n = batch.num_rows
             if n == 0:
                 continue
             part = batch.column("part")[0].as_py()
             change = np.zeros(n, dtype=bool)
-            now = [batch.column(k)[0].as_py() for k in keys]
-            if first is None:
-                first = now
-            change[0] = last != now
+            change[0] = last != [batch.column(k)[0].as_py() for k in keys]
             for k in keys:
                 column = batch.column(k)
                 change[1:] |= pc.not_equal(column.slice(1), column.slice(0, n - 1)).to_numpy(zero_copy_only=False)
             places = (np.int64(part) << 33) + place + np.arange(n, dtype=np.int64)
             start = np.maximum.accumulate(np.where(change, np.arange(n), -1))
             names = np.where(start >= 0, places[np.maximum(start, 0)], name)
-            run_no = runs + np.cumsum(change)
-            runs, name, place = int(run_no[-1]), int(names[-1]), place + n
+            hashes = batch.column("hash").to_numpy()
+            first_hash = int(hashes[0]) if first_hash is None else first_hash
+            # The runs of the part's first hash, and those of the last hash so far.
+            if int(hashes[-1]) != last_hash:
+                last_hash, tail = int(hashes[-1]), {}
+            for wanted, into in ((first_hash, first), (last_hash, tail)):
+                for i in np.flatnonzero(change & (hashes == wanted)).tolist():
+                    into[tuple(batch.column(k)[i].as_py() for k in keys)] = int(names[i])
+            name, place = int(names[-1]), place + n
             last = [batch.column(k)[n - 1].as_py() for k in keys]
-            yield _batch(batch, keys, carried, names, run_no == 1, part)
-        if first is not None:
-            yield _ends(batch, keys, carried, part, first, last, name, runs)
+            nulls = {f"end_{k}": pa.nulls(n, batch.schema.field(k).type) for k in keys}
+            yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in carried} | {"name": pa.array(names), "part": pa.array(np.full(n, part, dtype=np.int32))} | nulls)
+        if ends := first | tail:
+            n = len(ends)
+            columns = {c: pa.nulls(n, batch.schema.field(c).type) for c in carried} | {"name": pa.array(list(ends.values()), pa.int64()), "part": pa.array([part] * n, pa.int32())}
+            yield pa.RecordBatch.from_pydict(columns | {f"end_{k}": pa.array([e[i] for e in ends], batch.schema.field(k).type) for i, k in enumerate(keys)})
 
     return run
-
-
-def _batch(batch: pa.RecordBatch, keys, carried, names, in_first, part) -> pa.RecordBatch:
-    n = batch.num_rows
-    columns = {c: batch.column(c) for c in carried} | {"name": pa.array(names), "in_first": pa.array(in_first), "part": pa.array(np.full(n, part, dtype=np.int32))}
-    for end in ("first", "last"):
-        columns |= {f"{end}_{k}": pa.nulls(n, batch.schema.field(k).type) for k in keys}
-    return pa.RecordBatch.from_pydict(columns | {"last_name": pa.nulls(n, pa.int64()), "runs": pa.nulls(n, pa.int64())})
-
-
-def _ends(batch: pa.RecordBatch, keys, carried, part, first, last, name, runs) -> pa.RecordBatch:
-    columns = {c: pa.nulls(1, batch.schema.field(c).type) for c in carried} | {"name": pa.nulls(1, pa.int64()), "in_first": pa.nulls(1, pa.bool_()), "part": pa.array([part], pa.int32())}
-    for end, values in (("first", first), ("last", last)):
-        columns |= {f"{end}_{k}": pa.array([v], batch.schema.field(k).type) for k, v in zip(keys, values, strict=True)}
-    return pa.RecordBatch.from_pydict(columns | {"last_name": pa.array([name], pa.int64()), "runs": pa.array([runs], pa.int64())})
