@@ -87,12 +87,16 @@ def cuts(ids: np.ndarray) -> list[int]:
     n = len(ids)
     if n <= LEAST:
         return [n] if n else []
-    power = lambda b: np.cumprod(np.concatenate([[1], np.full(n, b, dtype=np.uint64)]).astype(np.uint64), dtype=np.uint64)
+    powers = []
+    for base in (INVERSE, BASE):
+        p = np.full(n, base, dtype=np.uint64)
+        p[0] = 1
+        powers.append(np.cumprod(p, dtype=np.uint64))
     mixed = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
     mixed ^= mixed >> np.uint64(29)
-    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mixed * power(INVERSE)[:n], dtype=np.uint64)])
+    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mixed * powers[0], dtype=np.uint64)])
     ends = np.arange(WINDOW, n + 1)
-    rolling = (sums[ends] - sums[ends - WINDOW]) * power(BASE)[ends - 1]
+    rolling = (sums[ends] - sums[ends - WINDOW]) * powers[1][ends - 1]
     rolling = (rolling ^ (rolling >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
     wanted = ends[(rolling >> np.uint64(40)) % np.uint64(MEAN - LEAST) == 0]
     out, at = [], 0
