@@ -16,8 +16,8 @@ With ``BANDS`` bands of ``ROWS`` values, a pair at similarity 0.8 shares no buck
 1.6e-6, and signatures of SuperMinHash (correlated ranks) do not exceed that.
 
 Defined cases: null and wordless texts have an empty set and are linked with nothing; a text of fewer words
-than a shingle is one shingle; repeated rows are one class; null doc_ids take part, and a component of only such
-rows has a null component_id; other columns are not read.
+than a shingle is one shingle; repeated rows are one class; null doc_ids take part, but are kept only where
+no row of the component has a doc_id (component_id is null then); other columns are not read.
 """
 
 from __future__ import annotations
@@ -68,7 +68,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     named = named.join(smallest, "root").select("set_key", "class_id", "component_id")
     found = rows.select("doc_id", "content_key", "n_shingles", "set_key").join(named, "set_key", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return found.select("doc_id", "content_key", "n_shingles", "class_id", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return found.select("doc_id", "content_key", "n_shingles", "class_id", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
