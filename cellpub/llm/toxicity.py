@@ -26,11 +26,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellpub.llm.common import stored
+from cellpub.llm.text_stats import words_of
 
 #: Parameters: labelled rows learnt from at most, documents that a feature must be in, its least weight, features kept, lengths of beginnings.
-SAMPLE, MIN_DOCS, MIN_WEIGHT, MAX_FEATURES, BEGINNINGS = 20_000, 4, 0.8, 50_000, range(3, 8)
+SAMPLE, MIN_DOCS, MIN_WEIGHT, MAX_FEATURES, BEGINNINGS = 20_000, 6, 0.8, 50_000, range(3, 8)
 #: Features that a task counts before it hands them on; longest span that is decoded; spans remembered.
 HELD, LONGEST, REMEMBERED = 300_000, 40, 100_000
+#: Taken off the log odds that a single word gives.
+CAUTION = 0.5
 
 #: What look-alike characters may stand for.
 LOOK_ALIKE = {
@@ -178,12 +181,15 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, usable: Column
     chosen = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & usable).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
-    # Copies of one text would each count as evidence.
-    return stored(rows.dropDuplicates(["text", "label"]), "labelled")
+    # Copies, exact or near, would each count as evidence: of texts with one least three-word hash, one stays.
+    words = rows.withColumn("__words", words_of(F.lower("text")))
+    places = F.when(F.size("__words") > 2, F.sequence(F.lit(1), F.size("__words") - 2)).otherwise(F.array(F.lit(1)))
+    least = F.array_min(F.transform(places, lambda i: F.xxhash64(F.slice("__words", i, 3))))
+    return stored(words.withColumn("__least", least).dropDuplicates(["__least", "label"]).select("doc_id", "text", "label"), "labelled")
 
 
 def lexicon(rows: DataFrame, model: np.ndarray) -> dict[str, float]:
-    """Weights of features: log odds less 1.64 standard errors."""
+    """Weights of features: log odds less 1.64 standard errors. A beginning counts only if it is in twice as many toxic documents as any one word that it begins."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read, good, bad = Reader(model), Counter(), Counter()
@@ -203,42 +209,55 @@ def lexicon(rows: DataFrame, model: np.ndarray) -> dict[str, float]:
     bad, good = F.col("bad") + 0.5, F.col("good") + 0.5
     odds = F.log(bad / (n_bad + 1 - F.col("bad") + 0.5)) - F.log(good / (n_good + 1 - F.col("good") + 0.5))
     weight = odds - 1.64 * F.sqrt(1 / bad + 1 / good)
-    kept = counts.where(f"bad >= {MIN_DOCS}").select("feature", weight.alias("weight")).where(f"weight >= {MIN_WEIGHT}")
+    counts = stored(counts.where("bad > 0"), "features")
+    most = counts.where("not endswith(feature, '-')").select("bad", F.explode(F.array(*[F.when(F.length("feature") > n, F.concat(F.substring("feature", 1, n), F.lit("-"))) for n in BEGINNINGS])).alias("feature"))
+    most = most.where("feature is not null").groupBy("feature").agg(F.max("bad").alias("of_one"))
+    kept = counts.where(f"bad >= {MIN_DOCS}").join(most, "feature", "left").where("not endswith(feature, '-') or bad >= 2 * of_one")
+    kept = kept.select("feature", weight.alias("weight")).where(f"weight >= {MIN_WEIGHT}")
     return {r["feature"]: float(r["weight"]) for r in kept.orderBy(F.desc("weight"), "feature").limit(MAX_FEATURES).collect()}
 
 
 def measured(words: set[str], weights: dict[str, float]) -> tuple[float, float, float]:
     """The largest weight, the second largest of another word, and the log of the number of weighty words."""
     best = sorted((m for w in words if (m := max([weights.get(w, 0.0), *(weights.get(w[:n] + "-", 0.0) for n in BEGINNINGS if len(w) > n)])) > 0), reverse=True)
-    return (*(best + [0.0, 0.0])[:2], math.log1p(len(best)))
+    first, second = (best + [0.0, 0.0])[:2]
+    return first, second, math.log1p(len(best))
 
 
-def scored_by(docs: DataFrame, weights: dict[str, float], model: np.ndarray, beta: list[float], carry: list[str]) -> DataFrame:
+def scored_by(docs: DataFrame, weights: dict[str, float], model: np.ndarray, beta: list[float], prior: float, carry: list[str]) -> DataFrame:
+    """Scores: the logistic function of the three measures, or what the weightiest word alone says about a document with these prior odds, if that is more."""
     kinds = dict(docs.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = Reader(model)
         for batch in batches:
             x = np.array([measured(read(t), weights) for t in batch.column("text").to_pylist()]).reshape(-1, 3)
-            score = 1 / (1 + np.exp(-np.clip(beta[0] + x @ np.array(beta[1:]), -30, 30)))
+            margin = np.where(x[:, 0] > 0, np.maximum(beta[0] + x @ np.array(beta[1:]), x[:, 0] + prior - CAUTION), beta[0])
+            score = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
             own = {c: batch.column(c) for c in carry}
             yield pa.RecordBatch.from_pydict(own | {"x1": pa.array(x[:, 0]), "x2": pa.array(x[:, 1]), "x3": pa.array(x[:, 2]), "score": pa.array(score)})
 
     return docs.mapInArrow(run, ", ".join([*(f"{c} {kinds[c]}" for c in carry), "x1 double", "x2 double", "x3 double", "score double"]))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> list[float]:
-    """Newton steps for a logistic model with intercept; weights below 0 would make no sense and are set to 0."""
-    x = np.column_stack([np.ones(len(x)), x])
-    beta = np.zeros(x.shape[1])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        penalty = np.array([1e-6] + [ridge] * (x.shape[1] - 1))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + np.diag(penalty), x.T @ (p - y) + penalty * beta)
-        beta -= np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01, sweeps: int = 400) -> list[float]:
+    """A logistic model with intercept and weights that are not negative, by Newton steps for one weight after another (the problem is convex)."""
+    z = np.column_stack([np.ones(len(x)), x])
+    beta = np.zeros(z.shape[1])
+    margin = np.zeros(len(x))
+    for _ in range(sweeps):
+        most = 0.0
+        for k in range(len(beta)):
+            p = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
+            penalty = ridge if k else 1e-6
+            step = (z[:, k] @ (p - y) + penalty * beta[k]) / ((z[:, k] ** 2) @ (p * (1 - p)) + penalty)
+            new = beta[k] - float(np.clip(step, -2, 2))
+            new = max(0.0, new) if k else new
+            margin += (new - beta[k]) * z[:, k]
+            most, beta[k] = max(most, abs(new - beta[k])), new
+        if most < 1e-7:
             break
-    return [float(beta[0]), *map(float, np.maximum(beta[1:], 0))]
+    return beta.tolist()
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxic") -> DataFrame:
@@ -252,6 +271,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "t
     model = trigram_model(docs)
     half = F.pmod(F.xxhash64("text"), F.lit(2))
     weights = lexicon(rows.where(half == 0), model)
-    found = scored_by(rows.where(half == 1), weights, model, [0.0] * 4, ["label"]).toPandas()  # at most SAMPLE rows of four numbers
+    found = scored_by(rows.where(half == 1), weights, model, [0.0] * 4, 0.0, ["label"]).toPandas()  # at most SAMPLE rows of four numbers
     beta = fit_logistic(found[["x1", "x2", "x3"]].to_numpy(), found["label"].to_numpy())
-    return scored_by(texts, lexicon(rows, model), model, beta, ["doc_id"]).select("doc_id", "score")
+    prior = math.log(totals[1] / totals[0])
+    return scored_by(texts, lexicon(rows, model), model, beta, prior, ["doc_id"]).select("doc_id", "score")
