@@ -43,8 +43,7 @@ def dense(spark: SparkSession, d: str) -> DataFrame:
 
 def masked(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     cells = kept(dense(spark, d), "dense")
-    sector = cells.where("level = 'D'").select(F.col("sector").alias("division"), F.substring_index("sector", "/", 1).alias("section")).distinct()
-    members = cube.additive_relations(cells, sector, windows(spark))
+    members = cube.additive_relations(cells, _hierarchy(cells), windows(spark))
     return disclosure.secondary_suppression(disclosure.primary_suppression(cells), members), members
 
 
@@ -52,9 +51,13 @@ def _published(spark: SparkSession, d: str) -> DataFrame:
     return disclosure.publish_cells(masked(spark, d)[0], months(spark).where("status = 'provisional'"))
 
 
+def _hierarchy(cells: DataFrame) -> DataFrame:
+    return cells.where("level = 'D'").select(F.col("sector").alias("division"), F.substring_index("sector", "/", 1).alias("section")).distinct()
+
+
 def _relations(spark: SparkSession, d: str) -> DataFrame:
-    cells = dense(spark, d)
-    return cube.additive_relations(cells, sectors(spark, d), windows(spark))
+    cells = kept(dense(spark, d), "dense")  # read by each kind of relation
+    return cube.additive_relations(cells, _hierarchy(cells), windows(spark))
 
 
 def _violations(spark: SparkSession, d: str) -> DataFrame:
@@ -73,8 +76,8 @@ def _guard(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _gaps(spark: SparkSession, d: str) -> DataFrame:
-    cells = dense(spark, d)
-    return cube.relation_gaps(cube.additive_relations(cells, sectors(spark, d), windows(spark)), cells).agg(F.count("*").alias("gaps"))
+    cells = kept(dense(spark, d), "dense")
+    return cube.relation_gaps(cube.additive_relations(cells, _hierarchy(cells), windows(spark)), cells).agg(F.count("*").alias("gaps"))
 
 
 QUERIES = {
