@@ -2,33 +2,49 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cellpub.sources.shared import shared_folder
+
 #: White space and words, as the contracts give them.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; only where the session names none (tests), one is made."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+#: Folders of tables stored so far and not yet released.
+_STORED: list[str] = []
 
 
-def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: lineage ends there and lost executors cost nothing."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(path)
+    df.write.parquet(path)
+    _STORED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_paths() -> list[str]:
+    return list(_STORED)
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete stored tables. Nothing that still reads them may be computed afterwards."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for path in paths:
+        where = hadoop.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        if path in _STORED:
+            _STORED.remove(path)
+
+
+def small_enough(df: DataFrame, most_rows: int) -> bool:
+    """Has ``df`` (a stored table) no more rows than may be broadcast?"""
+    return df.limit(most_rows + 1).count() <= most_rows
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -27,10 +27,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellpub.llm.common import content_key, only_kept, partitions, stored
+from cellpub.llm.common import content_key, only_kept, partitions, small_enough, stored
 
 BANDS, ROWS = 44, 6
 SLOTS = BANDS * ROWS
@@ -38,6 +38,8 @@ SLOTS = BANDS * ROWS
 BITS = 2048
 #: Rows of a star that are checked against one reading of its centre, and classes of a bucket that are scanned together.
 CHUNK, BLOCK = 64, 512
+#: Rows (of 40 bytes) that may be broadcast.
+BROADCAST_ROWS = 200_000
 #: Elements that take a step together, and the sets that count as small.
 ELEMENTS, SMALL = 4096, 100
 
@@ -50,10 +52,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), content_key(F.col(text_col)).alias("content_key"))
     rows = signed(texts, shingle)
     classes = _classes(rows)
-    keyed = classes.select("class_id", F.explode("bands").alias("bucket"))
+    keyed = classes.select("class_id", "n_shingles", F.explode("bands").alias("bucket"))
 
     shared = _shared(keyed)
-    links = _confirmed(texts, _likely(_stars(shared), classes, percent), classes, shingle, percent)
+    links = _confirmed(texts, _likely(_stars(shared, percent), classes, percent), classes, shingle, percent)
     roots = grouped(links)
     left = _between(shared, roots, classes, percent)
     for first in (True, False):
@@ -216,17 +218,23 @@ def _classes(rows: DataFrame) -> DataFrame:
 
 
 def _shared(keyed: DataFrame) -> DataFrame:
-    """(bucket, class_id, n): the rows of buckets with n > 1 classes; stored."""
+    """(bucket, class_id, n_shingles, n): the rows of buckets with n > 1 classes; stored."""
     sizes = keyed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     return stored(keyed.join(sizes, "bucket"), "shared")
 
 
-def _stars(shared: DataFrame) -> DataFrame:
-    """(centre, class_id): each class of a bucket with the one that has most company."""
+def _fits(a: str, b: str, percent: int) -> Column:
+    """Sets of these sizes may reach the threshold."""
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+
+
+def _stars(shared: DataFrame, percent: int) -> DataFrame:
+    """(centre, class_id): each class of a bucket with the one that has most company, if their sizes allow."""
     company = shared.groupBy("class_id").agg(F.sum("n").alias("company"))
-    best = F.max(F.struct("company", (-F.col("class_id")).alias("less")))
-    centres = shared.join(company, "class_id").groupBy("bucket").agg(best.alias("best")).select("bucket", (-F.col("best.less")).alias("centre"))
-    return shared.join(centres, "bucket").where("class_id <> centre").select("centre", "class_id").distinct()
+    best = F.max(F.struct("company", (-F.col("class_id")).alias("less"), F.col("n_shingles").alias("n_centre")))
+    centres = shared.join(company, "class_id").groupBy("bucket").agg(best.alias("best")).select("bucket", (-F.col("best.less")).alias("centre"), "best.n_centre")
+    pairs = shared.join(centres, "bucket").where((F.col("class_id") != F.col("centre")) & _fits("n_shingles", "n_centre", percent))
+    return pairs.select("centre", "class_id").distinct()
 
 
 def _rooted(rows: DataFrame, roots: DataFrame, column: str, out: str) -> DataFrame:
@@ -242,7 +250,7 @@ def _between(shared: DataFrame, roots: DataFrame, classes: DataFrame, percent: i
     """
     rooted = _rooted(shared, roots, "class_id", "root")
     open_ones = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
-    rows = rooted.join(open_ones, "bucket").join(classes.select("class_id", "n_shingles", "sketch"), "class_id")
+    rows = rooted.join(open_ones, "bucket").join(classes.select("class_id", "sketch"), "class_id")
     chunks = F.ceil(F.col("n") / BLOCK).cast("int")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("class_id"), chunks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
     rows = rows.select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "class_id", "root", "n_shingles", "sketch")
@@ -306,7 +314,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     small = classes.select("class_id", "n_shingles", "sketch")
     a = small.select(F.col("class_id").alias("centre"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("sketch_a"))
     joined = pairs.join(a, "centre").join(small, "class_id")
-    joined = joined.where((100 * F.least("n_a", "n_shingles") >= percent * F.greatest("n_a", "n_shingles")))
+    joined = joined.where(_fits("n_a", "n_shingles", percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -333,7 +341,9 @@ def _confirmed(texts: DataFrame, pairs: DataFrame, classes: DataFrame, shingle:
     dealt = pairs.join(sizes, "centre")
     members = dealt.select("centre", F.pmod(F.xxhash64("class_id"), F.col("chunks")).cast("int").alias("chunk"), "class_id")
     centres = members.select("centre", "chunk", F.col("centre").alias("class_id")).distinct()
-    wanted = members.unionByName(centres).join(classes.select("class_id", "rep_doc", "rep_key"), "class_id")
+    wanted = stored(members.unionByName(centres).join(classes.select("class_id", "rep_doc", "rep_key"), "class_id"), "wanted")
+    # Few rows are broadcast, so that only their texts move; beyond the bound both sides are shuffled.
+    wanted = F.broadcast(wanted) if small_enough(wanted, BROADCAST_ROWS) else wanted
     # Rows repeated in the input give repeated links; grouping does not mind.
     with_text = wanted.join(texts, wanted["rep_doc"].eqNullSafe(texts["doc_id"]) & (wanted["rep_key"] == texts["content_key"]))
     stream = with_text.select("centre", "chunk", (F.col("class_id") != F.col("centre")).alias("member"), "class_id", "text")

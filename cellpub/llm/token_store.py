@@ -3,8 +3,8 @@
 Writing: texts are encoded, an end id is added, and a rolling hash over the ids cuts each stream into chunks, so equal
 passages of different documents have equal chunks between their cuts. A chunk's address is the SHA-256 of its bytes.
 
-    <path>/chunks   digest, n_ids, ids        each different chunk once, in the order of its digest
-    <path>/recipes  row, doc_id, start, n_tokens, digests, root    in ascending doc_id order
+    <path>/streams/kind=chunk  digest, n, ids        each different chunk once, in the order of its digest in each file
+    <path>/recipes             row, doc_id, start, n_tokens, digests, root    in ascending doc_id order
 
 ``ids`` are little-endian unsigned integers, of 2 bytes where the vocabulary allows it, else 4. ``start`` is the number of ids of all
 documents before. ``root`` is the root of the Merkle tree over the document's digests; ``manifest`` makes one over documents' roots.
@@ -33,26 +33,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellpub.llm.common import partitions, running_sum, sorted_table, stored
+from cellpub.llm.common import partitions, running_sum, sorted_table
 
-#: Parameters: ids of the rolling window, least, mean and most ids in a chunk, pieces that a worker remembers.
+#: Parameters: ids of the rolling window, least, mean and most ids in a chunk; pieces that a worker remembers, pieces and documents taken together.
 WINDOW, LEAST, MEAN, MOST = 16, 64, 256, 2048
-REMEMBERED = 800_000
+REMEMBERED, TOGETHER, SLICE = 600_000, 200, 200
 #: Fixed value: an odd multiplier and its inverse modulo 2^64.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
-#: White space that is not a blank or a line feed; texts with any are encoded whole.
-ODD_SPACE = re.compile(r"[^\S \n]")
-PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+#: White space other than blanks alone between other characters, and line feeds between such.
+ODD_SPACE = re.compile(r"[^\S \n]| [ \n]|\n |^ | $")
 
 
 class Encoder:
     """The tokenizer, with the ids of pieces remembered.
 
-    A text is split before white space that follows other characters. The byte-level pre-tokenizer always ends a
-    token there and never looks behind, so pieces encoded alone give the same ids as the whole text.
-    Texts with other white space, or that may hold a special token, are encoded whole.
+    A text is split at blanks that stand alone between other characters. The byte-level pre-tokenizer always ends a
+    token before such a blank and never looks behind, so pieces encoded alone, each with its blank, give the same ids as the whole text.
+    New pieces are encoded many together: each begins with the only token that begins with a blank. Texts with other white space than single blanks and
+    line feeds, or that may hold a special token, are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -60,54 +60,72 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        vocabulary = self.tokenizer.get_vocab()
+        self.kind = "<u2" if max(vocabulary.values()) < 1 << 16 else "<u4"
+        self.begins = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.begins[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
         self.known: dict[str, bytes] = {}
 
-    def _encode(self, texts: list[str]) -> Iterator[bytes]:
-        return (np.array(e.ids, dtype=self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype=self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> None:
+        for at in range(0, len(new), TOGETHER):
+            some = new[at : at + TOGETHER]
+            ids = self._encode([" " + " ".join(some)])[0]
+            starts = np.flatnonzero(self.begins[ids]).tolist()
+            if len(starts) != len(some):
+                raise ValueError("this vocabulary does not begin a token with each blank")
+            data, width = ids.tobytes(), ids.itemsize
+            self.known.update(zip(some, (data[a * width : b * width] for a, b in zip(starts, [*starts[1:], len(ids)], strict=True)), strict=True))
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        whole = [i for i, t in enumerate(texts) if "<|" in t or ODD_SPACE.search(t)]
-        pieces = [PIECE.findall(t) for t in texts]
-        for i in whole:
-            pieces[i] = []
-        new = list(set().union(*pieces).difference(known))
-        known.update(zip(new, self._encode(new), strict=True))
-        data = [b"".join(map(known.__getitem__, ps)) for ps in pieces]
-        for i, ids in zip(whole, self._encode([texts[i] for i in whole]), strict=True):
-            data[i] = ids
-        return [np.frombuffer(x, dtype=self.kind) for x in data]
-
-
-def cuts(ids: np.ndarray) -> list[int]:
-    """Ends of the chunks. A cut may follow where the hash of the last ``WINDOW`` ids says so, ``LEAST`` or more after the one before."""
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        # The first piece of a text has no blank before it; texts that are not split have no other.
+        firsts, rests = [], []
+        for t in texts:
+            first, *rest = [t] if "<|" in t or ODD_SPACE.search(t) else t.split(" ")
+            firsts.append(first), rests.append(rest)
+        if new := set().union(*rests).difference(self.known):
+            self._learn(list(new))
+        known = self.known.__getitem__
+        return [np.frombuffer(b"".join([f.tobytes(), *map(known, rest)]), dtype=self.kind) for f, rest in zip(self._encode(firsts), rests, strict=True)]
+
+
+def cuts(streams: list[np.ndarray]) -> list[list[int]]:
+    """Ends of the chunks of each stream. A cut may follow where the hash of the last ``WINDOW`` ids says so, ``LEAST`` or more after the one before."""
+    sizes = [len(x) for x in streams]
+    ids = np.concatenate(streams) if streams else np.empty(0, dtype=np.uint16)
     n = len(ids)
-    if n <= LEAST:
-        return [n] if n else []
-    powers = []
-    for base in (INVERSE, BASE):
-        p = np.full(n, base, dtype=np.uint64)
-        p[0] = 1
-        powers.append(np.cumprod(p, dtype=np.uint64))
-    mixed = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
-    mixed ^= mixed >> np.uint64(29)
-    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mixed * powers[0], dtype=np.uint64)])
-    ends = np.arange(WINDOW, n + 1)
-    rolling = (sums[ends] - sums[ends - WINDOW]) * powers[1][ends - 1]
-    rolling = (rolling ^ (rolling >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-    wanted = ends[(rolling >> np.uint64(40)) % np.uint64(MEAN - LEAST) == 0]
-    out, at = [], 0
-    for end in [*wanted.tolist(), n]:
-        while end - at > MOST:
-            at += MOST
-            out.append(at)
-        if end - at >= LEAST or end == n:
-            at = end
-            out.append(at)
-    return list(dict.fromkeys(out))
+    out: list[list[int]] = []
+    wanted = np.empty(0, dtype=np.int64)
+    if n >= WINDOW:
+        powers = []
+        for base in (INVERSE, BASE):
+            p = np.full(n, base, dtype=np.uint64)
+            p[0] = 1
+            powers.append(np.cumprod(p, dtype=np.uint64))
+        mixed = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed ^= mixed >> np.uint64(29)
+        sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mixed * powers[0], dtype=np.uint64)])
+        rolling = (sums[WINDOW:] - sums[:-WINDOW]) * powers[1][WINDOW - 1 :]
+        rolling = (rolling ^ (rolling >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+        wanted = np.flatnonzero((rolling >> np.uint64(40)) % np.uint64(MEAN - LEAST) == 0) + WINDOW
+    # Windows that begin in the stream before end too early for a cut: LEAST is not less than WINDOW.
+    start = 0
+    for size, some in zip(sizes, np.split(wanted, np.searchsorted(wanted, np.cumsum(sizes)[:-1], side="right")) if sizes else [], strict=True):
+        own, at = [], 0
+        for end in [*(some - start).tolist(), size]:
+            while end - at > MOST:
+                at += MOST
+                own.append(at)
+            if end - at >= LEAST or end == size and end > at:
+                at = end
+                own.append(at)
+        out.append(own)
+        start += size
+    return out
 
 
 def merkle(leaves: list[bytes]) -> bytes:
@@ -125,33 +143,35 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, seen = Encoder(tokenizer), set()
+        width = np.dtype(encode.kind).itemsize
+        end_mark = np.array([end_id], dtype=encode.kind)
         for batch in batches:
-            chunks, recipes = {}, []
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode([t or "" for t in batch.column("text").to_pylist()]), strict=True):
-                ids = np.append(ids, np.array([end_id], dtype=ids.dtype))
-                digests, at = [], 0
-                for end in cuts(ids):
-                    data, at = ids[at:end].tobytes(), end
-                    digests.append(hashlib.sha256(data).digest())
-                    if digests[-1] not in seen:
-                        chunks[digests[-1]] = data
-                recipes.append((doc, len(ids), digests, merkle(digests)))
-            if len(seen) < REMEMBERED:
-                seen.update(chunks)
-            c, r = len(chunks), len(recipes)
-            if not r:
-                continue
-            width = np.dtype(encode.kind).itemsize
-            doc, n, digests, root = zip(*recipes, strict=True)
-            yield pa.RecordBatch.from_pydict({
-                "kind": ["chunk"] * c + ["recipe"] * r,
-                "doc_id": pa.array([None] * c + list(doc), pa.int64()),
-                "n": pa.array([len(x) // width for x in chunks.values()] + list(n), pa.int64()),
-                "digest": pa.array(list(chunks) + [None] * r, pa.binary()),
-                "ids": pa.array(list(chunks.values()) + [None] * r, pa.binary()),
-                "digests": pa.array([None] * c + list(digests), pa.list_(pa.binary())),
-                "root": pa.array([None] * c + list(root), pa.binary()),
-            })
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                streams = [np.append(ids, end_mark) for ids in encode([t or "" for t in part.column("text").to_pylist()])]
+                chunks, recipes = {}, []
+                for doc, ids, ends in zip(part.column("doc_id").to_pylist(), streams, cuts(streams), strict=True):
+                    data, digests, begin = ids.tobytes(), [], 0
+                    for end in ends:
+                        chunk = data[begin * width : end * width]
+                        digests.append(hashlib.sha256(chunk).digest())
+                        if digests[-1] not in seen:
+                            chunks[digests[-1]] = chunk
+                        begin = end
+                    recipes.append((doc, len(ids), digests, merkle(digests)))
+                if len(seen) < REMEMBERED:
+                    seen.update(chunks)
+                c, r = len(chunks), len(recipes)
+                doc, n, digests, root = zip(*recipes, strict=True)
+                yield pa.RecordBatch.from_pydict({
+                    "kind": ["chunk"] * c + ["recipe"] * r,
+                    "doc_id": pa.array([None] * c + list(doc), pa.int64()),
+                    "n": pa.array([len(x) // width for x in chunks.values()] + list(n), pa.int64()),
+                    "digest": pa.array(list(chunks) + [None] * r, pa.binary()),
+                    "ids": pa.array(list(chunks.values()) + [None] * r, pa.binary()),
+                    "digests": pa.array([None] * c + list(digests), pa.list_(pa.binary())),
+                    "root": pa.array([None] * c + list(root), pa.binary()),
+                })
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
@@ -163,14 +183,20 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col:
     # Texts are encoded once: chunks meet by digest, recipes stay spread, both in one shuffle.
     key = F.when(F.col("kind") == "chunk", F.xxhash64("digest")).otherwise(F.xxhash64("doc_id", "root"))
     met = texts.mapInArrow(run, schema).repartition(partitions(docs.sparkSession), key).sortWithinPartitions("kind", "digest")
-    both = stored(met.mapInArrow(once, schema), "store", "kind")
+    met.mapInArrow(once, schema).write.partitionBy("kind").parquet(f"{path}/streams")
     # The chunk files are final as they are; recipes get their order and their starts.
-    both.where("kind = 'chunk'").select("digest", F.col("n").alias("n_ids"), "ids").write.parquet(f"{path}/chunks")
-    recipes = sorted_table(both.where("kind = 'recipe'").select("doc_id", "n", "digests", "root"), ["doc_id"], "recipes")
+    unsorted = docs.sparkSession.read.schema(schema).parquet(f"{path}/streams").where("kind = 'recipe'")
+    recipes = sorted_table(unsorted.select("doc_id", "n", "digests", "root"), ["doc_id"], "recipes")
     recipes = running_sum(recipes, "n", "start").select(F.shiftleft(F.col("part").cast("long"), 33).bitwiseOR(F.col("at")).alias("row"), "doc_id", F.col("start").cast("long").alias("start"), F.col("n").alias("n_tokens"), "digests", "root")
     recipes.repartitionByRange(partitions(docs.sparkSession), "row").sortWithinPartitions("row").write.parquet(f"{path}/recipes")
 
 
+def chunk_files(spark: SparkSession, path: str) -> DataFrame:
+    """digest, ids of every chunk in the store."""
+    rows = spark.read.schema("digest binary, ids binary, kind string").parquet(f"{path}/streams")
+    return rows.where("kind = 'chunk'").select("digest", "ids")
+
+
 def manifest(spark: SparkSession, path: str, group: int = 4096) -> DataFrame:
     """first_row, n_docs, root: Merkle roots over the roots of runs of documents, for comparing two stores."""
     recipes = spark.read.parquet(f"{path}/recipes").select("row", "root")
@@ -215,7 +241,7 @@ def read_digests(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
                 found.append(crc), counts.append(n)
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "start": batch.column("start"), "n_tokens": pa.array(counts, pa.int64()), "ids_crc32": pa.array(found, pa.int64())})
 
-    chunks = spark.read.parquet(f"{path}/chunks").select("digest", "ids").mapInArrow(checked, "digest binary, n_ids long, crc long")
+    chunks = chunk_files(spark, path).mapInArrow(checked, "digest binary, n_ids long, crc long")
     # A row of some 60 bytes for each reference; a frequent chunk is on the side that a skewed join splits.
     parts = _chunk_refs(spark, path).join(chunks, "digest").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "digest", "n_ids", "crc"))).alias("parts"))
     recipes = spark.read.parquet(f"{path}/recipes").select("row", "doc_id", "start", "root")
@@ -224,7 +250,7 @@ def read_digests(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
 
 def read_ids(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
     """doc_id, start, ids (array<int>) of every document, rebuilt from its chunks."""
-    chunks = spark.read.parquet(f"{path}/chunks").select("digest", "ids")
+    chunks = chunk_files(spark, path)
     parts = _chunk_refs(spark, path).join(chunks, "digest").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("parts"))
     recipes = spark.read.parquet(f"{path}/recipes").select("row", "doc_id", "start")
 
