@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellpub.llm.common import stored
+from cellpub.llm.common import release, stored, stored_paths
 from cellpub.llm.exact_dedup import drop_copies
 from cellpub.llm.mixing import take_copies
 from cellpub.llm.near_dedup import drop_near
@@ -15,24 +15,38 @@ from cellpub.llm.packing import packed
 from cellpub.llm.quality_rules import keep_good
 
 
+#: Tables that the last stage stored; they are dead once its result is written.
+_DEAD: list[str] = []
+
+
+def _alone(spark: SparkSession, work) -> DataFrame:
+    """Run a stage after deleting what the stage before it stored. The documents it gets are written already."""
+    release(spark, _DEAD)
+    _DEAD.clear()
+    before = set(stored_paths())
+    out = work()
+    _DEAD.extend(p for p in stored_paths() if p not in before)
+    return out
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_good(docs)
+    return _alone(spark, lambda: keep_good(docs))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_copies(docs)
+    return _alone(spark, lambda: drop_copies(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_near(docs)
+    return _alone(spark, lambda: drop_near(docs))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return take_copies(docs)
+    return _alone(spark, lambda: take_copies(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packed(docs)
+    return _alone(spark, lambda: packed(docs))
 
 
 STAGES = [
