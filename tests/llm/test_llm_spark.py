@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cellpub.llm import exact_dedup, html_text, mixing, near_dedup, packing, quality_classifier, quality_rules, token_store, toxicity, warc
+from cellpub.llm.common import stored
 from cellpub.llm.queries import ORACLES, QUERIES, _remainder
 
 SF = "/root/testdata/sf0.001"
@@ -365,7 +366,7 @@ def test_pipeline(spark):
     docs = odd_docs(spark, 9)
     before = None
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, SF).cache()
+        docs = stored(stage(spark, docs, SF), name)
         assert docs.columns == SCHEMA.replace(" long", "").replace(" string", "").split(", "), name
         if name == "exact_dedup":
             texts = ["".join((r.text or "").split()) for r in docs.collect()]
