@@ -46,7 +46,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _alone(spark, lambda: packed(docs))
+    out = _alone(spark, lambda: packed(docs))
+    _DEAD.clear()  # the result may be read at any later time
+    return out
 
 
 STAGES = [
