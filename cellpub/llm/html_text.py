@@ -45,7 +45,10 @@ SPACES = re.compile(r"\s+")
 
 FEATURES = ("words", "link_density", "words_before", "links_before", "words_after", "links_after", "outside", "inside", "heading", "link_list")
 
-#: The labelled table: blocks of ten hand-made pages (news, blog, shop, forum, docs; with and without article elements).
+#: Words and link density before and after a block.
+NEAR = [(b, x, a, y) for b in (2, 50) for x in (0.00, 1.00) for a in (2, 50) for y in (0.00, 1.00)]
+#: The labelled table: blocks of ten hand-made pages (news, blog, shop, forum, docs; with and without article elements),
+#: and blocks between all kinds of neighbours (menus, related links, link-only paragraphs), which count less than a block's own words and place.
 #: words, link density, words and link density before and after, outside, inside, heading, list item of links -> content
 LABELLED = [
     (1, 1.00, 0, 0.00, 1, 1.00, 1, 0, 0, 1, 0), (1, 1.00, 1, 1.00, 1, 1.00, 1, 0, 0, 1, 0), (2, 1.00, 1, 1.00, 9, 0.00, 1, 0, 0, 1, 0),
@@ -64,6 +67,14 @@ LABELLED = [
     (3, 1.00, 4, 1.00, 3, 1.00, 1, 1, 0, 1, 0), (12, 0.90, 6, 1.00, 4, 1.00, 0, 0, 0, 0, 0), (8, 0.80, 70, 0.00, 9, 0.90, 0, 0, 0, 0, 0),
     (33, 0.00, 0, 0.00, 18, 0.00, 0, 0, 0, 0, 1), (120, 0.01, 0, 0.00, 0, 0.00, 0, 0, 0, 0, 1), (4, 0.00, 1, 0.00, 3, 0.00, 0, 1, 0, 0, 1),
     (2, 1.00, 1, 0.00, 3, 0.00, 1, 1, 0, 1, 0), (65, 0.02, 120, 0.00, 90, 0.00, 1, 0, 0, 0, 0), (20, 0.00, 20, 0.00, 20, 0.00, 1, 1, 0, 0, 0),
+    # Inside an article, whatever comes before or after: paragraphs, short ones, headings, link-only ones.
+    *((w, own, *near, 0, 1, h, 0, 1) for w, own, h in ((90, 0.00, 0), (15, 0.10, 0), (3, 0.00, 0), (5, 0.00, 1), (6, 1.00, 0)) for near in NEAR),
+    # Outside of one, paragraphs; short blocks and links count as content only if no links come after them.
+    *((w, own, *near, 0, 0, 0, 0, 1) for w, own in ((60, 0.00), (25, 0.05), (10, 0.00), (30, 0.40)) for near in NEAR),
+    *((w, own, *near, 0, 0, h, 0, int(near[3] < 0.5)) for w, own, h in ((5, 0.00, 0), (4, 0.00, 1), (8, 1.00, 0), (25, 0.90, 0)) for near in NEAR),
+    # Lists of links, in an article too.
+    *((w, 1.00, *near, 0, 1, 0, 1, 0) for w in (2, 9) for near in NEAR[1::8]),
+    *((w, 1.00, *near, 0, 1, 0, 0, 1) for w in (1, 3) for near in NEAR),
 ]
 
 

@@ -153,3 +153,19 @@ def test_main_text():
 def test_tree_fits_its_table():
     x = np.array([r[:-1] for r in html_text.LABELLED], dtype=float)
     assert (html_text.content(html_text.trained(), x) == np.array([r[-1] for r in html_text.LABELLED], dtype=bool)).mean() > 0.95
+
+
+def test_paragraphs_before_links_stay():
+    tree = html_text.trained()
+    long = "The last paragraph has a good number of words and no link in it."
+    menu = '<nav><ul><li><a href="/a">One</a></li><li><a href="/b">Two</a></li></ul></nav>'
+    for page in (
+        f"<article><h1>Head</h1><p>First.</p><p>{long}</p></article>{menu}",
+        f'<main><h1>Head</h1><p>First.</p><p>{long}</p><p><a href="/x">Read on</a></p></main><footer><a href="/y">Us</a></footer>',
+        f'<article><h1>Head</h1><p>First.</p><p>{long}</p></article><div class="related"><a href="/x">More</a></div>',
+    ):
+        assert html_text.main_text(page, tree).startswith(f"Head\nFirst.\n{long}")
+    assert html_text.main_text(f"<body><p>{long}</p>{menu}</body>", tree) == long
+    assert html_text.main_text("<ul><li><a href=a>a</a><li><a href=b>b</a></ul><p>Short<p><a href=c>c d</a>", tree) == "c d"
+    assert html_text.main_text("<article><p>So <p><a href=a>a b</a><p><a href=c>c</a></article>", tree) == "So\na b\nc"
+    assert html_text.main_text("<article><ul><li><a href=a>a</a><li><a href=b>b</a></ul></article>", tree) == ""
