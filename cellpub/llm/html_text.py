@@ -40,7 +40,8 @@ NAMES = re.compile(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog toolbar".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|aria-label|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+#: A whole name with its value, so nothing inside a value or a longer name counts as a name.
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 SPACES = re.compile(r"\s+")
 
 FEATURES = ("words", "link_density", "words_before", "links_before", "words_after", "links_after", "outside", "inside", "heading", "link_list")
@@ -143,7 +144,8 @@ def blocks_of(page: str) -> list[Block]:
             pop_to(tag)
         if tag in VOID or attributes.rstrip().endswith("/") and tag not in BLOCK_TAGS:
             continue
-        found = {k.lower(): v.strip("\"'").lower() for k, v in ATTRIBUTE.findall(attributes)} if attributes else {}
+        # Of attributes of one name, the first counts.
+        found = {k.lower(): v.strip("\"'").lower() for k, v in reversed(ATTRIBUTE.findall(attributes))} if attributes else {}
         outside = tag in OUTSIDE or tag == "header" and not any(t in ("article", "main") for t, _, _ in stack)
         outside |= bool(found) and (found.get("role", "") in ROLES or tag not in ("html", "body", "article", "main") and bool(NAMES.search(f"{found.get('class', '')} {found.get('id', '')}")))
         silent = tag in SILENT or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")

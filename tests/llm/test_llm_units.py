@@ -169,3 +169,11 @@ def test_paragraphs_before_links_stay():
     assert html_text.main_text("<ul><li><a href=a>a</a><li><a href=b>b</a></ul><p>Short<p><a href=c>c d</a>", tree) == "c d"
     assert html_text.main_text("<article><p>So <p><a href=a>a b</a><p><a href=c>c</a></article>", tree) == "So\na b\nc"
     assert html_text.main_text("<article><ul><li><a href=a>a</a><li><a href=b>b</a></ul></article>", tree) == ""
+
+
+def test_attributes_are_whole_names():
+    tree = html_text.trained()
+    for attribute in ('href="/the-hidden-valley"', "href=/the-hidden-valley", 'title="A hidden gem"', 'data-hidden="false"', 'data-role="navigation"', "data-class='ad'", 'title="id=comments class=ad"', 'data-style="display:none"'):
+        assert html_text.main_text(f"<article><p {attribute}>Some words here.</p></article>", tree) == "Some words here.", attribute
+    for attribute in ("hidden", 'HIDDEN=""', 'title="x" hidden', "aria-hidden=true", 'style="color:red; display: none"', 'data-x="hidden" class="ad"', "id='comments'", 'role = "navigation"', 'class="ad" class="b"'):
+        assert html_text.main_text(f"<article><p {attribute}>Some words here.</p></article>", tree) == "", attribute
