@@ -34,10 +34,15 @@ ENDS_P = BLOCK_TAGS - frozenset("body head html option caption dd dt li td th tr
 #: Elements that an end tag of something inside doesn't get past, and elements that are not text of the article by themselves.
 SCOPE = frozenset("article aside body div footer form header html main nav section table ul ol dl td".split())
 OUTSIDE = frozenset("nav footer aside form menu dialog".split())
+#: Whole terms (between signs) of a class or id that name adverts, notices, menus, comments and the like; headers count only outside article and main.
 NAMES = re.compile(
-    r"(?:^|[^a-z])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|footer\w*|header|masthead|side-?bar\w*|aside|related\w*|widget\w*|share\w*|social\w*|"
-    r"cookies?\w*|consent|notices?|gdpr|popup|modal|newsletter\w*|subscri\w*|signup|login|comments?\w*|disqus\w*|respon[ds]\w*|repl(?:y|ies)|pager|pagination|tags?|skip\w*|copyright|legal|alerts?|toolbar)(?:$|[^a-z])"
+    r"(?<![a-z])(?:ads?|adverts?|advertis(?:ing|ements?)|adsense|banners?|sponsor(?:s|ed)?|promos?|promotions?|nav(?:s|bar|igation|links?|menu)?|menus?|menubar|breadcrumbs?|footers?|"
+    r"side-?bars?|aside|related(?:posts?)?|shar(?:e|ing)|share(?:bar|buttons?)|social|cookies?|cookie(?:bar|banner|notice|consent)|consent|notices?|gdpr|popup|modal|newsletters?|subscri(?:be|ption)|"
+    r"signup|login|comments?|comment(?:list|form|area)|disqus|respond|repl(?:y|ies)|pager|pagination|tags|tag-?(?:cloud|list|links)|skip(?:-?(?:link|nav)s?|-to)|copyright|legal|alerts?|toolbar)(?![a-z])"
 )
+HEADERS = re.compile(r"(?:(?:site|main|global|top)[-_]?)?header(?:[-_](?:bar|top|nav|menu|inner|wrap|wrapper|container))?|masthead")
+#: Classes that say how a wrapper looks or what a post is filed under, not what an element is.
+STATES = re.compile(r"(?:has|no|with|without|is|not|category|tag(?![-_](?:cloud|list|links))|content-?sidebar)[-_].*|content-?sidebar|.*[-_](?:open|closed|enabled|disabled|visible|layout|fixed|sticky)")
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog toolbar".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 #: A whole name with its value, so nothing inside a value or a longer name counts as a name.
@@ -79,6 +84,11 @@ LABELLED = [
 ]
 
 
+def named_outside(names: str, inside: bool) -> bool:
+    """Whether one of an element's names (class and id) puts it outside the main text; ``inside``: it is in an article or main element."""
+    return any(not STATES.fullmatch(n) and (NAMES.search(n) or not inside and HEADERS.fullmatch(n)) for n in names.split())
+
+
 class Block(NamedTuple):
     text: str
     words: int
@@ -146,8 +156,9 @@ def blocks_of(page: str) -> list[Block]:
             continue
         # Of attributes of one name, the first counts.
         found = {k.lower(): v.strip("\"'").lower() for k, v in reversed(ATTRIBUTE.findall(attributes))} if attributes else {}
-        outside = tag in OUTSIDE or tag == "header" and not any(t in ("article", "main") for t, _, _ in stack)
-        outside |= bool(found) and (found.get("role", "") in ROLES or tag not in ("html", "body", "article", "main") and bool(NAMES.search(f"{found.get('class', '')} {found.get('id', '')}")))
+        inside = any(t in ("article", "main") for t, _, _ in stack)
+        outside = tag in OUTSIDE or tag == "header" and not inside
+        outside |= bool(found) and (found.get("role", "") in ROLES or tag not in ("html", "body", "article", "main") and named_outside(f"{found.get('class', '')} {found.get('id', '')}", inside))
         silent = tag in SILENT or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
         if tag in RAW:
             # Raw text ends with its own end tag only.

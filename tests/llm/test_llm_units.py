@@ -177,3 +177,15 @@ def test_attributes_are_whole_names():
         assert html_text.main_text(f"<article><p {attribute}>Some words here.</p></article>", tree) == "Some words here.", attribute
     for attribute in ("hidden", 'HIDDEN=""', 'title="x" hidden', "aria-hidden=true", 'style="color:red; display: none"', 'data-x="hidden" class="ad"', "id='comments'", 'role = "navigation"', 'class="ad" class="b"'):
         assert html_text.main_text(f"<article><p {attribute}>Some words here.</p></article>", tree) == "", attribute
+
+
+def test_names_of_wrappers_and_headlines_are_kept():
+    tree = html_text.trained()
+    for names in ('class="table-responsive"', 'class="elementor-widget-container"', 'class="widget"', 'id="post-header"', 'class="responsive"', 'class="post has-sidebar tag-news category-social"', 'class="header"', 'class="comments-open"', 'class="navy"'):
+        assert html_text.main_text(f"<article><div {names}><p>Some words here.</p></div></article>", tree) == "Some words here.", names
+    assert html_text.main_text('<article><header class="entry-header"><h1>Head</h1></header><p>Text.</p></article>', tree) == "Head\nText."
+    assert html_text.main_text('<div class="entry-header"><h1>Head</h1></div><p>Text.</p>', tree) == "Head\nText."
+    for names in ('id="respond"', 'class="comments-area"', 'class="site-footer"', 'class="ad"', 'id="cookie-notice"', 'id="disqus_thread"', 'class="x nav-links"', 'class="sidebar"', 'class="tag-list"', 'class="skip-link"'):
+        assert html_text.main_text(f"<article><div {names}><p>Some words here.</p></div></article>", tree) == "", names
+    for names in ('class="header"', 'id="site-header"', 'class="masthead"'):
+        assert html_text.main_text(f"<div {names}><p>Some words here.</p></div><p>Text.</p>", tree) == "Text.", names
