@@ -1,8 +1,8 @@
 """Toxicity by noisy-channel deobfuscation.
 
 1. A character trigram model is counted over all documents (letters folded to a-z, all else a boundary).
-2. Spans that may hide a word are found: letters mixed with look-alike digits and signs, letters set apart by blanks or
-   signs, letters drawn out. Each span is a lattice: every sign stands for the letters it may mean, every run
+2. Spans that may hide a word are found: look-alike digits and signs with any number of letters or none (a number counts as a word
+   only if the model finds that likelier), letters set apart by blanks or signs, letters drawn out. Each span is a lattice: every sign stands for the letters it may mean, every run
    of one letter for one or two of them. A Viterbi search under the trigram model (the two best paths for each state) restores words.
 3. Plain and restored words are scored: a word or a beginning of a word weighs the lower confidence bound of its log odds in toxic
    documents, learnt from a bounded sample of labelled rows; a logistic function of a document's largest weights gives the score.
@@ -46,6 +46,8 @@ EDGES = ".,;:!?\"'()[]{}*#%&$|<>+-_"
 SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
 APART = re.compile(r"(?<!\S)[\"'(]*\w(?:[.\-_*~·,/]+\w){2,}[\"').,;:!?]*(?!\S)")
 DRAWN = re.compile(r"([^\W\d_])\1\1")
+#: What is a number as it stands: amounts, dates, dialling codes, addresses.
+NUMBER = re.compile(r"[($€£+<]*\d[\d.,:/\-]*[%$€£+]?\)?")
 A, Z = ord("a"), 27
 
 
@@ -109,8 +111,8 @@ def lattice(span: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def restored(span: str, model: np.ndarray) -> list[str]:
-    """The likeliest words behind a span, the best first."""
+def restored(span: str, model: list) -> list[tuple[float, str]]:
+    """The likeliest words behind a span with their log probabilities, the best first."""
     paths: dict[tuple[int, int], list[tuple[float, str]]] = {(0, 0): [(0.0, "")]}
     for arcs in lattice(span):
         after: dict[tuple[int, int], list[tuple[float, str]]] = {}
@@ -119,25 +121,27 @@ def restored(span: str, model: np.ndarray) -> list[str]:
                 x, y, gain = a, b, cost
                 for letter in letters:
                     c = int(FOLD[ord(letter)]) if ord(letter) < len(FOLD) else 0
-                    gain += float(model[x, y, c])
+                    gain += model[x][y][c]
                     x, y = y, c
                 after.setdefault((x, y), []).extend((p + gain, w + letters) for p, w in best)
         paths = {state: sorted(found, reverse=True)[:2] for state, found in after.items()}
-    ends = [(p + float(model[a, b, 0]), w) for (a, b), best in paths.items() for p, w in best]
-    return [w for _, w in sorted(ends, reverse=True)[:3]]
+    ends = [(p + model[a][b][0], w) for (a, b), best in paths.items() for p, w in best]
+    return sorted(ends, reverse=True)[:3]
 
 
 class Reader:
     """Words of a text, plain and restored."""
 
     def __init__(self, model: np.ndarray):
-        self.model, self.known = model, {}
+        self.model, self.known = model.tolist(), {}
 
     def decoded(self, span: str) -> list[str]:
         if span not in self.known:
             if len(self.known) > REMEMBERED:
                 self.known.clear()
-            self.known[span] = restored(span, self.model)
+            # Each step of a number is one of ten digits; what is less likely as a word isn't one.
+            least = -len(lattice(span)) * math.log(10) if NUMBER.fullmatch(span) else -math.inf
+            self.known[span] = [w for p, w in restored(span, self.model) if p > least]
         return self.known[span]
 
     def __call__(self, text: str | None) -> set[str]:
@@ -147,11 +151,17 @@ class Reader:
         found = set()
         for token in tokens:
             core = token.strip(".,;:?\"'") if token[-1:] not in "!$" or token[-2:-1] == token[-1:] else token.strip(".,;:?\"'")
-            core = re.sub(r"([^\w])\1+$|[!)]+$", "", core)
-            if 3 <= len(core) <= LONGEST and not core.isalpha() and any(c in LOOK_ALIKE for c in core) and sum(map(str.isalpha, core)) * 2 >= len(core) - 1:
-                found.update(self.decoded(core))
-            elif len(core) <= LONGEST and DRAWN.search(core):
-                found.update(self.decoded(core))
+            if core.isalpha():
+                if len(core) <= LONGEST and DRAWN.search(core):
+                    found.update(self.decoded(core))
+                continue
+            # A closing run of dollar signs may be letters or not.
+            whole, core = core, re.sub(r"([^\w])\1+$|[!)]+$", "", core)
+            for form in {core, whole} if whole.endswith("$$") else (core,):
+                if 3 <= len(form) <= LONGEST and not form.isalpha() and any(c in LOOK_ALIKE for c in form):
+                    found.update(self.decoded(form))
+                elif len(form) <= LONGEST and DRAWN.search(form):
+                    found.update(self.decoded(form))
         for pattern in (SPACED, APART):
             for m in pattern.finditer(low):
                 span = re.sub(r"[\s.\-_*~·,/\"':;?]+", "", m[0])

@@ -122,6 +122,23 @@ def test_deobfuscation():
     assert read("plain words, here.") == {"plain", "words", "here"}
 
 
+def reader_of(words):
+    counts = np.zeros(27**3)
+    for w in words:
+        c = np.concatenate([[0], toxicity.classes(w), [0]])
+        np.add.at(counts, (c[:-2] * 27 + c[1:-1]) * 27 + c[2:], 1)
+    three = counts.reshape(27, 27, 27) + 0.01
+    return toxicity.Reader(np.log(three / three.sum(axis=2, keepdims=True)))
+
+
+def test_words_of_few_letters_or_none_are_restored():
+    read = reader_of(["idiot", "pathetic", "asshole", "stupid", "table", "gizzle", "toilet", "ass", "seal", "lesson"] * 20)
+    for text, word in (("1d107", "idiot"), ("you p47h371c one", "pathetic"), ("4$$h0l3", "asshole"), ("4$$h0l3!!", "asshole"), ("4$$", "ass"), ("a$$", "ass"), ("a 5341", "seal"), ("1d!07.", "idiot"), ("13$$0n", "lesson"), ("702 6122l3", "gizzle")):
+        assert word in read(text), (text, read(text))
+    # Numbers stay numbers.
+    assert read("call (017) 555-7713 on 4.0. for $455") == {"call", "017", "555-7713", "on", "4.0", "for", "455"}
+
+
 def test_rules_and_lasso_find_a_rule():
     rng = np.random.default_rng(0)
     x = rng.random((2000, 3))
