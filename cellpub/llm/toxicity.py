@@ -3,7 +3,8 @@
 1. A character trigram model is counted over all documents (letters folded to a-z, all else a boundary).
 2. Spans that may hide a word are found: look-alike digits and signs with any number of letters or none (a number counts as a word
    only if the model finds that likelier), letters set apart by blanks or signs, letters drawn out. Each span is a lattice: every sign stands for the letters it may mean, every run
-   of one letter for one or two of them. A Viterbi search under the trigram model (the two best paths for each state) restores words.
+   of one letter for one or two of them; letters set apart may have a word boundary between any two. A Viterbi search under the trigram
+   model (the two best paths for each state) over the whole span, however long, restores words.
 3. Plain and restored words are scored: a word or a beginning of a word weighs the lower confidence bound of its log odds in toxic
    documents, learnt from a bounded sample of labelled rows; a logistic function of a document's largest weights gives the score.
    The logistic part is fitted on the half of the sample that the weights were not learnt from.
@@ -19,6 +20,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ from cellpub.llm.text_stats import words_of
 
 #: Parameters: labelled rows learnt from at most, documents that a feature must be in, its least weight, features kept, lengths of beginnings.
 SAMPLE, MIN_DOCS, MIN_WEIGHT, MAX_FEATURES, BEGINNINGS = 20_000, 6, 0.8, 50_000, range(3, 8)
-#: Features that a task counts before it hands them on; longest span that is decoded; spans remembered.
+#: Features that a task counts before it hands them on; longest span that is remembered; spans remembered.
 HELD, LONGEST, REMEMBERED = 300_000, 40, 100_000
 #: Taken off the log odds that a single word gives.
 CAUTION = 0.5
@@ -49,6 +51,7 @@ DRAWN = re.compile(r"([^\W\d_])\1\1")
 #: What is a number as it stands: amounts, dates, dialling codes, addresses.
 NUMBER = re.compile(r"[($€£+<]*\d[\d.,:/\-]*[%$€£+]?\)?")
 A, Z = ord("a"), 27
+LIKELIHOOD = itemgetter(0)
 
 
 def _fold() -> np.ndarray:
@@ -95,8 +98,8 @@ def trigram_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return np.log(p3).astype(np.float32)
 
 
-def lattice(span: str) -> list[list[tuple[str, float]]]:
-    """For each run of one character, what it may stand for: letters and the log probability of writing them so."""
+def lattice(span: str, apart: bool = False) -> list[list[tuple[str, float]]]:
+    """For each run of one character, what it may stand for: letters and the log probability of writing them so. ``apart``: words may end between letters."""
     out = []
     for run in re.finditer(r"(.)\1*", span):
         char, n = run[1], run.end() - run.start()
@@ -107,15 +110,20 @@ def lattice(span: str) -> list[list[tuple[str, float]]]:
         arcs = [(c, once - math.log(len(letters))) for c in letters]
         if n > 1:
             arcs += [(c + c, twice - math.log(len(letters))) for c in letters]
+            if apart:
+                arcs += [(f"{c} {c}", twice - math.log(len(letters))) for c in letters]
+        if apart and out:
+            arcs += [(f" {w}", cost) for w, cost in arcs]
         out.append(arcs)
     return out
 
 
-def restored(span: str, model: list) -> list[tuple[float, str]]:
-    """The likeliest words behind a span with their log probabilities, the best first."""
-    paths: dict[tuple[int, int], list[tuple[float, str]]] = {(0, 0): [(0.0, "")]}
-    for arcs in lattice(span):
-        after: dict[tuple[int, int], list[tuple[float, str]]] = {}
+def restored(span: str, model: list, apart: bool = False) -> list[tuple[float, str]]:
+    """The likeliest words (with ``apart``, sequences of words) behind a span with their log probabilities, the best first."""
+    # A path is its log probability and its letters, linked from the last to the first, so a step costs the same in spans of any length.
+    paths: dict[tuple[int, int], list[tuple[float, tuple | None]]] = {(0, 0): [(0.0, None)]}
+    for arcs in lattice(span, apart):
+        after: dict[tuple[int, int], list[tuple[float, tuple | None]]] = {}
         for (a, b), best in paths.items():
             for letters, cost in arcs:
                 x, y, gain = a, b, cost
@@ -123,10 +131,18 @@ def restored(span: str, model: list) -> list[tuple[float, str]]:
                     c = int(FOLD[ord(letter)]) if ord(letter) < len(FOLD) else 0
                     gain += model[x][y][c]
                     x, y = y, c
-                after.setdefault((x, y), []).extend((p + gain, w + letters) for p, w in best)
-        paths = {state: sorted(found, reverse=True)[:2] for state, found in after.items()}
+                after.setdefault((x, y), []).extend((p + gain, (w, letters)) for p, w in best)
+        paths = {state: sorted(found, key=LIKELIHOOD, reverse=True)[:2] for state, found in after.items()}
     ends = [(p + model[a][b][0], w) for (a, b), best in paths.items() for p, w in best]
-    return sorted(ends, reverse=True)[:3]
+    return [(p, spelt(w)) for p, w in sorted(ends, key=LIKELIHOOD, reverse=True)[:3]]
+
+
+def spelt(path: tuple | None) -> str:
+    out = []
+    while path:
+        path, letters = path
+        out.append(letters)
+    return "".join(reversed(out))
 
 
 class Reader:
@@ -135,14 +151,17 @@ class Reader:
     def __init__(self, model: np.ndarray):
         self.model, self.known = model.tolist(), {}
 
-    def decoded(self, span: str) -> list[str]:
-        if span not in self.known:
+    def decoded(self, span: str, apart: bool = False) -> list[str]:
+        if (span, apart) in self.known:
+            return self.known[span, apart]
+        # Each step of a number is one of ten digits; what is less likely as a word isn't one.
+        least = -len(lattice(span)) * math.log(10) if not apart and NUMBER.fullmatch(span) else -math.inf
+        words = [w for p, w in restored(span, self.model, apart) if p > least]
+        if len(span) <= LONGEST:
             if len(self.known) > REMEMBERED:
                 self.known.clear()
-            # Each step of a number is one of ten digits; what is less likely as a word isn't one.
-            least = -len(lattice(span)) * math.log(10) if NUMBER.fullmatch(span) else -math.inf
-            self.known[span] = [w for p, w in restored(span, self.model) if p > least]
-        return self.known[span]
+            self.known[span, apart] = words
+        return words
 
     def __call__(self, text: str | None) -> set[str]:
         low = (text or "").lower()
@@ -152,21 +171,22 @@ class Reader:
         for token in tokens:
             core = token.strip(".,;:?\"'") if token[-1:] not in "!$" or token[-2:-1] == token[-1:] else token.strip(".,;:?\"'")
             if core.isalpha():
-                if len(core) <= LONGEST and DRAWN.search(core):
+                if DRAWN.search(core):
                     found.update(self.decoded(core))
                 continue
             # A closing run of dollar signs may be letters or not.
             whole, core = core, re.sub(r"([^\w])\1+$|[!)]+$", "", core)
             for form in {core, whole} if whole.endswith("$$") else (core,):
-                if 3 <= len(form) <= LONGEST and not form.isalpha() and any(c in LOOK_ALIKE for c in form):
+                if len(form) >= 3 and not form.isalpha() and any(c in LOOK_ALIKE for c in form):
                     found.update(self.decoded(form))
-                elif len(form) <= LONGEST and DRAWN.search(form):
+                elif DRAWN.search(form):
                     found.update(self.decoded(form))
         for pattern in (SPACED, APART):
             for m in pattern.finditer(low):
                 span = re.sub(r"[\s.\-_*~·,/\"':;?]+", "", m[0])
-                if 3 <= len(span) <= LONGEST:
+                if len(span) >= 3:
                     found.update(self.decoded(span))
+                    found.update(w for words in self.decoded(span, apart=True) for w in words.split())
                     # A run of single letters may begin or end with true one-letter words.
                     if len(span) > 4:
                         found.update(w for s in (span[1:], span[:-1], span[1:-1]) for w in self.decoded(s)[:1])

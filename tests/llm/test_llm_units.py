@@ -139,6 +139,18 @@ def test_words_of_few_letters_or_none_are_restored():
     assert read("call (017) 555-7713 on 4.0. for $455") == {"call", "017", "555-7713", "on", "4.0", "for", "455"}
 
 
+def test_long_spans_are_restored_and_spaced_words_parted():
+    words = "you stupid clown this is what they all had said that red dog".split()
+    read = reader_of(words * 20)
+    for n in (1, 40):
+        text = " ".join("youstupidclown" + "thisiswhattheyallhadsaid" * n)
+        assert {"you", "stupid", "clown", "this", "what", "they", "said"} <= read(f"{text} end"), n
+    assert {"you", "stupid", "clown"} <= read("so y.o.u.5.t.u.p.1.d.c.l.o.w.n")
+    assert {"red", "dog"} <= read("th r e d d o g")
+    assert "stupid" in read("stu" + "u" * 60 + "pid") and "stupid" in read("5tu" + "u" * 60 + "pid")
+    assert max(map(len, read(" ".join("stupid" * 5000)))) == 30_000
+
+
 def test_rules_and_lasso_find_a_rule():
     rng = np.random.default_rng(0)
     x = rng.random((2000, 3))
