@@ -233,6 +233,8 @@ def read_digests(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
         for batch in batches:
             found, counts = [], []
             for root, parts in zip(batch.column("root").to_pylist(), batch.column("parts").to_pylist(), strict=True):
+                if any(p["crc"] is None for p in parts):
+                    raise ValueError("a chunk of a document is missing")
                 if merkle([p["digest"] for p in parts]) != root:
                     raise ValueError("a document does not have the root of its recipe")
                 crc, n = 0, 0
@@ -243,7 +245,7 @@ def read_digests(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
 
     chunks = chunk_files(spark, path).mapInArrow(checked, "digest binary, n_ids long, crc long")
     # A row of some 60 bytes for each reference; a frequent chunk is on the side that a skewed join splits.
-    parts = _chunk_refs(spark, path).join(chunks, "digest").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "digest", "n_ids", "crc"))).alias("parts"))
+    parts = _chunk_refs(spark, path).join(chunks, "digest", "left").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "digest", "n_ids", "crc"))).alias("parts"))
     recipes = spark.read.parquet(f"{path}/recipes").select("row", "doc_id", "start", "root")
     return recipes.join(parts, "row").select("doc_id", "start", "root", "parts").mapInArrow(combined, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
@@ -251,11 +253,13 @@ def read_digests(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
 def read_ids(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
     """doc_id, start, ids (array<int>) of every document, rebuilt from its chunks."""
     chunks = chunk_files(spark, path)
-    parts = _chunk_refs(spark, path).join(chunks, "digest").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("parts"))
+    parts = _chunk_refs(spark, path).join(chunks, "digest", "left").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("parts"))
     recipes = spark.read.parquet(f"{path}/recipes").select("row", "doc_id", "start")
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if any(p["ids"] is None for parts in batch.column("parts").to_pylist() for p in parts):
+                raise ValueError("a chunk of a document is missing")
             ids = [np.frombuffer(b"".join(p["ids"] for p in parts), dtype=f"<u{width}").astype(np.int32) for parts in batch.column("parts").to_pylist()]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "start": batch.column("start"), "ids": pa.array(ids, pa.list_(pa.int32()))})
 

@@ -392,3 +392,16 @@ def test_sql_of_queries(spark):
         columns = [c[0] for c in cursor.description]
         assert sorted(df.columns) == sorted(columns)
         assert Counter(tuple(r[c] for c in columns) for r in df.collect()) == Counter(map(tuple, cursor.fetchall())), name
+
+
+def test_missing_chunks_are_noticed(spark, tmp_path):
+    P = pytest.importorskip("public_tokenizers")
+    store, cut = str(tmp_path / "store"), str(tmp_path / "cut")
+    token_store.write_store(spark.createDataFrame([(1, "one text"), (2, "another one")], "doc_id long, text string"), store, P.path("byte_bpe_50k.json"), 2)
+    chunks = token_store.chunk_files(spark, store).orderBy("digest")
+    assert chunks.count() == 2
+    chunks.limit(1).withColumn("kind", F.lit("chunk")).write.partitionBy("kind").parquet(f"{cut}/streams")
+    spark.read.parquet(f"{store}/recipes").write.parquet(f"{cut}/recipes")
+    for read in (token_store.read_digests, token_store.read_ids):
+        with pytest.raises(Exception, match="missing"):
+            read(spark, cut).collect()
