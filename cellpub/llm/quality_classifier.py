@@ -57,9 +57,13 @@ def statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def sample(stats: DataFrame, labels: DataFrame, label: str, usable: Column, bound: int = SAMPLE) -> DataFrame:
-    """Statistics and ``label`` of at most ``bound`` labelled rows, chosen by a hash of their doc_id. The chosen labels are broadcast: the parameter bounds them."""
+    """Statistics and ``label`` of at most ``bound`` labelled documents, chosen by a hash of their doc_id. The chosen labels are broadcast: the parameter bounds them.
+
+    Of rows that repeat a doc_id, the one of the least statistics stays.
+    """
     chosen = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & usable).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
-    return stats.join(F.broadcast(chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)), "doc_id")
+    known = stats.join(F.broadcast(chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)), "doc_id")
+    return known.groupBy("doc_id").agg(F.min(F.struct(*(c for c in known.columns if c != "doc_id"))).alias("row")).select("doc_id", "row.*")
 
 
 def grown(x: np.ndarray, y: np.ndarray, bounds: list[np.ndarray], rows: np.ndarray, path: Rule, rules: list[Rule], out: np.ndarray) -> None:

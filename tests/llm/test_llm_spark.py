@@ -405,3 +405,11 @@ def test_missing_chunks_are_noticed(spark, tmp_path):
     for read in (token_store.read_digests, token_store.read_ids):
         with pytest.raises(Exception, match="missing"):
             read(spark, cut).collect()
+
+
+def test_quality_sample_has_a_row_a_document(spark):
+    stats = spark.createDataFrame([(1, 0.5)] * 50 + [(2, 0.3), (2, 0.2), (3, 0.1)], "doc_id long, a double")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    found = quality_classifier.sample(stats, labels, "quality", F.lit(True))
+    assert found.columns == ["doc_id", "a", "label"]
+    assert sorted(map(tuple, found.collect())) == [(1, 0.5, 1), (2, 0.2, 0)]
