@@ -3,47 +3,69 @@
 Writing: texts are encoded, an end id is added, and a rolling hash over the ids cuts each stream into chunks, so equal
 passages of different documents have equal chunks between their cuts. A chunk's address is the SHA-256 of its bytes.
 
-    <path>/streams/kind=chunk  digest, n, ids        each different chunk once, in the order of its digest in each file
-    <path>/recipes             row, doc_id, start, n_tokens, digests, root    in ascending doc_id order
+    <path>/streams    rows of kind ``chunk``: digest, n, ids     each different chunk once, in the order of its digest in each file
+    <path>/recipes    row, doc_id, start, n_tokens, digests, sizes, root    in ascending doc_id order
+    <path>/manifest   level, run, n_docs, root    Merkle roots over the documents, level by level, up to one
+    <path>/store      width, end_id, tokenizer (SHA-256), n_docs, n_ids    one row
 
-``ids`` are little-endian unsigned integers, of 2 bytes where the vocabulary allows it, else 4. ``start`` is the number of ids of all
-documents before. ``root`` is the root of the Merkle tree over the document's digests; ``manifest`` makes one over documents' roots.
+``ids`` are little-endian unsigned integers of ``width`` bytes: 2 where the vocabulary allows it, else 4. ``start`` is the number of ids of all
+documents before. ``root`` is the root of the Merkle tree over the document's digests. Rows of kind ``recipe`` in the streams are recipes before they were sorted.
 
-Reading: ``read_digests`` reads chunk files and recipes back, checks every chunk against its address and every document
-against its root, and gives length and CRC-32 of every document; CRCs of chunks combine, so bytes are not
+Reading: recipes are held against the manifest, every document against its root and every chunk against its address; anything missing, added or changed
+is an error. ``read_digests`` gives length and CRC-32 of every document; CRCs of chunks combine, so bytes are not
 moved to their documents. ``read_ids`` rebuilds the streams themselves.
 
 Chunks repeated within a task are sent on once only, so a chunk that very many documents have is a row for each task where
 chunks meet by digest. Recipes never meet by digest.
 
 Defined cases: null text is empty, and then the stream is the end id alone; repeated rows have a recipe each, in any order among
-themselves; null doc_ids come first; other columns are not read; an empty table gives an empty store.
+themselves; null doc_ids come first; other columns are not read; an empty table gives an empty store; a very long text is a slice of its own,
+cut into chunks of bounded size, and is whole only as one value of one row.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
+import sys
+import types
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellpub.llm.common import partitions, running_sum, sorted_table
+from cellpub.llm.common import partitions, running_sum, sorted_table, stored
 
-#: Parameters: ids of the rolling window, least, mean and most ids in a chunk; pieces that a worker remembers, pieces and documents taken together.
+#: Parameters: ids of the rolling window, least, mean and most ids in a chunk.
 WINDOW, LEAST, MEAN, MOST = 16, 64, 256, 2048
-REMEMBERED, TOGETHER, SLICE = 600_000, 200, 200
+#: Parameters: pieces, and digests, that a worker remembers; characters encoded together; ids cut together; documents of a group of the manifest as a power of two.
+REMEMBERED, TOGETHER, CUT_TOGETHER, GROUP_BITS = 600_000, 4_000_000, 500_000, 12
 #: Fixed value: an odd multiplier and its inverse modulo 2^64.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
-#: White space other than blanks alone between other characters, and line feeds between such.
-ODD_SPACE = re.compile(r"[^\S \n]| [ \n]|\n |^ | $")
+#: Unicode white space but blank and line feed; Latin letters; the byte-level split as it reads on Latin letters, ASCII digits and signs, and line feeds.
+ODD_SPACES = "\t\x0b-\x0d\x1c-\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+SPLIT = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{LATIN}]+| ?[0-9]+| ?[^\s{LATIN}0-9]+|\n+(?!\S)|\n+")
+#: What the split above does not cover, in a piece; and, in a text, blanks that do not stand alone between other characters.
+BEYOND, UNEVEN = rf"[^\n!-~{LATIN}]", rf"[{ODD_SPACES}]| [ \n]|\n |^ | $"
+LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
+
+
+def byte_letters() -> list[str]:
+    """The character that the byte-level alphabet writes for each byte: printable Latin-1 for itself, the others in order from U+0100."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return [chr(b if b in plain else next(others)) for b in range(0x100)]
 
 
 class Encoder:
@@ -51,8 +73,9 @@ class Encoder:
 
     A text is split at blanks that stand alone between other characters. The byte-level pre-tokenizer always ends a
     token before such a blank and never looks behind, so pieces encoded alone, each with its blank, give the same ids as the whole text.
-    New pieces are encoded many together: each begins with the only token that begins with a blank. Texts with other white space than single blanks and
-    line feeds, or that may hold a special token, are encoded whole.
+    Pieces of a slice of texts are told apart by Arrow; only new ones become Python strings. New ones of Latin letters, digits and signs are split
+    as the pre-tokenizer does and go to the tokenizer's model part by part; others go to the tokenizer whole. Texts that
+    may hold an added token are encoded whole, as are all texts if the tokenizer is not a plain byte-level one.
     """
 
     def __init__(self, path: str):
@@ -60,37 +83,112 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab()
-        self.kind = "<u2" if max(vocabulary.values()) < 1 << 16 else "<u4"
-        self.begins = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.begins[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype=self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, new: list[str]) -> None:
-        for at in range(0, len(new), TOGETHER):
-            some = new[at : at + TOGETHER]
-            ids = self._encode([" " + " ".join(some)])[0]
-            starts = np.flatnonzero(self.begins[ids]).tolist()
-            if len(starts) != len(some):
-                raise ValueError("this vocabulary does not begin a token with each blank")
-            data, width = ids.tobytes(), ids.itemsize
-            self.known.update(zip(some, (data[a * width : b * width] for a, b in zip(starts, [*starts[1:], len(ids)], strict=True)), strict=True))
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        # The first piece of a text has no blank before it; texts that are not split have no other.
-        firsts, rests = [], []
-        for t in texts:
-            first, *rest = [t] if "<|" in t or ODD_SPACE.search(t) else t.split(" ")
-            firsts.append(first), rests.append(rest)
-        if new := set().union(*rests).difference(self.known):
-            self._learn(list(new))
-        known = self.known.__getitem__
-        return [np.frombuffer(b"".join([f.tobytes(), *map(known, rest)]), dtype=self.kind) for f, rest in zip(self._encode(firsts), rests, strict=True)]
+        self.model = self.tokenizer.model
+        self.kind = "<u2" if max(self.tokenizer.get_vocab().values()) < 1 << 16 else "<u4"
+        self.code = "H" if self.kind == "<u2" else "I"
+        parts = json.loads(self.tokenizer.to_str())
+        pre = parts["pre_tokenizer"] or {}
+        self.by_piece = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not parts["normalizer"] and parts["model"]["type"] == "BPE"
+        self.added = "|".join(re.escape(t["content"]) for t in parts["added_tokens"])
+        self.letters = byte_letters()
+        self.forget()
+
+    @classmethod
+    def of_worker(cls, path: str) -> Encoder:
+        """The encoder of this Python worker, kept from task to task. Functions are shipped by value, so no module of ours lives that long."""
+        kept = sys.modules.setdefault("cellpub_worker", types.ModuleType("cellpub_worker"))
+        if getattr(kept, "path", None) != path:
+            kept.path, kept.encoder = path, cls(path)
+        return kept.encoder
+
+    def forget(self) -> None:
+        self.parts: dict[str, bytes] = {}
+        self.words, self.uses = pa.array([], pa.string()), np.zeros(0, dtype=np.int32)
+        self.ids, self.ends = np.empty(0, dtype=self.kind), np.zeros(1, dtype=np.int64)
+
+    def _make_room(self) -> None:
+        """Of too many pieces, those stay that were met in several slices, half of the bound at most."""
+        if len(self.parts) > REMEMBERED:
+            self.parts = {}
+        if len(self.words) > REMEMBERED:
+            often = np.argsort(-self.uses, kind="stable")[: REMEMBERED // 2]
+            keep = np.sort(often[self.uses[often] > 1])
+            sizes = np.diff(self.ends)
+            self.ids = self.ids[np.repeat(self._kept(keep), sizes)]
+            self.words, self.uses, self.ends = self.words.take(pa.array(keep)), self.uses[keep] // 2, np.concatenate([[0], np.cumsum(sizes[keep])])
+
+    def _kept(self, keep: np.ndarray) -> np.ndarray:
+        flags = np.zeros(len(self.words), dtype=bool)
+        flags[keep] = True
+        return flags
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encoded(self, pieces: list[str], beyond: list[bool]) -> list[bytes]:
+        split = [[p] if b else SPLIT.findall(p) for p, b in zip(pieces, beyond, strict=True)]
+        new = set(chain.from_iterable(split)).difference(self.parts)
+        if odd := [p for p, b in zip(pieces, beyond, strict=True) if b and p in new]:
+            self.parts.update(zip(odd, self.whole(odd), strict=True))
+            new.difference_update(odd)
+        model, letter = self.model.tokenize, self.letters.__getitem__
+        blank = self.letters[0x20]
+        for part in new:
+            spelt = part.replace(" ", blank) if part.isascii() and "\n" not in part else "".join(map(letter, part.encode()))
+            self.parts[part] = array(self.code, [t.id for t in model(spelt)]).tobytes()
+        known = self.parts.__getitem__
+        return [known(s[0]) if len(s) == 1 else b"".join(map(known, s)) for s in split]
+
+    def _new(self, pieces: pa.Array, before: str) -> list[bytes]:
+        beyond = pc.match_substring_regex(pieces, BEYOND).to_numpy(zero_copy_only=False).tolist()
+        return self.encoded([before + p for p in pieces.to_numpy(zero_copy_only=False).tolist()], beyond)
+
+    def _streams(self, lists: pa.ListArray) -> list[np.ndarray]:
+        """Ids of texts given as lists of their pieces (none is empty)."""
+        self._make_room()
+        flat, begins = lists.flatten(), lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
+        coded = flat.dictionary_encode()
+        at = pc.fill_null(pc.index_in(coded.dictionary, value_set=self.words), -1).to_numpy().astype(np.int64)
+        unknown = np.flatnonzero(at < 0)
+        at[unknown] = len(self.words) + np.arange(len(unknown))
+        words = coded.dictionary.take(pa.array(unknown))
+        found = self._new(words, " ")
+        self.words, self.uses = pa.concat_arrays([self.words, words]), np.concatenate([self.uses, np.zeros(len(words), dtype=np.int32)])
+        self.uses[at] += 1
+        # The first piece of a text has no blank before it; it isn't remembered.
+        firsts = self._new(flat.take(pa.array(begins)), "")
+        width = np.dtype(self.kind).itemsize
+        ends = self.ends[-1] + np.cumsum(np.fromiter(map(len, chain(found, firsts)), dtype=np.int64, count=len(found) + len(firsts))) // width
+        ids, ends = np.concatenate([self.ids, np.frombuffer(b"".join(chain(found, firsts)), dtype=self.kind)]), np.concatenate([self.ends, ends])
+        n_words = len(self.words)
+        self.ends = ends[: n_words + 1]
+        self.ids = ids[: self.ends[-1]]
+        place = at[coded.indices.to_numpy()]
+        place[begins] = n_words + np.arange(len(firsts))
+        sizes = ends[place + 1] - ends[place]
+        after = np.cumsum(sizes)
+        take = np.repeat(ends[place] - after + sizes, sizes)
+        take += np.arange(len(take))
+        return np.split(ids[take], after[begins[1:] - 1])
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text (no nulls)."""
+        out: list[np.ndarray | None] = [None] * len(texts)
+        mark = lambda pattern: pc.match_substring_regex(texts, pattern).to_numpy(zero_copy_only=False)
+        whole = mark(self.added) if self.added else np.zeros(len(texts), dtype=bool)
+        whole = whole | (pc.utf8_length(texts).to_numpy() == 0) | (not self.by_piece)
+        uneven = mark(UNEVEN) & ~whole
+        even = ~whole & ~uneven
+        take = lambda rows: texts.take(pa.array(np.flatnonzero(rows)))
+        for rows, streams in (
+            (whole, lambda: [np.frombuffer(x, dtype=self.kind) for x in self.whole(take(whole).to_pylist())]),
+            (uneven, lambda: self._streams(pa.array([LONE_BLANK.split(t) for t in take(uneven).to_pylist()], pa.list_(pa.string())))),
+            (even, lambda: self._streams(pc.split_pattern(take(even), " "))),
+        ):
+            if rows.any():
+                for i, ids in zip(np.flatnonzero(rows).tolist(), streams(), strict=True):
+                    out[i] = ids
+        return out
 
 
 def cuts(streams: list[np.ndarray]) -> list[list[int]]:
@@ -137,139 +235,208 @@ def merkle(leaves: list[bytes]) -> bytes:
     return level[0]
 
 
+def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with some ``most`` bytes of a column; a longer value is a part of its own or ends one."""
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+    part = (np.cumsum(size, dtype=np.int64) - size) // most
+    bounds = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for begin, end in zip(bounds, bounds[1:], strict=False):
+        if end > begin:
+            yield batch.slice(begin, end - begin)
+
+
+def all_cuts(streams: list[np.ndarray]) -> Iterator[list[int]]:
+    """``cuts`` of some streams after others, so that the arrays of one call stay small."""
+    some, held = [], 0
+    for ids in streams:
+        if some and held + len(ids) > CUT_TOGETHER:
+            yield from cuts(some)
+            some, held = [], 0
+        some.append(ids)
+        held += len(ids)
+    yield from cuts(some)
+
+
 def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    schema = "kind string, doc_id long, n long, digest binary, ids binary, digests array<binary>, root binary"
+    spark = docs.sparkSession
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    schema = "kind string, doc_id long, n long, digest binary, ids binary, digests array<binary>, sizes array<int>, root binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, seen = Encoder(tokenizer), set()
+        encode, seen = Encoder.of_worker(tokenizer), set()
         width = np.dtype(encode.kind).itemsize
         end_mark = np.array([end_id], dtype=encode.kind)
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
-                streams = [np.append(ids, end_mark) for ids in encode([t or "" for t in part.column("text").to_pylist()])]
-                chunks, recipes = {}, []
-                for doc, ids, ends in zip(part.column("doc_id").to_pylist(), streams, cuts(streams), strict=True):
-                    data, digests, begin = ids.tobytes(), [], 0
-                    for end in ends:
-                        chunk = data[begin * width : end * width]
-                        digests.append(hashlib.sha256(chunk).digest())
-                        if digests[-1] not in seen:
-                            chunks[digests[-1]] = chunk
-                        begin = end
-                    recipes.append((doc, len(ids), digests, merkle(digests)))
-                if len(seen) < REMEMBERED:
-                    seen.update(chunks)
-                c, r = len(chunks), len(recipes)
-                doc, n, digests, root = zip(*recipes, strict=True)
-                yield pa.RecordBatch.from_pydict({
-                    "kind": ["chunk"] * c + ["recipe"] * r,
-                    "doc_id": pa.array([None] * c + list(doc), pa.int64()),
-                    "n": pa.array([len(x) // width for x in chunks.values()] + list(n), pa.int64()),
-                    "digest": pa.array(list(chunks) + [None] * r, pa.binary()),
-                    "ids": pa.array(list(chunks.values()) + [None] * r, pa.binary()),
-                    "digests": pa.array([None] * c + list(digests), pa.list_(pa.binary())),
-                    "root": pa.array([None] * c + list(root), pa.binary()),
-                })
+        for part in (x for batch in batches for x in slices(batch, "text", TOGETHER)):
+            streams = [np.append(ids, end_mark) for ids in encode(part.column("text"))]
+            chunks, recipes = {}, []
+            for doc, ids, ends in zip(part.column("doc_id").to_pylist(), streams, all_cuts(streams), strict=True):
+                data, digests, sizes, begin = ids.tobytes(), [], [], 0
+                for end in ends:
+                    chunk = data[begin * width : end * width]
+                    digests.append(hashlib.sha256(chunk).digest()), sizes.append(end - begin)
+                    if digests[-1] not in seen:
+                        chunks[digests[-1]] = chunk
+                    begin = end
+                recipes.append((doc, len(ids), digests, sizes, merkle(digests)))
+            if len(seen) < REMEMBERED:
+                seen.update(chunks)
+            c, r = len(chunks), len(recipes)
+            doc, n, digests, sizes, root = zip(*recipes, strict=True)
+            yield pa.RecordBatch.from_pydict({
+                "kind": ["chunk"] * c + ["recipe"] * r,
+                "doc_id": pa.array([None] * c + list(doc), pa.int64()),
+                "n": pa.array([len(x) // width for x in chunks.values()] + list(n), pa.int64()),
+                "digest": pa.array(list(chunks) + [None] * r, pa.binary()),
+                "ids": pa.array(list(chunks.values()) + [None] * r, pa.binary()),
+                "digests": pa.array([None] * c + list(digests), pa.list_(pa.binary())),
+                "sizes": pa.array([None] * c + list(sizes), pa.list_(pa.int32())),
+                "root": pa.array([None] * c + list(root), pa.binary()),
+            })
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         for batch in batches:
-            digests = batch.column("digest").to_pylist()
-            yield batch.filter(pa.array([d is None or d != p for d, p in zip(digests, [last, *digests[:-1]], strict=True)], pa.bool_()))
-            last = digests[-1] if digests else last
+            digests = batch.column("digest")
+            first = np.ones(batch.num_rows, dtype=bool)
+            if batch.num_rows:
+                first[1:] = pc.fill_null(pc.not_equal(digests.slice(1), digests.slice(0, batch.num_rows - 1)), True).to_numpy(zero_copy_only=False)
+                first[0] = last is None or digests[0].as_py() != last
+                last = digests[-1].as_py()
+            yield batch.filter(pa.array(first))
 
     # Texts are encoded once: chunks meet by digest, recipes stay spread, both in one shuffle.
     key = F.when(F.col("kind") == "chunk", F.xxhash64("digest")).otherwise(F.xxhash64("doc_id", "root"))
-    met = texts.mapInArrow(run, schema).repartition(partitions(docs.sparkSession), key).sortWithinPartitions("kind", "digest")
-    met.mapInArrow(once, schema).write.partitionBy("kind").parquet(f"{path}/streams")
-    # The chunk files are final as they are; recipes get their order and their starts.
-    unsorted = docs.sparkSession.read.schema(schema).parquet(f"{path}/streams").where("kind = 'recipe'")
-    recipes = sorted_table(unsorted.select("doc_id", "n", "digests", "root"), ["doc_id"], "recipes")
-    recipes = running_sum(recipes, "n", "start").select(F.shiftleft(F.col("part").cast("long"), 33).bitwiseOR(F.col("at")).alias("row"), "doc_id", F.col("start").cast("long").alias("start"), F.col("n").alias("n_tokens"), "digests", "root")
-    recipes.repartitionByRange(partitions(docs.sparkSession), "row").sortWithinPartitions("row").write.parquet(f"{path}/recipes")
+    met = texts.mapInArrow(run, schema).repartition(partitions(spark), key).sortWithinPartitions("kind", "digest")
+    # Ids and digests hardly repeat, so a dictionary of them is wasted work.
+    met.mapInArrow(once, schema).write.option("parquet.enable.dictionary", "false").parquet(f"{path}/streams")
+    # The chunks are final as they are; recipes get their order and their starts.
+    unsorted = spark.read.schema(schema).parquet(f"{path}/streams").where("kind = 'recipe'")
+    recipes = sorted_table(unsorted.select("doc_id", "n", "digests", "sizes", "root"), ["doc_id"], "recipes")
+    row = F.shiftleft(F.col("part").cast("long"), 33).bitwiseOR(F.col("at"))
+    recipes = running_sum(recipes, "n", "start").select(row.alias("row"), "doc_id", F.col("start").cast("long").alias("start"), F.col("n").alias("n_tokens"), "digests", "sizes", "root")
+    recipes.repartitionByRange(partitions(spark), "row").sortWithinPartitions("row").write.parquet(f"{path}/recipes")
+
+    written = spark.read.parquet(f"{path}/recipes")
+    manifest(written).write.parquet(f"{path}/manifest")
+    with open(tokenizer, "rb") as f:
+        of = hashlib.sha256(f.read()).hexdigest()
+    width = np.dtype(Encoder.of_worker(tokenizer).kind).itemsize
+    written.agg(F.count("*").alias("n_docs"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n_ids")).select(F.lit(width).alias("width"), F.lit(end_id).alias("end_id"), F.lit(of).alias("tokenizer"), "n_docs", "n_ids").write.parquet(f"{path}/store")
 
 
 def chunk_files(spark: SparkSession, path: str) -> DataFrame:
     """digest, ids of every chunk in the store."""
-    rows = spark.read.schema("digest binary, ids binary, kind string").parquet(f"{path}/streams")
+    rows = spark.read.schema("kind string, digest binary, ids binary").parquet(f"{path}/streams")
     return rows.where("kind = 'chunk'").select("digest", "ids")
 
 
-def manifest(spark: SparkSession, path: str, group: int = 4096) -> DataFrame:
-    """first_row, n_docs, root: Merkle roots over the roots of runs of documents, for comparing two stores."""
-    recipes = spark.read.parquet(f"{path}/recipes").select("row", "root")
-    numbered = running_sum(sorted_table(recipes.withColumn("one", F.lit(1)), ["row"], "roots"), "one", "place").withColumn("run", F.floor(F.col("place") / group))
-
-    def root(frame):
-        import pandas as pd
-
-        frame = frame.sort_values("row")
-        return pd.DataFrame({"first_row": [frame["row"].iloc[0]], "n_docs": [len(frame)], "root": [merkle(list(frame["root"]))]})
+def manifest(recipes: DataFrame) -> DataFrame:
+    """level, run, n_docs, root: Merkle roots over runs of up to 2^GROUP_BITS documents, then over runs of such roots, up to one root of the whole store."""
 
-    return numbered.groupBy("run").applyInPandas(root, "first_row long, n_docs long, root binary")
+    def rooted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            roots = [merkle([x["root"] for x in some]) for some in batch.column("some").to_pylist()]
+            yield pa.RecordBatch.from_pydict({"run": batch.column("run"), "n_docs": batch.column("n_docs"), "root": pa.array(roots, pa.binary())})
+
+    said = F.concat_ws(",", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "start", "n_tokens")
+    level = recipes.select(F.col("row").alias("run"), F.lit(1).cast("long").alias("n_docs"), F.unhex(F.sha2(F.concat("root", F.encode(said, "UTF-8")), 256)).alias("root"))
+    out, k = None, 0
+    while True:
+        some = level.groupBy(F.shiftright("run", GROUP_BITS).alias("run")).agg(F.sum("n_docs").alias("n_docs"), F.array_sort(F.collect_list(F.struct("run", "root"))).alias("some"))
+        level = stored(some.mapInArrow(rooted, "run long, n_docs long, root binary"), "manifest")
+        named = level.select(F.lit(k).alias("level"), "*")
+        out, k = named if out is None else out.unionByName(named), k + 1
+        if level.limit(2).count() < 2:
+            return out
+
+
+def opened(spark: SparkSession, path: str) -> tuple[int, DataFrame]:
+    """Bytes of an id, and the recipes, after holding them against the manifest: any that is lost, added or changed raises an error."""
+    store = spark.read.parquet(f"{path}/store").first()
+    recipes = spark.read.parquet(f"{path}/recipes")
+    written, found = spark.read.parquet(f"{path}/manifest"), manifest(recipes)
+    both = written.withColumn("side", F.lit(1)).unionByName(found.withColumn("side", F.lit(-1)))
+    if not both.groupBy("level", "run", "n_docs", "root").agg(F.sum("side").alias("side")).where("side <> 0").isEmpty():
+        raise ValueError("the recipes are not those of the manifest")
+    return store["width"], recipes
+
+
+def references(recipes: DataFrame) -> DataFrame:
+    """row, doc_id, start, n_tokens, n_chunks, pos, digest, after (ids after the chunk): a row for each chunk of each document; a document that does not have its root raises an error."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            digests, sizes = batch.column("digests"), batch.column("sizes").flatten().to_numpy()
+            flat, counts = digests.flatten(), pc.list_value_length(digests).to_numpy().astype(np.int64)
+            each, ends = flat.to_numpy(zero_copy_only=False).tolist(), np.cumsum(counts)
+            for end, n, root in zip(ends.tolist(), counts.tolist(), batch.column("root").to_pylist(), strict=True):
+                if merkle(each[end - n : end]) != root:
+                    raise ValueError("a document does not have the root of its recipe")
+            sums = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+            of = np.repeat(np.arange(len(counts)), counts)
+            own = {c: batch.column(c).take(pa.array(of)) for c in ("row", "doc_id", "start", "n_tokens")}
+            yield pa.RecordBatch.from_pydict(own | {"n_chunks": pa.array(counts[of]), "pos": pa.array(np.arange(len(of)) - (ends - counts)[of]), "digest": flat, "after": pa.array(sums[ends][of] - sums[1:])})
 
-def _chunk_refs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/recipes").select("row", F.posexplode("digests").alias("pos", "digest"))
+    return recipes.select("row", "doc_id", "start", "n_tokens", "digests", "sizes", "root").mapInArrow(run, "row long, doc_id long, start long, n_tokens long, n_chunks long, pos long, digest binary, after long")
 
 
-def read_digests(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 from the files; a chunk or document that does not verify raises an error."""
+def read_digests(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 from the files; a chunk, document or recipe that is missing or does not verify raises an error."""
+    width, recipes = opened(spark, path)
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             crc, size = [], []
-            for digest, ids in zip(batch.column("digest").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+            for digest, ids in zip(*(batch.column(c).to_numpy(zero_copy_only=False).tolist() for c in ("digest", "ids")), strict=True):
                 if hashlib.sha256(ids).digest() != digest:
                     raise ValueError(f"chunk {digest.hex()} is damaged")
-                wide = np.frombuffer(ids, dtype=f"<u{width}").astype("<u4")
-                crc.append(zlib.crc32(wide.tobytes()))
-                size.append(len(wide))
+                crc.append(zlib.crc32(ids if width == 4 else np.frombuffer(ids, dtype=f"<u{width}").astype("<u4")))
+                size.append(len(ids) // width)
             yield pa.RecordBatch.from_pydict({"digest": batch.column("digest"), "n_ids": pa.array(size, pa.int64()), "crc": pa.array(crc, pa.int64())})
 
-    def combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = zero_tables()
         for batch in batches:
-            found, counts = [], []
-            for root, parts in zip(batch.column("root").to_pylist(), batch.column("parts").to_pylist(), strict=True):
-                if any(p["crc"] is None for p in parts):
-                    raise ValueError("a chunk of a document is missing")
-                if merkle([p["digest"] for p in parts]) != root:
-                    raise ValueError("a document does not have the root of its recipe")
-                crc, n = 0, 0
-                for p in parts:
-                    crc, n = crc32_combine(crc, p["crc"], 4 * p["n_ids"]), n + p["n_ids"]
-                found.append(crc), counts.append(n)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "start": batch.column("start"), "n_tokens": pa.array(counts, pa.int64()), "ids_crc32": pa.array(found, pa.int64())})
+            if batch.column("crc").null_count:
+                raise ValueError("a chunk of a document is missing")
+            crc = shifted(batch.column("crc").to_numpy().astype(np.uint32), 4 * batch.column("after").to_numpy(), tables)
+            yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in ("row", "doc_id", "start", "n_tokens", "n_chunks", "n_ids")} | {"crc": pa.array(crc.astype(np.int64))})
 
     chunks = chunk_files(spark, path).mapInArrow(checked, "digest binary, n_ids long, crc long")
-    # A row of some 60 bytes for each reference; a frequent chunk is on the side that a skewed join splits.
-    parts = _chunk_refs(spark, path).join(chunks, "digest", "left").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "digest", "n_ids", "crc"))).alias("parts"))
-    recipes = spark.read.parquet(f"{path}/recipes").select("row", "doc_id", "start", "root")
-    return recipes.join(parts, "row").select("doc_id", "start", "root", "parts").mapInArrow(combined, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    # A row of some 90 bytes for each reference; a frequent chunk is on the side that a skewed join splits.
+    parts = references(recipes).drop("pos").join(chunks, "digest", "left").mapInArrow(moved, "row long, doc_id long, start long, n_tokens long, n_chunks long, n_ids long, crc long")
+    whole = parts.groupBy("row", "doc_id", "start", "n_tokens", "n_chunks").agg(F.count("*").alias("found"), F.sum("n_ids").alias("n_ids"), F.bit_xor("crc").alias("ids_crc32"))
+    fits = (F.col("found") == F.col("n_chunks")) & (F.col("n_ids") == F.col("n_tokens"))
+    n_tokens = F.when(fits, F.col("n_ids")).otherwise(F.raise_error(F.lit("a document does not have the chunks of its recipe")).cast("long"))
+    return whole.select("doc_id", "start", n_tokens.alias("n_tokens"), "ids_crc32")
 
 
-def read_ids(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
+def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, ids (array<int>) of every document, rebuilt from its chunks."""
-    chunks = chunk_files(spark, path)
-    parts = _chunk_refs(spark, path).join(chunks, "digest", "left").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("parts"))
-    recipes = spark.read.parquet(f"{path}/recipes").select("row", "doc_id", "start")
+    width, recipes = opened(spark, path)
+    parts = references(recipes).select("row", "doc_id", "start", "n_tokens", "pos", "digest").join(chunk_files(spark, path), "digest", "left")
+    parts = parts.groupBy("row", "doc_id", "start", "n_tokens").agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("parts"))
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if any(p["ids"] is None for parts in batch.column("parts").to_pylist() for p in parts):
-                raise ValueError("a chunk of a document is missing")
-            ids = [np.frombuffer(b"".join(p["ids"] for p in parts), dtype=f"<u{width}").astype(np.int32) for parts in batch.column("parts").to_pylist()]
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "start": batch.column("start"), "ids": pa.array(ids, pa.list_(pa.int32()))})
+            whole = []
+            for n, parts in zip(batch.column("n_tokens").to_pylist(), batch.column("parts").to_pylist(), strict=True):
+                if any(p["ids"] is None for p in parts):
+                    raise ValueError("a chunk of a document is missing")
+                whole.append(np.frombuffer(b"".join(p["ids"] for p in parts), dtype=f"<u{width}").astype(np.int32))
+                if len(whole[-1]) != n:
+                    raise ValueError("a document does not have the chunks of its recipe")
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "start": batch.column("start"), "ids": pa.array(whole, pa.list_(pa.int32()))})
 
-    return recipes.join(parts, "row").select("doc_id", "start", "parts").mapInArrow(joined, "doc_id long, start long, ids array<int>")
+    return parts.select("doc_id", "start", "n_tokens", "parts").mapInArrow(joined, "doc_id long, start long, ids array<int>")
 
 
 # -- CRC-32 of a concatenation -------------------------------------------------------------------------------
 
 
-def _times(matrix: tuple[int, ...], vector: int) -> int:
+def _times(matrix: list[int], vector: int) -> int:
     out, i = 0, 0
     while vector:
         if vector & 1:
@@ -279,24 +446,24 @@ def _times(matrix: tuple[int, ...], vector: int) -> int:
     return out
 
 
-#: The operator that appends zero bytes, by the number of bytes; filled as lengths turn up (at most ``MOST``).
-_ZEROS: dict[int, tuple[int, ...]] = {}
-
-
-def _zeros(n: int) -> tuple[int, ...]:
-    if n not in _ZEROS:
-        if n == 1:
-            one_bit = (0xEDB88320, *(1 << i for i in range(31)))
-            for _ in range(3):
-                one_bit = tuple(_times(one_bit, x) for x in one_bit)
-            _ZEROS[1] = one_bit
-        else:
-            half = _zeros(n // 2)
-            twice = tuple(_times(half, x) for x in half)
-            _ZEROS[n] = tuple(_times(_zeros(1), x) for x in twice) if n % 2 else twice
-    return _ZEROS[n]
+def zero_tables(powers: int = 48) -> np.ndarray:
+    """For each power of two, what appending so many zero bytes makes of each byte of a CRC, in each of its four places."""
+    matrix = [0xEDB88320, *(1 << i for i in range(31))]  # one zero bit
+    for _ in range(3):
+        matrix = [_times(matrix, x) for x in matrix]
+    byte, out = np.arange(256, dtype=np.uint32), np.zeros((powers, 4, 256), dtype=np.uint32)
+    for p in range(powers):
+        for bit in range(32):
+            out[p, bit // 8] ^= np.where(byte >> np.uint32(bit % 8) & np.uint32(1), np.uint32(matrix[bit]), np.uint32(0))
+        matrix = [_times(matrix, x) for x in matrix]
+    return out
 
 
-def crc32_combine(crc: int, more: int, length: int) -> int:
-    """CRC-32 of two byte strings put together, from their CRCs and the second one's length."""
-    return _times(_zeros(length), crc) ^ more if length and crc else crc ^ more
+def shifted(crc: np.ndarray, after: np.ndarray, tables: np.ndarray) -> np.ndarray:
+    """What each CRC gives to that of the whole, where ``after`` bytes follow: the whole's CRC is the exclusive or of all parts'."""
+    out = crc.copy()
+    for p in range(int(after.max(initial=0)).bit_length()):
+        on = np.flatnonzero(after >> p & 1)
+        x = out[on]
+        out[on] = tables[p, 0][x & 255] ^ tables[p, 1][x >> 8 & 255] ^ tables[p, 2][x >> 16 & 255] ^ tables[p, 3][x >> 24]
+    return out

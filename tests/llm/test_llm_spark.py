@@ -251,6 +251,12 @@ def test_packing(spark, docs, empty):
     assert packing.packed(empty).count() == 0
 
 
+def altered(spark, store, to, **changes):
+    for name in ("streams", "recipes", "manifest", "store"):
+        changes.get(name, lambda t: t)(spark.read.parquet(f"{store}/{name}")).write.parquet(f"{to}/{name}")
+    return to
+
+
 def test_token_store(spark, docs, empty, tmp_path):
     P = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
@@ -270,12 +276,11 @@ def test_token_store(spark, docs, empty, tmp_path):
         at += len(own)
     chunks = token_store.chunk_files(spark, store)
     assert chunks.count() == chunks.select("digest").distinct().count()
-    assert token_store.manifest(spark, store, 10).agg(F.sum("n_docs")).first()[0] == len(texts)
+    top = spark.read.parquet(f"{store}/manifest").orderBy(F.desc("level")).first()
+    assert top.n_docs == len(texts) == spark.read.parquet(f"{store}/store").first().n_docs
     # A damaged chunk is noticed.
-    bad = str(tmp_path / "bad")
     changed = F.when(F.length("ids") > 100, F.concat(F.lit(bytearray(b"\x01")), F.expr("substring(ids, 2)"))).otherwise(F.col("ids"))
-    chunks.select("digest", changed.alias("ids"), F.lit("chunk").alias("kind")).write.partitionBy("kind").parquet(f"{bad}/streams")
-    spark.read.parquet(f"{store}/recipes").write.parquet(f"{bad}/recipes")
+    bad = altered(spark, store, str(tmp_path / "bad"), streams=lambda s: s.withColumn("ids", changed))
     with pytest.raises(Exception, match="damaged"):
         token_store.read_digests(spark, bad).collect()
     # Repeated rows and rows without a doc_id have recipes of their own; an empty table has none.
@@ -394,17 +399,39 @@ def test_sql_of_queries(spark):
         assert Counter(tuple(r[c] for c in columns) for r in df.collect()) == Counter(map(tuple, cursor.fetchall())), name
 
 
-def test_missing_chunks_are_noticed(spark, tmp_path):
+def test_missing_parts_of_a_store_are_noticed(spark, tmp_path):
     P = pytest.importorskip("public_tokenizers")
-    store, cut = str(tmp_path / "store"), str(tmp_path / "cut")
-    token_store.write_store(spark.createDataFrame([(1, "one text"), (2, "another one")], "doc_id long, text string"), store, P.path("byte_bpe_50k.json"), 2)
-    chunks = token_store.chunk_files(spark, store).orderBy("digest")
-    assert chunks.count() == 2
-    chunks.limit(1).withColumn("kind", F.lit("chunk")).write.partitionBy("kind").parquet(f"{cut}/streams")
-    spark.read.parquet(f"{store}/recipes").write.parquet(f"{cut}/recipes")
-    for read in (token_store.read_digests, token_store.read_ids):
-        with pytest.raises(Exception, match="missing"):
-            read(spark, cut).collect()
+    store = str(tmp_path / "store")
+    rows = [(1, "one text"), (2, "another one"), (3, " ".join(f"w{i * i}" for i in range(3000))), (3, "one text")]
+    token_store.write_store(spark.createDataFrame(rows, "doc_id long, text string"), store, P.path("byte_bpe_50k.json"), 2)
+    assert token_store.chunk_files(spark, store).count() > 5
+    short, long = (spark.read.parquet(f"{store}/recipes").where(f"doc_id = {i}").first() for i in (1, 3))
+    without = lambda digest: lambda s: s.where(f"kind = 'recipe' or digest <> X'{digest.hex()}'")
+    changes = {
+        "a single chunk": {"streams": without(short.digests[0])}, "a chunk of many": {"streams": without(max(spark.read.parquet(f"{store}/recipes").where("doc_id = 3").collect(), key=lambda r: r.n_tokens).digests[2])},
+        "a recipe": {"recipes": lambda r: r.where("doc_id <> 2")}, "a start": {"recipes": lambda r: r.withColumn("start", F.col("start") + 1)}, "a root": {"recipes": lambda r: r.withColumn("root", F.reverse("root"))},
+        "a digest": {"recipes": lambda r: r.withColumn("digests", F.reverse("digests"))},
+    }
+    for what, change in changes.items():
+        cut = altered(spark, store, str(tmp_path / what.replace(" ", "-")), **change)
+        for read in (token_store.read_digests, token_store.read_ids) if "chunk" in what else (token_store.read_ids,):
+            with pytest.raises(Exception, match="missing|not those of the manifest|not have the root"):
+                read(spark, cut).collect()
+    assert token_store.read_digests(spark, altered(spark, store, str(tmp_path / "same"))).count() == 4
+
+
+def test_wide_ids_are_read_as_written(spark, tmp_path):
+    from tokenizers import Tokenizer, models
+
+    path = str(tmp_path / "wide.json")
+    words = {f"w{i}": i * 1000 for i in range(80)}
+    Tokenizer(models.WordLevel(words, unk_token="w0")).save(path)
+    texts = {i: f"w{i}" for i in range(80)}
+    token_store.write_store(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), str(tmp_path / "wide"), path, 70_000)
+    assert spark.read.parquet(str(tmp_path / "wide" / "store")).first().width == 4
+    assert {r.doc_id: r.ids for r in token_store.read_ids(spark, str(tmp_path / "wide")).collect()} == {i: [1000 * i, 70_000] for i in texts}
+    for r in token_store.read_digests(spark, str(tmp_path / "wide")).collect():
+        assert (r.n_tokens, r.ids_crc32) == (2, zlib.crc32(np.array([1000 * r.doc_id, 70_000], dtype="<u4").tobytes()))
 
 
 def test_quality_sample_has_a_row_a_document(spark):

@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -87,9 +88,13 @@ def test_cuts_follow_content():
     assert len(a & b) > 0.9 * len(a)
 
 
+ZEROS = token_store.zero_tables()
+
+
 @given(st.binary(max_size=300), st.binary(max_size=300))
 def test_crc_of_a_concatenation(a, b):
-    assert token_store.crc32_combine(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
+    parts = np.array([zlib.crc32(a), zlib.crc32(b)], dtype=np.uint32)
+    assert np.bitwise_xor.reduce(token_store.shifted(parts, np.array([len(b), 0]), ZEROS)) == zlib.crc32(a + b)
 
 
 def test_merkle_tells_trees_apart():
@@ -103,9 +108,30 @@ def test_encoder_equals_whole_texts():
     from tokenizers import Tokenizer
 
     texts = ["", " ", "a  b", "a \n\n b\n", "tab\there  x", "nb sp ace", "I'm it's 12 34,5 !!  ?", "<|endoftext|> x", "a <|endoftext|>\n", "\x1c!\x1c a", "Ünïcödé  über\n\n", "x" * 500 + " y", "a\r\nb 　c"]
-    whole = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    for t, ids in zip(texts, token_store.Encoder(P.path("byte_bpe_50k.json"))(texts), strict=True):
-        assert ids.tolist() == whole.encode(t, add_special_tokens=False).ids, t
+    texts += ["can't've 'S DON'T 'll", "emoji 😀 d é,\n\n\nx", "日本 語", "²½ x ª", "  a   b", "end  ", "x\n\n\n y", "×÷ ɐ"]
+    path = P.path("byte_bpe_50k.json")
+    whole, split = Tokenizer.from_file(path), token_store.Encoder(path)
+    for _ in range(2):  # the second time, pieces are known
+        for t, ids in zip(texts, split(pa.array(texts)), strict=True):
+            assert ids.tolist() == whole.encode(t, add_special_tokens=False).ids, t
+
+
+@given(st.lists(st.text(alphabet="aZ é\n\t'.,7ß語 s", max_size=30), max_size=8))
+@settings(max_examples=150, deadline=None)
+def test_encoder_equals_the_library(texts):
+    P = pytest.importorskip("public_tokenizers")
+    split = token_store.Encoder.of_worker(P.path("byte_bpe_50k.json"))
+    assert [x.tolist() for x in split(pa.array(texts, pa.string()))] == [split.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_encoder_forgets_rare_pieces(monkeypatch):
+    P = pytest.importorskip("public_tokenizers")
+    monkeypatch.setattr(token_store, "REMEMBERED", 50)
+    split = token_store.Encoder(P.path("byte_bpe_50k.json"))
+    for k in range(6):
+        texts = [" ".join(f"common{i % 5} rare{k}x{i}" for i in range(40)), "again common1"]
+        assert [x.tolist() for x in split(pa.array(texts))] == [split.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert "common3" in split.words.to_pylist() and len(split.words) < 120
 
 
 def test_deobfuscation():
