@@ -249,6 +249,11 @@ def test_packing(spark, docs, empty):
         assert members[0].bin_length == min(x for x in (64, 256, 1024) if x >= used)
         assert sorted(r.place for r in members) == list(range(len(members)))
     assert packing.packed(empty).count() == 0
+    # Neither null ids nor repeated ones fill a shard of their own.
+    alike = spark.createDataFrame([(None, "a b c d e")] * 60 + [(7, "a b c d e")] * 60, "doc_id long, text string")
+    rows = packing.packed(alike, lengths=(8, 16), shard=10).collect()
+    assert Counter(Counter(r.bin_shard for r in rows).values()) == {10: 12} and Counter(r.doc_id for r in rows) == {None: 60, 7: 60}
+    assert packing.packed(alike.withColumn("doc_id", F.lit("x"))).count() == 120
 
 
 def altered(spark, store, to, **changes):
