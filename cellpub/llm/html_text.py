@@ -5,14 +5,16 @@ the same of the blocks before and after, and what its open elements say about it
 navigation, footers, asides, forms, or elements whose class or id names an advert, a notice, comments and the like).
 A decision tree, trained on the small labelled table below, tells content from the rest. Scripts, styles and comments never become blocks.
 
-Defined cases: null html counts as empty and has empty text; unclosed tags end with their parents or the page; repeated rows give
-equal rows; long pages are read whole; other columns than the named ones are not read.
+Defined cases: null html counts as empty and has empty text; unclosed tags end with their parents or the page, an unclosed head where the body begins; a tag
+without its ``>`` is text, and quotes that never end do not count; repeated rows give
+equal rows; long pages are read whole, in time linear in their length; other columns than the named ones are not read; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -44,7 +46,11 @@ HEADERS = re.compile(r"(?:(?:site|main|global|top)[-_]?)?header(?:[-_](?:bar|top
 #: Classes that say how a wrapper looks or what a post is filed under, not what an element is.
 STATES = re.compile(r"(?:has|no|with|without|is|not|category|tag(?![-_](?:cloud|list|links))|content-?sidebar)[-_].*|content-?sidebar|.*[-_](?:open|closed|enabled|disabled|visible|layout|fixed|sticky)")
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog toolbar".split())
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+#: Elements that may be in a head; any other begins the body.
+HEAD_TAGS = frozenset("head base basefont bgsound link meta title style script noscript template".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+TAG_STOP = re.compile(r"[>\"']")
 #: A whole name with its value, so nothing inside a value or a longer name counts as a name.
 ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 SPACES = re.compile(r"\s+")
@@ -75,9 +81,10 @@ LABELLED = [
     (2, 1.00, 1, 0.00, 3, 0.00, 1, 1, 0, 1, 0), (65, 0.02, 120, 0.00, 90, 0.00, 1, 0, 0, 0, 0), (20, 0.00, 20, 0.00, 20, 0.00, 1, 1, 0, 0, 0),
     # Inside an article, whatever comes before or after: paragraphs, short ones, headings, link-only ones.
     *((w, own, *near, 0, 1, h, 0, 1) for w, own, h in ((90, 0.00, 0), (15, 0.10, 0), (3, 0.00, 0), (5, 0.00, 1), (6, 1.00, 0)) for near in NEAR),
-    # Outside of one, paragraphs; short blocks and links count as content only if no links come after them.
+    # Outside of one, paragraphs; short blocks and links count as content only if no links come after them, short plain ones also after a long plain block.
     *((w, own, *near, 0, 0, 0, 0, 1) for w, own in ((60, 0.00), (25, 0.05), (10, 0.00), (30, 0.40)) for near in NEAR),
-    *((w, own, *near, 0, 0, h, 0, int(near[3] < 0.5)) for w, own, h in ((5, 0.00, 0), (4, 0.00, 1), (8, 1.00, 0), (25, 0.90, 0)) for near in NEAR),
+    *((w, own, *near, 0, 0, h, 0, int(near[3] < 0.5)) for w, own, h in ((4, 0.00, 1), (8, 1.00, 0), (25, 0.90, 0)) for near in NEAR),
+    *((w, 0.00, *near, 0, 0, 0, 0, int(near[3] < 0.5 or near[0] > 9 and near[1] < 0.5)) for w in (1, 5) for near in [*NEAR, (10, 0.00, 2, 1.00), (14, 0.00, 2, 1.00)]),
     # Lists of links, in an article too.
     *((w, 1.00, *near, 0, 1, 0, 1, 0) for w in (2, 9) for near in NEAR[1::8]),
     *((w, 1.00, *near, 0, 1, 0, 0, 1) for w in (1, 3) for near in NEAR),
@@ -99,73 +106,154 @@ class Block(NamedTuple):
     link_list: bool
 
 
+class Tag(NamedTuple):
+    ending: bool
+    name: str
+    attributes: str
+    end: int
+
+
+class Scanner:
+    """Finds the tags of a page, in time linear in its length whatever is left open."""
+
+    def __init__(self, page: str):
+        self.page, self.quotes = page, True
+
+    def tag_end(self, at: int) -> int:
+        """Place of the ``>`` that ends the tag whose attributes begin at ``at``, or -1. Where quotes swallow all of the page, they do not count from there on."""
+        where = at
+        while self.quotes and (stop := TAG_STOP.search(self.page, where)):
+            if stop[0] == ">":
+                return stop.start()
+            where = self.page.find(stop[0], stop.end()) + 1
+            if not where:
+                break
+        self.quotes = False
+        return self.page.find(">", at)
+
+    def markup(self, at: int) -> Tag | int | None:
+        """What begins at the ``<`` at ``at``: a tag, the end of a comment or declaration, or None for plain text."""
+        page = self.page
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            return end + 3 if end >= 0 else len(page)
+        if page.startswith(("<!", "<?"), at):
+            end = page.find(">", at)
+            return end + 1 if end >= 0 else len(page)
+        name = NAME.match(page, at + 1)
+        if name is None:
+            return None
+        end = self.tag_end(name.end())
+        return Tag(bool(name[1]), name[2].lower(), page[name.end() : end], end + 1) if end >= 0 else None
+
+
+class Open:
+    """The open elements, with counts, so that no question about them takes longer the deeper they are."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, bool, bool]] = []  # tag, silent, outside
+        self.of: Counter = Counter()
+        self.near: list[Counter] = [Counter()]  # tags above each element of SCOPE
+        self.silent = self.outside = self.inside = self.headings = 0
+
+    def _count(self, tag: str, silent: bool, outside: bool, by: int) -> None:
+        self.of[tag] += by
+        self.silent += by * silent
+        self.outside += by * outside
+        self.inside += by * (tag in ("article", "main"))
+        self.headings += by * (tag in HEADINGS)
+
+    def push(self, tag: str, silent: bool, outside: bool) -> None:
+        self.stack.append((tag, silent, outside))
+        self._count(tag, silent, outside, 1)
+        if tag in SCOPE:
+            self.near.append(Counter())
+        else:
+            self.near[-1][tag] += 1
+
+    def pop_to(self, tag: str) -> None:
+        """Close the last open element of this tag and all in it; none if an element of SCOPE is between."""
+        if not (self.of[tag] if tag in SCOPE else self.near[-1][tag]):
+            return
+        last = None
+        while last != tag:
+            last, silent, outside = self.stack.pop()
+            self._count(last, silent, outside, -1)
+            if last in SCOPE:
+                self.near.pop()
+            else:
+                self.near[-1][last] -= 1
+
+
 def blocks_of(page: str) -> list[Block]:
     """The flat text blocks of a page, in order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, silent, outside
+    scan, now = Scanner(page), Open()
     text: list[str] = []
     links: list[str] = []
-    at = 0
 
     def close() -> None:
         joined = SPACES.sub(" ", "".join(text)).strip()
         if joined:
-            tags = {t for t, _, _ in stack}
             n, linked = len(joined.split()), len("".join(links).split())
-            out.append(Block(joined, n, min(n, linked), any(o for _, _, o in stack), bool(tags & {"article", "main"}), bool(tags & {"h1", "h2", "h3", "h4", "h5", "h6"}), "li" in tags and linked >= n))
+            out.append(Block(joined, n, min(n, linked), now.outside > 0, now.inside > 0, now.headings > 0, now.of["li"] > 0 and linked >= n))
         text.clear(), links.clear()
 
     def say(raw: str) -> None:
-        if raw and not any(s for _, s, _ in stack):
+        if not raw:
+            return
+        if now.stack and now.stack[-1][0] == "head" and raw.strip():
+            now.pop_to("head")
+        if not now.silent:
             plain = html.unescape(raw)
             text.append(plain)
-            if any(t == "a" for t, _, _ in stack):
+            if now.of["a"]:
                 links.append(plain + " ")
 
-    def pop_to(tag: str) -> None:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] == tag:
-                del stack[i:]
-                return
-            if stack[i][0] in SCOPE and tag not in SCOPE:
-                return
-
-    while at < len(page):
-        m = TOKEN.search(page, at)
-        if m is None:
-            say(page[at:])
-            break
-        say(page[at : m.start()])
-        at = m.end()
-        if m[2] is None:
+    at = said = 0  # text up to ``said`` is done
+    while (at := page.find("<", at)) >= 0:
+        found = scan.markup(at)
+        if found is None:
+            # Plain text. Without any further ">" there is no tag any more.
+            if page.find(">", at) < 0:
+                break
+            at += 1
+            continue
+        say(page[said:at])
+        if isinstance(found, int):
+            at = said = found
             continue
-        ending, tag, attributes = m[1], m[2].lower(), m[3]
+        at = said = found.end
+        tag, attributes = found.name, found.attributes
         if tag == "br":
             say(" ")
             continue
+        if now.of["head"] and not found.ending and tag not in HEAD_TAGS:
+            now.pop_to("head")
         if tag in BLOCK_TAGS:
             close()
-        if ending:
-            pop_to(tag)
+        if found.ending:
+            now.pop_to(tag)
             continue
-        if tag in ENDS_P and any(t == "p" for t, _, _ in stack):
-            pop_to("p")
+        if tag in ENDS_P and now.of["p"]:
+            now.pop_to("p")
         if tag in ("li", "dd", "dt", "td", "th", "tr", "option"):
-            pop_to(tag)
+            now.pop_to(tag)
         if tag in VOID or attributes.rstrip().endswith("/") and tag not in BLOCK_TAGS:
             continue
         # Of attributes of one name, the first counts.
-        found = {k.lower(): v.strip("\"'").lower() for k, v in reversed(ATTRIBUTE.findall(attributes))} if attributes else {}
-        inside = any(t in ("article", "main") for t, _, _ in stack)
+        own = {k.lower(): v.strip("\"'").lower() for k, v in reversed(ATTRIBUTE.findall(attributes))} if attributes else {}
+        inside = now.inside > 0
         outside = tag in OUTSIDE or tag == "header" and not inside
-        outside |= bool(found) and (found.get("role", "") in ROLES or tag not in ("html", "body", "article", "main") and named_outside(f"{found.get('class', '')} {found.get('id', '')}", inside))
-        silent = tag in SILENT or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
+        outside |= bool(own) and (own.get("role", "") in ROLES or tag not in ("html", "body", "article", "main") and named_outside(f"{own.get('class', '')} {own.get('id', '')}", inside))
+        silent = tag in SILENT or "hidden" in own or own.get("aria-hidden") == "true" or "display:none" in own.get("style", "").replace(" ", "")
         if tag in RAW:
             # Raw text ends with its own end tag only.
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            at = said = end.end() if end else len(page)
             continue
-        stack.append((tag, silent, outside))
+        now.push(tag, silent, outside)
+    say(page[said:])
     close()
     return out
 
@@ -178,7 +266,7 @@ def features(blocks: list[Block]) -> np.ndarray:
     return np.column_stack([words, density, shift(words, -1), shift(density, -1), shift(words, 1), shift(density, 1), flags])
 
 
-def trained(rows: list[tuple] = LABELLED, depth: int = 5) -> tuple | float:
+def trained(rows: list[tuple] = LABELLED, depth: int = 8) -> tuple | float:
     """A decision tree by Gini impurity: (feature, bound, tree at or below it, tree above it), or the share of content in a leaf."""
     x, y = np.array([r[:-1] for r in rows], dtype=float), np.array([r[-1] for r in rows], dtype=float)
 

@@ -303,3 +303,64 @@ def test_names_of_wrappers_and_headlines_are_kept():
         assert html_text.main_text(f"<article><div {names}><p>Some words here.</p></div></article>", tree) == "", names
     for names in ('class="header"', 'id="site-header"', 'class="masthead"'):
         assert html_text.main_text(f"<div {names}><p>Some words here.</p></div><p>Text.</p>", tree) == "Text.", names
+
+
+def features_used(tree):
+    return {html_text.FEATURES[tree[0]]} | features_used(tree[2]) | features_used(tree[3]) if isinstance(tree, tuple) else set()
+
+
+def test_tree_uses_words_and_densities_of_a_block_and_its_neighbours():
+    assert features_used(html_text.trained()) >= {"words", "link_density", "words_before", "links_before", "links_after", "outside", "inside"}
+
+
+LONG = "This paragraph has some more words than a menu entry or a button would have."
+NAV = '<nav><ul><li><a href="/a">Home</a></li><li><a href="/b">News</a></li></ul></nav>'
+#: Pages of many layouts with the main text that a reader would copy.
+LAYOUTS = {
+    "article": (f"<body>{NAV}<article><h1>Head</h1><p>{LONG}</p><p>End.</p></article><footer>About us</footer></body>", f"Head\n{LONG}\nEnd."),
+    "main with divs": (f'<header>Site</header><main><h1>Head</h1><div>{LONG}</div><div>Two</div></main><aside>More</aside>', f"Head\n{LONG}\nTwo"),
+    "plain divs": (f'<div id="nav">{NAV}</div><div class="content"><h2>Head</h2><p>{LONG}</p></div><div id="footer">© Us</div>', f"Head\n{LONG}"),
+    "no wrapper": (f"<h1>Head</h1><p>{LONG}<p>{LONG}", f"Head\n{LONG}\n{LONG}"),
+    "head never closed": (f"<html><head><title>T</title><meta charset=utf-8><p>{LONG}</p>", LONG),
+    "head closed by body": (f"<html><head><title>T</title><script>x()</script><body><p>{LONG}</p>", LONG),
+    "head closed by text": (f"<head><link rel=x>{LONG}", LONG),
+    "nested inline tags": ("<article><p>One <b>two <i>three</i></b><sup>4</sup> <code>a &lt; b</code>.</p></article>", "One two three4 a < b."),
+    "references": ("<article><p>Caf&eacute; &amp; bar&nbsp;&#x41;&#66; &copy;&hellip;</p></article>", "Café & bar AB ©…"),
+    "table": ("<article><table><tr><td>A</td><td>1</td></tr><tr><td>B</td><td>2</td></tr></table></article>", "A\n1\nB\n2"),
+    "list of points": ("<article><ul><li>First point<li>Second <a href=x>point</a></ul></article>", "First point\nSecond point"),
+    "quotation": (f"<article><blockquote><p>{LONG}</p></blockquote><p>said she.</p></article>", f"{LONG}\nsaid she."),
+    "comments below": (f'<article><p>{LONG}</p></article><section id="comments"><h3>2 comments</h3><p>{LONG}</p></section>', LONG),
+    "form inside": (f'<article><p>{LONG}</p><form><label>Mail</label><input><button>Send</button></form><p>End.</p></article>', f"{LONG}\nEnd."),
+    "advert inside": (f'<article><p>{LONG}</p><div class="ad-slot ads">Buy now</div><p>End.</p></article>', f"{LONG}\nEnd."),
+    "cookie notice": (f'<div class="cookie-consent">{LONG}</div><main><p>{LONG}</p></main>', LONG),
+    "related links after": (f'<main><p>{LONG}</p></main><div class="related-posts"><a href=a>One story</a><a href=b>Two</a></div>', LONG),
+    "byline in article header": (f"<article><header><h1>Head</h1><p>By A. Writer</p></header><p>{LONG}</p></article>", f"Head\nBy A. Writer\n{LONG}"),
+    "link-only paragraph after": (f'<article><p>A paragraph of the article.</p><p><a href="r">See the full report here</a></p></article>', "A paragraph of the article.\nSee the full report here"),
+    "breadcrumbs and pager": (f'<div class="breadcrumb"><a href=a>A</a> / <a href=b>B</a></div><p>{LONG}</p><div class="pagination"><a href=2>Next</a></div>', LONG),
+    "line breaks": ("<article><p>One<br>two<br/>three</p>four</article>", "One two three\nfour"),
+    "scripts and comments": (f"<article><script>if(a<b)x('</p>')</script><!-- <p>no</p> --><p>{LONG}</p><style>p{{}}</style><noscript>js</noscript></article>", LONG),
+    "unclosed everything": (f"<div><article><h1>Head<p>{LONG}<div><b>Bold", f"Head\n{LONG}\nBold"),
+    "odd quotes": (f"<article><p title='a \"b>c' data-x=\"it's\">{LONG}</p></article>", LONG),
+    "signs in text": ("<article><p>1 < 2 and 3 > 2, a<3</p></article>", "1 < 2 and 3 > 2, a<3"),
+    "short end before a menu": (f'<div><p>{LONG}</p><p>Done.</p></div>{NAV}', f"{LONG}\nDone."),
+    "hidden": (f"<article><p hidden>no</p><p style='display: none'>no</p><p>{LONG}</p></article>", LONG),
+    "definition list": ("<main><dl><dt>Term<dd>What it means</dl></main>", "Term\nWhat it means"),
+    "preformatted": ("<article><pre>a  b\n  c</pre></article>", "a b c"),
+}
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_main_text_of_layouts(layout):
+    page, want = LAYOUTS[layout]
+    assert html_text.main_text(page, html_text.trained()) == want
+
+
+def test_malformed_pages_take_linear_time():
+    import time
+
+    tree, n = html_text.trained(), 300_000
+    for unit in ("<a ", "<div>", "<b>", '<a ">" ', "<a '\"> ", "<a x=\"", "</p>", "<p>", "<div></b>", "<!", "<!--", "<script>", "<li><ul>", "&amp", "<a href='x", "<i></p>", "<", "<h1 "):
+        page = "<article><p>Start.</p>" + unit * (n // len(unit))
+        began = time.process_time()
+        html_text.main_text(page, tree)
+        assert time.process_time() - began < 2, unit
