@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,30 +17,36 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-#: Folders of tables stored so far and not yet released.
-_STORED: list[str] = []
+#: Folders of the tables that the work at hand has stored; each ``collecting`` has a list of its own.
+_STORED: ContextVar[list[str] | None] = ContextVar("stored", default=None)
+
+
+@contextmanager
+def collecting() -> Iterator[list[str]]:
+    """The folders of all tables stored inside, for ``release`` when they are read no more."""
+    paths: list[str] = []
+    token = _STORED.set(paths)
+    try:
+        yield paths
+    finally:
+        _STORED.reset(token)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: lineage ends there and lost executors cost nothing."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _STORED.append(path)
+    if (paths := _STORED.get()) is not None:
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stored_paths() -> list[str]:
-    return list(_STORED)
-
-
 def release(spark: SparkSession, paths: list[str]) -> None:
     """Delete stored tables. Nothing that still reads them may be computed afterwards."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     for path in paths:
         where = hadoop.Path(path)
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-        if path in _STORED:
-            _STORED.remove(path)
 
 
 def small_enough(df: DataFrame, most_rows: int) -> bool:
@@ -45,6 +54,23 @@ def small_enough(df: DataFrame, most_rows: int) -> bool:
     return df.limit(most_rows + 1).count() <= most_rows
 
 
+#: Rows of a key beyond which it counts as hot, and rows that may be broadcast.
+HOT_ROWS, BROADCAST_ROWS = 500, 200_000
+
+
+def hot_join(rows: DataFrame, groups: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``groups`` (both stored; a row for each key, with ``group_rows``, the rows it has) on keys that are not null.
+
+    The hot keys, at most a row for ``HOT_ROWS`` rows, are broadcast if they are no more than may be, so that rows of a hot key stay where they are; the
+    others meet by key, and so do all if there are too many hot ones.
+    """
+    hot, cold = groups.where(F.col("group_rows") > HOT_ROWS), groups.where(F.col("group_rows") <= HOT_ROWS)
+    if hot.isEmpty() or not small_enough(hot, BROADCAST_ROWS):
+        return rows.join(groups, keys, how)
+    with_hot = rows.join(F.broadcast(hot), keys)
+    return with_hot.unionByName(rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys, how))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -65,7 +91,7 @@ def content_key(text: Column) -> Column:
 
 
 def only_kept(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose (id, content key) is in ``kept(id, key)``; repeated equal rows come out once.
+    """The rows of ``docs`` whose (id, content key) is in ``kept(id, key)``; of rows equal in both, the first by the other columns (as text) comes out.
 
     Both steps use one partitioning, by (id, key), which has a row or a few for each key.
     """
@@ -73,7 +99,9 @@ def only_kept(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col
     keyed = docs.withColumns({"__id": F.col(id_col), "__key": content_key(F.col(text_col))})
     right = kept.toDF("__id2", "__key2")
     on = keyed["__id"].eqNullSafe(right["__id2"]) & (keyed["__key"] == right["__key2"])
-    return keyed.join(right, on, "left_semi").dropDuplicates(["__id", "__key"]).select(*columns)
+    others = [F.col(f"`{c}`") for c in columns if c not in (id_col, text_col)]
+    place = Window.partitionBy("__id", "__key").orderBy(*[c.cast("string") for c in others] or ["__key"])
+    return keyed.join(right, on, "left_semi").withColumn("__place", F.row_number().over(place)).where("__place = 1").select(*columns)
 
 
 def sorted_table(df: DataFrame, order: list[str], name: str) -> DataFrame:

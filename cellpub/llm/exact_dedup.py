@@ -9,7 +9,8 @@ Ties are sorted by (row, position), so copies of a block, however many, are spre
 sorted parts; a few rows for each part say which blocks go on from one part to the next.
 
 Defined cases: null text counts as empty; all empty texts are equal; repeated rows are members of their
-group and exactly one of them is kept; null doc_ids sort last among ties; other columns are not read.
+group and exactly one of them is kept; null doc_ids sort last among ties; very long texts are many blocks; an empty table gives an
+empty table; other columns are not read, and ``drop_copies`` passes them on.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellpub.llm.common import SPACE, content_key, only_kept, partitions, stored, text_or_empty
+from cellpub.llm.common import SPACE, content_key, hot_join, only_kept, partitions, stored, text_or_empty
 
 #: Code points in a block.
 BLOCK = 2048
@@ -64,13 +65,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for one in names[1:]:
             later = later.unionByName(one)
         done = done.join(later.withColumnRenamed("name", "later"), "row", "left").withColumn("name", F.coalesce("name", "later"))
-    done = done.select("row", "n_blocks", "name", "head.*")
+    done = stored(done.select("row", "n_blocks", "name", "head.*"), "identities")
 
     best = F.min(F.struct((-F.col("n_points")).alias("points"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
     groups = done.groupBy("n_blocks", "name").agg(F.count("*").alias("group_size"), best.alias("best"))
-    # Only groups of several rows are looked up; a large group's rows are on the side that a skewed join splits.
-    groups = groups.where("group_size > 1").select("n_blocks", "name", "group_size", F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("keep_row"))
-    return done.join(groups, ["n_blocks", "name"], "left").select(
+    # Only groups of several rows are looked up; the rows of a large group stay where they are.
+    groups = groups.where("group_size > 1").select("n_blocks", "name", "group_size", F.col("group_size").alias("group_rows"), F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("keep_row"))
+    return hot_join(done, stored(groups, "groups"), ["n_blocks", "name"], "left").select(
         "doc_id",
         "content_key",
         F.when(F.col("keep_row").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
