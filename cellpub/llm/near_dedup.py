@@ -17,7 +17,8 @@ With ``BANDS`` bands of ``ROWS`` values, a pair at similarity 0.8 shares no buck
 
 Defined cases: null and wordless texts have an empty set and are linked with nothing; a text of fewer words
 than a shingle is one shingle; repeated rows are one class; null doc_ids take part, but are kept only where
-no row of the component has a doc_id (component_id is null then); other columns are not read.
+no row of the component has a doc_id (component_id is null then); very long texts are read whole, their sets one at a time; an empty table
+gives an empty table; other columns are not read, and ``drop_near`` passes them on.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellpub.llm.common import content_key, only_kept, partitions, small_enough, stored
+from cellpub.llm.common import BROADCAST_ROWS, content_key, hot_join, only_kept, partitions, small_enough, stored
 
 BANDS, ROWS = 44, 6
 SLOTS = BANDS * ROWS
@@ -38,8 +39,6 @@ SLOTS = BANDS * ROWS
 BITS = 2048
 #: Rows of a star that are checked against one reading of its centre, and classes of a bucket that are scanned together.
 CHUNK, BLOCK = 64, 512
-#: Rows (of 40 bytes) that may be broadcast.
-BROADCAST_ROWS = 200_000
 #: Elements that take a step together, and the sets that count as small.
 ELEMENTS, SMALL = 4096, 100
 
@@ -48,7 +47,7 @@ MIX_A, MIX_B, GAMMA = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, content_key, n_shingles, class_id, component_id, kept for every row of ``docs``."""
+    """doc_id, content_key, n_shingles, class_id, component_id, kept, one (the row stands for its group) for every row of ``docs``."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), content_key(F.col(text_col)).alias("content_key"))
     rows = signed(texts, shingle)
     classes = _classes(rows)
@@ -65,17 +64,22 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         links = links.unionByName(_confirmed(texts, some, classes, shingle, percent))
         roots = grouped(links)
 
-    named = classes.join(roots, classes["class_id"] == roots["node"], "left").select("set_key", "class_id", "rep_doc", F.coalesce("root", "class_id").alias("root"))
-    smallest = named.groupBy("root").agg(F.min("rep_doc").alias("component_id"))
-    named = named.join(smallest, "root").select("set_key", "class_id", "component_id")
+    # A class without links is a component of its own; those of a component take the smallest row of it, a large component's where they are.
+    own = F.struct(F.col("rep_doc").isNull().alias("no_id"), F.col("rep_doc").alias("doc"), F.col("rep_key").alias("key"))
+    small = classes.select("set_key", "class_id", own.alias("own"))
+    named = stored(small.join(roots, small["class_id"] == roots["node"], "left").select("set_key", "class_id", "own", "root"), "named")
+    smallest = stored(named.where("root is not null").groupBy("root").agg(F.min("own").alias("least"), F.count("*").alias("group_rows")), "components")
+    named = hot_join(named.where("root is not null"), smallest, ["root"]).select("set_key", "class_id", "least").unionByName(named.where("root is null").select("set_key", "class_id", F.col("own").alias("least")))
     found = rows.select("doc_id", "content_key", "n_shingles", "set_key").join(named, "set_key", "left")
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return found.select("doc_id", "content_key", "n_shingles", "class_id", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    empty = F.col("n_shingles") == 0
+    component = F.when(empty, F.col("doc_id")).otherwise(F.col("least.doc"))
+    one = empty | F.col("doc_id").eqNullSafe(F.col("least.doc")) & (F.col("content_key") == F.col("least.key"))
+    return found.select("doc_id", "content_key", "n_shingles", "class_id", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), one.alias("one"))
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each group; all columns stay."""
-    kept = near_groups(docs, id_col, text_col, shingle, percent).where("kept").select("doc_id", "content_key")
+    """``docs`` with one document of each group, that of the smallest (doc_id, content key) with null last, and all documents without words; all columns stay."""
+    kept = near_groups(docs, id_col, text_col, shingle, percent).where("one").select("doc_id", "content_key")
     return only_kept(docs, kept, id_col, text_col)
 
 
@@ -245,16 +249,26 @@ def _rooted(rows: DataFrame, roots: DataFrame, column: str, out: str) -> DataFra
 def _between(shared: DataFrame, roots: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(centre, class_id, alike): pairs of one bucket that are in different components and near enough by size and signature; stored.
 
-    A bucket of m classes is cut into ceil(m / BLOCK) chunks, and each pair of chunks is a block of its own. Rows meet by block, and a
-    task holds one block at a time; only pairs that pass leave it.
+    Members of a bucket's largest component need not be compared with each other. So the others, its minor members, are cut into chunks of some
+    BLOCK; every two chunks are a block, and so is each chunk with each chunk of the largest component's members (chunks beyond the minor ones). However
+    large a component is, its rows are copied once for each minor chunk. Rows meet by block, and a task holds one block at a time; only pairs that pass leave it.
     """
     rooted = _rooted(shared, roots, "class_id", "root")
     open_ones = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
-    rows = rooted.join(open_ones, "bucket").join(classes.select("class_id", "sketch"), "class_id")
-    chunks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("class_id"), chunks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    rooted = stored(rooted.join(open_ones, "bucket"), "open")
+    sizes = rooted.groupBy("bucket", "root").agg(F.count("*").alias("members"))
+    sizes = sizes.groupBy("bucket").agg(F.max(F.struct("members", "root")).alias("most")).select("bucket", F.col("most.root").alias("largest"), F.col("most.members").alias("major"))
+    rows = rooted.join(sizes, "bucket").join(classes.select("class_id", "sketch"), "class_id")
+    minor = F.col("root") != F.col("largest")
+    chunks = lambda count: F.ceil(count / BLOCK).cast("int")
+    minors, majors = chunks(F.col("n") - F.col("major")), chunks(F.col("major"))
+    place = F.xxhash64("class_id")
+    own = F.when(minor, F.pmod(place, minors)).otherwise(minors + F.pmod(place, majors)).cast("int")
+    others = F.sequence(F.lit(0), F.when(minor, minors + majors - 1).otherwise(minors - 1))
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(others))
     rows = rows.select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "class_id", "root", "n_shingles", "sketch")
     rows = rows.repartition(partitions(shared.sparkSession), "bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
+
     def pairs_of(lo, own, ids, roots, sizes, sketches) -> tuple[np.ndarray, ...]:
         a, b, alike = [], [], []
         sig, odd = unpacked(sketches)

@@ -25,7 +25,7 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_groups(_docs(spark, sf_dir), shingle=4).drop("content_key", "class_id")
+    return near_groups(_docs(spark, sf_dir), shingle=4).drop("content_key", "class_id", "one")
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +72,7 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixed_documents(_docs(spark, sf_dir)).drop("content_key")
+    return mixed_documents(_docs(spark, sf_dir)).drop("content_key", "source")
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
