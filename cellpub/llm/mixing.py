@@ -16,7 +16,8 @@ documents of the fitting size, the largest first. Which documents of a (source,
 get the extra copy follows from a hash; cells are ranked in bounded buckets, as one may hold a third of all rows.
 
 Defined cases: null text has size 0 and is never taken; a null source is a source of its own and comes last; repeated
-rows are documents of their own; with no words at all, all targets are 0; other columns are not read.
+rows are documents of their own; with no words at all, all targets are 0; very long texts count whole; an empty table gives an empty table;
+other columns are not read, and ``take_copies`` passes them on.
 """
 
 from __future__ import annotations
@@ -28,19 +29,20 @@ from cellpub.llm.common import content_key, running_sum, sorted_table, stored, w
 
 #: Parameters: weights by the rank of the source, share of all sizes in per cent, most copies of a document.
 WEIGHTS, SHARE_PERCENT, MOST = (3, 1, 2), 150, 2
-#: Rates count in units of 1 / UNIT. A source is through when its tokens are this near its target.
+#: Rates count in units of 1 / UNIT. A source is through when its tokens are this near its target; more rounds than these are an error (brackets halve at least).
 UNIT, TOLERANCE, ROUNDS = 1_000_000_000, 1e-6, 80
-#: Rounds of working off what rounding leaves.
-CORRECTIONS = 5
 #: Rows of a cell that are ranked together.
 BUCKET = 20_000
 
 
+def source_key(source_col: str) -> Column:
+    """Not null, and sorted as the sources are, with null last."""
+    return F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("t"))
+
+
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, content_key, size, source_size, target, copies, taken of every row of ``docs``."""
-    # Keys are not null and sort as the sources do, with null last.
-    key = F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("t"))
-    rows = stored(docs.select(F.col(id_col).alias("doc_id"), content_key(F.col(text_col)).alias("content_key"), key.alias("source"), word_count(F.col(text_col)).alias("size")), "sizes")
+    """doc_id, content_key, source (a key), size, source_size, target, copies, taken of every row of ``docs``."""
+    rows = stored(docs.select(F.col(id_col).alias("doc_id"), content_key(F.col(text_col)).alias("content_key"), source_key(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "sizes")
     cells = stored(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "cells")
     sources = targets(cells)
     rates = balanced(cells, sources)
@@ -56,17 +58,18 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     offsets = sizes.where("bucket > 0 or rows > 0").withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0))).where("before > 0").select("source", "size", "bucket", "before")
     ranked = ranked.withColumn("rank", F.row_number().over(in_bucket)).join(offsets, ["source", "size", "bucket"], "left")
     copies = F.col("whole") + (F.col("rank") + F.coalesce("before", F.lit(0)) <= F.col("extra")).cast("long")
-    return ranked.select("doc_id", "content_key", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return ranked.select("doc_id", "content_key", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 def take_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``docs`` with each row as often as the mix takes it; all columns stay. Documents without words go."""
     found = mixed_documents(docs, id_col, text_col, source_col)
-    # Repeated equal rows take the sum of their copies.
-    copies = found.groupBy("doc_id", "content_key").agg(F.sum("copies").alias("__copies")).where("__copies > 0").toDF("__id2", "__key2", "__copies")
+    # Repeated rows of one id, text and source take the sum of their copies; a row of another source is one of its own.
+    key = source_key(source_col)
+    copies = found.groupBy("doc_id", "content_key", "source").agg(F.sum("copies").alias("__copies")).where("__copies > 0").toDF("__id2", "__key2", "__source2", "__copies")
     columns = docs.columns
-    keyed = docs.withColumns({"__id": F.col(id_col), "__key": content_key(F.col(text_col))}).dropDuplicates(["__id", "__key"])
-    joined = keyed.join(copies, keyed["__id"].eqNullSafe(copies["__id2"]) & (keyed["__key"] == copies["__key2"]))
+    keyed = docs.withColumns({"__id": F.col(id_col), "__key": content_key(F.col(text_col)), "__source": key}).dropDuplicates(["__id", "__key", "__source"])
+    joined = keyed.join(copies, keyed["__id"].eqNullSafe(copies["__id2"]) & (keyed["__key"] == copies["__key2"]) & (keyed["__source"] == copies["__source2"]))
     return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*columns)
 
 
@@ -106,9 +109,11 @@ def balanced(cells: DataFrame, sources: DataFrame) -> DataFrame:
     state = sources.select("*", F.lit(0.0).alias("multiplier"), F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"), F.col("full").alias("through"))
     state = stored(state.withColumn("through", F.col("full") | (F.col("source_size") == 0)), "state")
     x = F.col("size") / mean
-    for _ in range(ROUNDS):
+    for k in range(ROUNDS + 1):
         if state.where(~F.col("through")).isEmpty():
             break
+        if k == ROUNDS:
+            raise ArithmeticError(f"multipliers are not found after {ROUNDS} rounds")
         r = rate(F.col("multiplier"), x)
         tokens = (F.col("n") * F.col("size")).cast("decimal(20,0)")
         whole = lambda c: (c * UNIT).cast("long").cast("decimal(12,0)")
@@ -144,8 +149,11 @@ def rounded(rates: DataFrame) -> DataFrame:
 
 
 def corrected(cells: DataFrame) -> DataFrame:
-    """Changes ``extra`` so that each source's tokens come nearer its target: in each round, in the cell of the largest size that is no more than the gap."""
-    for _ in range(CORRECTIONS):
+    """Changes ``extra`` so that each source's tokens come nearer its target: in each round, in the cell of the largest size that is no more than the gap.
+
+    Each round makes the gap of every source that has such a cell smaller, so the rounds end; mostly they are two or three.
+    """
+    while True:
         cells = stored(cells, "extra")
         tokens = F.sum((F.col("whole") * F.col("n") + F.col("extra")) * F.col("size"))
         gaps = cells.groupBy("source").agg((F.round(F.first("target")).cast("long") - tokens).alias("gap")).where("gap <> 0")
@@ -155,6 +163,5 @@ def corrected(cells: DataFrame) -> DataFrame:
         changes = F.least("free", F.floor(F.abs("gap") / F.col("size")).cast("long")) * F.signum("gap").cast("long")
         step = stored(step.select("source", "size", changes.alias("change")), "changes")
         if step.isEmpty():
-            break
+            return cells
         cells = cells.join(step, ["source", "size"], "left").withColumn("extra", F.col("extra") + F.coalesce("change", F.lit(0))).drop("change")
-    return cells
