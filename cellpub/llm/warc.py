@@ -9,7 +9,8 @@ inside a part, and one row for each part tells the next ones which response is s
 
 Defined cases: a revisit without an earlier full response has verdict ``no response``; one without comparable validators ``unchecked`` and one whose
 validators differ ``changed``, and both keep their own headers; null or empty URLs are one URL; null dates come first and are never after anything; at equal
-dates a response is not earlier; of two responses at one date the larger record_id is the later; repeated rows are records of their own.
+dates a response is not earlier; of two responses at one date the larger record_id is the later; repeated rows are records of their own; header names that differ
+in case only are one header with a list of values; null headers are none; other columns are not read; an empty table gives an empty table; urls and values of any length are read whole.
 """
 
 from __future__ import annotations
@@ -39,12 +40,20 @@ def canonical_url(url: Column) -> Column:
     return F.concat(host, path, F.when(F.size(parts) > 0, F.concat(F.lit("?"), F.array_join(parts, "&"))).otherwise(F.lit("")))
 
 
+def lower_names(headers: Column) -> Column:
+    """Headers by lower-case name. Values of names that differ in case only are one list, as repeated headers are: joined in the order of the names, equal ones once."""
+    entries = F.transform(F.array_sort(F.map_entries(headers)), lambda e: F.struct(F.lower(e["key"]).alias("name"), e["value"].alias("value")))
+    names = F.array_distinct(F.transform(entries, lambda e: e["name"]))
+    values = lambda n: F.array_compact(F.array_distinct(F.transform(F.filter(entries, lambda e: e["name"] == n), lambda e: e["value"])))
+    return F.map_from_arrays(names, F.transform(names, lambda n: F.when(F.size(values(n)) > 0, F.array_join(values(n), ", "))))
+
+
 def resolved(records: DataFrame) -> DataFrame:
     """Revisits of ``records(record_id, warc_type, url, date, status, headers, payload_digest)``, each with its verdict and what it stands for.
 
     Returns record_id, url_key, date, verdict, response_id, response_date, status, payload_digest, headers.
     """
-    lower = F.transform_keys(F.coalesce("headers", F.create_map().cast("map<string,string>")), lambda k, _: F.lower(k))
+    lower = lower_names(F.coalesce("headers", F.create_map().cast("map<string,string>")))
     full = F.coalesce((F.col("warc_type") == "response") & (F.col("status") == 200), F.lit(False))
     rows = records.where(F.col("warc_type").isin("response", "revisit")).select("record_id", "warc_type", canonical_url(F.col("url")).alias("url_key"), "date", "status", lower.alias("headers"), "payload_digest")
     # At one date, revisits come before responses.
