@@ -10,7 +10,8 @@
    The logistic part is fitted on the half of the sample that the weights were not learnt from.
 
 Defined cases: null and empty texts have no words and get the score of such documents; repeated rows get equal scores; null
-labels are not learnt from; without labels of both kinds every score is the mean label (0.5 without any); only doc_id and text are read.
+labels are not learnt from; without labels of both kinds every score is the mean label (0.5 without any); very long texts are read
+whole; an empty table gives an empty table; of other columns, none is read. Scores do not depend on how rows are dealt to partitions.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 from cellpub.llm.common import stored
 from cellpub.llm.text_stats import words_of
 
-#: Parameters: labelled rows learnt from at most, documents that a feature must be in, its least weight, features kept, lengths of beginnings.
-SAMPLE, MIN_DOCS, MIN_WEIGHT, MAX_FEATURES, BEGINNINGS = 20_000, 6, 0.8, 50_000, range(3, 8)
+#: Parameters: labelled rows learnt from at most, documents that a feature must be in, its least weight, lengths of beginnings.
+SAMPLE, MIN_DOCS, MIN_WEIGHT, BEGINNINGS = 20_000, 6, 0.8, range(3, 8)
 #: Features that a task counts before it hands them on; longest span that is remembered; spans remembered.
 HELD, LONGEST, REMEMBERED = 300_000, 40, 100_000
 #: Taken off the log odds that a single word gives.
@@ -169,12 +170,12 @@ class Reader:
         words = {t.strip(EDGES) for t in tokens}
         found = set()
         for token in tokens:
-            core = token.strip(".,;:?\"'") if token[-1:] not in "!$" or token[-2:-1] == token[-1:] else token.strip(".,;:?\"'")
+            # Closing exclamation marks and brackets are punctuation, not letters; a closing run of dollar signs may be either.
+            core = token.strip(".,;:?\"'")
             if core.isalpha():
                 if DRAWN.search(core):
                     found.update(self.decoded(core))
                 continue
-            # A closing run of dollar signs may be letters or not.
             whole, core = core, re.sub(r"([^\w])\1+$|[!)]+$", "", core)
             for form in {core, whole} if whole.endswith("$$") else (core,):
                 if len(form) >= 3 and not form.isalpha() and any(c in LOOK_ALIKE for c in form):
@@ -211,11 +212,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, usable: Column
     chosen = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & usable).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
-    # Copies, exact or near, would each count as evidence: of texts with one least three-word hash, one stays.
+    # Of several texts of one doc_id the least counts, so the rows are no more than the labels.
+    rows = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    # Copies, exact or near, would each count as evidence: of texts with one least three-word hash, that of the least doc_id stays.
     words = rows.withColumn("__words", words_of(F.lower("text")))
     places = F.when(F.size("__words") > 2, F.sequence(F.lit(1), F.size("__words") - 2)).otherwise(F.array(F.lit(1)))
     least = F.array_min(F.transform(places, lambda i: F.xxhash64(F.slice("__words", i, 3))))
-    return stored(words.withColumn("__least", least).dropDuplicates(["__least", "label"]).select("doc_id", "text", "label"), "labelled")
+    return stored(words.groupBy(least.alias("__least"), "label").agg(F.min(F.struct("doc_id", "text")).alias("one")).select("one.*", "label"), "labelled")
 
 
 def lexicon(rows: DataFrame, model: np.ndarray) -> dict[str, float]:
@@ -244,7 +247,8 @@ def lexicon(rows: DataFrame, model: np.ndarray) -> dict[str, float]:
     most = most.where("feature is not null").groupBy("feature").agg(F.max("bad").alias("of_one"))
     kept = counts.where(f"bad >= {MIN_DOCS}").join(most, "feature", "left").where("not endswith(feature, '-') or bad >= 2 * of_one")
     kept = kept.select("feature", weight.alias("weight")).where(f"weight >= {MIN_WEIGHT}")
-    return {r["feature"]: float(r["weight"]) for r in kept.orderBy(F.desc("weight"), "feature").limit(MAX_FEATURES).collect()}
+    # Bounded by the sample: a feature is in MIN_DOCS of its at most SAMPLE documents.
+    return {r["feature"]: float(r["weight"]) for r in kept.collect()}
 
 
 def measured(words: set[str], weights: dict[str, float]) -> tuple[float, float, float]:
