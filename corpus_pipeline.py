@@ -1,13 +1,19 @@
 """The corpus pipeline: quality rules, exact dedup, near-dedup, mixing, packing.
 
 Each stage reads the documents that its predecessor kept, from Parquet, and all but the last return the columns of documents.
+
+Defined cases, beside those of each operator: null texts and texts without words fail the quality rules; rows equal in doc_id and text count as one document after
+dedup, that of the least other columns; rows with null doc_ids are documents; very long texts pass whole and are packed in pieces; extra columns pass all
+stages but the last; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
-from cellpub.llm.common import release, stored, stored_paths
+from cellpub.llm.common import collecting, release, stored
 from cellpub.llm.exact_dedup import drop_copies
 from cellpub.llm.mixing import take_copies
 from cellpub.llm.near_dedup import drop_near
@@ -15,49 +21,36 @@ from cellpub.llm.packing import packed
 from cellpub.llm.quality_rules import keep_good
 
 
-#: Tables that the last stage stored; they are dead once its result is written.
-_DEAD: list[str] = []
-
-
-def _alone(spark: SparkSession, work) -> DataFrame:
-    """Run a stage after deleting what the stage before it stored. The documents it gets are written already."""
-    release(spark, _DEAD)
-    _DEAD.clear()
-    before = set(stored_paths())
-    out = work()
-    _DEAD.extend(p for p in stored_paths() if p not in before)
-    return out
-
-
-def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _alone(spark, lambda: keep_good(docs))
-
-
-def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _alone(spark, lambda: drop_copies(docs))
-
-
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _alone(spark, lambda: drop_near(docs))
+class Run:
+    """One run of the stages. When a stage begins, the documents it gets are written already, so what the stage before stored is deleted, unless they are still read from it."""
 
+    def __init__(self) -> None:
+        self.dead: list[str] = []
 
-def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _alone(spark, lambda: take_copies(docs))
+    def _stage(self, work: Callable[[DataFrame], DataFrame], keeps: bool = False) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+        def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            names = [path.rsplit("/", 1)[-1] for path in self.dead]
+            if self.dead and not any(f"/{name}/" in file for file in docs.inputFiles() for name in names):
+                release(spark, self.dead)
+            with collecting() as paths:
+                out = work(docs)
+            # The last stage's result may be read at any later time.
+            self.dead = [] if keeps else paths
+            return out
 
+        return stage
 
-def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = _alone(spark, lambda: packed(docs))
-    _DEAD.clear()  # the result may be read at any later time
-    return out
+    def stages(self) -> list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]]:
+        return [
+            ("quality_rules", self._stage(keep_good)),
+            ("exact_dedup", self._stage(drop_copies)),
+            ("near_dedup", self._stage(drop_near)),
+            ("mixing", self._stage(take_copies)),
+            ("packing", self._stage(packed, keeps=True)),
+        ]
 
 
-STAGES = [
-    ("quality_rules", quality_rules),
-    ("exact_dedup", exact_dedup),
-    ("near_dedup", near_dedup),
-    ("mixing", mixing),
-    ("packing", packing),
-]
+STAGES = Run().stages()
 
 #: Near-dedup by signatures, Newton steps and best fit are not SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
@@ -65,6 +58,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
+    *stages, (_, last) = Run().stages()
+    for name, stage in stages:
         docs = stored(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    return last(spark, docs, sf_dir)
