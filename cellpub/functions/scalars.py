@@ -54,12 +54,12 @@ def _accents() -> tuple[str, str]:
 
 
 def normalize_name(name: Column) -> Column:
-    """Upper-case ASCII words of a place name: null gives '', accents and signs go, CEDEX and what follows goes, ST and STE are spelled out, one leading article goes."""
+    """Upper-case ASCII words of a place name: null gives '', accents and signs go, the word CEDEX and what follows goes, ST and STE are spelled out, one leading article goes."""
     plain = F.upper(F.translate(F.coalesce(name, F.lit("")), *_accents()))
     words = F.trim(F.regexp_replace(plain, "[^A-Z0-9]+", " "))
-    words = F.regexp_replace(words, r" CEDEX.*$", "")
+    words = F.trim(F.regexp_replace(words, r"\bCEDEX\b.*$", ""))
     words = F.regexp_replace(F.regexp_replace(words, r"\bSTE\b", "SAINTE"), r"\bST\b", "SAINT")
-    return F.trim(F.regexp_replace(words, r"^(LE|LA|LES|L) ", ""))
+    return F.regexp_replace(words, r"^(LE|LA|LES|L) ", "")
 
 
 # -- dates and months ----------------------------------------------------------------------------------------
@@ -135,10 +135,15 @@ def corrected_id(publication: Column, issue: Column, number: Column) -> Column:
     return F.when(present, F.concat(F.right(F.trim(publication), F.lit(1)), F.trim(issue), whole.cast("string")))
 
 
-def activity_text(*fields: Column, void: tuple[str, ...] = ("", "-", ".", "/"), longest: int = 300) -> Column:
-    """The first field that says something, white space collapsed, cut at ``longest`` characters."""
+#: Texts that say no activity, in lower case.
+VOID_ACTIVITIES = ("", "non precise", "non précisé", "neant", "néant", "sans activite", "sans activité")
+
+
+def activity_text(*fields: Column, void: tuple[str, ...] = VOID_ACTIVITIES, longest: int = 300) -> Column:
+    """The first field that says something (whatever its case), white space collapsed, cut at ``longest`` characters."""
+    bare = lambda c: F.lower(F.regexp_replace(c, r"^\s+|\s+$", ""))
     clean = lambda c: F.trim(F.regexp_replace(c, r"\s+", " "))
-    return F.substring(F.coalesce(*[F.when(~clean(c).isin(*void), clean(c)) for c in fields]), 1, longest)
+    return F.substring(F.coalesce(*[F.when(~bare(c).isin(*void), clean(c)) for c in fields]), 1, longest)
 
 
 def current_period(periods: Column, end: str) -> Column:

@@ -14,11 +14,26 @@ def calendar(spark: SparkSession, first: dt.date, last: dt.date) -> DataFrame:
     return spark.range(1).select(F.explode(F.sequence(F.lit(first), F.lit(last), F.expr("interval 1 month"))).alias("month"))
 
 
-def month_status(months: DataFrame, covered_until: Column, provisional_months: int) -> DataFrame:
-    """month, period, status: the last covered months are provisional, later ones not covered, earlier ones final."""
+def status_of(month: Column, covered_until: Column, provisional_months: int) -> Column:
+    """The last covered months are provisional, later ones not covered, earlier ones final."""
     last = F.trunc(covered_until, "month")
-    status = F.when(F.col("month") > last, "not_covered").when(F.col("month") > F.add_months(last, -provisional_months), "provisional").otherwise("final")
-    return months.select("month", month_label(F.col("month")).alias("period"), status.alias("status"))
+    return F.when(month > last, "not_covered").when(month > F.add_months(last, -provisional_months), "provisional").otherwise("final")
+
+
+def month_status(register: DataFrame, treated: str, reference: Column, start: dt.date, register_months: int, notice_months: int) -> DataFrame:
+    """month, period, register_status, notice_status from ``start`` to the month of ``reference`` (an aggregate of the register, or a literal).
+
+    The register covers the months up to its last treatment; notices are published as they come, so the current month is covered.
+    """
+    bounds = register.agg(F.max(treated).alias("last"), reference.alias("today"))
+    months = bounds.select("last", "today", F.explode(F.sequence(F.trunc(F.lit(start), "month"), F.trunc("today", "month"), F.expr("interval 1 month"))).alias("month"))
+    month = F.col("month")
+    return months.select(month, month_label(month).alias("period"), status_of(month, F.col("last"), register_months).alias("register_status"), status_of(month, F.col("today"), notice_months).alias("notice_status"))
+
+
+def months_of(months: DataFrame, source: str) -> DataFrame:
+    """month, period, status of a source: ``register`` or ``notice``."""
+    return months.select("month", "period", F.col(f"{source}_status").alias("status"))
 
 
 def area_dimension(areas: DataFrame, basins: DataFrame, key: str = "area") -> DataFrame:

@@ -46,9 +46,12 @@ def verify_suppression(cells: DataFrame, members: DataFrame, threshold: int = TH
 
 
 def publish_cells(cells: DataFrame, provisional: DataFrame) -> DataFrame:
-    """Published rows: open zeros are left out, masked values are blank, months of ``provisional(period)`` are marked."""
-    marked = provisional.select("period").distinct().withColumn("ptype", F.lit("M")).withColumn("__provisional", F.lit(1))
-    rows = cells.where(F.col("mask").isNotNull() | (F.col("value") != 0)).join(F.broadcast(marked), ["period", "ptype"], "left")
+    """Published rows: open zeros are left out, masked values are blank, months of ``provisional(indicator, period)`` are marked.
+
+    An indicator has the months of its source, so the same month may be provisional for one and not for another. A row for each indicator and month.
+    """
+    marked = provisional.select("indicator", "period").distinct().withColumn("ptype", F.lit("M")).withColumn("__provisional", F.lit(1))
+    rows = cells.where(F.col("mask").isNotNull() | (F.col("value") != 0)).join(F.broadcast(marked), ["indicator", "period", "ptype"], "left")
     return rows.select(*KEY, F.when(F.col("mask").isNull(), F.col("value")).alias("value"), F.coalesce("mask", F.lit("")).alias("secret"), F.coalesce("__provisional", F.lit(0)).alias("provisional"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellpub.functions.scalars import classify_event, classify_procedure, economic_date, first_match, incoherent_date, month_of
+from cellpub.functions.scalars import activity_text, classify_event, classify_procedure, corrected_id, economic_date, first_match, first_of, identifiers, incoherent_date, month_of, strict_date, tolerant_json
 
 
 def merge_latest_wins(base: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
@@ -29,6 +29,32 @@ def any_mapping(pairs: DataFrame, keys: list[str], value: str) -> DataFrame:
     return pairs.groupBy(*keys).agg(F.min(value).alias(value), F.countDistinct(value).alias("n_values"))
 
 
+#: Plain fields of a raw notice and what they become.
+NOTICE_FIELDS = {
+    "id": "id", "publicationavis": "publication", "parution": "issue", "dateparution": "published", "numeroannonce": "number", "typeavis": "notice_type",
+    "familleavis": "family", "numerodepartement": "department", "tribunal": "court", "ville": "town", "cp": "postal_code",
+}
+
+
+def flatten_notice(raw: DataFrame) -> DataFrame:
+    """Raw notices, some fields of which are JSON text, to 21 columns.
+
+    Beside ``NOTICE_FIELDS`` a notice has ``registre`` (a list of identifiers) and the JSON fields listepersonnes, listeetablissements, jugement, acte and
+    parutionavisprecedent. JSON that is missing or malformed counts as empty; where an object may be a list, its first element counts.
+    """
+    json = {c: tolerant_json(F.col(c)) for c in ("listepersonnes", "listeetablissements", "jugement", "acte", "parutionavisprecedent")}
+    field = lambda c, path: F.try_variant_get(json[c], f"$.{path}", "string")
+    ids = identifiers(F.col("registre"))
+    previous = corrected_id(*[field("parutionavisprecedent", p) for p in ("nomPublication", "numeroParution", "numeroAnnonce")])
+    return raw.select(
+        *[F.col(c).cast("string").alias(name) if name != "published" else strict_date(F.col(c).cast("string")).alias(name) for c, name in NOTICE_FIELDS.items()],
+        F.get(ids, F.lit(0)).alias("company"), F.size(ids).alias("n_companies"), first_of(json["listepersonnes"], "personne.typePersonne").alias("person_type"),
+        field("jugement", "famille").alias("judgment_family"), field("jugement", "nature").alias("judgment_nature"), strict_date(field("jugement", "date")).alias("judged"),
+        first_of(json["acte"], "vente.categorieVente").alias("sale_category"), first_of(json["acte"], "creation.categorieCreation").alias("creation_category"),
+        previous.alias("previous_id"), activity_text(first_of(json["listeetablissements"], "etablissement.activite"), first_of(json["listepersonnes"], "personne.activite")).alias("activity"),
+    )
+
+
 def valid_notices(notices: DataFrame, rules: list[tuple[Column, str]], procedures: list[tuple[str, str]], opening: str, withdrawing: Column) -> DataFrame:
     """Notices of the kinds to count, less those that a cancelling or correcting notice points to, classified and dated.
 

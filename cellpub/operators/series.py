@@ -69,6 +69,12 @@ def rank_areas(windows: DataFrame, population: DataFrame, last: str, before: str
     return rows.withColumn("rank", F.row_number().over(Window.orderBy(F.desc_nulls_last("value"), "area")))
 
 
+def latest_ranked(rows: DataFrame, vintage: str, value: str, *ties: str) -> DataFrame:
+    """Rows of the latest vintage in falling order of the value, masked (null) ones last. The latest vintage is one number."""
+    last = rows.agg(F.max(vintage).alias("__last"))
+    return rows.join(F.broadcast(last), F.col(vintage) == F.col("__last")).drop("__last").orderBy(F.desc_nulls_last(value), *ties)
+
+
 def sector_table(cells: DataFrame, labels: DataFrame) -> DataFrame:
     """Sectors with labels; members of unknown division take their section's, open zeros go, masked ones stay."""
     named = cells.join(labels.toDF("sector", "label"), "sector", "left")

@@ -1,7 +1,7 @@
 """Registered queries (``QUERIES``) and their SQL (``ORACLES``)."""
 
-from cellpub.plans import cube, facts, quality, registers, scalars, series
+from cellpub.plans import chain, cube, facts, quality, registers, scalars, series
 
-_PARTS = (facts, scalars, registers, cube, series, quality)
+_PARTS = (facts, chain, scalars, registers, cube, series, quality)
 QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
 ORACLES = {name: sql for part in _PARTS for name, sql in part.ORACLES.items()}

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellpub.operators import cube, disclosure
-from cellpub.operators.dims import calendar, month_status, sector_members
-from cellpub.operators.facts import monthly_fact
+from cellpub.operators.dims import calendar, sector_members, status_of
+from cellpub.operators.facts import counted
+from cellpub.functions.scalars import month_label
 from cellpub.plans.facts import EVENTS, KEYS
 from cellpub.plans.tables import order_events, table
 from cellpub.sources.shared import kept
@@ -19,11 +20,16 @@ LAST_FINAL = dt.date(2001, 6, 1)
 
 
 def facts(spark: SparkSession, d: str) -> DataFrame:
-    return monthly_fact(order_events(spark, d), KEYS).withColumn("indicator", F.lit("orders"))
+    return counted(order_events(spark, d), KEYS).withColumn("indicator", F.lit("orders"))
 
 
 def months(spark: SparkSession) -> DataFrame:
-    return month_status(calendar(spark, FIRST, LAST), F.lit(LAST), PROVISIONAL)
+    month = F.col("month")
+    return calendar(spark, FIRST, LAST).select(month, month_label(month).alias("period"), status_of(month, F.lit(LAST), PROVISIONAL).alias("status"))
+
+
+def provisional(spark: SparkSession) -> DataFrame:
+    return months(spark).where("status = 'provisional'").select(F.lit("orders").alias("indicator"), "period")
 
 
 def windows(spark: SparkSession) -> DataFrame:
@@ -48,7 +54,7 @@ def masked(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _published(spark: SparkSession, d: str) -> DataFrame:
-    return disclosure.publish_cells(masked(spark, d)[0], months(spark).where("status = 'provisional'"))
+    return disclosure.publish_cells(masked(spark, d)[0], provisional(spark))
 
 
 def _hierarchy(cells: DataFrame) -> DataFrame:
@@ -67,7 +73,7 @@ def _violations(spark: SparkSession, d: str) -> DataFrame:
 
 def _read(spark: SparkSession, d: str) -> DataFrame:
     cells, _ = masked(spark, d)
-    published = disclosure.publish_cells(cells, months(spark).where("status = 'provisional'"))
+    published = disclosure.publish_cells(cells, provisional(spark))
     return disclosure.read_cells(published, cells.select(*cube.KEY))
 
 

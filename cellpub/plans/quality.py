@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +12,15 @@ from cellpub.operators import contracts
 from cellpub.operators.dims import calendar
 from cellpub.plans.facts import EVENTS
 from cellpub.plans.tables import order_events, table
-from cellpub.sources import sinks
+from cellpub.sources import scans, sinks
 from cellpub.sources.shared import shared_folder
 
 
+def own_folder(s, name):
+    """A folder of this call alone, so that no other overwrites what is still to be read."""
+    return f"{shared_folder(s)}/{name}-{uuid.uuid4().hex}"
+
+
 def items(s, d):
     return table(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", F.to_date("l_shipdate").alias("shipped"))
 
@@ -63,7 +69,7 @@ def _metric_thresholds(s, d):
 
 def _snapshot(s, d):
     """Two days of snapshots, the second written twice: the rewritten day replaces itself only."""
-    path = f"{shared_folder(s)}/history-{d.strip('/').replace('/', '-')}"
+    path = own_folder(s, "history")
     rows = order_events(s, d).groupBy("area").agg(F.count("*").alias("value"))
     sinks.snapshot(rows, path, dt.date(2024, 1, 1))
     sinks.snapshot(rows.limit(0).unionByName(rows), path, dt.date(2024, 1, 2))
@@ -72,7 +78,7 @@ def _snapshot(s, d):
 
 
 def _quality_history(s, d):
-    path = f"{shared_folder(s)}/quality-{d.strip('/').replace('/', '-')}"
+    path = own_folder(s, "quality")
     for day in (1, 2):
         sinks.snapshot(_metrics(s, d).select("metric", "value"), path, dt.date(2024, 1, day))
     return s.read.parquet(path).where(F.col("metric").endswith("_share")).select("metric", "value", F.col("run_date").cast("date").alias("run_date"))
@@ -87,32 +93,44 @@ def run_entries(s, d):
 
 
 def _meta(s, d):
-    last = contracts.latest_runs(run_entries(s, d)).where("status = 'ok'").select("source", "ended")
-    bounds = order_events(s, d).agg(F.min("month").alias("first_month"), F.max("month").alias("last_month"))
-    return last.crossJoin(F.broadcast(bounds))
+    runs = run_entries(s, d)
+    sources = runs.groupBy("source").agg(F.concat(F.lit("runs until "), F.max("ended").cast("string")).alias("vintage"))
+    sources = sources.unionByName(s.range(1).select(F.lit("never run").alias("source"), F.lit("none").alias("vintage")))
+    months = order_events(s, d).select(F.date_format("month", "yyyy-MM").alias("period"))
+    return sinks.publication_meta(sources, runs, months, table(s, d, "orders").select(F.to_date("o_orderdate").alias("day")), "day")
+
+
+def _run_log(s, d):
+    """Three extracts are written and logged with their rows; a fourth finds nothing and is logged as failed."""
+    path = own_folder(s, "log")
+    for source, condition in (("orders", "o_totalprice < 90000"), ("customer", "c_acctbal < 0"), ("part", "p_size = 1"), ("supplier", "s_suppkey < 0")):
+        rows = table(s, d, source).where(condition)
+        try:
+            sinks.logged(s, path, source, lambda rows=rows, source=source: scans.non_empty(rows, f"{path}-{source}", source), condition=condition)
+        except ValueError:
+            pass  # the log has it
+    return sinks.last_entries(s.read.parquet(path)).select("source", "status", "rows", "error", F.col("details")["condition"].alias("condition"), (F.col("ended") >= F.col("started")).alias("timed"))
 
 
 def _written(s, d):
-    path = f"{shared_folder(s)}/typed-{d.strip('/').replace('/', '-')}"
+    path = own_folder(s, "typed")
     rows = sinks.write_typed(monthly(s, d), path, "month date, value int")
     return s.read.parquet(path).withColumn("rows_written", F.lit(rows).cast("long"))
 
 
 def _csv(s, d):
-    path = f"{shared_folder(s)}/csv-{d.strip('/').replace('/', '-')}"
+    path = own_folder(s, "csv")
     sinks.write_csv(monthly(s, d), path, ["value", "month"], ["month"])
     return s.read.schema("value long, month date").option("header", True).option("mode", "FAILFAST").csv(path)
 
 
 def _json(s, d):
-    path = f"{shared_folder(s)}/json-{d.strip('/').replace('/', '-')}"
+    path = own_folder(s, "json")
     sinks.write_json(monthly(s, d), path)
     return s.read.schema("month date, value long").option("mode", "FAILFAST").json(path)
 
 
 def _together(s, d):
-    import uuid
-
     root = f"{shared_folder(s)}/published-{uuid.uuid4().hex}"
     sinks.publish_together({"monthly": monthly(s, d), "areas": order_events(s, d).groupBy("area").count()}, root, "run-1")
     sinks.publish_together({"monthly": monthly(s, d).withColumn("value", F.col("value") + 1), "areas": order_events(s, d).groupBy("area").count()}, root, "run-2")
@@ -124,7 +142,7 @@ QUERIES = {f"check_{name}": (lambda s, d, name=name: checks(s, d)[name][1]) for
 )} | {
     "check_report": lambda s, d: contracts.check_report(checks(s, d)),
     "freshness": _freshness, "quality_metrics": _metrics, "metric_thresholds": _metric_thresholds, "snapshot_history": _snapshot, "quality_history": _quality_history,
-    "run_log": lambda s, d: contracts.latest_runs(run_entries(s, d)), "last_runs": lambda s, d: sinks.last_entries(run_entries(s, d)), "publication_meta": _meta,
+    "run_log": _run_log, "latest_runs": lambda s, d: contracts.latest_runs(run_entries(s, d)), "last_runs": lambda s, d: sinks.last_entries(run_entries(s, d)), "publication_meta": _meta,
     "write_typed": _written, "write_csv": _csv, "write_json": _json, "publish_together": _together,
 }
 
@@ -168,9 +186,15 @@ g as (select source, max(day) as last, cast(date '2024-02-01' - max(day) as int)
     "metric_thresholds": f"with {METRICS} select source, metric from ms where status = 'failed'",
     "snapshot_history": f"with a as (select area, count(*) as value from ({EVENTS}) group by area) select area, value, date '2024-01-01' as run_date from a union all select area, value * 2, date '2024-01-02' from a",
     "quality_history": f"with {METRICS} select metric, value, d as run_date from ms, (values (date '2024-01-01'), (date '2024-01-02')) t(d) where metric like '%\\_share' escape '\\'",
-    "run_log": f"with {RUNS} select * from la",
+    "latest_runs": f"with {RUNS} select * from la",
+    "run_log": """select 'orders' as source, 'ok' as status, count(*) as rows, cast(null as varchar) as error, 'o_totalprice < 90000' as condition, true as timed from orders where o_totalprice < 90000
+  union all select 'customer', 'ok', count(*), null, 'c_acctbal < 0', true from customer where c_acctbal < 0 union all select 'part', 'ok', count(*), null, 'p_size = 1', true from part where p_size = 1
+  union all select 'supplier', 'failed', null, 'supplier: no rows', 's_suppkey < 0', true from (select count(*) as n from supplier where s_suppkey < 0) where n = 0""",
     "last_runs": f"with {RUNS} select * from ru order by ended desc, run limit 60",
-    "publication_meta": f"with {RUNS} select source, ended, (select min(month) from ({EVENTS})) as first_month, (select max(month) from ({EVENTS})) as last_month from la where status = 'ok'",
+    "publication_meta": f"""with {RUNS},
+so as (select source, 'runs until ' || max(ended) as vintage from ru group by source union all select 'never run', 'none')
+select source, vintage, (select max(ended) from ru where ru.source = so.source and status = 'ok') as extracted, (select strftime(min(month), '%Y-%m') from ({EVENTS})) as first_period,
+  (select strftime(max(month), '%Y-%m') from ({EVENTS})) as last_period, (select max(cast(o_orderdate as date)) from orders) as last_published from so""",
     "write_typed": f"with {MONTHLY} select month, cast(value as int) as value, (select count(*) from mo) as rows_written from mo",
     "write_csv": f"with {MONTHLY} select value, month from mo",
     "write_json": f"with {MONTHLY} select month, value from mo",

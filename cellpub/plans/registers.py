@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from cellpub.operators import dims, registers
 from cellpub.plans.facts import EVENTS
 from cellpub.plans.tables import order_events, table
 from cellpub.sources import scans
+from cellpub.sources.shared import shared_folder
 
 START, REFERENCE = dt.date(1996, 1, 1), dt.date(2001, 6, 1)
 
@@ -28,12 +30,10 @@ def _scan(s, d):
 
 def _union_by_name(s, d):
     """Two slices of parts with different columns, written as two files and read as one table."""
-    from cellpub.sources.shared import shared_folder
-
-    path = f"{shared_folder(s)}/parts-by-size"
+    path = f"{shared_folder(s)}/parts-by-size-{uuid.uuid4().hex}"
     part = table(s, d, "part")
-    part.where("p_size <= 25").select("p_partkey", "p_brand").write.mode("overwrite").parquet(f"{path}/slice=1")
-    part.where("p_size > 25").select("p_partkey", "p_size").write.mode("overwrite").parquet(f"{path}/slice=2")
+    part.where("p_size <= 25").select("p_partkey", "p_brand").write.parquet(f"{path}/slice=1")
+    part.where("p_size > 25").select("p_partkey", "p_size").write.parquet(f"{path}/slice=2")
     return scans.scan_union_by_name(s, f"{path}/slice=1", f"{path}/slice=2").select("p_partkey", "p_brand", "p_size")
 
 
@@ -53,7 +53,8 @@ def _months(s, d):
 
 def _sources(s, d):
     versions = table(s, d, "nation").select(F.col("n_name").alias("source"), F.concat(F.lit("v"), F.col("n_regionkey")).alias("version"), F.lit("all").alias("filter"))
-    return scans.sources_to_read(versions, versions.withColumn("version", F.when(F.col("version") == "v3", "v2").otherwise(F.col("version"))))
+    files = {f"NATION_{i}": f"{d}/{'nation' if i % 4 else 'lost'}.parquet" for i in range(25)}
+    return scans.sources_to_read(versions, versions.withColumn("version", F.when(F.col("version") == "v3", "v2").otherwise(F.col("version"))), files)
 
 
 def _survey(s, d):
@@ -94,17 +95,22 @@ def _json(s, d):
     return table(s, d, "events").select("event_id", F.try_variant_get(k, "$.k", "long").alias("k"), scalars.strict_date(F.date_format("ts", "yyyy-MM-dd")).alias("day"))
 
 
-def _polymorphic(s, d):
-    key = F.col("c_custkey")
-    inner = F.concat(F.lit('{"name": "'), F.col("c_name"), F.lit('", "city": "x"}'))
-    text = F.when(key % 97 == 0, "{bad").when(key % 2 == 0, F.concat(F.lit('{"person": '), inner, F.lit("}"))).otherwise(F.concat(F.lit('{"person": ['), inner, F.lit(', {"name": "second"}]}')))
-    ids = F.array(F.lpad(key.cast("string"), 9, "8"), F.concat_ws(" ", F.substring(F.lpad(key.cast("string"), 9, "8"), 1, 3), F.substring(F.lpad(key.cast("string"), 9, "8"), 4, 6)), F.lit("12 34"))
-    rows = table(s, d, "customer").select(key, text.alias("text"), ids.alias("ids"), "c_mktsegment")
-    v, own = scalars.tolerant_json(F.col("text")), scalars.identifiers(F.col("ids"))
-    number = F.when(key % 5 == 0, F.lit("x")).otherwise((key % 4000).cast("string"))
-    return rows.select(
-        "c_custkey", scalars.first_of(v, "person.name").alias("name"), F.get(own, F.lit(0)).alias("id"), F.size(own).alias("n_ids"),
-        scalars.corrected_id(F.lit("PAPER B"), F.lit("2025"), number).alias("previous"), scalars.activity_text(F.when(key % 3 == 0, F.lit(" - ")), F.concat(F.lit("  of  "), F.col("c_mktsegment"))).alias("activity"),
+def _raw_notices(s, d):
+    """Customers as raw notices: objects and lists, malformed and missing JSON, odd dates, blanks in identifiers."""
+    key, lit, text = F.col("c_custkey"), F.lit, lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    ident = F.lpad(key.cast("string"), 9, "8")
+    person = text('{"typePersonne": "pm", "activite": " Of  ', F.col("c_mktsegment"), ' "}')
+    persons = F.when(key % 97 == 0, "{bad").when(key % 2 == 0, text('{"personne": ', person, "}")).otherwise(text('{"personne": [', person, ', {"typePersonne": "pp"}]}'))
+    number = F.when(key % 5 == 0, text('"', key % 4000 + 1, '"')).when(key % 5 == 1, text(key % 4000 + 1)).otherwise(lit('"x"'))
+    return table(s, d, "customer").select(
+        text("A", key).alias("id"), F.when(key % 2 == 0, "A").otherwise("B").alias("publicationavis"), text("2025", key % 90 + 10).alias("parution"),
+        F.when(key % 7 == 0, "01/02/2024").otherwise(text("2024-02-", key % 19 + 10)).alias("dateparution"), (key % 500).alias("numeroannonce"), lit("annonce").alias("typeavis"),
+        F.col("c_mktsegment").alias("familleavis"), F.col("c_nationkey").alias("numerodepartement"), F.col("c_name").alias("tribunal"), F.when(key % 3 != 0, "Town").alias("ville"), F.lpad((key % 9999).cast("string"), 5, "0").alias("cp"),
+        F.when(key % 13 != 0, F.array(ident, F.concat_ws(" ", F.substring(ident, 1, 3), F.substring(ident, 4, 3), F.substring(ident, 7, 3)), lit("12 34"), lit("987654321"))).alias("registre"),
+        persons.alias("listepersonnes"), F.when(key % 3 == 0, '{"etablissement": {"activite": "Non Pr\u00e9cis\u00e9 "}}').when(key % 3 == 1, '{"etablissement": [{"activite": "Shop\\tNo 1"}]}').alias("listeetablissements"),
+        F.when(key % 4 != 3, text('{"famille": "f", "nature": "n', key % 3, '", "date": "2024-0', F.when(key % 6 == 0, "3-5").otherwise("3-05"), '"}')).otherwise("").alias("jugement"),
+        F.when(key % 4 == 0, '{"vente": {"categorieVente": "v"}}').when(key % 4 == 1, '{"vente": [{"categorieVente": "w"}], "creation": {"categorieCreation": "c"}}').alias("acte"),
+        F.when(key % 5 < 3, text('{"nomPublication": "PAPER B", "numeroParution": "2025", "numeroAnnonce": ', number, "}")).alias("parutionavisprecedent"),
     )
 
 
@@ -134,7 +140,7 @@ def notices(s, d) -> DataFrame:
     published = F.col("day")
     return orders(s, d).select(
         F.col("o_orderkey").alias("id"), F.when(F.col("o_orderkey") % 11 == 0, F.col("o_orderkey") - 1).alias("previous_id"), F.col("o_orderstatus").alias("kind"), F.col("o_orderpriority").alias("nature"),
-        published.alias("published"), F.when(F.col("o_orderkey") % 13 != 0, F.date_sub(published, ((F.col("o_orderkey") % 500) - 20).cast("int"))).alias("judged"),
+        published.alias("published"), F.when(F.col("o_orderkey") % 13 != 0, F.date_sub(published, ((F.col("o_orderkey") % 500) - 20).cast("int"))).alias("judged"), F.col("o_custkey").alias("parent"),
     )
 
 
@@ -155,6 +161,13 @@ def _latest(s, d):
     return registers.latest_version(items, ["l_orderkey", "l_linenumber"], [F.desc("shipped"), F.desc("l_extendedprice"), F.desc("l_partkey"), F.desc("l_suppkey")])
 
 
+def _names(s, d):
+    """Texts with the word CEDEX at the start, at the end, and inside other words."""
+    k, text = F.col("doc_id") % 5, F.col("text")
+    odd = F.when(k == 0, F.concat(F.lit("Cedex 9 "), text)).when(k == 1, F.concat(text, F.lit(" Cedexia"))).when(k == 2, F.concat(text, F.lit(" cedex 12"))).when(k == 3, F.concat(F.lit("Ste-"), text, F.lit(" PRECEDEX"))).otherwise(F.concat(F.lit("La "), text))
+    return table(s, d, "documents").select("doc_id", scalars.normalize_name(odd).alias("name"))
+
+
 def _places(s, d):
     return table(s, d, "nation").select(F.col("n_nationkey").alias("area"), (F.col("n_nationkey") % 7).alias("code"), scalars.normalize_name(F.concat(F.lit("Ste-"), "n_name", F.when(F.col("n_nationkey") % 3 == 0, " Cedex 9").otherwise(""))).alias("name"))
 
@@ -203,36 +216,28 @@ def _hierarchy(s, d):
     return dims.sector_hierarchy(codes, divisions, codes.select("section", F.initcap("section").alias("l")).distinct())
 
 
-def _events_union(s, d):
-    """Units, parents and notices as one stream of events with the same columns."""
-    from cellpub.operators.facts import events_union
-
-    return events_union(_creations_units(s, d), _creations_parents(s, d), _valid(s, d)).groupBy("indicator", "month", "area", "detail").agg(F.count("*").alias("n"))
-
-
 QUERIES = {
     "scan_table": _scan, "scan_union_by_name": _union_by_name, "extract_slice": _slice, "extract_related": _related, "months_to_read": _months, "skip_unchanged_version": _sources,
     "load_survey": _survey, "load_zoning": _zoning, "restrict_perimeter": _perimeter, "delta_since_watermark": _delta, "flatten_area": _areas, "json_flatten": _json,
-    "flatten_notice": _polymorphic, "flatten_current_period": _current, "stage_rename_type": _stage,
+    "flatten_notice": lambda s, d: registers.flatten_notice(_raw_notices(s, d)), "flatten_current_period": _current, "stage_rename_type": _stage,
     "load_hierarchy": lambda s, d: scans.load_hierarchy(order_events(s, d), ["detail", "division", "section"]),
     "empty_supplement": lambda s, d: scans.empty_supplement(table(s, d, "orders")).select("o_orderkey", "o_totalprice").unionByName(table(s, d, "orders").select("o_orderkey", "o_totalprice")),
-    "normalize_name": lambda s, d: table(s, d, "documents").select("doc_id", scalars.normalize_name(F.col("text")).alias("name")),
+    "normalize_name": _names,
     "fingerprint": lambda s, d: table(s, d, "documents").select("doc_id", scalars.fingerprint(F.lit("v1"), F.lit("model"), F.col("text")).alias("print")),
     "explode_codes": lambda s, d: table(s, d, "documents").select("doc_id", F.explode(F.split("text", " ")).alias("code")).groupBy("doc_id").agg(F.count("*").alias("n"), F.countDistinct("code").alias("codes")),
     "january_effect": lambda s, d: order_events(s, d).groupBy("month").count().select("month", scalars.january_effect(F.lit("creations_units"), F.col("month")).alias("january")),
     "merge_latest_wins": _merge, "latest_version": _latest, "valid_notices": _valid, "link_records": _links, "localised_events": _localised,
     "creations_units": _creations_units, "creations_parents": _creations_parents,
-    "month_status": lambda s, d: dims.month_status(dims.calendar(s, dt.date(1995, 1, 1), dt.date(2001, 12, 1)), F.lit(dt.date(2001, 8, 1)), 2),
     "area_dimension": lambda s, d: dims.area_dimension(table(s, d, "nation").select(F.col("n_nationkey").alias("area"), "n_name", "n_regionkey"), table(s, d, "region").where("r_regionkey < 4").select(F.col("r_regionkey").alias("n_regionkey"), "r_name"), "n_regionkey"),
-    "sector_hierarchy": _hierarchy, "sector_members": lambda s, d: dims.sector_members(order_events(s, d).select("division", "section")), "events_union": _events_union,
+    "sector_hierarchy": _hierarchy, "sector_members": lambda s, d: dims.sector_members(order_events(s, d).select("division", "section")),
 }
 
 O = "(select *, cast(o_orderdate as date) as day from orders)"
-NAME = r"""trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(trim(regexp_replace(upper(strip_accents(coalesce({0}, ''))), '[^A-Z0-9]+', ' ', 'g')), ' CEDEX.*$', ''), '\bSTE\b', 'SAINTE', 'g'), '\bST\b', 'SAINT', 'g'), '^(LE|LA|LES|L) ', ''))"""
+NAME = r"""regexp_replace(regexp_replace(regexp_replace(trim(regexp_replace(trim(regexp_replace(upper(strip_accents(coalesce({0}, ''))), '[^A-Z0-9]+', ' ', 'g')), '\bCEDEX\b.*$', '')), '\bSTE\b', 'SAINTE', 'g'), '\bST\b', 'SAINT', 'g'), '^(LE|LA|LES|L) ', '')"""
 NOTICES = f"""
 n as (
   select o_orderkey as id, case when o_orderkey % 11 = 0 then o_orderkey - 1 end as previous_id, o_orderstatus as kind, o_orderpriority as nature, day as published,
-         case when o_orderkey % 13 <> 0 then cast(day - cast(o_orderkey % 500 - 20 as int) as date) end as judged from {O}),
+         case when o_orderkey % 13 <> 0 then cast(day - cast(o_orderkey % 500 - 20 as int) as date) end as judged, o_custkey as parent from {O}),
 v0 as (
   select *, case when kind = 'F' then 'closing' when lower(kind) = 'o' then 'opening' when nature ilike '%urgent%' then 'other_urgent' end as event
   from n where id not in (select previous_id from n where previous_id is not null)),
@@ -263,6 +268,12 @@ lk as (
   select event, code, name, parent, coalesce(ex, un, seat) as area, case when ex is not null then 'code_and_name' when un is not null then 'code' when seat is not null then 'seat' else 'none' end as method, seat is not null as in_register
   from ev left join ex using (code, name) left join un using (code) left join st using (parent))"""
 
+LOCALISED = f"""{LINKS}, e as ({EVENTS}), s as (select distinct division, section from e),
+x as (
+  select event, area, method, case when event % 3 = 0 then 'register' when event % 5 < 2 then 'label' else 'none' end as sector_source,
+         case when event % 3 = 0 then c_mktsegment || '/1-URGENT' when event % 5 = 0 then c_mktsegment || '/5-LOW' when event % 5 = 1 then c_mktsegment || '_ND' else 'ZZ' end as division
+  from lk join customer on c_custkey = event)"""
+
 ORACLES = {
     "scan_table": "select r_regionkey, r_name from region",
     "scan_union_by_name": "select p_partkey, case when p_size <= 25 then p_brand end as p_brand, case when p_size > 25 then p_size end as p_size from part",
@@ -271,7 +282,7 @@ ORACLES = {
     "months_to_read": f"""with m as (select date_trunc('month', day) as m, max(day) as last from {O} group by 1),
 c as (select strftime(m, '%Y-%m') as month from m where last + case when month(m) in (3, 7) then 0 else 10 end >= cast(last_day(m) + 3 as date))
 select strftime(g, '%Y-%m') as month from (select unnest(generate_series(date '1999-01-01', date '2001-08-01', interval 1 month)) as g) where strftime(g, '%Y-%m') not in (select month from c)""",
-    "skip_unchanged_version": "select n_name as source, 'v' || n_regionkey as version, 'all' as filter from nation where n_regionkey = 3",
+    "skip_unchanged_version": "select n_name as source, 'v' || n_regionkey as version, 'all' as filter from nation where n_regionkey = 3 or cast(substring(n_name, 8) as int) % 4 = 0",
     "load_survey": """select cast(year(l_shipdate) as int) as year, p_type as kind, p_brand as brand, case when count(*) >= 3 then cast(count(*) as int) end as projects,
   case when count(*) filter (l_quantity > 40) >= 3 then cast(count(*) filter (l_quantity > 40) as int) end as hard, count(*) < 3 as secret from lineitem join part on l_partkey = p_partkey group by year(l_shipdate), p_type, p_brand""",
     "load_zoning": "select lpad(cast(n_nationkey as varchar), 5, '0') as area, n_name as label, cast(n_regionkey as varchar) as basin, 2026 as vintage from nation",
@@ -280,15 +291,21 @@ select strftime(g, '%Y-%m') as month from (select unnest(generate_series(date '1
     "flatten_area": """select cast(n_nationkey as varchar) as code, n_name as name, cast(n_regionkey as varchar) as parent, cast(count(*) as int) as population,
   coalesce(array_to_string(list_sort(list(distinct lpad(cast(c_custkey % 97 as varchar), 3, '0')) filter (c_custkey % 50 = 7)), ','), '') as postal_codes from customer join nation on c_nationkey = n_nationkey group by all""",
     "json_flatten": "select event_id, cast(json_extract(props, '$.k') as bigint) as k, cast(ts as date) as day from events",
-    "flatten_notice": """select c_custkey, case when c_custkey % 97 <> 0 then c_name end as name, lpad(cast(c_custkey as varchar), 9, '8') as id, 1 as n_ids,
-  case when c_custkey % 5 <> 0 then 'B2025' || (c_custkey % 4000) end as previous, 'of ' || c_mktsegment as activity from customer""",
+    "flatten_notice": """select 'A' || c_custkey as id, case when c_custkey % 2 = 0 then 'A' else 'B' end as publication, '2025' || (c_custkey % 90 + 10) as issue,
+  case when c_custkey % 7 <> 0 then cast('2024-02-' || (c_custkey % 19 + 10) as date) end as published, cast(c_custkey % 500 as varchar) as number, 'annonce' as notice_type, c_mktsegment as family,
+  cast(c_nationkey as varchar) as department, c_name as court, case when c_custkey % 3 <> 0 then 'Town' end as town, lpad(cast(c_custkey % 9999 as varchar), 5, '0') as postal_code,
+  case when c_custkey % 13 <> 0 then lpad(cast(c_custkey as varchar), 9, '8') end as company, case when c_custkey % 13 <> 0 then 2 else 0 end as n_companies,
+  case when c_custkey % 97 <> 0 then 'pm' end as person_type, case when c_custkey % 4 <> 3 then 'f' end as judgment_family, case when c_custkey % 4 <> 3 then 'n' || (c_custkey % 3) end as judgment_nature,
+  case when c_custkey % 4 <> 3 and c_custkey % 6 <> 0 then date '2024-03-05' end as judged, case c_custkey % 4 when 0 then 'v' when 1 then 'w' end as sale_category, case c_custkey % 4 when 1 then 'c' end as creation_category,
+  case when c_custkey % 5 < 2 then 'B2025' || (c_custkey % 4000 + 1) end as previous_id,
+  case when c_custkey % 3 = 1 then 'Shop No 1' when c_custkey % 97 <> 0 then 'Of ' || c_mktsegment end as activity from customer""",
     "flatten_current_period": """select l_orderkey, cast(l_shipdate as date) as begins, l_partkey as part from lineitem
   qualify row_number() over (partition by l_orderkey order by cast(l_shipdate as date) desc, l_partkey desc, l_suppkey desc, l_linenumber desc, l_quantity desc) = 1""",
     "stage_rename_type": """select lpad(cast(c_custkey as varchar), 9, '0') as id, cast(c_nationkey as varchar) as area, case when c_custkey % 4 <> 0 then c_mktsegment end as code, c_nationkey = 0 as is_first,
   c_nationkey || '-' || case when c_custkey % 10 <> 0 then c_name end as seat, cast(round(c_acctbal, 0) as bigint) as balance, case when c_nationkey <= 12 then 'old' else 'new' end as vintage from customer""",
     "load_hierarchy": f"select distinct detail, division, section from ({EVENTS})",
     "empty_supplement": "select o_orderkey, o_totalprice from orders",
-    "normalize_name": f"select doc_id, {NAME.format('text')} as name from documents",
+    "normalize_name": f"""select doc_id, {NAME.format("case doc_id % 5 when 0 then 'Cedex 9 ' || text when 1 then text || ' Cedexia' when 2 then text || ' cedex 12' when 3 then 'Ste-' || text || ' PRECEDEX' else 'La ' || text end")} as name from documents""",
     "fingerprint": "select doc_id, left(sha256('v1|model|' || text), 16) as print from documents",
     "explode_codes": "select doc_id, count(*) as n, count(distinct code) as codes from (select doc_id, unnest(string_split(text, ' ')) as code from documents) group by doc_id",
     "january_effect": f"select distinct month, month(month) = 1 as january from ({EVENTS})",
@@ -297,23 +314,11 @@ select strftime(g, '%Y-%m') as month from (select unnest(generate_series(date '1
   qualify row_number() over (partition by l_orderkey, l_linenumber order by cast(l_shipdate as date) desc, l_extendedprice desc, l_partkey desc, l_suppkey desc) = 1""",
     "valid_notices": f"with {NOTICES} select * from v",
     "link_records": f"with {LINKS} select event, code, name, parent, area, method, in_register from lk",
-    "localised_events": f"""with {LINKS}, e as ({EVENTS}), s as (select distinct division, section from e),
-x as (
-  select event, area, method, case when event % 3 = 0 then 'register' when event % 5 < 2 then 'label' else 'none' end as sector_source,
-         case when event % 3 = 0 then c_mktsegment || '/1-URGENT' when event % 5 = 0 then c_mktsegment || '/5-LOW' when event % 5 = 1 then c_mktsegment || '_ND' else 'ZZ' end as division
-  from lk join customer on c_custkey = event)
+    "localised_events": f"""with {LOCALISED}
 select x.*, s.section from x left join s using (division)""",
     "creations_units": f"with {UNITS} select * from cu",
     "creations_parents": f"with {UNITS} select * from cp",
-    "month_status": """select cast(g as date) as month, strftime(g, '%Y-%m') as period, case when g > date '2001-08-01' then 'not_covered' when g > date '2001-06-01' then 'provisional' else 'final' end as status
-  from (select unnest(generate_series(date '1995-01-01', date '2001-12-01', interval 1 month)) as g)""",
     "area_dimension": "select n_regionkey, n_nationkey as area, n_name, r_name from nation left join (select * from region where r_regionkey < 4) on n_regionkey = r_regionkey",
     "sector_hierarchy": f"""select distinct division || '/' || detail as code, division, section, case when division not like '%LOW' then lower(division) end as division_label, upper(left(section, 1)) || lower(substring(section, 2)) as section_label from ({EVENTS})""",
     "sector_members": f"with e as ({EVENTS}) select distinct division, section from e union all select distinct section || '_ND', section from e union all select 'ZZ', 'ZZ'",
-    "events_union": f"""with {UNITS}, {NOTICES},
-x as (
-  select 'creations_units' as indicator, month, cast(area as varchar) as area, case when is_takeover then 'takeover' else 'new' end as detail from cu where not is_future
-  union all select 'creations_parents', month, cast(area as varchar), case when is_takeover then 'takeover' else 'new' end from cp where not is_future
-  union all select event, cast(date_trunc('month', event_date) as date), null, procedure from v where event is not null)
-select indicator, month, area, detail, count(*) as n from x group by all""",
 }

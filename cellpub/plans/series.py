@@ -120,6 +120,7 @@ QUERIES = {
     "top_k_sectors": lambda s, d: series.top_k(divisions(s, d), [], "value", "division", 15),
     "top_k_by_section": lambda s, d: series.top_k(divisions(s, d), ["section"], "value", "division", 3),
     "top_k_jobs": lambda s, d: series.top_k(survey.with_rates(survey.jobs_by_family(surveyed(s, d), ["job"])), [], "projects", "job", 20),
+    "latest_jobs": lambda s, d: series.latest_ranked(survey.with_rates(survey.jobs_by_family(surveyed(s, d), ["year", "job"])), "year", "projects", "job"),
     "rank_areas": lambda s, d: series.rank_areas(windows(s, d, "area"), population(s, d), "2001-06", "2000-06"),
     "sector_table": _sector_table, "balance": _balance,
     "arg_max_row": lambda s, d: series.arg_max(population(s, d).join(table(s, d, "nation").select(F.col("n_nationkey").cast("string").alias("area"), "n_regionkey"), "area"), ["n_regionkey"], "population", "area"),
@@ -179,6 +180,7 @@ g as (select area, section, max(value) filter (w = '2001-06') as value, max(valu
     "top_k_sectors": f"with {DIV} select *, cast(row_number() over (order by value desc, division) as int) as rank, (select count(*) from dv where value is null) as masked from dv where value is not null order by value desc, division limit 15",
     "top_k_by_section": f"with {DIV} select section, division, value, cast(row_number() over w as int) as rank, m as masked from (select *, count(*) filter (value is null) over (partition by section) as m from dv) where value is not null window w as (partition by section order by value desc, division) qualify row_number() over w <= 3",
     "top_k_jobs": f"with {SURVEY}, j as ({_survey_sql('job')}) select *, cast(row_number() over (order by projects desc, job) as int) as rank, (select count(*) from j where projects is null) as masked from j where projects is not null order by projects desc, job limit 20",
+    "latest_jobs": f"with {SURVEY}, j as ({_survey_sql('year, job')}) select * from j where year = (select max(year) from j)",
     "rank_areas": f"""with e as ({EVENTS}), {POP}, w as (select area, {SPAN} as w, case when count(*) >= 10 then count(*) end as value from e where {SPAN} is not null group by all),
 g as (select area, max(value) filter (w = '2001-06') as value, max(value) filter (w = '2000-06') as before from w group by all)
 select area, value, before, case when before <> 0 then value / before - 1 end as change, population, value * 1000 / population as per_1000, cast(row_number() over (order by value desc nulls last, area) as int) as rank from g join pop using (area)""",

@@ -57,8 +57,16 @@ def months_to_read(spark: SparkSession, start: dt.date, today: dt.date, manifest
     return months.join(closed, "month", "left_anti")
 
 
-def sources_to_read(sources: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Sources whose version or filter differs from the manifest's."""
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def sources_to_read(sources: DataFrame, manifest: DataFrame, files: dict[str, str] | None = None) -> DataFrame:
+    """Sources whose version or filter differs from the manifest's, or whose extract (``files``: source to path, a few) is not there any more."""
+    if files is not None:
+        there = [name for name, path in files.items() if path_exists(sources.sparkSession, path)]
+        manifest = manifest.where(F.col("source").isin(*there)) if there else manifest.limit(0)
     return sources.join(manifest, ["source", "version", "filter"], "left_anti")
 
 

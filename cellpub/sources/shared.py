@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; one is made only where none is set, as in tests."""
+    """The session's checkpoint folder; one is made only where none is set and all runs in one process, as in tests. On a cluster executors would not share it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.conf.get("spark.master", "local").startswith("local[") and spark.conf.get("spark.master", "local") != "local":
+            raise ValueError("spark.checkpoint.dir is not set: it names the folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder

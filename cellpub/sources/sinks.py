@@ -12,12 +12,33 @@ from pyspark.sql import functions as F
 LOG = "run string, source string, status string, rows long, error string, started timestamp, ended timestamp, details map<string,string>"
 
 
+def _replace(spark: SparkSession, written: str, path: str) -> None:
+    """Put a table that is written whole where readers look for it; the old one stays until then, and is put back if the new one can't be moved."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    new, old, place = (hadoop.Path(p) for p in (written, f"{path}.old-{uuid.uuid4().hex}", path))
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    had = fs.exists(place)
+    if had and not fs.rename(place, old):
+        raise OSError(f"{path} can't be moved away")
+    if not fs.rename(new, place):
+        if had:
+            fs.rename(old, place)
+        raise OSError(f"{written} can't be moved to {path}")
+    if had:
+        fs.delete(old, True)
+
+
 def write_typed(df: DataFrame, path: str, schema: str) -> int:
-    """Write with exactly these columns and types (a column that does not cast is an error) and return the rows, counted on the way. Empty tables keep their schema."""
+    """Write with exactly these columns and types (a column that does not cast is an error) and return the rows, counted on the way. Empty tables keep their schema.
+
+    The table is written beside its place and moved there when it is whole, so a write that fails leaves the old table as it was.
+    """
     wanted = df.sparkSession.createDataFrame([], schema).schema
     seen = Observation(f"write-{uuid.uuid4().hex}")
     typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted])
-    typed.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("compression", "zstd").parquet(path)
+    part = f"{path}.part-{uuid.uuid4().hex}"
+    typed.observe(seen, F.count(F.lit(1)).alias("rows")).write.option("compression", "zstd").parquet(part)
+    _replace(df.sparkSession, part, path)
     return seen.get["rows"]
 
 
@@ -65,3 +86,15 @@ def published(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 def last_entries(log: DataFrame, n: int = 60) -> DataFrame:
     return log.orderBy(F.desc("ended"), "run").limit(n)
+
+
+def publication_meta(sources: DataFrame, log: DataFrame, months: DataFrame, notices: DataFrame, published: str) -> DataFrame:
+    """source, vintage, extracted, first_period, last_period, last_published: what a reader has to know about each source.
+
+    ``sources(source, vintage)``: the version in use; ``log``: run entries, of which the last success of each source tells when it was extracted (null if there is none);
+    ``months(period)``: the published months; ``notices``: their last date of publication is one for all. A row for each source.
+    """
+    ok = log.where("status = 'ok'").groupBy("source").agg(F.to_date(F.max("ended")).alias("extracted"))
+    bounds = months.agg(F.min("period").alias("first_period"), F.max("period").alias("last_period"))
+    last = notices.agg(F.max(published).alias("last_published"))
+    return sources.select("source", "vintage").join(ok, "source", "left").crossJoin(F.broadcast(bounds)).crossJoin(F.broadcast(last))

@@ -12,7 +12,7 @@ from cellpub.operators.registers import latest_version, merge_latest_wins
 def merge_stream(deltas: DataFrame, table: str, keys: list[str], treated: str, checkpoint: str) -> StreamingQuery:
     """Start a query that keeps ``<table>/v<batch>`` up to date: version n is version n - 1 with batch n merged in.
 
-    A batch that is run again after a failure writes its own version again, so each delta counts once.
+    A batch that is run again after a failure writes its own version again, so each delta counts once. The last two versions stay: readers of the one before finish undisturbed.
     """
 
     def merge(batch: DataFrame, n: int) -> None:
@@ -20,6 +20,8 @@ def merge_stream(deltas: DataFrame, table: str, keys: list[str], treated: str, c
         newest = latest_version(batch, keys, [F.desc(treated), *[F.col(c) for c in batch.columns if c != treated]])
         whole = newest if n == 0 else merge_latest_wins(spark.read.parquet(f"{table}/v{n - 1}"), newest, keys)
         whole.write.mode("overwrite").parquet(f"{table}/v{n}")
+        old = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/v{n - 2}")
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
     return deltas.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
