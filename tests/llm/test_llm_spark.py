@@ -445,3 +445,63 @@ def test_quality_sample_has_a_row_a_document(spark):
     found = quality_classifier.sample(stats, labels, "quality", F.lit(True))
     assert found.columns == ["doc_id", "a", "label"]
     assert sorted(map(tuple, found.collect())) == [(1, 0.5, 1), (2, 0.2, 0)]
+
+
+def test_header_names_that_differ_in_case_only(spark):
+    rows = [
+        (1, "response", "http://a.org", 1, 200, {"ETag": '"x"', "etag": '"x"', "VIA": "b", "Via": "a"}, "d"),
+        (2, "revisit", "http://a.org", 2, 304, {"ETAG": 'W/"x"', "etag": 'W/"x"', "Age": None, "age": "3"}, None),
+        (3, "revisit", "http://a.org", 3, 304, {"Etag": '"x"', "ETag": '"y"'}, None),
+        (4, "revisit", "http://a.org", 4, 304, {}, None),
+    ]
+    schema = "record_id long, warc_type string, url string, date long, status int, headers map<string,string>, payload_digest string"
+    found = {r.record_id: r for r in warc.resolved(spark.createDataFrame(rows, schema)).collect()}
+    assert {i: r.verdict for i, r in found.items()} == {2: "resolved", 3: "changed", 4: "unchecked"}
+    assert found[2].headers == {"etag": 'W/"x"', "age": "3", "via": "b, a"} and found[3].headers == {"etag": '"y", "x"'}
+
+
+@pytest.fixture(scope="module")
+def scored(spark):
+    small = "/root/testdata/sf0.01"
+    return {name: (QUERIES[name](spark, small).collect(), label) for name, label in (("op5_quality_classifier", "quality"), ("op10_toxicity", "toxic"))}
+
+
+def test_held_out_accuracy(spark, scored):
+    """Rows whose labels were not learnt from. Toxic documents that are missed hold no toxic word in any form."""
+    for name, (rows, label) in scored.items():
+        truth = {r.doc_id: r[label] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+        pairs = [(r.predicted, truth[r.doc_id]) for r in rows if r.held_out and r.doc_id in truth]
+        hit, wrong, missed = (sum(p == a and t == b for p, t in pairs) for a, b in ((1, 1), (1, 0), (0, 1)))
+        print(f"{name}: {hit} found, {wrong} wrong, {missed} missed of {len(pairs)}")
+        assert all(0 <= r.score <= 1 for r in rows) and len(rows) == spark.read.parquet("/root/testdata/sf0.01/documents.parquet").count()
+        assert wrong <= 0.01 * len(pairs) and hit >= (0.75 if label == "toxic" else 0.98) * (hit + missed)
+
+
+def test_toxicity_does_not_depend_on_partitions_or_held_out_labels(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.where("doc_id < 400").unionByName(docs.where("doc_id < 60"))
+    flipped = labels.withColumn("toxic", F.when(_remainder(3) == 1, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    scores = [Counter((r.doc_id, round(r.score, 12)) for r in toxicity.toxicity(d, x, _remainder(3) != 1).collect()) for d, x in ((docs.coalesce(1), labels), (docs.repartition(7, F.rand(1)), flipped))]
+    assert scores[0] == scores[1]
+
+
+def test_registered_queries_without_sql_run(spark):
+    n = {t: spark.read.parquet(f"{SF}/{t}.parquet").count() for t in ("documents", "pages")}
+    for name in sorted(set(QUERIES) - set(ORACLES) - {"op5_quality_classifier", "op10_toxicity"}):
+        rows = QUERIES[name](spark, SF).collect()
+        if name == "op1_best_fit_packing":
+            assert len({r.doc_id for r in rows}) == n["documents"] and any(r.bin_length == 2048 for r in rows)
+        else:
+            assert len(rows) == n["pages" if name == "op8_html_text" else "documents"], name
+
+
+def test_hot_join_is_a_join(spark, monkeypatch):
+    from cellpub.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    rows = spark.createDataFrame([(k, i) for k, n in ((1, 40), (2, 3), (3, 9), (4, 1)) for i in range(n)], "k long, i int")
+    groups = rows.where("k <> 4").groupBy("k").agg(F.count("*").alias("group_rows"), F.max("i").alias("most"))
+    for how in ("inner", "left"):
+        for bound in (100, 1):
+            monkeypatch.setattr(common, "BROADCAST_ROWS", bound)
+            assert Counter(map(tuple, common.hot_join(rows, groups, ["k"], how).select("k", "i", "most").collect())) == Counter(map(tuple, rows.join(groups, "k", how).select("k", "i", "most").collect()))
