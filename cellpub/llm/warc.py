@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellpub.llm.common import sorted_table
+from cellpub.llm.common import sorted_table, stored
 
 #: Headers that describe the stored body or the connection, which a 304 does not change.
 NOT_UPDATED = (
@@ -42,10 +42,13 @@ def canonical_url(url: Column) -> Column:
 
 def lower_names(headers: Column) -> Column:
     """Headers by lower-case name. Values of names that differ in case only are one list, as repeated headers are: joined in the order of the names, equal ones once."""
+    lower = F.transform(F.map_keys(headers), F.lower)
     entries = F.transform(F.array_sort(F.map_entries(headers)), lambda e: F.struct(F.lower(e["key"]).alias("name"), e["value"].alias("value")))
     names = F.array_distinct(F.transform(entries, lambda e: e["name"]))
     values = lambda n: F.array_compact(F.array_distinct(F.transform(F.filter(entries, lambda e: e["name"] == n), lambda e: e["value"])))
-    return F.map_from_arrays(names, F.transform(names, lambda n: F.when(F.size(values(n)) > 0, F.array_join(values(n), ", "))))
+    combined = F.map_from_arrays(names, F.transform(names, lambda n: F.when(F.size(values(n)) > 0, F.array_join(values(n), ", "))))
+    # Mostly no two names are alike in lower case.
+    return F.when(F.size(F.array_distinct(lower)) == F.size(lower), F.map_from_arrays(lower, F.map_values(headers))).otherwise(combined)
 
 
 def resolved(records: DataFrame) -> DataFrame:
@@ -57,7 +60,7 @@ def resolved(records: DataFrame) -> DataFrame:
     full = F.coalesce((F.col("warc_type") == "response") & (F.col("status") == 200), F.lit(False))
     rows = records.where(F.col("warc_type").isin("response", "revisit")).select("record_id", "warc_type", canonical_url(F.col("url")).alias("url_key"), "date", "status", lower.alias("headers"), "payload_digest")
     # At one date, revisits come before responses.
-    rows = sorted_table(rows.withColumn("is_full", full), ["url_key", "date", "is_full", "record_id"], "records")
+    rows = sorted_table(stored(rows.withColumn("is_full", full), "crawl"), ["url_key", "date", "is_full", "record_id"], "records")
     response = F.struct("url_key", F.col("record_id").alias("id"), F.col("date").alias("at_date"), "status", "payload_digest", "headers")
     before = Window.partitionBy("part", "url_key").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     near = rows.withColumn("near", F.last(F.when(F.col("is_full"), response), ignorenulls=True).over(before)).where("warc_type = 'revisit'")
