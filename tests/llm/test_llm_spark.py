@@ -467,7 +467,7 @@ def scored(spark):
 
 
 def test_held_out_accuracy(spark, scored):
-    """Rows whose labels were not learnt from. Toxic documents that are missed hold no toxic word in any form."""
+    """Rows whose labels were not learnt from."""
     for name, (rows, label) in scored.items():
         truth = {r.doc_id: r[label] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
         pairs = [(r.predicted, truth[r.doc_id]) for r in rows if r.held_out and r.doc_id in truth]
