@@ -13,7 +13,8 @@ integers (rates count in billionths), so neither partitioning nor order changes
 Rates become copies by systematic rounding along the sizes: up to every size, the copies of a source differ from its
 rates by at most one half, so its tokens differ by at most half of its longest document. That rest is then worked off with
 documents of the fitting size, the largest first. Which documents of a (source, size) cell
-get the extra copy follows from a hash; cells are ranked in bounded buckets, as one may hold a third of all rows.
+get the extra copy follows from a hash; as a cell may hold a third of all rows, it is ranked in buckets, whose number and whose rows both grow with
+the square root of its rows only.
 
 Defined cases: null text has size 0 and is never taken; a null source is a source of its own and comes last; repeated
 rows are documents of their own; with no words at all, all targets are 0; very long texts count whole; an empty table gives an empty table;
@@ -31,8 +32,8 @@ from cellpub.llm.common import content_key, running_sum, sorted_table, stored, w
 WEIGHTS, SHARE_PERCENT, MOST = (3, 1, 2), 150, 2
 #: Rates count in units of 1 / UNIT. A source is through when its tokens are this near its target; more rounds than these are an error (brackets halve at least).
 UNIT, TOLERANCE, ROUNDS = 1_000_000_000, 1e-6, 80
-#: Rows of a cell that are ranked together.
-BUCKET = 20_000
+#: A cell of n rows is ranked in sqrt(n) / NARROW buckets of NARROW * sqrt(n) rows.
+NARROW = 4
 
 
 def source_key(source_col: str) -> Column:
@@ -48,7 +49,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rates = balanced(cells, sources)
     taken = corrected(rounded(rates))
 
-    buckets = F.ceil(F.col("n") / BUCKET)
+    buckets = F.ceil(F.sqrt(F.col("n").cast("double")) / NARROW)
     place = F.xxhash64("doc_id", "content_key")
     ranked = rows.join(taken, ["source", "size"]).withColumns({"place": place, "bucket": F.pmod(place, buckets)})
     in_bucket = Window.partitionBy("source", "size", "bucket").orderBy("place", "doc_id")

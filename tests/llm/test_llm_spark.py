@@ -211,6 +211,16 @@ def test_mixing(spark, empty):
     assert mixing.mixed_documents(empty).count() == mixing.take_copies(empty).count() == 0
 
 
+def test_a_large_cell_is_ranked_in_many_buckets(spark):
+    """Documents of one size, with repeated rows and null ids, take as many copies as their cell has, whatever bucket they are in."""
+    rows = [(i, "v " * 10, "a") for i in range(1500)] + [(7, "v " * 10, "a")] * 5 + [(None, "v " * 10, "a")] * 3 + [(i, "v " * 10, "b") for i in range(40)] + [(5000, "v", "c")]
+    found = mixing.mixed_documents(spark.createDataFrame(rows, "doc_id long, text string, source string")).toPandas()
+    assert len(found) == len(rows) and found["copies"].between(0, mixing.MOST).all()
+    for _, own in found[found["size"] == 10].groupby("source"):
+        assert abs(own["taken"].sum() - own["target"].iloc[0]) <= 10
+    assert 0 < (found["copies"] == 1).sum() < len(rows)
+
+
 def test_mixing_rates_solve_the_dual(spark):
     """The multipliers found by distributed Newton steps are those of a plain bisection."""
     rng = random.Random(2)
