@@ -23,7 +23,7 @@ other columns are not read, and ``take_copies`` passes them on.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from cellpub.llm.common import content_key, running_sum, sorted_table, stored, word_count
@@ -104,14 +104,22 @@ def rate(multiplier: Column, x: Column) -> Column:
     return F.lit(float(MOST)) / (1 + (MOST - 1) * F.exp(F.greatest(F.lit(-700.0), F.least(F.lit(700.0), -multiplier * x))))
 
 
+def _counted(rows: DataFrame, what: Column, name: str) -> tuple[DataFrame, int]:
+    """``rows``, stored, and how many of them are so, counted as they are written. Tasks that ran twice may count twice, but never some as none."""
+    seen = Observation(name)
+    rows = stored(rows.observe(seen, F.count_if(what).alias("n")), name)
+    return rows, seen.get["n"]
+
+
 def balanced(cells: DataFrame, sources: DataFrame) -> DataFrame:
     """The cells with the columns of their source and ``rate`` in billionths; stored."""
     mean = F.col("source_size") / F.col("docs")
-    state = sources.select("*", F.lit(0.0).alias("multiplier"), F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"), F.col("full").alias("through"))
-    state = stored(state.withColumn("through", F.col("full") | (F.col("source_size") == 0)), "state")
+    none = F.lit(None).cast("double")
+    state = sources.select("*", F.lit(0.0).alias("multiplier"), none.alias("low"), none.alias("high"), (F.col("full") | (F.col("source_size") == 0)).alias("through"))
+    state, left = _counted(state, ~F.col("through"), "state")
     x = F.col("size") / mean
     for k in range(ROUNDS + 1):
-        if state.where(~F.col("through")).isEmpty():
+        if not left:
             break
         if k == ROUNDS:
             raise ArithmeticError(f"multipliers are not found after {ROUNDS} rounds")
@@ -132,7 +140,8 @@ def balanced(cells: DataFrame, sources: DataFrame) -> DataFrame:
         newton = F.col("multiplier") - F.greatest(-longest, F.least(longest, step))
         inside = (F.col("low").isNull() | (newton > F.col("low"))) & (F.col("high").isNull() | (newton < F.col("high")))
         next_one = F.when(F.col("through") | F.col("near"), F.col("multiplier")).when(inside, newton).otherwise((F.col("low") + F.col("high")) / 2)
-        state = stored(now.select(*[c for c in state.columns if c not in ("multiplier", "through")], next_one.alias("multiplier"), (F.col("through") | F.col("near")).alias("through")), "state")
+        now = now.select(*[c for c in state.columns if c not in ("multiplier", "through")], next_one.alias("multiplier"), (F.col("through") | F.col("near")).alias("through"))
+        state, left = _counted(now, ~F.col("through"), "state")
     state = state.select("source", "source_size", "docs", "target", "full", "multiplier")
     r = F.when(F.col("full"), F.lit(MOST * UNIT)).otherwise((rate(F.col("multiplier"), x) * UNIT).cast("long"))
     return stored(cells.join(state, "source").select("source", "size", "n", "source_size", "target", F.when(F.col("size") > 0, r).otherwise(0).cast("long").alias("rate")), "rates")
@@ -154,15 +163,17 @@ def corrected(cells: DataFrame) -> DataFrame:
 
     Each round makes the gap of every source that has such a cell smaller, so the rounds end; mostly they are two or three.
     """
+    cells = stored(cells, "extra")
     while True:
-        cells = stored(cells, "extra")
         tokens = F.sum((F.col("whole") * F.col("n") + F.col("extra")) * F.col("size"))
         gaps = cells.groupBy("source").agg((F.round(F.first("target")).cast("long") - tokens).alias("gap")).where("gap <> 0")
         free = F.when(F.col("gap") > 0, F.col("n") - F.col("extra")).otherwise(F.col("extra"))
         fitting = cells.where(f"size > 0 and whole < {MOST}").join(gaps, "source").withColumn("free", free).where("free > 0 and size <= abs(gap)")
         step = fitting.groupBy("source").agg(F.max(F.struct("size", "free", "gap")).alias("m")).select("source", "m.*")
         changes = F.least("free", F.floor(F.abs("gap") / F.col("size")).cast("long")) * F.signum("gap").cast("long")
-        step = stored(step.select("source", "size", changes.alias("change")), "changes")
-        if step.isEmpty():
+        step = step.select("source", "size", changes.alias("change"))
+        after = cells.join(step, ["source", "size"], "left").withColumn("change", F.coalesce("change", F.lit(0)))
+        after, changed = _counted(after.withColumn("extra", F.col("extra") + F.col("change")), F.col("change") != 0, "extra")
+        if not changed:
             return cells
-        cells = cells.join(step, ["source", "size"], "left").withColumn("extra", F.col("extra") + F.coalesce("change", F.lit(0))).drop("change")
+        cells = after.drop("change")
