@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from cellpub.sources.shared import shared_folder
 from cellpub.llm.exact_dedup import exact_groups
+from cellpub.llm.hard_negatives import hard_negatives
 from cellpub.llm.html_text import extracted
+from cellpub.llm.language_id import languages
 from cellpub.llm.mixing import mixed_documents
 from cellpub.llm.near_dedup import near_groups
 from cellpub.llm.packing import packed
+from cellpub.llm.prefix_trie import rebuilt, trie
 from cellpub.llm.quality_classifier import quality
 from cellpub.llm.quality_rules import quality_verdicts
 from cellpub.llm.token_store import read_digests, write_store
@@ -80,6 +83,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_verdict(toxicity(_docs(spark, sf_dir), labels, _remainder(3) != 1), _remainder(3) == 1, 0.7)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv_id")
+    borrowed = (F.crc32(conv.cast("string").cast("binary")) % 6).cast("int")
+    return trie(rebuilt(spark.read.parquet(f"{sf_dir}/conversations.parquet"), conv - conv % 100, borrowed))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = languages(_docs(spark, sf_dir), _remainder(3) != 1)
+    return found.select("doc_id", (_remainder(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding", label, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_rules": op2_quality_rules,
@@ -91,6 +110,9 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_language_id": op12_language_id,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES = {
@@ -200,4 +222,48 @@ select cast(record_id as bigint) as record_id, url_key, cast(date as bigint) as
          case when modified is not null then 'last-modified: ' || modified when ok then 'last-modified: ' || its_modified end]
          if x is not null], chr(10)) as headers
 from h""",
+    "op11_prefix_trie": r"""
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
+o as (
+  select conv_id, md5(length(role) || ':' || role || text) as id, length(text) as chars,
+         row_number() over (partition by conv_id order by turn nulls first, role, text) - 1 as i
+  from t),
+c as (
+  select conv_id, conv_id - conv_id % 100 as head,
+         xor(list_reduce(list_concat([4294967295::ubigint], [ascii(x)::ubigint for x in string_split(cast(conv_id as varchar), '')]),
+           lambda crc, b: list_reduce(list_concat([xor(crc, b)], [0, 0, 0, 0, 0, 0, 0, 0]::ubigint[]),
+             lambda x, k: case when (x & 1) = 1 then xor(x >> 1, 3988292384::ubigint) else x >> 1 end)), 4294967295::ubigint) % 6 as h
+  from (select distinct conv_id from o)),
+r as (
+  select c.conv_id, 0 as own, i, id, chars from c join o on o.conv_id = c.head where i < h
+  union all select c.conv_id, 1, i, id, chars from c join o on o.conv_id = c.conv_id where i >= h),
+s as (
+  select c.conv_id, coalesce(list(id order by own, i) filter (id is not null), []) as seq, coalesce(list(chars order by own, i) filter (id is not null), []) as lens
+  from c left join r using (conv_id) group by c.conv_id),
+p as (select conv_id, seq, lens, unnest(range(0, len(seq) + 1)) as depth from s),
+n as (
+  select array_to_string(seq[1:depth], '') as k, any_value(case when depth > 0 then array_to_string(seq[1:depth - 1], '') end) as up, depth, any_value(seq[1:depth]) as seq,
+         min(conv_id) as conv_id, count(*) as n_convs, any_value(case when depth > 0 then lens[depth] else 0 end) as chars,
+         sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (len(p.seq) = depth), '')) as ends_sha256
+  from p group by k, depth),
+ch as (select up as k, count(*) as n_children from n where up is not null group by up),
+m as (select n.*, coalesce(n_children, 0) as n_children from n left join ch using (k)),
+b as (
+  select k, count(*) filter (n_children = 0) as n_leaves, sum((n_convs - 1) * chars) as saved
+  from (select array_to_string(seq[1:d], '') as k, n_convs, chars, n_children from (select *, unnest(range(0, depth + 1)) as d from m)) group by k)
+select m.conv_id, m.depth, u.conv_id as parent_conv_id, m.n_convs, m.n_children, b.n_leaves, cast(b.saved as bigint) as saved_tokens, m.ends_sha256
+from m join b using (k) left join n u on u.k = m.up""",
+    "op13_hard_negatives": r"""
+with e as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, [floor(256 * cast(x as double)) for x in embedding] as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+s as (
+  select a.vec_id as a, b.vec_id as b, a.label = b.label as same, cast(list_inner_product(a.v, b.v) as bigint) as score
+  from e a join e b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+p as (select a, b, score from s where same qualify row_number() over (partition by a order by score desc, b) <= 5)
+select p.a as anchor_id, p.b as positive_id, cast(row_number() over w as int) as rank, n.b as negative_id, p.score as positive_score, n.score as negative_score
+from p join s n on n.a = p.a and not n.same and 80 * p.score <= 100 * n.score and n.score <= p.score
+window w as (partition by p.a, p.b order by n.score desc, n.b) qualify row_number() over w <= 5""",
 }
