@@ -5,12 +5,14 @@ A check's rows are (item, n): what violates it and how often.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellpub.functions.scalars import threshold_status
+from cellpub.operators.quantiles import exact_quantiles
 
 
 def _rows(df: DataFrame, item: Column, n: Column | None = None) -> DataFrame:
@@ -61,9 +63,9 @@ def no_empty_month(calendar: DataFrame, facts: DataFrame) -> DataFrame:
 
 
 def volume_drop(series: DataFrame, least_share: float = 0.4) -> DataFrame:
-    """Months below a share of the median month; n is the month's value. The median is one row."""
-    median = series.agg(F.median("value").alias("median"))
-    low = series.crossJoin(F.broadcast(median)).where(F.col("value") < least_share * F.col("median"))
+    """Months below a share of the median month; n is the month's value."""
+    (median,) = exact_quantiles(series, "value", [0.5])
+    low = series.where(F.col("value") < F.lit(least_share) * F.lit(median).cast("double"))
     return _rows(low, F.date_format("month", "yyyy-MM"), F.col("value"))
 
 
@@ -83,10 +85,73 @@ def freshness(loaded: DataFrame, reference: Column, warn_days: int, error_days:
     return rows.withColumn("status", status)
 
 
-def check_report(checks: dict[str, tuple[str, DataFrame]]) -> DataFrame:
-    """check, severity, violations, failing_rows, status for ``{name: (severity, violations)}``; checks of severity warn don't block."""
-    parts = [df.agg(F.count("*").alias("violations"), F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("failing_rows")).select(F.lit(name).alias("check"), F.lit(severity).alias("severity"), "*") for name, (severity, df) in checks.items()]
-    report = reduce(lambda a, b: a.unionByName(b), parts)
+@dataclass(frozen=True)
+class Rule:
+    """A check by what tables add to the groups of its items: rows of the left and of the right side. ``parts``: (table, side, item, rows that add one).
+
+    ``kind`` says which groups violate it, given n rows on the left and m on the right, and how many rows fail:
+    repeated (n > 1: n), any (n > 0: n), orphan (n > 0, m = 0: n), uncovered (n > 0, m = 0: 1), empty (n = 0, m > 0: 1), differ (n <> m: the difference),
+    low (n below ``share`` of the median n of the check's groups, which should be few: n).
+    """
+
+    name: str
+    severity: str
+    kind: str
+    parts: tuple[tuple[str, str, Column, Column], ...]
+    share: float | None = None
+
+
+def _text(c: Column | str) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("string")
+
+
+def unique_rule(name: str, table: str, *keys: Column | str, severity: str = "error") -> Rule:
+    present = reduce(lambda a, b: a & b, [_text(k).isNotNull() for k in keys])
+    return Rule(name, severity, "repeated", ((table, "left", F.concat_ws("|", *map(_text, keys)), present),))
+
+
+def not_null_rule(name: str, table: str, column: str, value: Column | None = None, severity: str = "error") -> Rule:
+    return Rule(name, severity, "any", ((table, "left", F.lit(column), (F.col(column) if value is None else value).isNull()),))
+
+
+def value_rule(name: str, table: str, value: Column | str, holds: Column, severity: str = "error") -> Rule:
+    """Accepted values, expressions, dates: values that are not null must satisfy ``holds``."""
+    return Rule(name, severity, "any", ((table, "left", _text(value), _text(value).isNotNull() & ~holds),))
+
+
+def reference_rule(name: str, child: tuple[str, Column | str], parent: tuple[str, Column | str, Column], kind: str = "orphan", severity: str = "error") -> Rule:
+    """Values of (table, column) that none of (table, column, rows that count) has; or, of kind ``empty``, those of the second that the first lacks."""
+    (left, own), (right, its, counts) = child, parent
+    return Rule(name, severity, kind, ((left, "left", _text(own), _text(own).isNotNull()), (right, "right", _text(its), _text(its).isNotNull() & counts)))
+
+
+def check_report(tables: dict[str, DataFrame], rules: list[Rule], known: dict[str, tuple[str, int]] | None = None) -> DataFrame:
+    """check, severity, violations, failing_rows, status; checks of severity warn don't block. ``known``: checks that need no rows, as (severity, violations).
+
+    Each table is read once: a row adds to the groups (check, item) of all its rules, counts are combined before the one shuffle, and groups are judged by kind.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    parts: dict[str, list[Column]] = {}
+    for rule in rules:
+        for table, side, item, counts in rule.parts:
+            parts.setdefault(table, []).append(F.when(counts, F.struct(F.lit(rule.name).alias("check"), item.alias("item"), F.lit(side).alias("side"))))
+    rows = reduce(lambda a, b: a.unionByName(b), [tables[t].select(F.explode(F.array_compact(F.array(*adds))).alias("x")).select("x.*") for t, adds in parts.items()])
+    groups = rows.groupBy("check", "item").agg(F.count_if(F.col("side") == "left").alias("n"), F.count_if(F.col("side") == "right").alias("m"))
+    kinds = spark.createDataFrame([(r.name, r.severity, r.kind, r.share) for r in rules], "check string, severity string, kind string, share double")
+    judged = groups.join(F.broadcast(kinds.select("check", "kind")), "check")
+    n, m, kind = F.col("n"), F.col("m"), F.col("kind")
+    bad = F.when(kind == "repeated", n > 1).when(kind == "any", n > 0).when(kind.isin("orphan", "uncovered"), (n > 0) & (m == 0)).when(kind == "empty", (n == 0) & (m > 0)).when(kind == "differ", n != m).otherwise(False)
+    weight = F.when(kind.isin("uncovered", "empty"), F.lit(1)).when(kind == "differ", F.abs(n - m)).otherwise(n)
+    low = F.when(kind == "low", n)
+    found = judged.groupBy("check").agg(F.count_if(bad).alias("violations"), F.sum(F.when(bad, weight)).alias("failing_rows"), F.collect_list(low).alias("ns"), F.median(low).alias("median"))
+    report = F.broadcast(kinds).join(found, "check", "left").withColumn("low", F.filter("ns", lambda x: x < F.col("share") * F.col("median")))
+    is_low = F.col("kind") == "low"
+    report = report.select(
+        "check", "severity", F.coalesce(F.when(is_low, F.size("low")).otherwise(F.col("violations")), F.lit(0)).cast("long").alias("violations"),
+        F.coalesce(F.when(is_low, F.aggregate("low", F.lit(0).cast("long"), lambda t, x: t + x)).otherwise(F.col("failing_rows")), F.lit(0)).cast("long").alias("failing_rows"),
+    )
+    if known:
+        report = report.unionByName(spark.createDataFrame([(name, severity, k, k) for name, (severity, k) in known.items()], report.schema))
     return report.withColumn("status", F.when(F.col("violations") == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail"))
 
 

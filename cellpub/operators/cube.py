@@ -1,27 +1,61 @@
 """A dense multi-grain cube with exactly the grains that are published, and its additive relations.
 
 Cells: indicator, ptype ('M' month, 'Y' twelve months), period, geo (area or TOTAL), level, sector, value. Levels: T all sectors, S section,
-D division, P type of event. Grains: months by area and in total (T), by section (S) and by type (P) in total; windows by
-area and in total (T, S), by division (D) and by type (P) in total.
+D division, P type of event. Each indicator has its own months, those that its source covers, and types or none; ``specification`` and ``periods`` say so in tables,
+and cells, skeleton and relations follow by joins with them.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KEY = ["indicator", "ptype", "period", "geo", "level", "sector"]
 
+#: The published grains as (ptype, level, geo kind). Those of level P are only for indicators with types.
+GRAINS = [
+    ("M", "T", "area"), ("M", "T", "TOTAL"), ("M", "S", "TOTAL"), ("M", "P", "TOTAL"),
+    ("Y", "T", "area"), ("Y", "T", "TOTAL"), ("Y", "S", "area"), ("Y", "S", "TOTAL"), ("Y", "D", "TOTAL"), ("Y", "P", "TOTAL"),
+]
+
+#: Each relation with the grains of its parts and of its totals.
+RELATIONS = {
+    "areas": ([("M", "T", "area")], [("M", "T", "TOTAL")]),
+    "sections": ([("M", "S", "TOTAL")], [("M", "T", "TOTAL")]),
+    "types": ([("M", "P", "TOTAL")], [("M", "T", "TOTAL")]),
+    "sections_of_geo": ([("Y", "S", "area"), ("Y", "S", "TOTAL")], [("Y", "T", "area"), ("Y", "T", "TOTAL")]),
+    "areas_of_sector": ([("Y", "T", "area"), ("Y", "S", "area")], [("Y", "T", "TOTAL"), ("Y", "S", "TOTAL")]),
+    "types_of_year": ([("Y", "P", "TOTAL")], [("Y", "T", "TOTAL")]),
+    "divisions": ([("Y", "D", "TOTAL")], [("Y", "S", "TOTAL")]),
+    "months": ([("M", "T", "area"), ("M", "T", "TOTAL"), ("M", "S", "TOTAL"), ("M", "P", "TOTAL")], [("Y", "T", "area"), ("Y", "T", "TOTAL"), ("Y", "S", "TOTAL"), ("Y", "P", "TOTAL")]),
+}
+#: Relations that only indicators with types have.
+OF_TYPES = ["types", "types_of_year"]
+
+
+def trailing_windows(months: DataFrame) -> DataFrame:
+    """(indicator, window, month): twelve months up to an indicator's last final one and the twelve before, each only if its first month is published.
+
+    ``months``: indicator, month, status; published months only.
+    """
+    ends = months.groupBy("indicator").agg(F.max(F.when(F.col("status") == "final", F.col("month"))).alias("last"), F.min("month").alias("first"))
+    spans = ends.select("indicator", "first", F.explode(F.array("last", F.add_months("last", -12))).alias("until")).where(F.add_months("until", -11) >= F.col("first"))
+    days = F.explode(F.sequence(F.add_months("until", -11), F.col("until"), F.expr("interval 1 month")))
+    return spans.select("indicator", F.date_format("until", "yyyy-MM").alias("window"), days.alias("month"))
 
-def trailing_windows(months: DataFrame, last: dt.date) -> DataFrame:
-    """(window, month): twelve months up to ``last`` and the twelve before, each only if all its months are there."""
-    spans = months.sparkSession.createDataFrame([(last.strftime("%Y-%m"), last), (f"{last.year - 1}-{last.month:02d}", last.replace(year=last.year - 1))], "window string, until date")
-    rows = spans.select("window", F.explode(F.sequence(F.add_months("until", -11), F.col("until"), F.expr("interval 1 month"))).alias("month"))
-    rows = rows.join(months.select("month").distinct(), "month")
-    full = rows.groupBy("window").count().where("count = 12").select("window")
-    return rows.join(full, "window", "left_semi")
+
+def specification(indicators: DataFrame, types: DataFrame) -> DataFrame:
+    """(indicator, ptype, level, geo_kind): the grains of each indicator. ``types``: indicator, detail. All are dimensions."""
+    grains = indicators.sparkSession.createDataFrame(GRAINS, "ptype string, level string, geo_kind string")
+    typed = types.select("indicator", F.lit("P").alias("level")).distinct()
+    every = indicators.select("indicator").crossJoin(grains)
+    return every.where("level <> 'P'").unionByName(every.join(typed, ["indicator", "level"], "left_semi").select(every.columns))
+
+
+def periods(months: DataFrame, windows: DataFrame) -> DataFrame:
+    """(indicator, month, ptype, period): what a month's facts count for."""
+    monthly = months.select("indicator", "month", F.lit("M").alias("ptype"), "period")
+    return monthly.unionByName(windows.select("indicator", "month", F.lit("Y").alias("ptype"), F.col("window").alias("period")))
 
 
 def domain_violations(facts: DataFrame, sectors: DataFrame) -> DataFrame:
@@ -29,43 +63,28 @@ def domain_violations(facts: DataFrame, sectors: DataFrame) -> DataFrame:
     return facts.join(sectors, "division", "left_anti").groupBy("division").agg(F.count("*").alias("n_rows"))
 
 
-def _grains(facts: DataFrame, ptype: str, grains: list[tuple[list[str], str, str, str]]) -> DataFrame:
-    """One pass over the facts for all grains: ``(columns, level, geo, sector)`` of each, by grouping sets."""
-    columns = ["indicator", "period", "area", "section", "division", "detail"]
-    sets = [["indicator", "period", *own] for own, *_ in grains]
-    grouped = facts.groupingSets(sets, *columns).agg(F.grouping_id().alias("grain"), F.sum("value").alias("value"))
-    # grouping_id has a bit, the first column's highest, for each column that is not in the set.
-    code = lambda own: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in ("indicator", "period", *own))
-    pick = lambda at: F.coalesce(*[F.when(F.col("grain") == code(g[0]), F.lit(g[at]) if g[at].isupper() else F.col(g[at])) for g in grains])
-    return grouped.select("indicator", F.lit(ptype).alias("ptype"), "period", pick(2).alias("geo"), pick(1).alias("level"), pick(3).alias("sector"), F.col("value").cast("long").alias("value"))
-
+def cube_cells(facts: DataFrame, months: DataFrame, windows: DataFrame, spec: DataFrame, other: str = "other") -> DataFrame:
+    """Cells that have facts. ``facts``: indicator, month, area, section, division, detail, value; months that are not published for the indicator are ignored, a null detail
+    is ``other``.
 
-def cube_cells(facts: DataFrame, months: DataFrame, windows: DataFrame) -> DataFrame:
-    """Cells that have facts. ``facts``: indicator, month, area, section, division, detail, value; other months are ignored, a null detail is 'other'."""
-    known = facts.join(F.broadcast(months.select("month", F.col("period"))), "month").withColumn("detail", F.coalesce("detail", F.lit("other")))
-    monthly = _grains(known, "M", [(["area"], "T", "area", "ALL"), ([], "T", "TOTAL", "ALL"), (["section"], "S", "TOTAL", "section"), (["detail"], "P", "TOTAL", "detail")])
-    # 24 rows at most, so the windows are broadcast.
-    spanned = known.drop("period").join(F.broadcast(windows.withColumnRenamed("window", "period")), "month")
-    yearly = _grains(spanned, "Y", [
-        (["area"], "T", "area", "ALL"), ([], "T", "TOTAL", "ALL"), (["area", "section"], "S", "area", "section"), (["section"], "S", "TOTAL", "section"),
-        (["division"], "D", "TOTAL", "division"), (["detail"], "P", "TOTAL", "detail"),
-    ])
-    return monthly.unionByName(yearly)
+    A fact is dealt to its periods and grains before it is summed up, so there is one shuffle, of partial sums. Periods and grains are dimensions.
+    """
+    dealt = facts.join(F.broadcast(periods(months, windows)), ["indicator", "month"]).join(F.broadcast(spec), ["indicator", "ptype"])
+    level = F.col("level")
+    sector = F.when(level == "T", "ALL").when(level == "S", F.col("section")).when(level == "D", F.col("division")).otherwise(F.coalesce("detail", F.lit(other)))
+    geo = F.when(F.col("geo_kind") == "TOTAL", "TOTAL").otherwise(F.col("area"))
+    return dealt.withColumns({"geo": geo, "sector": sector}).groupBy(*KEY).agg(F.sum("value").cast("long").alias("value"))
 
 
-def skeleton(indicators: DataFrame, months: DataFrame, windows: DataFrame, areas: DataFrame, sectors: DataFrame, types: DataFrame) -> DataFrame:
+def skeleton(months: DataFrame, windows: DataFrame, spec: DataFrame, areas: DataFrame, sectors: DataFrame, types: DataFrame) -> DataFrame:
     """Every cell of the specification. All sides are dimensions, so the products have the size of the result."""
     whole = areas.sparkSession.range(1)
-    geo = areas.select(F.col("area").alias("geo")).unionByName(whole.select(F.lit("TOTAL").alias("geo")))
-    total, t = whole.select(F.lit("TOTAL").alias("geo")), whole.select(F.lit("T").alias("level"), F.lit("ALL").alias("sector"))
-    s = sectors.select(F.lit("S").alias("level"), F.col("section").alias("sector")).distinct()
-    d = sectors.select(F.lit("D").alias("level"), F.col("division").alias("sector")).distinct()
-    p = types.select(F.lit("P").alias("level"), F.col("detail").alias("sector"))
-    m = months.select(F.lit("M").alias("ptype"), "period")
-    y = windows.select(F.lit("Y").alias("ptype"), F.col("window").alias("period")).distinct()
-    parts = [m.crossJoin(geo).crossJoin(t), m.crossJoin(total).crossJoin(s.unionByName(p)), y.crossJoin(geo).crossJoin(t.unionByName(s)), y.crossJoin(total).crossJoin(d.unionByName(p))]
-    cells = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
-    return indicators.crossJoin(cells).select(*KEY)
+    geos = areas.select(F.lit("area").alias("geo_kind"), F.col("area").alias("geo")).unionByName(whole.select(F.lit("TOTAL").alias("geo_kind"), F.lit("TOTAL").alias("geo")))
+    all_, s, d = whole.select(F.lit("T").alias("level"), F.lit("ALL").alias("sector")), sectors.select(F.lit("S").alias("level"), F.col("section").alias("sector")), sectors.select(F.lit("D").alias("level"), F.col("division").alias("sector"))
+    own = types.select("indicator", F.lit("P").alias("level"), F.col("detail").alias("sector")).distinct()
+    grains = spec.join(all_.unionByName(s).unionByName(d).distinct(), "level").unionByName(spec.join(own, ["indicator", "level"]), allowMissingColumns=True)
+    spans = periods(months, windows).select("indicator", "ptype", "period").distinct()
+    return grains.join(spans, ["indicator", "ptype"]).join(geos, "geo_kind").select(*KEY)
 
 
 def densify(cells: DataFrame, every: DataFrame) -> DataFrame:
@@ -73,36 +92,25 @@ def densify(cells: DataFrame, every: DataFrame) -> DataFrame:
     return every.join(cells, KEY, "left").withColumn("value", F.coalesce("value", F.lit(0).cast("long")))
 
 
-def additive_relations(cells: DataFrame, sectors: DataFrame, windows: DataFrame) -> DataFrame:
-    """(rel, key of a cell, is_total): parts and total of each additive relation, in long form."""
-
-    def of(rows: DataFrame, name: str, by: list[str], is_total: Column) -> DataFrame:
-        return rows.select(F.concat_ws("|", F.lit(name), "indicator", *by).alias("rel"), *KEY, is_total.alias("is_total"))
-
-    month, year, total = F.col("ptype") == "M", F.col("ptype") == "Y", F.col("geo") == "TOTAL"
-    level = lambda *x: F.col("level").isin(*x)
-    out = [
-        of(cells.where(month & level("T")), "areas", ["period"], total),
-        of(cells.where(month & total & level("T", "S")), "sections", ["period"], level("T")),
-        of(cells.where(month & total & level("T", "P")), "types", ["period"], level("T")),
-        of(cells.where(year & level("T", "S")), "sections_of_geo", ["period", "geo"], level("T")),
-        of(cells.where(year & level("T", "S")), "areas_of_sector", ["period", "level", "sector"], total),
-        of(cells.where(year & total & level("T", "P")), "types_of_year", ["period"], level("T")),
-    ]
-    parents = sectors.select(F.col("division").alias("sector"), F.col("section").alias("parent")).distinct()
-    divisions = cells.where(year & total & level("D")).join(F.broadcast(parents), "sector")
-    sections = cells.where(year & total & level("S")).withColumn("parent", F.col("sector"))
-    out.append(of(divisions.select(*KEY, "parent").unionByName(sections.select(*KEY, "parent")), "divisions", ["period", "parent"], level("S")))
-    # Twelve months and their window: for areas (T), sections and types in total.
-    has_months = (level("T")) | (level("S", "P") & total)
-    own = cells.where(year & has_months).withColumn("span", F.col("period"))
-    spans = windows.select(F.col("window").alias("span"), F.date_format("month", "yyyy-MM").alias("period"))
-    months = cells.where(month & has_months).join(F.broadcast(spans), "period")
-    out.append(of(own.select(*KEY, "span").unionByName(months.select(*KEY, "span")), "months", ["span", "geo", "level", "sector"], year))
-    rows = out[0]
-    for one in out[1:]:
-        rows = rows.unionByName(one)
-    return rows
+def additive_relations(cells: DataFrame, sectors: DataFrame, windows: DataFrame, spec: DataFrame) -> DataFrame:
+    """(rel, key of a cell, is_total): parts and total of each additive relation, in long form. Cells are read once and dealt to their relations.
+
+    ``sectors``: division, section. A month is a part of each window that it is in.
+    """
+    spark = cells.sparkSession
+    rows = [(name, *grain, total) for name, (parts, totals) in RELATIONS.items() for total, grains in ((False, parts), (True, totals)) for grain in grains]
+    roles = spark.createDataFrame(rows, "name string, ptype string, level string, geo_kind string, is_total boolean")
+    typed = spec.where("level = 'P'").select("indicator").distinct()
+    of = spec.join(roles, ["ptype", "level", "geo_kind"])
+    of = of.where(~F.col("name").isin(*OF_TYPES)).unionByName(of.where(F.col("name").isin(*OF_TYPES)).join(typed, "indicator", "left_semi").select(of.columns))
+    spans = windows.groupBy("indicator", F.date_format("month", "yyyy-MM").alias("period")).agg(F.collect_list("window").alias("spans")).withColumn("ptype", F.lit("M"))
+    parents = sectors.select(F.lit("D").alias("level"), F.col("division").alias("sector"), F.col("section").alias("parent")).distinct()
+    dealt = cells.withColumn("geo_kind", F.when(F.col("geo") == "TOTAL", "TOTAL").otherwise("area")).join(F.broadcast(of), ["indicator", "ptype", "level", "geo_kind"])
+    dealt = dealt.join(F.broadcast(spans), ["indicator", "ptype", "period"], "left").join(F.broadcast(parents), ["level", "sector"], "left")
+    is_ = lambda *names: F.col("name").isin(*names)
+    span = F.explode(F.when(is_("months") & (F.col("ptype") == "M"), F.col("spans")).otherwise(F.array("period")))
+    more = F.when(is_("sections_of_geo"), F.col("geo")).when(is_("areas_of_sector"), F.concat_ws("|", "level", "sector")).when(is_("divisions"), F.coalesce("parent", "sector")).when(is_("months"), F.concat_ws("|", "geo", "level", "sector"))
+    return dealt.select(*KEY, "is_total", "name", more.alias("more"), span.alias("span")).select(F.concat_ws("|", "name", "indicator", "span", "more").alias("rel"), *KEY, "is_total")
 
 
 def relation_gaps(members: DataFrame, cells: DataFrame) -> DataFrame:

@@ -36,6 +36,13 @@ def months_of(months: DataFrame, source: str) -> DataFrame:
     return months.select("month", "period", F.col(f"{source}_status").alias("status"))
 
 
+def published_months(months: DataFrame, indicators: DataFrame) -> DataFrame:
+    """indicator, month, period, status of the months that the source of each indicator covers. ``indicators``: indicator, source; a few rows."""
+    sources = [months_of(months, source).withColumn("source", F.lit(source)) for source in ("register", "notice")]
+    covered = sources[0].unionByName(sources[1]).where("status <> 'not_covered'")
+    return covered.join(F.broadcast(indicators), "source").select("indicator", "month", "period", "status")
+
+
 def area_dimension(areas: DataFrame, basins: DataFrame, key: str = "area") -> DataFrame:
     return areas.join(basins, key, "left")
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellpub.operators.cube import KEY
-from cellpub.sources.shared import kept
+from cellpub.sources.shared import counted, kept
 
 THRESHOLD = 5
 
@@ -22,19 +22,29 @@ def primary_suppression(cells: DataFrame, threshold: int = THRESHOLD) -> DataFra
 def secondary_suppression(cells: DataFrame, members: DataFrame, most_rounds: int = 100) -> DataFrame:
     """In every relation with exactly one masked member, the smallest positive other one is masked too ('s'), until none is left.
 
-    All relations of a round see the same state, so the result does not depend on partitions. Counts and minima of a relation
-    are combined before the shuffle, so a relation with very many members is a few rows there. Each round is stored; the
-    driver reads whether it masked anything.
+    All relations of a round see the same state, so the result does not depend on partitions. Members get the number of their cell once and are stored by relation; cells are
+    not written again. A round stores how many of its new masks each relation got (a row for each relation touched) and the masks that follow, so what it writes is in proportion
+    to new masks. Only relations that were touched and have one masked member now are searched: any other was searched when it came to have one. Counts and minima are combined before
+    the shuffle, so a relation with very many members is a few rows there. The driver reads how many masks a round made.
     """
-    cells, members = kept(cells, "cells"), kept(members.select("rel", *KEY), "members")
+    cells = kept(cells.withColumn("__cell", F.monotonically_increasing_id()), "cells")
+    own = members.select("rel", *KEY).join(cells.select(*KEY, "__cell", "value", "mask"), KEY)
+    order = F.when(F.col("value") > 0, F.struct("value", *KEY, "__cell"))
+    own = kept(own.select("rel", "__cell", order.alias("free"), F.col("mask").isNotNull().alias("primary")), "members")
+    counts = kept(own.where("primary").groupBy("rel").agg(F.count("*").alias("masked")), "counts")
+    touched, masks = counts, None
     for _ in range(most_rounds):
-        state = members.join(cells.select(*KEY, "value", "mask"), KEY)
-        free = F.when(F.col("mask").isNull() & (F.col("value") > 0), F.struct("value", *KEY))
-        single = state.groupBy("rel").agg(F.count("mask").alias("masked"), F.min(free).alias("least")).where("masked = 1 and least is not null")
-        chosen = kept(single.select(*[F.col(f"least.{k}").alias(k) for k in KEY]).distinct(), "chosen")
-        if chosen.isEmpty():
-            return cells
-        cells = kept(cells.join(chosen.withColumn("__new", F.lit(True)), KEY, "left").withColumn("mask", F.coalesce("mask", F.when(F.col("__new"), "s"))).drop("__new"), "cells")
+        single = touched.select("rel").join(counts, "rel").groupBy("rel").agg(F.sum("masked").alias("masked")).where("masked = 1").select("rel")
+        found = own.where("not primary and free is not null").join(single, "rel")
+        if masks is not None:
+            found = found.join(masks, "__cell", "left_anti")
+        new, n_new = counted(found.groupBy("rel").agg(F.min("free").alias("least")).select(F.col("least.__cell").alias("__cell")).distinct(), "masks")
+        if not n_new:
+            marked = cells if masks is None else cells.join(masks.withColumn("__new", F.lit("s")), "__cell", "left").withColumn("mask", F.coalesce("mask", "__new")).drop("__new")
+            return marked.drop("__cell")
+        touched = kept(own.join(new, "__cell").groupBy("rel").agg(F.count("*").alias("masked")), "counts")
+        counts = counts.unionByName(touched)
+        masks = new if masks is None else masks.unionByName(new)
     raise ValueError(f"not settled after {most_rounds} rounds")
 
 

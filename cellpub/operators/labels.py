@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 NONE = "ZZ"
@@ -55,32 +55,40 @@ def replace_in_cache(cache: DataFrame, new: DataFrame) -> DataFrame:
     return new.unionByName(cache.join(new.select("id").distinct(), "id", "left_anti"))
 
 
+def _rounded(cond: Column) -> Column:
+    return F.round(F.avg(cond.cast("int")), 3)
+
+
+def with_truth(scored: DataFrame, hierarchy: DataFrame, truth: DataFrame) -> DataFrame:
+    """What decisions need, with true_division and true_section, for the rows whose true division is in the hierarchy."""
+    true = truth.toDF("id", "true_division").join(hierarchy.select(F.col("division").alias("true_division"), F.col("section").alias("true_section")), "true_division")
+    return with_mass(scored, hierarchy).join(true, "id")
+
+
 def policy_grid(scored: DataFrame, hierarchy: DataFrame, truth: DataFrame, grid: DataFrame) -> DataFrame:
-    """By thresholds: shares and precision of each level, overall precision, share unassigned; null where a level is empty.
+    """By thresholds: shares and precision of each level, overall precision, share unassigned, to three decimals; null where a level is empty.
 
     ``grid``: t1, t2, a few rows, broadcast; the sample is read once for all of them.
     """
-    rows = with_mass(scored, hierarchy).join(truth.toDF("id", "true_division"), "id").join(hierarchy.select(F.col("division").alias("true_division"), F.col("section").alias("true_section")), "true_division")
-    rows = decided(rows.crossJoin(F.broadcast(grid)), F.col("t1"), F.col("t2"))
+    rows = decided(with_truth(scored, hierarchy, truth).crossJoin(F.broadcast(grid)), F.col("t1"), F.col("t2"))
     right = F.when(F.col("level") == "division", F.col("division") == F.col("true_division")).when(F.col("level") == "section", F.col("section") == F.col("true_section"))
     at = lambda level: F.col("level") == level
-    precision = lambda cond: F.avg(F.when(cond, right.cast("int")))
-    share = lambda level: F.avg(at(level).cast("int"))
+    precision = lambda cond: _rounded(F.when(cond, right))
     return rows.groupBy("t1", "t2").agg(
-        F.count("*").alias("n"), share("division").alias("share_division"), precision(at("division")).alias("precision_division"), share("section").alias("share_section"),
-        precision(at("section")).alias("precision_section"), precision(~at("none")).alias("precision"), share("none").alias("share_none"),
+        F.count("*").alias("n"), _rounded(at("division")).alias("share_division"), precision(at("division")).alias("precision_division"), _rounded(at("section")).alias("share_section"),
+        precision(at("section")).alias("precision_section"), precision(~at("none")).alias("precision"), _rounded(at("none")).alias("share_none"),
     )
 
 
-def calibration(scored: DataFrame, truth: DataFrame, bounds: tuple[float, ...] = (0.0, 0.5, 0.7, 0.8, 0.9)) -> DataFrame:
-    """By the lower bound of confidence: rows and share of right divisions."""
+def calibration(scored: DataFrame, truth: DataFrame, bounds: tuple[float, ...] = (0.0, 0.3, 0.5, 0.7, 0.9)) -> DataFrame:
+    """By the lower bound of confidence: rows and share of right divisions, to three decimals."""
     lower = F.array_max(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col("confidence")))
     rows = scored.join(truth.toDF("id", "true_division"), "id").withColumn("from_confidence", lower)
-    return rows.groupBy("from_confidence").agg(F.count("*").alias("n"), F.avg((F.col("division") == F.col("true_division")).cast("int")).alias("accuracy"))
+    return rows.groupBy("from_confidence").agg(F.count("*").alias("n"), _rounded(F.col("division") == F.col("true_division")).alias("accuracy"))
 
 
 def forced_accuracy(scored: DataFrame, hierarchy: DataFrame, truth: DataFrame) -> DataFrame:
-    """Accuracy of the best division and of the heaviest section without a policy; an empty sample is an error."""
-    rows = with_mass(scored, hierarchy).join(truth.toDF("id", "true_division"), "id").join(hierarchy.select(F.col("division").alias("true_division"), F.col("section").alias("true_section")), "true_division")
-    found = rows.agg(F.count("*").alias("n"), F.avg((F.col("choice") == F.col("true_division")).cast("int")).alias("division_accuracy"), F.avg((F.col("top_section") == F.col("true_section")).cast("int")).alias("section_accuracy"))
+    """Accuracy of the best division and of its section without a policy; a choice without a section is wrong. An empty sample is an error."""
+    right = lambda a, b: F.avg(F.coalesce(F.col(a) == F.col(b), F.lit(False)).cast("int"))
+    found = with_truth(scored, hierarchy, truth).agg(F.count("*").alias("n"), right("choice", "true_division").alias("division_accuracy"), right("own_section", "true_section").alias("section_accuracy"))
     return found.select(F.when(F.col("n") == 0, F.raise_error(F.lit("empty sample")).cast("long")).otherwise(F.col("n")).alias("n"), "division_accuracy", "section_accuracy")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellpub.functions.scalars import activity_text, classify_event, classify_procedure, corrected_id, economic_date, first_match, first_of, identifiers, incoherent_date, month_of, strict_date, tolerant_json
+from cellpub.functions.scalars import activity_text, classify_event, classify_procedure, corrected_id, economic_date, fallback_code, first_match, first_of, identifiers, incoherent_date, month_of, strict_date, tolerant_json
+from cellpub.operators.joins import lookup
 
 
 def merge_latest_wins(base: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
@@ -97,28 +98,37 @@ def creations_parents(parents: DataFrame, units: DataFrame, perimeter: DataFrame
     )
 
 
-def link_records(events: DataFrame, places: DataFrame, seats: DataFrame) -> DataFrame:
+def link_records(events: DataFrame, places: DataFrame, seats: DataFrame, parents: DataFrame) -> DataFrame:
     """The area of each event and the method that found it: code and name if one area has both, else the code if it is unique, else the registered seat.
 
-    ``events``: event, code, name, parent. ``places``: area, code, name. ``seats``: parent, area.
+    ``events``: event, code, name, parent. ``places``: area, code, name. ``seats``: parent, area, activity. ``parents``: parent, activity. Added are area, method,
+    in_register (the parent is registered, whether or not its seat is known) and activity, the parent's code, else its seat's. Events meet what is known of their
+    code once, and what is known of their parent once.
     """
-    exact = any_mapping(places, ["code", "name"], "area").where("n_values = 1").select("code", "name", F.col("area").alias("__exact"))
+    exact = any_mapping(places, ["code", "name"], "area").where("n_values = 1 and code is not null and name is not null")
+    names = exact.groupBy("code").agg(F.map_from_entries(F.collect_list(F.struct("name", "area"))).alias("__names"))
     unique = unique_mapping(places, ["code"], "area").withColumnRenamed("area", "__unique")
-    seat = any_mapping(seats, ["parent"], "area").select("parent", F.col("area").alias("__seat"))
-    found = events.join(exact, ["code", "name"], "left").join(unique, "code", "left").join(seat, "parent", "left")
-    area, method = first_match(("code_and_name", F.col("__exact")), ("code", F.col("__unique")), ("seat", F.col("__seat")))
-    return found.withColumns({"area": area, "method": F.coalesce(method, F.lit("none")), "in_register": F.col("__seat").isNotNull()}).drop("__exact", "__unique", "__seat")
+    seat = seats.groupBy("parent").agg(F.min("area").alias("__seat"), F.min("activity").alias("__seat_activity"))
+    register = seat.join(parents.select("parent", F.col("activity").alias("__own"), F.lit(True).alias("__registered")), "parent", "full")
+    found = lookup(lookup(events, names.join(unique, "code", "full"), ["code"]), register, ["parent"])
+    area, method = first_match(("code_and_name", F.try_element_at("__names", F.col("name"))), ("code", F.col("__unique")), ("seat", F.col("__seat")))
+    found = found.withColumns({
+        "area": area, "method": F.coalesce(method, F.lit("none")), "in_register": F.col("__registered").isNotNull(), "activity": F.coalesce("__own", "__seat_activity"),
+    })
+    return found.drop("__names", "__unique", "__seat", "__seat_activity", "__own", "__registered")
 
 
-def localised_events(linked: DataFrame, codes: DataFrame, labels: DataFrame, sectors: DataFrame) -> DataFrame:
-    """Linked events with their sector: the register's code, else that of the label, which is looked up only where the register has none.
+def localised_events(linked: DataFrame, codes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Linked events with their sector and where it comes from: the register's activity, else a label, which is looked up only where the register has none.
 
-    ``codes``: parent, division. ``labels``: event, label_division, label_section. ``sectors``: division, section.
+    ``codes``: activity, division, section. ``labels``: event, level ('division' or 'section'), label_division, label_section. The section is that of the activity, else the
+    label's, else ``ZZ``; the division too, with ``<section>_ND`` for a label of a section. An activity that ``codes`` lacks is ``ZZ``.
     """
-    known = linked.join(codes.select("parent", F.col("division").alias("__register")), "parent", "left")
-    labels = labels.withColumnRenamed("event", "__event")
-    both = known.join(labels, (F.col("event") == F.col("__event")) & F.col("__register").isNull(), "left")
-    source = F.when(F.col("__register").isNotNull(), "register").when(F.coalesce("label_division", "label_section").isNotNull(), "label").otherwise("none")
-    both = both.withColumns({"sector_source": source, "division": F.coalesce("__register", "label_division", F.concat("label_section", F.lit("_ND")), F.lit("ZZ"))})
-    section = sectors.select("division", "section")
-    return both.drop("__event", "__register", "label_division", "label_section").join(section, "division", "left")
+    known = lookup(linked, codes.select("activity", F.col("division").alias("__division"), F.col("section").alias("__section")), ["activity"])
+    asked = known.withColumn("__ask", F.when(F.col("activity").isNull(), F.col("event")))
+    both = lookup(asked, labels.select(F.col("event").alias("__ask"), "level", "label_division", "label_section"), ["__ask"])
+    source = F.when(F.col("activity").isNotNull(), "register").when(F.col("level") == "division", "label_division").when(F.col("level") == "section", "label_section").otherwise("none")
+    both = both.withColumns({
+        "sector_source": source, "division": fallback_code(F.col("__division"), F.col("label_division"), F.col("label_section")), "section": F.coalesce("__section", "label_section", F.lit("ZZ")),
+    })
+    return both.drop("__ask", "__division", "__section", "level", "label_division", "label_section")

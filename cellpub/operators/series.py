@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellpub.operators.quantiles import exact_quantiles
+
 
 def relative_change(value: Column, base: Column) -> Column:
     """value / base - 1; null if either is null or the base is 0."""
@@ -31,17 +33,16 @@ def isolated_points(series: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def atypical_months(series: DataFrame, keys: list[str], times: float = 2.0) -> DataFrame:
-    """Months above ``times`` the median of their series."""
+    """Months above ``times`` the median of their series, which has a row a month."""
     medians = series.groupBy(*keys).agg(F.median("value").alias("median"))
     return series.join(medians, keys).where(F.col("value") > times * F.col("median"))
 
 
 def quantile_classes(rates: DataFrame, value: str = "rate", classes: int = 5) -> DataFrame:
-    """Class 1 to ``classes`` of each positive rate, by quantiles of all; one row of bounds is joined to all rows."""
+    """Class 1 to ``classes`` of each positive rate, by the quantiles of all."""
     positive = rates.where(F.col(value) > 0)
-    bounds = positive.agg(F.percentile(value, F.array(*[F.lit(i / classes) for i in range(1, classes)])).alias("bounds"))
-    above = F.size(F.filter("bounds", lambda b: F.col(value) > b)) + 1
-    return positive.crossJoin(F.broadcast(bounds)).withColumn("class", above).drop("bounds")
+    bounds = exact_quantiles(positive, value, [i / classes for i in range(1, classes)])
+    return positive.withColumn("class", sum((F.when(F.col(value) > F.lit(b).cast("double"), 1).otherwise(0) for b in bounds), F.lit(1)))
 
 
 def headline(windows: DataFrame, keys: list[str], last: str, before: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -24,15 +24,17 @@ def with_rates(totals: DataFrame) -> DataFrame:
 def basin_overlap(zoning: DataFrame, perimeter: DataFrame, long_list: int = 20) -> DataFrame:
     """By basin: members, members inside and outside, the share of the perimeter's population, and the names outside, blank if there are more than ``long_list``.
 
-    ``zoning``: area, name, basin. ``perimeter``: area, population. Basins without a member inside are left out.
+    ``zoning``: area, name, basin. ``perimeter``: area, population. Basins without a member inside are left out. Of the names outside, each task keeps the first ``long_list`` + 1 of a
+    basin before they are shuffled, so a basin of any size is a short list.
     """
     inside = zoning.join(perimeter, "area", "left")
-    outside = F.when(F.col("population").isNull(), F.struct("name", "area"))
     rows = inside.groupBy("basin").agg(
-        F.count("*").alias("n_areas"), F.count("population").alias("n_inside"), (F.count("*") - F.count("population")).alias("n_outside"),
-        F.coalesce(F.sum("population"), F.lit(0)).cast("long").alias("population"), F.sort_array(F.collect_list(outside)).alias("outside"),
+        F.count("*").alias("n_areas"), F.count("population").alias("n_inside"), (F.count("*") - F.count("population")).alias("n_outside"), F.coalesce(F.sum("population"), F.lit(0)).cast("long").alias("population"),
     ).where("n_inside > 0")
+    rank = F.row_number().over(Window.partitionBy("basin").orderBy("name", "area"))
+    first = inside.where("population is null").select("basin", "name", "area").withColumn("rank", rank).where(F.col("rank") <= long_list + 1)
+    names = first.groupBy("basin").agg(F.sort_array(F.collect_list(F.struct("name", "area"))).alias("outside"))
     whole = perimeter.agg(F.sum("population").alias("whole"))
-    share = F.round(F.col("population") / F.col("whole"), 4)
-    names = F.when(F.col("n_outside") <= long_list, F.array_join("outside.name", ", "))
-    return rows.crossJoin(F.broadcast(whole)).select("basin", "n_areas", "n_inside", "n_outside", "population", share.alias("share"), names.alias("outside"))
+    listed = F.when(F.col("n_outside") <= long_list, F.array_join(F.coalesce(F.col("outside.name"), F.array().cast("array<string>")), ", "))
+    rows = rows.join(names, "basin", "left").crossJoin(F.broadcast(whole))
+    return rows.select("basin", "n_areas", "n_inside", "n_outside", "population", F.round(F.col("population") / F.col("whole"), 4).alias("share"), listed.alias("outside"))

@@ -1,6 +1,6 @@
 """Queries of the chain from events to the monthly fact: creations and localised notices, the calendar by source, the fact.
 
-Units and their parents are orders and customers, notices are orders, localised by their customer (see ``registers``).
+Units and their parents are orders and customers, notices are orders, which belong to their customer (see ``registers``).
 """
 
 from __future__ import annotations
@@ -9,18 +9,19 @@ from pyspark.sql import functions as F
 
 from cellpub.operators import dims, facts
 from cellpub.plans import registers as plan
-from cellpub.plans.tables import table
+from cellpub.sources.shared import kept
 
 INDICATORS = {"opening": "insolvencies", "closing": "closings"}
 REGISTER_MONTHS, NOTICE_MONTHS = 2, 1
 
 
 def events(s, d):
-    places = plan._localised(s, d).select(F.col("event").alias("parent"), "area", "section", "division")
-    notices = plan._valid(s, d).join(places, "parent").withColumn("month", F.trunc("event_date", "month"))
-    segment = F.col("c_mktsegment")
-    sectors = table(s, d, "customer").where(segment != "MACHINERY").select(segment.alias("code"), segment.alias("section"), F.concat(segment, F.lit("/1-URGENT")).alias("division")).distinct()
-    return facts.events_union(plan._creations_units(s, d), plan._creations_parents(s, d), notices, sectors, INDICATORS)
+    """Units are read once for both kinds of creations; notices are localised one by one."""
+    units = kept(plan.units(s, d), "units")
+    valid = plan._valid(s, d).select(F.col("id").alias("event"), "parent", F.col("event").alias("type"), "procedure", F.trunc("event_date", "month").alias("month"))
+    notices = plan.localised(s, d, valid).select(F.col("type").alias("event"), "month", "area", "section", "division", "procedure")
+    sectors = plan.codes(s, d).withColumnRenamed("activity", "code")
+    return facts.events_union(plan._creations_units(s, d, units), plan._creations_parents(s, d, units), notices, sectors, INDICATORS)
 
 
 def months(s, d):
@@ -29,19 +30,22 @@ def months(s, d):
     return dims.month_status(plan.orders(s, d).withColumn("treated", treated), "treated", F.max("day"), plan.START, REGISTER_MONTHS, NOTICE_MONTHS)
 
 
+def monthly_fact(s, d):
+    return facts.monthly_fact(events(s, d), plan.perimeter(s, d), months(s, d))
+
+
 QUERIES = {
     "events_union": lambda s, d: facts.counted(events(s, d), facts.EVENT),
     "month_status": months,
-    "monthly_fact": lambda s, d: facts.monthly_fact(events(s, d), plan.perimeter(s, d), months(s, d)),
+    "monthly_fact": monthly_fact,
 }
 
-UNION = f"""{plan.UNITS}, {plan.NOTICES}, {plan.LOCALISED},
-sec as (select distinct c_mktsegment as code, c_mktsegment as section, c_mktsegment || '/1-URGENT' as division from customer where c_mktsegment <> 'MACHINERY'),
+UNION = f"""{plan.UNITS}, {plan.NOTICES}, {plan.links_sql("select id as event, parent, event as type, procedure, event_date from v")},
 ev6 as (
-  select 'creations_units' as indicator, month, area, coalesce(section, 'ZZ') as section, coalesce(division, 'ZZ') as division, null as detail from cu left join sec using (code) where not is_takeover and not is_future
-  union all select 'creations_parents', month, area, coalesce(section, 'ZZ'), coalesce(division, 'ZZ'), null from cp left join sec using (code) where not is_takeover and not is_future
-  union all select case v.event when 'opening' then 'insolvencies' else 'closings' end, cast(date_trunc('month', event_date) as date), x.area, s.section, x.division, v.procedure
-  from v join x on x.event = v.parent left join s using (division) where v.event in ('opening', 'closing'))"""
+  select 'creations_units' as indicator, month, area, coalesce(section, 'ZZ') as section, coalesce(division, 'ZZ') as division, null as detail from cu left join na using (code) where not is_takeover and not is_future
+  union all select 'creations_parents', month, area, coalesce(section, 'ZZ'), coalesce(division, 'ZZ'), null from cp left join na using (code) where not is_takeover and not is_future
+  union all select case type when 'opening' then 'insolvencies' when 'closing' then 'closings' end, cast(date_trunc('month', event_date) as date), area, section, division, procedure
+  from x where type in ('opening', 'closing'))"""
 MONTHS = f"""
 bo as (select cast(date_trunc('month', max(day) filter (o_orderpriority = '1-URGENT' and day < date '2000-10-01')) as date) as last, cast(date_trunc('month', max(day)) as date) as today from {plan.O}),
 mo as (
@@ -50,10 +54,13 @@ mo as (
          case when g > today - interval 1 month then 'provisional' else 'final' end as notice_status
   from (select unnest(generate_series(date '1996-01-01', (select today from bo), interval 1 month)) as g), bo)"""
 
+FACT = f"""{UNION}, {MONTHS},
+mf as (
+  select indicator, ev6.month, area, section, division, detail, count(*) as value
+  from ev6 join a using (area) join mo on mo.month = ev6.month where not (indicator like 'creations%' and register_status = 'not_covered') group by all)"""
+
 ORACLES = {
     "events_union": f"with {UNION} select indicator, month, area, section, division, detail, count(*) as value from ev6 group by all",
     "month_status": f"with {MONTHS} select * from mo",
-    "monthly_fact": f"""with {UNION}, {MONTHS}
-select indicator, ev6.month, area, section, division, detail, count(*) as value
-from ev6 join a using (area) join mo on mo.month = ev6.month where not (indicator like 'creations%' and register_status = 'not_covered') group by all""",
+    "monthly_fact": f"with {FACT} select * from mf",
 }

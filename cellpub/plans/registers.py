@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +13,8 @@ from cellpub.operators import dims, registers
 from cellpub.plans.facts import EVENTS
 from cellpub.plans.tables import order_events, table
 from cellpub.sources import scans
-from cellpub.sources.shared import shared_folder
+from cellpub.sources.buckets import BucketTable
+from cellpub.sources.shared import own_folder
 
 START, REFERENCE = dt.date(1996, 1, 1), dt.date(2001, 6, 1)
 
@@ -30,7 +30,7 @@ def _scan(s, d):
 
 def _union_by_name(s, d):
     """Two slices of parts with different columns, written as two files and read as one table."""
-    path = f"{shared_folder(s)}/parts-by-size-{uuid.uuid4().hex}"
+    path = own_folder(s, "parts-by-size")
     part = table(s, d, "part")
     part.where("p_size <= 25").select("p_partkey", "p_brand").write.parquet(f"{path}/slice=1")
     part.where("p_size > 25").select("p_partkey", "p_size").write.parquet(f"{path}/slice=2")
@@ -156,6 +156,31 @@ def _merge(s, d):
     return registers.merge_latest_wins(base, base.where("o_orderkey % 7 = 0").withColumns({"o_totalprice": F.col("o_totalprice") + 1000, "treated": F.lit("delta")}), ["o_orderkey"])
 
 
+def _by_buckets(s, d):
+    """The same merge into a stored table, where the delta has keys in some buckets only, and a second one of a single row."""
+    base = table(s, d, "orders").select("o_orderkey", "o_totalprice")
+    stored = BucketTable.create(base, own_folder(s, "orders"), ["o_orderkey"], 32)
+    delta = base.where("o_orderkey % 7 = 0 and pmod(xxhash64(o_orderkey), 32) < 8")
+    stored.merge(delta.withColumns({"o_totalprice": F.col("o_totalprice") + 1000, "treated": F.lit("delta")}))
+    stored.merge(base.groupBy().agg(F.max("o_orderkey").alias("o_orderkey")).withColumns({"o_totalprice": F.lit(1.0), "treated": F.lit("last")}))
+    changed = F.col("treated") == "delta"
+    # Which buckets a key is in is not said in SQL: changed rows come out as they were.
+    return stored.read().select("o_orderkey", F.round(F.when(changed, F.col("o_totalprice") - 1000).otherwise(F.col("o_totalprice")), 2).alias("o_totalprice"), F.when(F.col("treated") == "last", True).alias("is_last"))
+
+
+def _open_months(s, d):
+    """Orders stored by month; only the months that are still to be read are."""
+    path = own_folder(s, "orders-by-month")
+    scans.write_by_month(orders(s, d).select("o_orderkey", "day"), path, "day")
+    return scans.read_months(s, path, _months(s, d), "1999-01")
+
+
+def _clustered(s, d):
+    path = own_folder(s, "parts-by-brand")
+    scans.write_clustered(table(s, d, "part").select("p_partkey", "p_brand", "p_size"), path, "p_brand")
+    return scans.extract_slice(s.read.parquet(path), ["p_partkey", "p_brand"], "p_brand", ["Brand#1", "Brand#2"])
+
+
 def _latest(s, d):
     items = table(s, d, "lineitem").select("l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("shipped"), "l_extendedprice", "l_partkey", "l_suppkey")
     return registers.latest_version(items, ["l_orderkey", "l_linenumber"], [F.desc("shipped"), F.desc("l_extendedprice"), F.desc("l_partkey"), F.desc("l_suppkey")])
@@ -172,20 +197,46 @@ def _places(s, d):
     return table(s, d, "nation").select(F.col("n_nationkey").alias("area"), (F.col("n_nationkey") % 7).alias("code"), scalars.normalize_name(F.concat(F.lit("Ste-"), "n_name", F.when(F.col("n_nationkey") % 3 == 0, " Cedex 9").otherwise(""))).alias("name"))
 
 
+def placed(rows, key):
+    """Postal code and place name of each event, by its parent."""
+    k = F.col(key)
+    return rows.withColumns({"code": F.when(k % 9 != 0, k % 8), "name": scalars.normalize_name(F.concat(F.lit("Sainte NATION_"), (k % 26).cast("string")))})
+
+
+def linked(s, d, events):
+    """Events (event, parent, ...) by place, seat and register. Seats and parents know the activity of some customers each; every sixth parent is not registered."""
+    key, activity = F.col("c_custkey"), F.col("c_mktsegment")
+    customers = table(s, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    seats = customers.where(key % 4 != 0).select(key.alias("parent"), F.col("c_nationkey").alias("area"), F.when(key % 2 == 0, activity).alias("activity"))
+    parents = customers.where(key % 6 != 1).select(key.alias("parent"), F.when(key % 3 == 0, activity).alias("activity"))
+    return registers.link_records(placed(events, "parent"), _places(s, d), seats, parents)
+
+
+def codes(s, d):
+    """Activities with division and section; one that events have is not in the hierarchy."""
+    segment = F.col("c_mktsegment")
+    return table(s, d, "customer").where(segment != "MACHINERY").select(segment.alias("activity"), F.concat(segment, F.lit("/1-URGENT")).alias("division"), segment.alias("section")).distinct()
+
+
+def localised(s, d, events):
+    """Linked events with sectors; of five events one has a label for a division and one for a section."""
+    e = F.col("event")
+    section = F.when(e % 10 < 5, "BUILDING").otherwise("FURNITURE")
+    level = F.when(e % 5 == 0, "division").when(e % 5 == 1, "section")
+    labels = events.select(e, level.alias("level"), F.when(e % 5 == 0, F.concat(section, F.lit("/5-LOW"))).alias("label_division"), section.alias("label_section")).where("level is not null")
+    return registers.localised_events(linked(s, d, events), codes(s, d), labels)
+
+
+def _customers(s, d):
+    return table(s, d, "customer").select(F.col("c_custkey").alias("event"), F.col("c_custkey").alias("parent"))
+
+
 def _links(s, d):
-    k = F.col("c_custkey")
-    events = table(s, d, "customer").select(k.alias("event"), F.when(k % 9 != 0, k % 8).alias("code"), scalars.normalize_name(F.concat(F.lit("Sainte "), F.concat(F.lit("NATION_"), (k % 26).cast("string")))).alias("name"), k.alias("parent"))
-    seats = table(s, d, "customer").where("c_custkey % 4 <> 0").select(F.col("c_custkey").alias("parent"), F.col("c_nationkey").alias("area"))
-    return registers.link_records(events, _places(s, d), seats)
+    return linked(s, d, _customers(s, d))
 
 
 def _localised(s, d):
-    linked = _links(s, d)
-    c = table(s, d, "customer")
-    codes = c.where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("parent"), F.concat_ws("/", "c_mktsegment", F.lit("1-URGENT")).alias("division"))
-    labels = c.where("c_custkey % 5 < 2").select(F.col("c_custkey").alias("event"), F.when(F.col("c_custkey") % 5 == 0, F.concat_ws("/", "c_mktsegment", F.lit("5-LOW"))).alias("label_division"), F.col("c_mktsegment").alias("label_section"))
-    sectors = order_events(s, d).select("division", "section").distinct()
-    return registers.localised_events(linked, codes, labels, sectors).select("event", "area", "method", "sector_source", "division", "section")
+    return localised(s, d, _customers(s, d)).select("event", "area", "method", "in_register", "sector_source", "division", "section")
 
 
 def units(s, d) -> DataFrame:
@@ -201,13 +252,13 @@ def perimeter(s, d) -> DataFrame:
     return table(s, d, "nation").where("n_regionkey in (0, 2)").select(F.col("n_nationkey").alias("area"))
 
 
-def _creations_units(s, d):
-    return registers.creations_units(units(s, d), perimeter(s, d), succession(s, d), F.lit(START), F.lit(REFERENCE))
+def _creations_units(s, d, of=None):
+    return registers.creations_units(units(s, d) if of is None else of, perimeter(s, d), succession(s, d), F.lit(START), F.lit(REFERENCE))
 
 
-def _creations_parents(s, d):
+def _creations_parents(s, d, of=None):
     parents = orders(s, d).groupBy("o_custkey").agg(F.min("o_orderkey").alias("seat"), F.min("day").alias("created")).select(F.col("o_custkey").alias("parent"), "seat", "created", F.when(F.col("o_custkey") % 3 == 0, 1000).otherwise(5000).alias("legal_form"))
-    return registers.creations_parents(parents, units(s, d), perimeter(s, d), succession(s, d), F.lit(START), F.lit(REFERENCE))
+    return registers.creations_parents(parents, units(s, d) if of is None else of, perimeter(s, d), succession(s, d), F.lit(START), F.lit(REFERENCE))
 
 
 def _hierarchy(s, d):
@@ -226,8 +277,8 @@ QUERIES = {
     "fingerprint": lambda s, d: table(s, d, "documents").select("doc_id", scalars.fingerprint(F.lit("v1"), F.lit("model"), F.col("text")).alias("print")),
     "explode_codes": lambda s, d: table(s, d, "documents").select("doc_id", F.explode(F.split("text", " ")).alias("code")).groupBy("doc_id").agg(F.count("*").alias("n"), F.countDistinct("code").alias("codes")),
     "january_effect": lambda s, d: order_events(s, d).groupBy("month").count().select("month", scalars.january_effect(F.lit("creations_units"), F.col("month")).alias("january")),
-    "merge_latest_wins": _merge, "latest_version": _latest, "valid_notices": _valid, "link_records": _links, "localised_events": _localised,
-    "creations_units": _creations_units, "creations_parents": _creations_parents,
+    "read_open_months": _open_months, "extract_clustered": _clustered, "merge_by_buckets": _by_buckets, "merge_latest_wins": _merge, "latest_version": _latest, "valid_notices": _valid, "link_records": _links, "localised_events": _localised,
+    "creations_units": lambda s, d: _creations_units(s, d), "creations_parents": lambda s, d: _creations_parents(s, d),
     "area_dimension": lambda s, d: dims.area_dimension(table(s, d, "nation").select(F.col("n_nationkey").alias("area"), "n_name", "n_regionkey"), table(s, d, "region").where("r_regionkey < 4").select(F.col("r_regionkey").alias("n_regionkey"), "r_name"), "n_regionkey"),
     "sector_hierarchy": _hierarchy, "sector_members": lambda s, d: dims.sector_members(order_events(s, d).select("division", "section")),
 }
@@ -258,21 +309,34 @@ cp as (
   select p.parent, p.created, cast(date_trunc('month', p.created) as date) as month, u.area, u.code, p.parent % 3 = 0 as is_individual, successor is not null as is_takeover, p.created > date '2001-06-01' as is_future
   from (select o_custkey as parent, min(o_orderkey) as seat, min(day) as created from {O} group by o_custkey) p join u on u.unit = p.seat join a on a.area = u.area left join l on p.seat = successor
   where p.created >= date '1996-01-01')"""
-LINKS = f"""
+PLACES = f"""
 pl as (select n_nationkey as area, n_nationkey % 7 as code, {NAME.format("'Ste-' || n_name || case when n_nationkey % 3 = 0 then ' Cedex 9' else '' end")} as name from nation),
-ev as (select c_custkey as event, case when c_custkey % 9 <> 0 then c_custkey % 8 end as code, {NAME.format("'Sainte NATION_' || (c_custkey % 26)")} as name, c_custkey as parent from customer),
 ex as (select code, name, min(area) as ex from pl group by all having count(distinct area) = 1),
 un as (select code, min(area) as un from pl group by all having count(distinct area) = 1),
-st as (select c_custkey as parent, c_nationkey as seat from customer where c_custkey % 4 <> 0),
-lk as (
-  select event, code, name, parent, coalesce(ex, un, seat) as area, case when ex is not null then 'code_and_name' when un is not null then 'code' when seat is not null then 'seat' else 'none' end as method, seat is not null as in_register
-  from ev left join ex using (code, name) left join un using (code) left join st using (parent))"""
+st as (select c_custkey as parent, c_nationkey as seat, case when c_custkey % 2 = 0 then c_mktsegment end as act from customer where c_custkey % 4 <> 0),
+pa as (select c_custkey as parent, case when c_custkey % 3 = 0 then c_mktsegment end as act from customer where c_custkey % 6 <> 1),
+na as (select distinct c_mktsegment as code, c_mktsegment || '/1-URGENT' as division, c_mktsegment as section from customer where c_mktsegment <> 'MACHINERY')"""
+
 
-LOCALISED = f"""{LINKS}, e as ({EVENTS}), s as (select distinct division, section from e),
+def links_sql(events: str) -> str:
+    """CTEs ``lk`` (linked) and ``x`` (localised) of events (event, parent)."""
+    return f"""{PLACES},
+ev as (select *, case when parent % 9 <> 0 then parent % 8 end as code, {NAME.format("'Sainte NATION_' || (parent % 26)")} as name from ({events})),
+lk as (
+  select ev.*, coalesce(ex, un, seat) as area, case when ex is not null then 'code_and_name' when un is not null then 'code' when seat is not null then 'seat' else 'none' end as method,
+         pa.parent is not null as in_register, coalesce(pa.act, st.act) as activity
+  from ev left join ex using (code, name) left join un using (code) left join st on st.parent = ev.parent left join pa on pa.parent = ev.parent),
+jl as (
+  select event, case event % 5 when 0 then 'division' when 1 then 'section' end as level, case when event % 5 = 0 then case when event % 10 < 5 then 'BUILDING' else 'FURNITURE' end || '/5-LOW' end as division,
+         case when event % 10 < 5 then 'BUILDING' else 'FURNITURE' end as section
+  from ev where event % 5 in (0, 1)),
 x as (
-  select event, area, method, case when event % 3 = 0 then 'register' when event % 5 < 2 then 'label' else 'none' end as sector_source,
-         case when event % 3 = 0 then c_mktsegment || '/1-URGENT' when event % 5 = 0 then c_mktsegment || '/5-LOW' when event % 5 = 1 then c_mktsegment || '_ND' else 'ZZ' end as division
-  from lk join customer on c_custkey = event)"""
+  select lk.*, case when activity is not null then 'register' when jl.level = 'division' then 'label_division' when jl.level = 'section' then 'label_section' else 'none' end as sector_source,
+         coalesce(na.division, jl.division, jl.section || '_ND', 'ZZ') as division, coalesce(na.section, jl.section, 'ZZ') as section
+  from lk left join na on na.code = lk.activity left join jl on jl.event = lk.event and lk.activity is null)"""
+
+
+LINKS = links_sql("select c_custkey as event, c_custkey as parent from customer")
 
 ORACLES = {
     "scan_table": "select r_regionkey, r_name from region",
@@ -309,13 +373,18 @@ select strftime(g, '%Y-%m') as month from (select unnest(generate_series(date '1
     "fingerprint": "select doc_id, left(sha256('v1|model|' || text), 16) as print from documents",
     "explode_codes": "select doc_id, count(*) as n, count(distinct code) as codes from (select doc_id, unnest(string_split(text, ' ')) as code from documents) group by doc_id",
     "january_effect": f"select distinct month, month(month) = 1 as january from ({EVENTS})",
+    "extract_clustered": "select p_partkey, p_brand from part where p_brand like 'Brand#1%' or p_brand like 'Brand#2%'",
+    "read_open_months": f"""with m as (select date_trunc('month', day) as m, max(day) as last from {O} group by 1),
+c as (select m from m where last + case when month(m) in (3, 7) then 0 else 10 end >= cast(last_day(m) + 3 as date))
+select strftime(day, '%Y-%m') as month, o_orderkey, day from {O} where day >= date '1999-01-01' and day < date '2001-09-01' and date_trunc('month', day) not in (select m from c)""",
+    "merge_by_buckets": """select o_orderkey, case when o_orderkey = (select max(o_orderkey) from orders) then 1.0 else round(o_totalprice, 2) end as o_totalprice,
+  case when o_orderkey = (select max(o_orderkey) from orders) then true end as is_last from orders""",
     "merge_latest_wins": "select o_orderkey, case when o_orderkey % 7 = 0 then o_totalprice + 1000 else o_totalprice end as o_totalprice, case when o_orderkey % 7 = 0 then 'delta' end as treated from orders",
     "latest_version": """select l_orderkey, l_linenumber, cast(l_shipdate as date) as shipped, l_extendedprice, l_partkey, l_suppkey from lineitem
   qualify row_number() over (partition by l_orderkey, l_linenumber order by cast(l_shipdate as date) desc, l_extendedprice desc, l_partkey desc, l_suppkey desc) = 1""",
     "valid_notices": f"with {NOTICES} select * from v",
-    "link_records": f"with {LINKS} select event, code, name, parent, area, method, in_register from lk",
-    "localised_events": f"""with {LOCALISED}
-select x.*, s.section from x left join s using (division)""",
+    "link_records": f"with {LINKS} select event, code, name, parent, area, method, in_register, activity from lk",
+    "localised_events": f"with {LINKS} select event, area, method, in_register, sector_source, division, section from x",
     "creations_units": f"with {UNITS} select * from cu",
     "creations_parents": f"with {UNITS} select * from cp",
     "area_dimension": "select n_regionkey, n_nationkey as area, n_name, r_name from nation left join (select * from region where r_regionkey < 4) on n_regionkey = r_regionkey",

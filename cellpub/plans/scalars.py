@@ -12,13 +12,14 @@ from cellpub.plans.registers import LINKS, NOTICES, PROCEDURES, _event_rules, _l
 from cellpub.plans.series import SURVEY, surveyed
 from cellpub.plans.tables import order_events, table
 from cellpub.sources import scans
-from cellpub.sources.shared import shared_folder
+from cellpub.sources.shared import own_folder
+from cellpub.sources.versions import read_table
 
 
 def _non_empty(s, d):
-    path = f"{shared_folder(s)}/extract-{d.strip('/').replace('/', '-')}"
+    path = own_folder(s, "extract")
     rows = scans.non_empty(table(s, d, "orders").where("o_orderstatus = 'P'").select("o_orderkey"), path, "orders in process")
-    return s.read.parquet(path).withColumn("n_rows", F.lit(rows).cast("long"))
+    return read_table(s, path).withColumn("n_rows", F.lit(rows).cast("long"))
 
 
 def _relative(s, d):

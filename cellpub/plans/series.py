@@ -206,8 +206,8 @@ from nation left join p on area = n_nationkey group by n_regionkey having count(
     "policy_grid": f"""with {SCORED}, g as (select * from (values (0.3::double), (0.4), (0.5), (0.6)) a(t1), (values (0.5::double), (0.7), (0.9)) b(t2)),
 d as (select wm.*, t1, t2, truth, h.section as true_section, {DECIDED.format(t1='t1', t2='t2')} as level from wm join tr using (id) join h on h.division = truth, g),
 x as (select *, case when level = 'division' then choice = truth when level = 'section' then top_section = true_section end as ok from d)
-select t1, t2, count(*) as n, avg(cast(level = 'division' as int)) as share_division, avg(cast(ok as int)) filter (level = 'division') as precision_division, avg(cast(level = 'section' as int)) as share_section,
-  avg(cast(ok as int)) filter (level = 'section') as precision_section, avg(cast(ok as int)) filter (level <> 'none') as precision, avg(cast(level = 'none' as int)) as share_none from x group by t1, t2""",
-    "calibration": f"with {SCORED} select case when confidence >= 0.9 then 0.9::double when confidence >= 0.8 then 0.8 when confidence >= 0.7 then 0.7 when confidence >= 0.5 then 0.5 else 0.0 end as from_confidence, count(*) as n, avg(cast(choice = truth as int)) as accuracy from ch join tr using (id) group by 1",
-    "forced_accuracy": f"with {SCORED} select count(*) as n, avg(cast(choice = truth as int)) as division_accuracy, avg(cast(top_section = h.section as int)) as section_accuracy from wm join tr using (id) join h on h.division = truth",
+select t1, t2, count(*) as n, round(avg(cast(level = 'division' as int)), 3) as share_division, round(avg(cast(ok as int)) filter (level = 'division'), 3) as precision_division, round(avg(cast(level = 'section' as int)), 3) as share_section,
+  round(avg(cast(ok as int)) filter (level = 'section'), 3) as precision_section, round(avg(cast(ok as int)) filter (level <> 'none'), 3) as precision, round(avg(cast(level = 'none' as int)), 3) as share_none from x group by t1, t2""",
+    "calibration": f"with {SCORED} select case when confidence >= 0.9 then 0.9::double when confidence >= 0.7 then 0.7 when confidence >= 0.5 then 0.5 when confidence >= 0.3 then 0.3 else 0.0 end as from_confidence, count(*) as n, round(avg(cast(choice = truth as int)), 3) as accuracy from ch join tr using (id) group by 1",
+    "forced_accuracy": f"with {SCORED} select count(*) as n, avg(cast(choice = truth as int)) as division_accuracy, avg(cast(coalesce(own_section = h.section, false) as int)) as section_accuracy from wm join tr using (id) join h on h.division = truth",
 }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellpub.functions.scalars import month_label
+from cellpub.sources.versions import exists, replace
 
 
 def scan_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -33,14 +34,33 @@ def extract_related(table: DataFrame, extract: DataFrame, key: str) -> DataFrame
 
 
 def non_empty(df: DataFrame, path: str, what: str) -> int:
-    """Write an extract and return its number of rows, counted on the way; none is an error."""
+    """Write an extract as the table's next version and return its rows, counted on the way; none is an error, and the last good extract stays."""
     seen = Observation(what)
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    if not seen.get["rows"]:
-        raise ValueError(f"{what}: no rows")
+
+    def check() -> None:
+        if not seen.get["rows"]:
+            raise ValueError(f"{what}: no rows")
+
+    replace(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, check)
     return seen.get["rows"]
 
 
+def write_clustered(df: DataFrame, path: str, area: str, row_group_bytes: int = 16 << 20) -> None:
+    """Store a register sorted by area over all files, so that a prefix of the area reads few files and row groups."""
+    df.repartitionByRange(area).sortWithinPartitions(area).write.option("parquet.block.size", row_group_bytes).parquet(path)
+
+
+def write_by_month(df: DataFrame, path: str, day: str) -> None:
+    """Store an extract by month; months that it has replace those that are there."""
+    rows = df.withColumn("month", month_label(F.trunc(day, "month"))).repartition("month")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
+
+
+def read_months(spark: SparkSession, path: str, months: DataFrame, first: str) -> DataFrame:
+    """Rows of an extract by month for the months of a table (a few rows), none before ``first``; the folders of other months are pruned when the query runs."""
+    return spark.read.parquet(path).withColumn("month", F.col("month").cast("string")).join(F.broadcast(months.select("month").where(F.col("month") >= first)), "month")
+
+
 def stage(table: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Rename and type: output name to expression."""
     return table.select(*[c.alias(name) for name, c in columns.items()])
@@ -57,15 +77,10 @@ def months_to_read(spark: SparkSession, start: dt.date, today: dt.date, manifest
     return months.join(closed, "month", "left_anti")
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
-
-
 def sources_to_read(sources: DataFrame, manifest: DataFrame, files: dict[str, str] | None = None) -> DataFrame:
     """Sources whose version or filter differs from the manifest's, or whose extract (``files``: source to path, a few) is not there any more."""
     if files is not None:
-        there = [name for name, path in files.items() if path_exists(sources.sparkSession, path)]
+        there = [name for name, path in files.items() if exists(sources.sparkSession, path)]
         manifest = manifest.where(F.col("source").isin(*there)) if there else manifest.limit(0)
     return sources.join(manifest, ["source", "version", "filter"], "left_anti")
 

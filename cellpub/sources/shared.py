@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -19,7 +20,20 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def own_folder(spark: SparkSession, name: str) -> str:
+    """A folder of this call alone, so that no other overwrites what is still to be read."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    """Write ``df`` once and read it back."""
+    path = own_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``kept``, and the number of rows, counted as they are written."""
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    out = kept(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+    return out, seen.get["rows"]

@@ -9,36 +9,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-LOG = "run string, source string, status string, rows long, error string, started timestamp, ended timestamp, details map<string,string>"
-
+from cellpub.sources.versions import Conflict, commit, current, delete, replace
 
-def _replace(spark: SparkSession, written: str, path: str) -> None:
-    """Put a table that is written whole where readers look for it; the old one stays until then, and is put back if the new one can't be moved."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    new, old, place = (hadoop.Path(p) for p in (written, f"{path}.old-{uuid.uuid4().hex}", path))
-    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    had = fs.exists(place)
-    if had and not fs.rename(place, old):
-        raise OSError(f"{path} can't be moved away")
-    if not fs.rename(new, place):
-        if had:
-            fs.rename(old, place)
-        raise OSError(f"{written} can't be moved to {path}")
-    if had:
-        fs.delete(old, True)
+LOG = "run string, source string, status string, rows long, error string, started timestamp, ended timestamp, details map<string,string>"
 
 
 def write_typed(df: DataFrame, path: str, schema: str) -> int:
-    """Write with exactly these columns and types (a column that does not cast is an error) and return the rows, counted on the way. Empty tables keep their schema.
+    """Write with exactly these columns and types (a column that does not cast is an error) as the table's next version; return the rows, counted on the way. Empty tables keep their schema.
 
-    The table is written beside its place and moved there when it is whole, so a write that fails leaves the old table as it was.
+    Readers (``versions.read_table``) have the old version until the new one is whole; a write that fails leaves it as it was, and of two writers at once one gets ``versions.Conflict``.
     """
     wanted = df.sparkSession.createDataFrame([], schema).schema
     seen = Observation(f"write-{uuid.uuid4().hex}")
     typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted])
-    part = f"{path}.part-{uuid.uuid4().hex}"
-    typed.observe(seen, F.count(F.lit(1)).alias("rows")).write.option("compression", "zstd").parquet(part)
-    _replace(df.sparkSession, part, path)
+    replace(typed.observe(seen, F.count(F.lit(1)).alias("rows")), path, compression="zstd")
     return seen.get["rows"]
 
 
@@ -70,18 +54,22 @@ def logged(spark: SparkSession, path: str, source: str, work: Callable[[], int],
         spark.createDataFrame(entry, LOG).coalesce(1).write.mode("append").parquet(path)
 
 
-def publish_together(tables: dict[str, DataFrame], root: str, run: str) -> None:
-    """Write all tables below a run's own folder, and only then the manifest row that makes them current: all of them or none."""
-    for name, df in tables.items():
-        df.write.mode("errorifexists").parquet(f"{root}/{run}/{name}")
+def publish_together(tables: dict[str, DataFrame], root: str, run: str) -> int:
+    """Write all tables below a run's own folder, and only then the version that makes them current: all of them or none. Other tables stay as they are."""
     spark = next(iter(tables.values())).sparkSession
-    spark.createDataFrame([(run, dt.datetime.now(), sorted(tables))], "run string, at timestamp, tables array<string>").coalesce(1).write.mode("append").parquet(f"{root}/manifest")
+    seen, content = current(spark, root)
+    try:
+        for name, df in tables.items():
+            df.write.mode("errorifexists").parquet(f"{root}/{run}/{name}")
+        return commit(spark, root, seen, {"run": run, "tables": content.get("tables", {}) | {name: f"{run}/{name}" for name in tables}})
+    except Conflict:
+        delete(spark, f"{root}/{run}")
+        raise
 
 
 def published(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The table of the last run that was published whole."""
-    last = spark.read.parquet(f"{root}/manifest").where(F.array_contains("tables", table)).agg(F.max_by("run", "at")).first()[0]
-    return spark.read.parquet(f"{root}/{last}/{table}")
+    """A table as it was last published whole."""
+    return spark.read.parquet(f"{root}/{current(spark, root)[1]['tables'][table]}")
 
 
 def last_entries(log: DataFrame, n: int = 60) -> DataFrame:

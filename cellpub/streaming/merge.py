@@ -6,22 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cellpub.operators.registers import latest_version, merge_latest_wins
+from cellpub.operators.registers import latest_version
+from cellpub.sources.buckets import BucketTable
 
 
-def merge_stream(deltas: DataFrame, table: str, keys: list[str], treated: str, checkpoint: str) -> StreamingQuery:
-    """Start a query that keeps ``<table>/v<batch>`` up to date: version n is version n - 1 with batch n merged in.
+def merge_stream(deltas: DataFrame, table: str, keys: list[str], treated: str, checkpoint: str, buckets: int = 64) -> StreamingQuery:
+    """Start a query that keeps the bucket table at ``table`` up to date; a batch rewrites only the buckets that it has keys in.
 
-    A batch that is run again after a failure writes its own version again, so each delta counts once. The last two versions stay: readers of the one before finish undisturbed.
+    A version names the batch that made it, so one that is run again after a failure counts once. Readers of the version before finish undisturbed.
     """
 
     def merge(batch: DataFrame, n: int) -> None:
-        spark = batch.sparkSession
         newest = latest_version(batch, keys, [F.desc(treated), *[F.col(c) for c in batch.columns if c != treated]])
-        whole = newest if n == 0 else merge_latest_wins(spark.read.parquet(f"{table}/v{n - 1}"), newest, keys)
-        whole.write.mode("overwrite").parquet(f"{table}/v{n}")
-        old = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/v{n - 2}")
-        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+        found = BucketTable(batch.sparkSession, table)
+        if not found.exists():
+            BucketTable.create(newest, table, keys, buckets, batch=n)
+        elif found.info().get("batch", -1) < n:
+            found.merge(newest, batch=n)
 
     return deltas.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
