@@ -23,8 +23,7 @@ def secondary_suppression(cells: DataFrame, members: DataFrame, most_rounds: int
     """In every relation with exactly one masked member, the smallest positive other one is masked too ('s'), until none is left.
 
     All relations of a round see the same state, so the result does not depend on partitions. Members get the number of their cell once and are stored by relation; cells are
-    not written again. A round stores how many of its new masks each relation got (a row for each relation touched) and the masks that follow, so what it writes is in proportion
-    to new masks. Only relations that were touched and have one masked member now are searched: any other was searched when it came to have one. Counts and minima are combined before
+    not written again. A round stores its new masks with the relations that they are in, so what it writes is in proportion to new masks. Only relations that were touched and have one masked member now are searched: any other was searched when it came to have one. Counts and minima are combined before
     the shuffle, so a relation with very many members is a few rows there. The driver reads how many masks a round made.
     """
     cells = kept(cells.withColumn("__cell", F.monotonically_increasing_id()), "cells")
@@ -32,19 +31,19 @@ def secondary_suppression(cells: DataFrame, members: DataFrame, most_rounds: int
     order = F.when(F.col("value") > 0, F.struct("value", *KEY, "__cell"))
     own = kept(own.select("rel", "__cell", order.alias("free"), F.col("mask").isNotNull().alias("primary")), "members")
     counts = kept(own.where("primary").groupBy("rel").agg(F.count("*").alias("masked")), "counts")
-    touched, masks = counts, None
+    single, hits = counts.where("masked = 1").select("rel"), None
     for _ in range(most_rounds):
-        single = touched.select("rel").join(counts, "rel").groupBy("rel").agg(F.sum("masked").alias("masked")).where("masked = 1").select("rel")
         found = own.where("not primary and free is not null").join(single, "rel")
-        if masks is not None:
-            found = found.join(masks, "__cell", "left_anti")
-        new, n_new = counted(found.groupBy("rel").agg(F.min("free").alias("least")).select(F.col("least.__cell").alias("__cell")).distinct(), "masks")
+        if hits is not None:
+            found = found.join(hits, "__cell", "left_anti")
+        least = found.groupBy("rel").agg(F.min("free").alias("least")).select(F.col("least.__cell").alias("__cell"))
+        new, n_new = counted(own.select("rel", "__cell").join(least, "__cell", "left_semi"), "masks")
         if not n_new:
-            marked = cells if masks is None else cells.join(masks.withColumn("__new", F.lit("s")), "__cell", "left").withColumn("mask", F.coalesce("mask", "__new")).drop("__new")
+            marked = cells if hits is None else cells.join(hits.select("__cell", F.lit("s").alias("__new")).distinct(), "__cell", "left").withColumn("mask", F.coalesce("mask", "__new")).drop("__new")
             return marked.drop("__cell")
-        touched = kept(own.join(new, "__cell").groupBy("rel").agg(F.count("*").alias("masked")), "counts")
-        counts = counts.unionByName(touched)
-        masks = new if masks is None else masks.unionByName(new)
+        hits = new if hits is None else hits.unionByName(new)
+        every = counts.unionByName(hits.select("rel", F.lit(1).cast("long").alias("masked")))
+        single = every.join(new.select("rel"), "rel", "left_semi").groupBy("rel").agg(F.sum("masked").alias("masked")).where("masked = 1").select("rel")
     raise ValueError(f"not settled after {most_rounds} rounds")
 
 

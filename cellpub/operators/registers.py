@@ -105,12 +105,15 @@ def link_records(events: DataFrame, places: DataFrame, seats: DataFrame, parents
     in_register (the parent is registered, whether or not its seat is known) and activity, the parent's code, else its seat's. Events meet what is known of their
     code once, and what is known of their parent once.
     """
-    exact = any_mapping(places, ["code", "name"], "area").where("n_values = 1 and code is not null and name is not null")
-    names = exact.groupBy("code").agg(F.map_from_entries(F.collect_list(F.struct("name", "area"))).alias("__names"))
-    unique = unique_mapping(places, ["code"], "area").withColumnRenamed("area", "__unique")
-    seat = seats.groupBy("parent").agg(F.min("area").alias("__seat"), F.min("activity").alias("__seat_activity"))
-    register = seat.join(parents.select("parent", F.col("activity").alias("__own"), F.lit(True).alias("__registered")), "parent", "full")
-    found = lookup(lookup(events, names.join(unique, "code", "full"), ["code"]), register, ["parent"])
+    # One area only: its least is its greatest.
+    named = places.where("code is not null").groupBy("code", "name").agg(F.min("area").alias("a"), F.max("area").alias("b"))
+    exact = F.collect_list(F.when((F.col("a") == F.col("b")) & F.col("name").isNotNull(), F.struct("name", F.col("a").alias("area"))))
+    by_code = named.groupBy("code").agg(F.map_from_entries(exact).alias("__names"), F.when(F.min("a") == F.max("b"), F.min("a")).alias("__unique"))
+    null = lambda df, c: F.lit(None).cast(df.schema[c].dataType)
+    both = seats.select("parent", F.col("area").alias("__seat"), F.col("activity").alias("__seat_activity"), null(parents, "activity").alias("__own"), F.lit(None).cast("boolean").alias("__registered"))
+    both = both.unionByName(parents.select("parent", null(seats, "area").alias("__seat"), null(seats, "activity").alias("__seat_activity"), F.col("activity").alias("__own"), F.lit(True).alias("__registered")))
+    register = both.where("parent is not null").groupBy("parent").agg(*[f(c).alias(c) for f, c in ((F.min, "__seat"), (F.min, "__seat_activity"), (F.min, "__own"), (F.max, "__registered"))])
+    found = lookup(lookup(events, by_code, ["code"]), register, ["parent"])
     area, method = first_match(("code_and_name", F.try_element_at("__names", F.col("name"))), ("code", F.col("__unique")), ("seat", F.col("__seat")))
     found = found.withColumns({
         "area": area, "method": F.coalesce(method, F.lit("none")), "in_register": F.col("__registered").isNotNull(), "activity": F.coalesce("__own", "__seat_activity"),
