@@ -211,6 +211,7 @@ def hard_negatives(rows: DataFrame, id_col: str, vector: str, label: Column, anc
     # Slots count the limits of at least a score, so those from j on hold what is at most the j-th limit, in order.
     windows = found.select("block", "at", "anchor_id", F.posexplode("positives").alias("j", "p")).join(slots, ["block", "at"])
     score = -F.col("p.minus")
-    inside = F.slice(F.filter("kept", lambda c: (c["slot"] > F.col("j")) & (F.lit(-100) * c["minus"] >= low * score)), 1, negatives)
+    wide = lambda c: c.cast("decimal(20,0)")  # noqa: E731  a hundred times a long
+    inside = F.slice(F.filter("kept", lambda c: (c["slot"] > F.col("j")) & (wide(c["minus"]) * -100 >= wide(score) * low)), 1, negatives)
     rows = windows.where("p.minus <= 0").select("anchor_id", F.col("p.other").alias("positive_id"), score.alias("positive_score"), F.posexplode(inside).alias("at", "c"))
     return rows.select("anchor_id", "positive_id", (F.col("at") + 1).alias("rank"), F.col("c.other").alias("negative_id"), "positive_score", (-F.col("c.minus")).alias("negative_score"))
