@@ -280,7 +280,7 @@ def test_paragraphs_before_links_stay():
     ):
         assert html_text.main_text(page, tree).startswith(f"Head\nFirst.\n{long}")
     assert html_text.main_text(f"<body><p>{long}</p>{menu}</body>", tree) == long
-    assert html_text.main_text("<ul><li><a href=a>a</a><li><a href=b>b</a></ul><p>Short<p><a href=c>c d</a>", tree) == "c d"
+    assert html_text.main_text("<ul><li><a href=a>a</a><li><a href=b>b</a></ul><p>Short<p><a href=c>c d</a>", tree) == ""
     assert html_text.main_text("<article><p>So <p><a href=a>a b</a><p><a href=c>c</a></article>", tree) == "So\na b\nc"
     assert html_text.main_text("<article><ul><li><a href=a>a</a><li><a href=b>b</a></ul></article>", tree) == ""
 
@@ -349,6 +349,55 @@ LAYOUTS = {
 }
 
 
+W = "Rivers carve the valley floor slowly while the glacier above it keeps on melting through the summer months."
+V = "Nobody in the village could say when the first bridge was built, although many had an opinion about it."
+#: More pages, written from what other sites do rather than from the labelled table; half of them have no article element, and class names that say nothing.
+MORE = {
+    "id of a heading": (f'<article><h2 id="comments">Comments</h2><p>{W}</p><h2 id="login">Login</h2><p>{V}</p></article>', f"Comments\n{W}\nLogin\n{V}"),
+    "id of a section": (f'<main><section id="related-work"><h3>Related work</h3><p>{W}</p></section><section id="legal"><p>{V}</p></section></main>', f"Related work\n{W}\n{V}"),
+    "ids that are slugs": (f'<main><div id="social-policy"><p>{W}</p></div><div id="login-tutorial"><p>{V}</p></div></main>', f"{W}\n{V}"),
+    "classes with parts of names": (f'<article><div class="modal-verbs"><p>{W}</p></div><div class="ad-free"><p>{V}</p></div></article>', f"{W}\n{V}"),
+    "classes that file a post": (f'<div class="post tags-music nav-content"><p>{W}</p></div>', W),
+    "alert in main": (f'<main><p>{W}</p><div class="alert alert-info">Mind the gap.</div></main>', f"{W}\nMind the gap."),
+    "apostrophe in a bare value": (f"<article><p data-x=it's>{W}</p><p>{V}</p></article>", f"{W}\n{V}"),
+    "apostrophe in a link": (f"<article><p>See <a href=/o'neil>this</a> now.</p><p>{V}</p></article>", f"See this now.\n{V}"),
+    "apostrophe in a name": (f"<article><p don't>{W}</p><p>{V}</p></article>", f"{W}\n{V}"),
+    "equals in a bare value": (f'<article><p><a href=/q?a="b>One</a> two.</p><p>{V}</p></article>', f"One two.\n{V}"),
+    "page in a form": (f'<form id="aspnetForm"><input type="hidden" value="x"><input name=q><div><h1>Head</h1><p>{W}</p><p>{V}</p></div></form>', f"Head\n{W}\n{V}"),
+    "search form": (f'<form><label>Search</label><input><button>Go</button></form><div><p>{W}</p></div>', W),
+    "references": (f'<article><p>{W}</p><h2>References</h2><ol><li><a href=1>Smith, A. (2001). On rivers and bridges.</a></li><li><a href=2>Jones, B. (1999). A valley of glaciers.</a></li></ol></article>', f"{W}\nReferences\nSmith, A. (2001). On rivers and bridges.\nJones, B. (1999). A valley of glaciers."),
+    "menu in an article": (f"<article><ul><li><a href=a>Up</a><li><a href=b>Top</a></ul><p>{W}</p></article>", W),
+    "short sentence and link": ("<p>Short.</p><a href=x>next</a>", "Short."),
+    "short intro and link": ("<p>Short intro.</p><p><a href=r>Read the report</a></p>", "Short intro."),
+    "unnamed menus": (f'<div class="c1"><a href=a>Home</a> <a href=b>News</a></div><div class="c2"><h1>Head</h1><p>{W}</p><p>{V}</p></div><div class="c3"><a href=t>Terms</a> <a href=p>Privacy</a></div>', f"Head\n{W}\n{V}"),
+    "unnamed footer": (f'<div class="x"><h1>Head</h1><p>{W}</p><p>{V}</p></div><div class="y">© 2024 The Valley Paper</div>', f"Head\n{W}\n{V}"),
+    "unnamed byline": (f'<div class="k"><h1>Head</h1><div>By Ann Writer</div><p>{W}</p><p>{V}</p></div>', f"Head\nBy Ann Writer\n{W}\n{V}"),
+    "unnamed teasers": (f'<table><tr><td><p>{W}</p><p>{V}</p></td><td><h3>More</h3><a href=a>One story</a><br><a href=b>Two</a></td></tr></table>', f"{W}\n{V}"),
+    "headings between paragraphs": (f"<h1>Head</h1><p>{W}</p><h2>Part two</h2><p>{V}</p><h2>Read on</h2><ul><li><a href=a>A</a><li><a href=b>B</a></ul>", f"Head\n{W}\nPart two\n{V}"),
+    "link paragraph in running text": (f"<div><p>{W}</p><p><a href=r>The whole report</a></p><p>{V}</p></div>", f"{W}\nThe whole report\n{V}"),
+    "text in a bare body": (f"{W}<br><br>{V}", f"{W} {V}"),
+    "answers of a forum": (f'<div class="q1"><p>{W}</p></div><div class="q2"><p>Yes.</p></div><div class="q3"><p>{V}</p></div>', f"{W}\nYes.\n{V}"),
+    "cells of a layout table": (f"<table><tr><td>{W}</td></tr><tr><td>{V}</td></tr></table>", f"{W}\n{V}"),
+    "names of notices": (f'<div class="cookie-banner">We use cookies.</div><div class="z"><p>{W}</p></div><div class="newsletter-signup">Get our mail.</div>', W),
+    "names with a number": (f'<div id="footer-2">Our address is here.</div><div><p>{W}</p></div>', W),
+}
+
+
+@pytest.mark.parametrize("layout", MORE)
+def test_main_text_of_other_pages(layout):
+    page, want = MORE[layout]
+    assert html_text.main_text(page, html_text.trained()) == want
+
+
+def test_density_of_a_neighbour_decides():
+    """Only the link density of the block after it changes, and a short block is text or not."""
+    page = "<div><p>{}</p><div>Chapter one</div><p>{}</p></div>"
+    tree = html_text.trained()
+    assert html_text.main_text(page.format(W, V), tree) == f"{W}\nChapter one\n{V}"
+    assert html_text.main_text(page.format(W, f"<a href=x>{V}</a>"), tree) == W
+    assert html_text.main_text(page.format(f"<a href=x>{W}</a>", V), tree) == V
+
+
 @pytest.mark.parametrize("layout", LAYOUTS)
 def test_main_text_of_layouts(layout):
     page, want = LAYOUTS[layout]
