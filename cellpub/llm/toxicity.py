@@ -1,8 +1,9 @@
 """Toxicity by noisy-channel deobfuscation.
 
 1. A character trigram model is counted over all documents (letters folded to a-z, all else a boundary).
-2. Spans that may hide a word are found: look-alike digits and signs with any number of letters or none (a number counts as a word
-   only if the model finds that likelier), letters set apart by blanks or signs, letters drawn out. Each span is a lattice: every sign stands for the letters it may mean, every run
+2. Characters without width go, and in words with Latin letters, compatible forms and look-alike letters of other alphabets are read as Latin ones. Spans that may hide a word are found:
+   look-alike digits and signs with any number of letters or none (a number counts as a word only if the model finds that likelier), letters set apart by any blanks, lines or signs, words with
+   signs inside, masked letters, letters drawn out or doubled again and again. Each span is a lattice: every sign stands for the letters it may mean, a mask for any letter or none, every run
    of one letter for one or two of them; letters set apart may have a word boundary between any two. A Viterbi search under the trigram
    model (the two best paths for each state) over the whole span, however long, restores words.
 3. Plain and restored words are scored: a word or a beginning of a word weighs the lower confidence bound of its log odds in toxic
@@ -10,7 +11,7 @@
    The logistic part is fitted on the half of the sample that the weights were not learnt from.
 
 Defined cases: null and empty texts have no words and get the score of such documents; repeated rows get equal scores; null
-labels are not learnt from; without labels of both kinds every score is the mean label (0.5 without any); very long texts are read
+labels are not learnt from; a score of exactly 0.7 is toxic; without labels of both kinds every score is the mean label (0.5 without any); very long texts are read
 whole; an empty table gives an empty table; of other columns, none is read. Scores do not depend on how rows are dealt to partitions.
 """
 
@@ -46,9 +47,18 @@ LOOK_ALIKE = {
 SIGNS = "".join(LOOK_ALIKE)
 EDGES = ".,;:!?\"'()[]{}*#%&$|<>+-_"
 
-SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
+#: Characters without width, letters of other alphabets that look like Latin ones, signs that mask a letter, signs that may stand inside a word.
+NO_WIDTH = dict.fromkeys([0xAD, 0x180E, *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2065), 0xFEFF])
+CONFUSABLE = str.maketrans("абвеёзіїјклмнорстухѕԁһӏԛԝαβεικνορτυχ", "a6beeeiijkjmhopctyxsdhlqwabeikvoptux")
+MASKS, INSIDE = "*#%&?", "_*~·.,/'’+=^-"
+
+SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}[\"').,;:!?]*(?!\S)")
 APART = re.compile(r"(?<!\S)[\"'(]*\w(?:[.\-_*~·,/]+\w){2,}[\"').,;:!?]*(?!\S)")
-DRAWN = re.compile(r"([^\W\d_])\1\1")
+DRAWN, DOUBLED = re.compile(r"([^\W\d_])\1\1"), re.compile(r"([^\W\d_])\1")
+#: A word with signs inside, and one with masked letters among at least two others.
+BROKEN = re.compile(rf"[^\W_]+(?:[{re.escape(INSIDE)}][^\W_]+)+")
+MASKED = re.compile(rf"(?=(?:.*[^\W\d_]){{2}})[^\W_]+(?:[{re.escape(MASKS)}]+[^\W_]+)+")
+BEYOND = re.compile(r"[^\x00-\u024f]")
 #: What is a number as it stands: amounts, dates, dialling codes, addresses.
 NUMBER = re.compile(r"[($€£+<]*\d[\d.,:/\-]*[%$€£+]?\)?")
 A, Z = ord("a"), 27
@@ -99,11 +109,17 @@ def trigram_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return np.log(p3).astype(np.float32)
 
 
-def lattice(span: str, apart: bool = False) -> list[list[tuple[str, float]]]:
-    """For each run of one character, what it may stand for: letters and the log probability of writing them so. ``apart``: words may end between letters."""
+MASK = [*((chr(c), -math.log(27)) for c in range(A, A + 26)), ("", -math.log(27))]
+
+
+def lattice(span: str, apart: bool = False, masked: bool = False) -> list[list[tuple[str, float]]]:
+    """For each run of one character, what it may stand for: letters and the log probability of writing them so. ``apart``: words may end between letters; ``masked``: there are masks."""
     out = []
     for run in re.finditer(r"(.)\1*", span):
         char, n = run[1], run.end() - run.start()
+        if masked and char in MASKS:
+            out += [MASK] * n
+            continue
         letters = LOOK_ALIKE.get(char, char if char.isalpha() else "")
         if not letters:
             continue
@@ -119,11 +135,11 @@ def lattice(span: str, apart: bool = False) -> list[list[tuple[str, float]]]:
     return out
 
 
-def restored(span: str, model: list, apart: bool = False) -> list[tuple[float, str]]:
+def restored(span: str, model: list, apart: bool = False, masked: bool = False) -> list[tuple[float, str]]:
     """The likeliest words (with ``apart``, sequences of words) behind a span with their log probabilities, the best first."""
     # A path is its log probability and its letters, linked from the last to the first, so a step costs the same in spans of any length.
     paths: dict[tuple[int, int], list[tuple[float, tuple | None]]] = {(0, 0): [(0.0, None)]}
-    for arcs in lattice(span, apart):
+    for arcs in lattice(span, apart, masked):
         after: dict[tuple[int, int], list[tuple[float, tuple | None]]] = {}
         for (a, b), best in paths.items():
             for letters, cost in arcs:
@@ -146,26 +162,44 @@ def spelt(path: tuple | None) -> str:
     return "".join(reversed(out))
 
 
+def unveiled(low: str) -> str:
+    """A text without characters of no width, and with the Latin letters that those of other alphabets in Latin words look like."""
+    if not BEYOND.search(low) and "\xad" not in low:
+        return low
+
+    def plain(m: re.Match) -> str:
+        word = unicodedata.normalize("NFKC", m[0]).lower()
+        return word.translate(CONFUSABLE) if any("a" <= c <= "z" for c in word) else word
+
+    return re.sub(r"\S*[^\x00-\u024f]\S*", plain, low.translate(NO_WIDTH))
+
+
+def drawn(word: str) -> bool:
+    """Whether a letter stands three times in a row, or three letters stand twice."""
+    doubled = DOUBLED.findall(word)
+    return bool(doubled) and (len(doubled) > 2 or DRAWN.search(word) is not None)
+
+
 class Reader:
     """Words of a text, plain and restored."""
 
     def __init__(self, model: np.ndarray):
         self.model, self.known = model.tolist(), {}
 
-    def decoded(self, span: str, apart: bool = False) -> list[str]:
-        if (span, apart) in self.known:
-            return self.known[span, apart]
+    def decoded(self, span: str, apart: bool = False, masked: bool = False) -> list[str]:
+        if (span, apart, masked) in self.known:
+            return self.known[span, apart, masked]
         # Each step of a number is one of ten digits; what is less likely as a word isn't one.
         least = -len(lattice(span)) * math.log(10) if not apart and NUMBER.fullmatch(span) else -math.inf
-        words = [w for p, w in restored(span, self.model, apart) if p > least]
+        words = [w for p, w in restored(span, self.model, apart, masked) if p > least]
         if len(span) <= LONGEST:
             if len(self.known) > REMEMBERED:
                 self.known.clear()
-            self.known[span, apart] = words
+            self.known[span, apart, masked] = words
         return words
 
     def __call__(self, text: str | None) -> set[str]:
-        low = (text or "").lower()
+        low = unveiled((text or "").lower())
         tokens = set(low.split())
         words = {t.strip(EDGES) for t in tokens}
         found = set()
@@ -173,14 +207,22 @@ class Reader:
             # Closing exclamation marks and brackets are punctuation, not letters; a closing run of dollar signs may be either.
             core = token.strip(".,;:?\"'")
             if core.isalpha():
-                if DRAWN.search(core):
+                if drawn(core):
                     found.update(self.decoded(core))
                 continue
+            bare = core.strip(EDGES)
+            if MASKED.fullmatch(bare):
+                found.update(self.decoded(bare, masked=True))
+            if BROKEN.fullmatch(bare) and re.search(r"[^\W\d_]", bare):
+                joined = re.sub(r"[\W_]", "", bare)
+                found.add(joined)
+                if not joined.isalpha():
+                    found.update(self.decoded(joined))
             whole, core = core, re.sub(r"([^\w])\1+$|[!)]+$", "", core)
             for form in {core, whole} if whole.endswith("$$") else (core,):
                 if len(form) >= 3 and not form.isalpha() and any(c in LOOK_ALIKE for c in form):
                     found.update(self.decoded(form))
-                elif DRAWN.search(form):
+                elif drawn(form):
                     found.update(self.decoded(form))
         for pattern in (SPACED, APART):
             for m in pattern.finditer(low):

@@ -1,5 +1,6 @@
 """Numpy parts against brute force."""
 
+import math
 import zlib
 
 import numpy as np
@@ -224,6 +225,35 @@ def test_words_of_few_letters_or_none_are_restored():
     assert read("call (017) 555-7713 on 4.0. for $455") == {"call", "017", "555-7713", "on", "4.0", "for", "455"}
 
 
+def test_spacing_signs_masks_doubling_and_other_alphabets():
+    read = reader_of("you stupid clown this is what an idiot they all had said that red dog".split() * 20)
+    for text, word in (
+        ("i d i  o t", "idiot"), ("i\nd\ni\no\nt", "idiot"), ("so i   d\ti\n\no t.", "idiot"), ("idi_ot", "idiot"), ("an idi-ot!", "idiot"), ("i.diot", "idiot"), ("st*pid", "stupid"), ("a st#p*d one", "stupid"), ("st**id", "stupid"),
+        ("iidiioott", "idiot"), ("SSTTUUPPIIDD", "stupid"), ("idi\u200bot", "idiot"), ("\ufeffst\u00adupid", "stupid"), ("\u0456diot", "idiot"), ("id\u0456\u043et", "idiot"), ("\uff49\uff44\uff49\uff4f\uff54", "idiot"), ("1d\u04560t", "idiot"),
+    ):
+        assert word in read(text), (text, read(text))
+    # What is only bold, hyphenated or in another alphabet is read as it stands.
+    assert {"red", "dog", "reddog"} >= read("*red* red-dog dog") - {"red-dog"} and "москва" in read("москва")
+
+
+@pytest.mark.parametrize(("span", "apart", "masked"), [("1d10t", False, False), ("s7up!d", False, False), ("aabb1", False, False), ("re2d", True, False), ("st*p", False, True), ("$$", True, False)])
+def test_viterbi_is_the_best_of_all_paths(span, apart, masked):
+    """The likeliest words of the search are those of an enumeration of every path."""
+    from itertools import product
+
+    read = reader_of("you stupid clown this is what an idiot they all had said that red dog".split() * 20)
+    every = {}
+    for path in product(*toxicity.lattice(span, apart, masked)):
+        word, p, x, y = "".join(letters for letters, _ in path), sum(cost for _, cost in path), 0, 0
+        for letter in word + " ":
+            c = int(toxicity.FOLD[ord(letter)])
+            p, x, y = p + read.model[x][y][c], y, c
+        every[word] = max(p, every.get(word, -math.inf))
+    best = sorted(every.values(), reverse=True)
+    found = toxicity.restored(span, read.model, apart, masked)
+    assert abs(found[0][0] - best[0]) < 1e-9 and all(abs(every[w] - p) < 1e-9 or p < every[w] for p, w in found)
+
+
 def test_long_spans_are_restored_and_spaced_words_parted():
     words = "you stupid clown this is what they all had said that red dog".split()
     read = reader_of(words * 20)
