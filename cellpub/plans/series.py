@@ -15,10 +15,10 @@ WINDOWS = {"2001-06": (dt.date(2000, 7, 1), dt.date(2001, 6, 1)), "2000-06": (dt
 
 
 def monthly(s: SparkSession, d: str) -> DataFrame:
-    """Orders by area and month; values below 5 are masked (null), May has no rows."""
-    rows = order_events(s, d).where("month(month) <> 5").groupBy("area", "month").agg(F.count("*").alias("n"))
+    """Orders by area and month; values below 5 and those of May are masked (null)."""
+    rows = order_events(s, d).groupBy("area", "month").agg(F.count("*").alias("n"))
     status = F.when(F.col("month") > F.lit(dt.date(2001, 6, 1)), "provisional").otherwise("final")
-    return rows.select("area", "month", F.when(F.col("n") >= 5, F.col("n")).alias("value"), status.alias("status"))
+    return rows.select("area", "month", F.when((F.col("n") >= 5) & (F.month("month") != 5), F.col("n")).alias("value"), status.alias("status"))
 
 
 def windows(s, d, *keys) -> DataFrame:
@@ -138,7 +138,7 @@ QUERIES = {
 
 MONTHLY = f"""
 e as ({EVENTS}),
-s as (select area, month, case when count(*) >= 5 then count(*) end as value, case when month > date '2001-06-01' then 'provisional' else 'final' end as status from e where month(month) <> 5 group by area, month)"""
+s as (select area, month, case when count(*) >= 5 and month(month) <> 5 then count(*) end as value, case when month > date '2001-06-01' then 'provisional' else 'final' end as status from e group by area, month)"""
 SPAN = "case when month between date '2000-07-01' and date '2001-06-01' then '2001-06' when month between date '1999-07-01' and date '2000-06-01' then '2000-06' end"
 POP = "pop as (select cast(c_nationkey as varchar) as area, count(*) as population from customer group by 1)"
 DIV = f"dv as (select section, division, case when count(*) % 4 <> 0 then count(*) end as value from ({EVENTS}) group by section, division)"

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +23,39 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Folders of the tables that the work at hand has stored; each ``collecting`` has a list of its own.
+_KEPT: ContextVar[list[str] | None] = ContextVar("kept", default=None)
+
+
+@contextmanager
+def collecting() -> Iterator[list[str]]:
+    """The folders of all tables stored inside, for ``release`` when they are read no more."""
+    paths: list[str] = []
+    token = _KEPT.set(paths)
+    try:
+        yield paths
+    finally:
+        _KEPT.reset(token)
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete stored tables. Nothing that still reads them may be computed afterwards."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for path in paths:
+        where = hadoop.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def own_folder(spark: SparkSession, name: str) -> str:
     """A folder of this call alone, so that no other overwrites what is still to be read."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if (paths := _KEPT.get()) is not None:
+        paths.append(path)
+    return path
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and read it back."""
+    """Write ``df`` once to the shared folder and read it back: lineage ends there and lost executors cost nothing."""
     path = own_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
