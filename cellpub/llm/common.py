@@ -2,53 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
-from contextvars import ContextVar
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cellpub.sources.shared import shared_folder
+from cellpub.sources.shared import collecting, release, shared_folder  # noqa: F401  for the operators
+from cellpub.sources.shared import kept as stored
 
 #: White space and words, as the contracts give them.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
-
-#: Folders of the tables that the work at hand has stored; each ``collecting`` has a list of its own.
-_STORED: ContextVar[list[str] | None] = ContextVar("stored", default=None)
-
-
-@contextmanager
-def collecting() -> Iterator[list[str]]:
-    """The folders of all tables stored inside, for ``release`` when they are read no more."""
-    paths: list[str] = []
-    token = _STORED.set(paths)
-    try:
-        yield paths
-    finally:
-        _STORED.reset(token)
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: lineage ends there and lost executors cost nothing."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    if (paths := _STORED.get()) is not None:
-        paths.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def release(spark: SparkSession, paths: list[str]) -> None:
-    """Delete stored tables. Nothing that still reads them may be computed afterwards."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    for path in paths:
-        where = hadoop.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def small_enough(df: DataFrame, most_rows: int) -> bool:
     """Has ``df`` (a stored table) no more rows than may be broadcast?"""
     return df.limit(most_rows + 1).count() <= most_rows
@@ -61,11 +24,14 @@ HOT_ROWS, BROADCAST_ROWS = 500, 200_000
 def hot_join(rows: DataFrame, groups: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """``rows`` joined with ``groups`` (both stored; a row for each key, with ``group_rows``, the rows it has) on keys that are not null.
 
-    The hot keys, at most a row for ``HOT_ROWS`` rows, are broadcast if they are no more than may be, so that rows of a hot key stay where they are; the
-    others meet by key, and so do all if there are too many hot ones.
+    The hot keys, at most a row for ``HOT_ROWS`` rows, are broadcast, so that rows of a hot key stay where they are; if there are more than may be, the hottest ones
+    are. The others meet by key.
     """
-    hot, cold = groups.where(F.col("group_rows") > HOT_ROWS), groups.where(F.col("group_rows") <= HOT_ROWS)
-    if hot.isEmpty() or not small_enough(hot, BROADCAST_ROWS):
+    least = HOT_ROWS
+    if not small_enough(groups.where(F.col("group_rows") > HOT_ROWS), BROADCAST_ROWS):
+        least = groups.select("group_rows").orderBy(F.desc("group_rows")).limit(BROADCAST_ROWS + 1).agg(F.min("group_rows")).first()[0]
+    hot, cold = groups.where(F.col("group_rows") > least), groups.where(F.col("group_rows") <= least)
+    if hot.isEmpty():
         return rows.join(groups, keys, how)
     with_hot = rows.join(F.broadcast(hot), keys)
     return with_hot.unionByName(rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys, how))

@@ -10,7 +10,9 @@
    needed: two of the rules below, or one where the host's rate is at least ``WATCH_RATE``.
 
 Defined cases: null text counts as empty (no words, so it fails the base rule); a null host is a host
-of its own; repeated rows count as often as they occur; an empty table gives an empty table.
+of its own; repeated rows count as often as they occur; a rate of exactly ``HOST_RATE`` rejects and one of exactly ``WATCH_RATE`` watches, and a
+document at a limit passes; very long texts are measured whole; other columns are read by ``keep_good`` only, which keeps them under whatever
+name; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellpub.llm.common import stored, text_or_empty
+from cellpub.llm.common import BROADCAST_ROWS, hot_join, small_enough, stored, text_or_empty
 from cellpub.llm.text_stats import SYMBOLS, n_dup_lines, n_matches, with_repeat_words, word_chars, words_of
 
 #: Fixed values of the contract.
@@ -85,11 +87,12 @@ def beta_prior(hosts: int, docs: int, failing: int, mean: float, var: float, inv
 
 
 def judged(rows: DataFrame) -> DataFrame:
-    """The measured rows with ``host_rejected`` and ``kept``; the hosts' side of the join is small or is joined by host with the rows' side split."""
-    verdicts = host_verdicts(rows).select("host", (F.col("host_rate") >= HOST_RATE).alias("host_rejected"), (F.col("host_rate") >= WATCH_RATE).alias("watched"))
+    """The measured rows with ``host_rejected`` and ``kept``. Verdicts are broadcast where a count shows that they may be; beyond that, rows of the hot hosts stay where they are."""
+    verdicts = host_verdicts(rows).select("host", F.col("n_docs").alias("group_rows"), (F.col("host_rate") >= HOST_RATE).alias("host_rejected"), (F.col("host_rate") >= WATCH_RATE).alias("watched"))
     needed = F.when(F.col("watched"), 1).otherwise(2)
     kept = ~F.col("base_failed") & ~F.col("host_rejected") & (F.col("n_failed") < needed)
-    return rows.join(verdicts, "host").withColumn("kept", kept)
+    joined = rows.join(F.broadcast(verdicts), "host") if small_enough(verdicts, BROADCAST_ROWS) else hot_join(rows, verdicts, ["host"])
+    return joined.withColumn("kept", kept)
 
 
 def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:

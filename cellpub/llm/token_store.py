@@ -11,7 +11,7 @@ passages of different documents have equal chunks between their cuts. A chunk's
 ``ids`` are little-endian unsigned integers of ``width`` bytes: 2 where the vocabulary allows it, else 4. ``start`` is the number of ids of all
 documents before. ``root`` is the root of the Merkle tree over the document's digests. Rows of kind ``recipe`` in the streams are recipes before they were sorted.
 
-Reading: recipes are held against the manifest, every document against its root and every chunk against its address; anything missing, added or changed
+Reading: recipes are held against the manifest, every document against its root and every chunk against its address; anything missing or changed (but not a chunk that no recipe names)
 is an error. ``read_digests`` gives length and CRC-32 of every document; CRCs of chunks combine, so bytes are not
 moved to their documents. ``read_ids`` rebuilds the streams themselves.
 
