@@ -22,20 +22,21 @@ from cellpub.llm.quality_rules import keep_good
 
 
 class Run:
-    """One run of the stages. When a stage begins, the documents it gets are written already, so what the stage before stored is deleted, unless they are still read from it."""
+    """Runs of the stages, one for each input folder. When a stage begins, the documents it gets are written already, so what the stage before stored for that folder is deleted, unless they are still read from it."""
 
     def __init__(self) -> None:
-        self.dead: list[str] = []
+        self.dead: dict[str, list[str]] = {}
 
     def _stage(self, work: Callable[[DataFrame], DataFrame], keeps: bool = False) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
         def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-            names = [path.rsplit("/", 1)[-1] for path in self.dead]
-            if self.dead and not any(f"/{name}/" in file for file in docs.inputFiles() for name in names):
-                release(spark, self.dead)
+            dead = self.dead.pop(sf_dir, [])
+            names = [path.rsplit("/", 1)[-1] for path in dead]
+            if dead and not any(f"/{name}/" in file for file in docs.inputFiles() for name in names):
+                release(spark, dead)
             with collecting() as paths:
                 out = work(docs)
             # The last stage's result may be read at any later time.
-            self.dead = [] if keeps else paths
+            self.dead[sf_dir] = [] if keeps else paths
             return out
 
         return stage
