@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from cellpub.llm.common import content_key, running_sum, sorted_table, stored, word_count
+from cellpub.llm.common import content_key, hot_join, running_sum, sorted_table, stored, word_count
 
 #: Parameters: weights by the rank of the source, share of all sizes in per cent, most copies of a document.
 WEIGHTS, SHARE_PERCENT, MOST = (3, 1, 2), 150, 2
@@ -51,7 +51,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     buckets = F.ceil(F.sqrt(F.col("n").cast("double")) / NARROW)
     place = F.xxhash64("doc_id", "content_key")
-    ranked = rows.join(taken, ["source", "size"]).withColumns({"place": place, "bucket": F.pmod(place, buckets)})
+    # Rows of a cell with very many of them stay where they are.
+    ranked = hot_join(rows, taken.withColumn("group_rows", F.col("n")), ["source", "size"]).drop("group_rows").withColumns({"place": place, "bucket": F.pmod(place, buckets)})
     in_bucket = Window.partitionBy("source", "size", "bucket").orderBy("place", "doc_id")
     sizes = ranked.groupBy("source", "size", "bucket").agg(F.count("*").alias("rows"))
     before = Window.partitionBy("source", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
