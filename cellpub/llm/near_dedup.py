@@ -66,11 +66,15 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # A class without links is a component of its own; those of a component take the smallest row of it, a large component's where they are.
     own = F.struct(F.col("rep_doc").isNull().alias("no_id"), F.col("rep_doc").alias("doc"), F.col("rep_key").alias("key"))
-    small = classes.select("set_key", "class_id", own.alias("own"))
-    named = stored(small.join(roots, small["class_id"] == roots["node"], "left").select("set_key", "class_id", "own", "root"), "named")
+    small = classes.select("set_key", "class_id", own.alias("own"), "copies")
+    named = stored(small.join(roots, small["class_id"] == roots["node"], "left").select("set_key", "class_id", "own", "root", "copies"), "named")
     smallest = stored(named.where("root is not null").groupBy("root").agg(F.min("own").alias("least"), F.count("*").alias("group_rows")), "components")
-    named = hot_join(named.where("root is not null"), smallest, ["root"]).select("set_key", "class_id", "least").unionByName(named.where("root is null").select("set_key", "class_id", F.col("own").alias("least")))
-    found = rows.select("doc_id", "content_key", "n_shingles", "set_key").join(named, "set_key", "left")
+    named = hot_join(named.where("root is not null"), smallest, ["root"]).select("set_key", "class_id", "least", "copies").unionByName(named.where("root is null").select("set_key", "class_id", F.col("own").alias("least"), "copies"))
+    # Rows of a set with very many of them stay where they are, and those without words need no join.
+    named = stored(named.withColumnRenamed("copies", "group_rows"), "least")
+    rows = rows.select("doc_id", "content_key", "n_shingles", "set_key")
+    with_words = hot_join(rows.where("n_shingles > 0"), named, ["set_key"]).drop("group_rows")
+    found = with_words.unionByName(rows.where("n_shingles = 0"), allowMissingColumns=True)
     empty = F.col("n_shingles") == 0
     component = F.when(empty, F.col("doc_id")).otherwise(F.col("least.doc"))
     one = empty | F.col("doc_id").eqNullSafe(F.col("least.doc")) & (F.col("content_key") == F.col("least.key"))
@@ -213,8 +217,8 @@ def signed(texts: DataFrame, shingle: int) -> DataFrame:
 def _classes(rows: DataFrame) -> DataFrame:
     """A row for each distinct set, with a number of its own and the smallest row that has the set."""
     rep = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content_key"))
-    classes = rows.where("n_shingles > 0").groupBy("set_key").agg(rep.alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
-    classes = classes.select(F.monotonically_increasing_id().alias("class_id"), "set_key", F.col("rep.doc_id").alias("rep_doc"), F.col("rep.content_key").alias("rep_key"), "n_shingles", "sketch", "bands")
+    classes = rows.where("n_shingles > 0").groupBy("set_key").agg(rep.alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"), F.count("*").alias("copies"))
+    classes = classes.select(F.monotonically_increasing_id().alias("class_id"), "set_key", F.col("rep.doc_id").alias("rep_doc"), F.col("rep.content_key").alias("rep_key"), "n_shingles", "sketch", "bands", "copies")
     return stored(classes, "classes")
 
 
