@@ -179,9 +179,10 @@ def test_sector_of_localised_events(spark):
     }
 
 
-def test_lookup_under_skew(spark, monkeypatch):
+@pytest.mark.parametrize("bound", [10, 10_000])
+def test_lookup_under_skew(spark, monkeypatch, bound):
     """One code on half of the rows, and rows without a code: no task gets much more than the others, and the join is the plain one."""
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", bound)
     key = F.when(F.col("id") % 2 == 0, 0).when(F.col("id") % 10 == 1, None).otherwise(F.col("id") % 997)
     rows = spark.range(0, 40_000, 1, 8).select("id", key.alias("code"))
     table = spark.range(0, 990).select(F.col("id").alias("code"), (F.col("id") * 3).alias("value"))
