@@ -176,8 +176,7 @@ def unveiled(low: str) -> str:
 
 def drawn(word: str) -> bool:
     """Whether a letter stands three times in a row, or three letters stand twice."""
-    doubled = DOUBLED.findall(word)
-    return bool(doubled) and (len(doubled) > 2 or DRAWN.search(word) is not None)
+    return DOUBLED.search(word) is not None and (DRAWN.search(word) is not None or len(DOUBLED.findall(word)) > 2)
 
 
 class Reader:
@@ -211,13 +210,14 @@ class Reader:
                     found.update(self.decoded(core))
                 continue
             bare = core.strip(EDGES)
-            if MASKED.fullmatch(bare):
-                found.update(self.decoded(bare, masked=True))
-            if BROKEN.fullmatch(bare) and re.search(r"[^\W\d_]", bare):
-                joined = re.sub(r"[\W_]", "", bare)
-                found.add(joined)
-                if not joined.isalpha():
-                    found.update(self.decoded(joined))
+            if not bare.isalnum():
+                if MASKED.fullmatch(bare):
+                    found.update(self.decoded(bare, masked=True))
+                if BROKEN.fullmatch(bare) and re.search(r"[^\W\d_]", bare):
+                    joined = re.sub(r"[\W_]", "", bare)
+                    found.add(joined)
+                    if not joined.isalpha():
+                        found.update(self.decoded(joined))
             whole, core = core, re.sub(r"([^\w])\1+$|[!)]+$", "", core)
             for form in {core, whole} if whole.endswith("$$") else (core,):
                 if len(form) >= 3 and not form.isalpha() and any(c in LOOK_ALIKE for c in form):
