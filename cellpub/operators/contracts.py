@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cellpub.functions.scalars import threshold_status
 from cellpub.operators.quantiles import exact_quantiles
+from cellpub.sources.shared import fixed_rows
 
 
 def _rows(df: DataFrame, item: Column, n: Column | None = None) -> DataFrame:
@@ -47,7 +48,7 @@ def expression(df: DataFrame, column: str, predicate: Column) -> DataFrame:
 
 def forbidden_columns(df: DataFrame, names: list[str]) -> DataFrame:
     found = sorted(c for c in df.columns if any(n in c.lower() for n in names))
-    return df.sparkSession.createDataFrame([(c, 1) for c in found], "item string, n long")
+    return fixed_rows(df.sparkSession, [(c, 1) for c in found], "item string, n long")
 
 
 def reconcile(left: DataFrame, right: DataFrame, what: str) -> DataFrame:
@@ -132,13 +133,14 @@ def check_report(tables: dict[str, DataFrame], rules: list[Rule], known: dict[st
     """
     spark = next(iter(tables.values())).sparkSession
     parts: dict[str, list[Column]] = {}
-    for rule in rules:
+    for number, rule in enumerate(rules):
         for table, side, item, counts in rule.parts:
-            parts.setdefault(table, []).append(F.when(counts, F.struct(F.lit(rule.name).alias("check"), item.alias("item"), F.lit(side).alias("side"))))
-    rows = reduce(lambda a, b: a.unionByName(b), [tables[t].select(F.explode(F.array_compact(F.array(*adds))).alias("x")).select("x.*") for t, adds in parts.items()])
-    groups = rows.groupBy("check", "item").agg(F.count_if(F.col("side") == "left").alias("n"), F.count_if(F.col("side") == "right").alias("m"))
-    kinds = spark.createDataFrame([(r.name, r.severity, r.kind, r.share) for r in rules], "check string, severity string, kind string, share double")
-    judged = groups.join(F.broadcast(kinds.select("check", "kind")), "check")
+            parts.setdefault(table, []).append(F.when(counts, F.struct(F.lit(number).alias("rule"), item.alias("item"), F.lit(side == "left").alias("left"))))
+    # What a row does not add is dropped after the explode: that is compiled, array functions with lambdas are not.
+    rows = reduce(lambda a, b: a.unionByName(b), [tables[t].select(F.explode(F.array(*adds)).alias("x")).where("x is not null").select("x.*") for t, adds in parts.items()])
+    groups = rows.groupBy("rule", "item").agg(F.count_if("left").alias("n"), F.count_if(~F.col("left")).alias("m"))
+    kinds = fixed_rows(spark, [(i, r.name, r.severity, r.kind, r.share) for i, r in enumerate(rules)], "rule int, check string, severity string, kind string, share double")
+    judged = groups.join(F.broadcast(kinds.select("rule", "check", "kind")), "rule")
     n, m, kind = F.col("n"), F.col("m"), F.col("kind")
     bad = F.when(kind == "repeated", n > 1).when(kind == "any", n > 0).when(kind.isin("orphan", "uncovered"), (n > 0) & (m == 0)).when(kind == "empty", (n == 0) & (m > 0)).when(kind == "differ", n != m).otherwise(False)
     weight = F.when(kind.isin("uncovered", "empty"), F.lit(1)).when(kind == "differ", F.abs(n - m)).otherwise(n)
@@ -151,7 +153,7 @@ def check_report(tables: dict[str, DataFrame], rules: list[Rule], known: dict[st
         F.coalesce(F.when(is_low, F.aggregate("low", F.lit(0).cast("long"), lambda t, x: t + x)).otherwise(F.col("failing_rows")), F.lit(0)).cast("long").alias("failing_rows"),
     )
     if known:
-        report = report.unionByName(spark.createDataFrame([(name, severity, k, k) for name, (severity, k) in known.items()], report.schema))
+        report = report.unionByName(fixed_rows(spark, [(name, severity, k, k) for name, (severity, k) in known.items()], report.schema))
     return report.withColumn("status", F.when(F.col("violations") == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail"))
 
 

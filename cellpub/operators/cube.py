@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellpub.sources.shared import fixed_rows
+
 KEY = ["indicator", "ptype", "period", "geo", "level", "sector"]
 
 #: The published grains as (ptype, level, geo kind). Those of level P are only for indicators with types.
@@ -46,7 +48,7 @@ def trailing_windows(months: DataFrame) -> DataFrame:
 
 def specification(indicators: DataFrame, types: DataFrame) -> DataFrame:
     """(indicator, ptype, level, geo_kind): the grains of each indicator. ``types``: indicator, detail. All are dimensions."""
-    grains = indicators.sparkSession.createDataFrame(GRAINS, "ptype string, level string, geo_kind string")
+    grains = fixed_rows(indicators.sparkSession, GRAINS, "ptype string, level string, geo_kind string")
     typed = types.select("indicator", F.lit("P").alias("level")).distinct()
     every = indicators.select("indicator").crossJoin(grains)
     return every.where("level <> 'P'").unionByName(every.join(typed, ["indicator", "level"], "left_semi").select(every.columns))
@@ -92,14 +94,14 @@ def densify(cells: DataFrame, every: DataFrame) -> DataFrame:
     return every.join(cells, KEY, "left").withColumn("value", F.coalesce("value", F.lit(0).cast("long")))
 
 
-def additive_relations(cells: DataFrame, sectors: DataFrame, windows: DataFrame, spec: DataFrame) -> DataFrame:
+def additive_relations(cells: DataFrame, sectors: DataFrame, windows: DataFrame, spec: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """(rel, key of a cell, is_total): parts and total of each additive relation, in long form. Cells are read once and dealt to their relations.
 
-    ``sectors``: division, section. A month is a part of each window that it is in.
+    ``sectors``: division, section. A month is a part of each window that it is in. Columns of cells named in ``carry`` come along, which spares a join back to the cells.
     """
     spark = cells.sparkSession
     rows = [(name, *grain, total) for name, (parts, totals) in RELATIONS.items() for total, grains in ((False, parts), (True, totals)) for grain in grains]
-    roles = spark.createDataFrame(rows, "name string, ptype string, level string, geo_kind string, is_total boolean")
+    roles = fixed_rows(spark, rows, "name string, ptype string, level string, geo_kind string, is_total boolean")
     typed = spec.where("level = 'P'").select("indicator").distinct()
     of = spec.join(roles, ["ptype", "level", "geo_kind"])
     of = of.where(~F.col("name").isin(*OF_TYPES)).unionByName(of.where(F.col("name").isin(*OF_TYPES)).join(typed, "indicator", "left_semi").select(of.columns))
@@ -110,7 +112,7 @@ def additive_relations(cells: DataFrame, sectors: DataFrame, windows: DataFrame,
     is_ = lambda *names: F.col("name").isin(*names)
     span = F.explode(F.when(is_("months") & (F.col("ptype") == "M"), F.col("spans")).otherwise(F.array("period")))
     more = F.when(is_("sections_of_geo"), F.col("geo")).when(is_("areas_of_sector"), F.concat_ws("|", "level", "sector")).when(is_("divisions"), F.coalesce("parent", "sector")).when(is_("months"), F.concat_ws("|", "geo", "level", "sector"))
-    return dealt.select(*KEY, "is_total", "name", more.alias("more"), span.alias("span")).select(F.concat_ws("|", "name", "indicator", "span", "more").alias("rel"), *KEY, "is_total")
+    return dealt.select(*KEY, *carry, "is_total", "name", more.alias("more"), span.alias("span")).select(F.concat_ws("|", "name", "indicator", "span", "more").alias("rel"), *KEY, *carry, "is_total")
 
 
 def relation_gaps(members: DataFrame, cells: DataFrame) -> DataFrame:

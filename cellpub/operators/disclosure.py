@@ -5,6 +5,8 @@ Direct recomputation within one relation is prevented; combinations of several r
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,15 +21,16 @@ def primary_suppression(cells: DataFrame, threshold: int = THRESHOLD) -> DataFra
     return cells.withColumn("mask", F.when((F.col("value") > 0) & (F.col("value") < threshold), "p"))
 
 
-def secondary_suppression(cells: DataFrame, members: DataFrame, most_rounds: int = 100) -> DataFrame:
+def secondary_suppression(cells: DataFrame, members: DataFrame | Callable[[DataFrame], DataFrame], most_rounds: int = 100) -> DataFrame:
     """In every relation with exactly one masked member, the smallest positive other one is masked too ('s'), until none is left.
 
+    ``members``: rel and the key of a cell; or what deals given cells to their relations with all their columns, so that members need not be joined with cells.
     All relations of a round see the same state, so the result does not depend on partitions. Members get the number of their cell once and are stored by relation; cells are
     not written again. A round stores its new masks with the relations that they are in, so what it writes is in proportion to new masks. Only relations that were touched and have one masked member now are searched: any other was searched when it came to have one. Counts and minima are combined before
     the shuffle, so a relation with very many members is a few rows there. The driver reads how many masks a round made.
     """
     cells = kept(cells.withColumn("__cell", F.monotonically_increasing_id()), "cells")
-    own = members.select("rel", *KEY).join(cells.select(*KEY, "__cell", "value", "mask"), KEY)
+    own = members.select("rel", *KEY).join(cells.select(*KEY, "__cell", "value", "mask"), KEY) if isinstance(members, DataFrame) else members(cells)
     order = F.when(F.col("value") > 0, F.struct("value", *KEY, "__cell"))
     own = kept(own.select("rel", "__cell", order.alias("free"), F.col("mask").isNotNull().alias("primary")), "members")
     counts = kept(own.where("primary").groupBy("rel").agg(F.count("*").alias("masked")), "counts")

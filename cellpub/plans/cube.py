@@ -11,7 +11,7 @@ from cellpub.operators import cube, disclosure
 from cellpub.operators.dims import published_months, sector_members
 from cellpub.plans import chain
 from cellpub.plans import registers as plan
-from cellpub.sources.shared import kept
+from cellpub.sources.shared import fixed_rows, kept
 
 INDICATORS = [("creations_units", "register"), ("creations_parents", "register"), ("insolvencies", "notice"), ("closings", "notice")]
 OTHER = "other_procedure"
@@ -36,8 +36,8 @@ class Cube:
     def dense(self) -> DataFrame:
         return cube.densify(self.cells(), cube.skeleton(self.months, self.windows, self.spec, self.areas, self.sectors, self.types))
 
-    def relations(self, cells: DataFrame) -> DataFrame:
-        return cube.additive_relations(cells, self.sectors, self.windows, self.spec)
+    def relations(self, cells: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+        return cube.additive_relations(cells, self.sectors, self.windows, self.spec, carry)
 
     def provisional(self) -> DataFrame:
         return self.months.where("status = 'provisional'").select("indicator", "period")
@@ -45,12 +45,12 @@ class Cube:
 
 def of(s: SparkSession, d: str) -> Cube:
     """The fact is stored, as the cells read it; months and sectors are, as many dimensions come from them."""
-    indicators = s.createDataFrame(INDICATORS, "indicator string, source string")
-    types = s.createDataFrame(TYPES, "indicator string, detail string")
+    indicators = fixed_rows(s, INDICATORS, "indicator string, source string")
+    types = fixed_rows(s, TYPES, "indicator string, detail string")
     months = kept(published_months(chain.months(s, d), indicators), "months")
     facts = kept(chain.monthly_fact(s, d).withColumn("area", F.col("area").cast("string")), "facts")
     known = plan.codes(s, d).select("division", "section")
-    labelled = s.createDataFrame([(f"{x}/5-LOW", x) for x in ("BUILDING", "FURNITURE")], "division string, section string")
+    labelled = fixed_rows(s, [(f"{x}/5-LOW", x) for x in ("BUILDING", "FURNITURE")], "division string, section string")
     sectors = kept(sector_members(known.unionByName(labelled)), "sectors")
     areas = plan.perimeter(s, d).select(F.col("area").cast("string").alias("area"))
     return Cube(facts, months, cube.trailing_windows(months), cube.specification(indicators, types), areas, sectors, types)
@@ -85,8 +85,8 @@ def _domain(s, d):
 def masked(s, d) -> tuple[Cube, DataFrame, DataFrame]:
     c = of(s, d)
     cells = kept(c.dense(), "dense")
-    members = c.relations(cells)
-    return c, disclosure.secondary_suppression(disclosure.primary_suppression(cells), members), members
+    dealt = lambda numbered: c.relations(numbered, ("__cell", "value", "mask"))
+    return c, disclosure.secondary_suppression(disclosure.primary_suppression(cells), dealt), c.relations(cells)
 
 
 def _published(s, d):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cellpub.operators import labels, series, survey
 from cellpub.plans.facts import EVENTS
 from cellpub.plans.tables import order_events, table
+from cellpub.sources.shared import fixed_rows
 
 WINDOWS = {"2001-06": (dt.date(2000, 7, 1), dt.date(2001, 6, 1)), "2000-06": (dt.date(1999, 7, 1), dt.date(2000, 6, 1))}
 
@@ -89,7 +90,7 @@ def truth(s, d) -> DataFrame:
 
 
 def _grid(s, d):
-    grid = s.createDataFrame([(a, b) for a in (0.3, 0.4, 0.5, 0.6) for b in (0.5, 0.7, 0.9)], "t1 double, t2 double")
+    grid = fixed_rows(s, [(a, b) for a in (0.3, 0.4, 0.5, 0.6) for b in (0.5, 0.7, 0.9)], "t1 double, t2 double")
     return labels.policy_grid(scored(s, d), hierarchy(s, d), truth(s, d), grid)
 
 

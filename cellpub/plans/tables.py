@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+#: Schemas by path, time of change and length: finding one is a job, and a chain reads some tables many times.
+_SCHEMAS: dict[tuple[str, int, int], StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where)
+    version = (path, status.getModificationTime(), status.getLen())
+    if version not in _SCHEMAS:
+        _SCHEMAS[version] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[version]).parquet(path)
 
 
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:

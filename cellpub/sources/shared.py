@@ -1,4 +1,4 @@
-"""Tables in the folder that driver and executors share: they cut lineage and outlive executors."""
+"""Tables in the folder that driver and executors share: they cut lineage and outlive executors. And small tables of fixed rows."""
 
 from __future__ import annotations
 
@@ -8,8 +8,11 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -66,3 +69,11 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     seen = Observation(f"{name}-{uuid.uuid4().hex}")
     out = kept(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
     return out, seen.get["rows"]
+
+
+def fixed_rows(spark: SparkSession, rows: list[tuple], schema: str | StructType) -> DataFrame:
+    """Rows known beforehand as a local relation. The planner knows its size, so it is broadcast; made from a list, it would be an RDD of unknown size that is shuffled."""
+    types = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = list(zip(*rows, strict=True)) or [()] * len(types)
+    arrow = to_arrow_schema(types)
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow), types)

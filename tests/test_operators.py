@@ -466,3 +466,12 @@ def test_streams(spark, tmp_path):
     counts = windowed_counts(read().withColumn("at", F.timestamp_seconds("t")), "at", "10 seconds", "1 minute", "k")
     counts.writeStream.outputMode("complete").format("memory").queryName("counts").trigger(availableNow=True).start().awaitTermination()
     assert {(r.k, r.n) for r in spark.table("counts").collect()} == {(1, 2), (2, 2)}
+
+
+def test_fixed_rows_are_a_local_relation(spark):
+    from cellpub.sources.shared import fixed_rows
+
+    rows = fixed_rows(spark, [("a", 1, None), (None, 2, 0.5)], "x string, n int, s double")
+    assert [tuple(r) for r in rows.collect()] == [("a", 1, None), (None, 2, 0.5)]
+    assert "LocalRelation" in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert fixed_rows(spark, [], "x string, n long").collect() == []
