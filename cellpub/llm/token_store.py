@@ -39,26 +39,28 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellpub.llm.common import partitions, running_sum, sorted_table, stored
 
 #: Parameters: ids of the rolling window, least, mean and most ids in a chunk.
 WINDOW, LEAST, MEAN, MOST = 16, 64, 256, 2048
-#: Parameters: pieces, and digests, that a worker remembers; characters encoded together; ids cut together; documents of a group of the manifest as a power of two.
-REMEMBERED, TOGETHER, CUT_TOGETHER, GROUP_BITS = 600_000, 4_000_000, 500_000, 12
+#: Parameters: parts of pieces, and digests, that a worker remembers; that number over the pieces that it does; bytes of the longest piece remembered; characters encoded together; ids cut together; documents of a group of the manifest as a power of two.
+REMEMBERED, PIECES_SHARE, LONGEST, TOGETHER, CUT_TOGETHER, GROUP_BITS = 600_000, 4, 100, 8_000_000, 500_000, 12
 #: Fixed value: an odd multiplier and its inverse modulo 2^64.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
-#: Unicode white space but blank and line feed; Latin letters; the byte-level split as it reads on Latin letters, ASCII digits and signs, and line feeds.
+#: Unicode white space but blank and line feed; Latin letters.
 ODD_SPACES = "\t\x0b-\x0d\x1c-\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
-SPLIT = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{LATIN}]+| ?[0-9]+| ?[^\s{LATIN}0-9]+|\n+(?!\S)|\n+")
-#: What the split above does not cover, in a piece; and, in a text, blanks that do not stand alone between other characters.
+#: What ``parts_of`` does not split, in a piece; and, in a text, blanks that do not stand alone between other characters.
 BEYOND, UNEVEN = rf"[^\n!-~{LATIN}]", rf"[{ODD_SPACES}]| [ \n]|\n |^ | $"
 LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
+#: Kinds of the bytes of a piece; bytes above ASCII are in Latin letters.
+SPACE, LETTER, DIGIT, SIGN = range(4)
+KINDS = np.array([SPACE if b in b" \n" else LETTER if b >= 0x80 or chr(b).isalpha() else DIGIT if chr(b).isdigit() else SIGN for b in range(0x100)], dtype=np.uint8)
 
 
 def byte_letters() -> list[str]:
@@ -68,13 +70,105 @@ def byte_letters() -> list[str]:
     return [chr(b if b in plain else next(others)) for b in range(0x100)]
 
 
+def bytes_of(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of some strings (no nulls), and where each begins and the last ends in them."""
+    ends = np.frombuffer(strings.buffers()[1] or np.zeros(1, dtype=np.int32), dtype=np.int32)[strings.offset : strings.offset + len(strings) + 1]
+    data = np.frombuffer(strings.buffers()[2] or b"", dtype=np.uint8)[ends[0] : ends[-1]]
+    return data, ends.astype(np.int64) - ends[0]
+
+
+def strings_of(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    return pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data))
+
+
+def parts_of(pieces: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Parts of pieces as the byte-level pre-tokenizer splits them, and how many each has.
+
+    A piece has ASCII letters, digits and signs, Latin letters and line feeds, and a blank at most before them. A part is a contraction, a run of one kind (with the blank
+    before it) or line feeds, the last of which stands alone before anything else.
+    """
+    data, ends = bytes_of(pieces)
+    own = np.zeros(len(data) + 4, dtype=bool)  # first bytes of pieces; ends of contractions may be looked up beyond the last
+    own[ends] = True
+    kind = KINDS[data]
+    starts = own.copy()
+    starts[1 : len(data)] |= kind[1:] != kind[:-1]
+    last = np.flatnonzero((kind[:-1] == SPACE) & (kind[1:] != SPACE))
+    last = last[~own[last + 1]]
+    starts[last] = True
+    starts[last + 1] = data[last] != 0x20
+    # An apostrophe that begins a part may begin a contraction, which ends inside of a run of letters.
+    marks = np.flatnonzero(data == ord("'"))
+    marks = marks[starts[marks] & ~own[marks + 1]]
+    after = np.concatenate([data, np.zeros(3, dtype=np.uint8)])
+    short = np.isin(after[marks + 1], np.frombuffer(b"stmd", dtype=np.uint8))
+    two = after[marks + 1].astype(np.int64) << 8 | after[marks + 2]
+    long = np.isin(two, [int.from_bytes(x) for x in (b"re", b"ve", b"ll")]) & ~own[marks + 2]
+    for which, size in ((short, 2), (long, 3)):
+        starts[marks[which] + 1] = False
+        starts[marks[which] + size] = True
+    starts = np.flatnonzero(starts[: len(data)])
+    return strings_of(data, np.append(starts, len(data))), np.diff(np.searchsorted(starts, ends))
+
+
+def gathered(ids: np.ndarray, ends: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the strings at some places one after another, and the ends of each; string i has ids[ends[i] : ends[i + 1]]."""
+    begins = ends[place]
+    sizes = ends[place + 1] - begins
+    after = np.cumsum(sizes)
+    take = np.repeat(begins - after + sizes, sizes)
+    take += np.arange(len(take))
+    return ids[take], np.concatenate([[0], after])
+
+
+def flat(rows: list[list[int]], kind: str) -> tuple[np.ndarray, np.ndarray]:
+    ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, rows), dtype=np.int64, count=len(rows)))])
+    return np.fromiter(chain.from_iterable(rows), dtype=kind, count=ends[-1]), ends
+
+
+def put_after(first: tuple[np.ndarray, np.ndarray], second: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return np.concatenate([first[0], second[0]]), np.concatenate([first[1], first[1][-1] + second[1][1:]])
+
+
+class Memory:
+    """Strings and their ids. ``known`` is the ids of all, and where each string's begin and the last's end."""
+
+    def __init__(self, kind: str):
+        self.words, self.uses = pa.array([], pa.string()), np.zeros(0, dtype=np.int32)
+        self.known = np.empty(0, dtype=kind), np.zeros(1, dtype=np.int64)
+
+    def make_room(self, most: int) -> None:
+        """Of too many strings, those stay that were met in several slices, half of the bound at most."""
+        if len(self.words) > most:
+            often = np.argsort(-self.uses, kind="stable")[: most // 2]
+            keep = np.sort(often[self.uses[often] > 1])
+            self.words, self.uses, self.known = self.words.take(pa.array(keep)), self.uses[keep] // 2, gathered(*self.known, keep)
+
+    def places(self, strings: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        """The place of each string among the known ones and the new ones after them, and the new ones."""
+        coded = strings.dictionary_encode()
+        at = pc.fill_null(pc.index_in(coded.dictionary, value_set=self.words), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(at < 0)
+        self.uses[at[at >= 0]] += 1
+        at[new] = len(self.words) + np.arange(len(new))
+        return at[coded.indices.to_numpy()], coded.dictionary.take(pa.array(new))
+
+    def learn(self, new: pa.Array, found: tuple[np.ndarray, np.ndarray]) -> None:
+        """New strings and their ids; long ones are not kept."""
+        short = pc.less_equal(pc.binary_length(new), LONGEST).to_numpy(zero_copy_only=False)
+        if not short.all():
+            new, found = new.filter(pa.array(short)), gathered(*found, np.flatnonzero(short))
+        self.words, self.uses = pa.concat_arrays([self.words, new]), np.concatenate([self.uses, np.ones(len(new), dtype=np.int32)])
+        self.known = put_after(self.known, found)
+
+
 class Encoder:
-    """The tokenizer, with the ids of pieces remembered.
+    """The tokenizer, with the ids of pieces and of their parts remembered.
 
     A text is split at blanks that stand alone between other characters. The byte-level pre-tokenizer always ends a
     token before such a blank and never looks behind, so pieces encoded alone, each with its blank, give the same ids as the whole text.
-    Pieces of a slice of texts are told apart by Arrow; only new ones become Python strings. New ones of Latin letters, digits and signs are split
-    as the pre-tokenizer does and go to the tokenizer's model part by part; others go to the tokenizer whole. Texts that
+    Pieces of a slice of texts are told apart by Arrow, and new ones of Latin letters, digits and signs are split
+    as the pre-tokenizer does, all together; only new parts become Python strings and go to the tokenizer's model. Other new pieces go to the tokenizer whole. Texts that
     may hold an added token are encoded whole, as are all texts if the tokenizer is not a plain byte-level one.
     """
 
@@ -90,8 +184,9 @@ class Encoder:
         pre = parts["pre_tokenizer"] or {}
         self.by_piece = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not parts["normalizer"] and parts["model"]["type"] == "BPE"
         self.added = "|".join(re.escape(t["content"]) for t in parts["added_tokens"])
-        self.letters = byte_letters()
-        self.forget()
+        letters = [x.encode() for x in byte_letters()]
+        self.letters, self.spelt_sizes = np.frombuffer(b"".join(x.ljust(2, b"\0") for x in letters), dtype=np.uint8).reshape(-1, 2), np.array([len(x) for x in letters])
+        self.pieces, self.parts = Memory(self.kind), Memory(self.kind)
 
     @classmethod
     def of_worker(cls, path: str) -> Encoder:
@@ -101,75 +196,61 @@ class Encoder:
             kept.path, kept.encoder = path, cls(path)
         return kept.encoder
 
-    def forget(self) -> None:
-        self.parts: dict[str, bytes] = {}
-        self.words, self.uses = pa.array([], pa.string()), np.zeros(0, dtype=np.int32)
-        self.ids, self.ends = np.empty(0, dtype=self.kind), np.zeros(1, dtype=np.int64)
-
-    def _make_room(self) -> None:
-        """Of too many pieces, those stay that were met in several slices, half of the bound at most."""
-        if len(self.parts) > REMEMBERED:
-            self.parts = {}
-        if len(self.words) > REMEMBERED:
-            often = np.argsort(-self.uses, kind="stable")[: REMEMBERED // 2]
-            keep = np.sort(often[self.uses[often] > 1])
-            sizes = np.diff(self.ends)
-            self.ids = self.ids[np.repeat(self._kept(keep), sizes)]
-            self.words, self.uses, self.ends = self.words.take(pa.array(keep)), self.uses[keep] // 2, np.concatenate([[0], np.cumsum(sizes[keep])])
-
-    def _kept(self, keep: np.ndarray) -> np.ndarray:
-        flags = np.zeros(len(self.words), dtype=bool)
-        flags[keep] = True
-        return flags
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encoded(self, pieces: list[str], beyond: list[bool]) -> list[bytes]:
-        split = [[p] if b else SPLIT.findall(p) for p, b in zip(pieces, beyond, strict=True)]
-        new = set(chain.from_iterable(split)).difference(self.parts)
-        if odd := [p for p, b in zip(pieces, beyond, strict=True) if b and p in new]:
-            self.parts.update(zip(odd, self.whole(odd), strict=True))
-            new.difference_update(odd)
-        model, letter = self.model.tokenize, self.letters.__getitem__
-        blank = self.letters[0x20]
-        for part in new:
-            spelt = part.replace(" ", blank) if part.isascii() and "\n" not in part else "".join(map(letter, part.encode()))
-            self.parts[part] = array(self.code, [t.id for t in model(spelt)]).tobytes()
-        known = self.parts.__getitem__
-        return [known(s[0]) if len(s) == 1 else b"".join(map(known, s)) for s in split]
-
-    def _new(self, pieces: pa.Array, before: str) -> list[bytes]:
-        beyond = pc.match_substring_regex(pieces, BEYOND).to_numpy(zero_copy_only=False).tolist()
-        return self.encoded([before + p for p in pieces.to_numpy(zero_copy_only=False).tolist()], beyond)
+    @property
+    def words(self) -> pa.Array:
+        return self.pieces.words
+
+    def whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def spelt(self, parts: pa.Array) -> list[str]:
+        """Parts in the byte-level alphabet, a letter of one or two bytes for each byte."""
+        data, ends = bytes_of(parts)
+        letters = self.letters[data]
+        after = np.concatenate([[0], np.cumsum(self.spelt_sizes[data])])
+        return strings_of(letters[letters != 0], after[ends]).to_numpy(zero_copy_only=False).tolist()
+
+    def _by_parts(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces without anything that is beyond ``parts_of``."""
+        self.parts.make_room(REMEMBERED)
+        parts, counts = parts_of(pieces)
+        place, new = self.parts.places(parts)
+        model, ids, ends = self.model.tokenize, array(self.code), array("q", [0])
+        put, end = ids.append, ends.append
+        for x in self.spelt(new):
+            for token in model(x):
+                put(token.id)
+            end(len(ids))
+        found = np.array(ids, dtype=self.kind), np.array(ends)
+        ids, ends = gathered(*put_after(self.parts.known, found), place)
+        self.parts.learn(new, found)
+        return ids, ends[np.concatenate([[0], np.cumsum(counts)])]
+
+    def _encoded(self, words: pa.Array, firsts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, each with a blank before it, and then of the first pieces of texts, which have none."""
+        pieces = pa.concat_arrays([pc.binary_join_element_wise("", words, " "), firsts])
+        beyond = pa.concat_arrays([pc.match_substring_regex(x, BEYOND) for x in (words, firsts)])
+        if not pc.any(beyond, min_count=0).as_py():
+            return self._by_parts(pieces)
+        both = put_after(self._by_parts(pieces.filter(pc.invert(beyond))), flat(self.whole(pieces.filter(beyond).to_pylist()), self.kind))
+        beyond = beyond.to_numpy(zero_copy_only=False)
+        place = np.empty(len(pieces), dtype=np.int64)
+        place[np.concatenate([np.flatnonzero(~beyond), np.flatnonzero(beyond)])] = np.arange(len(pieces))
+        return gathered(*both, place)
 
     def _streams(self, lists: pa.ListArray) -> list[np.ndarray]:
         """Ids of texts given as lists of their pieces (none is empty)."""
-        self._make_room()
-        flat, begins = lists.flatten(), lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
-        coded = flat.dictionary_encode()
-        at = pc.fill_null(pc.index_in(coded.dictionary, value_set=self.words), -1).to_numpy().astype(np.int64)
-        unknown = np.flatnonzero(at < 0)
-        at[unknown] = len(self.words) + np.arange(len(unknown))
-        words = coded.dictionary.take(pa.array(unknown))
-        found = self._new(words, " ")
-        self.words, self.uses = pa.concat_arrays([self.words, words]), np.concatenate([self.uses, np.zeros(len(words), dtype=np.int32)])
-        self.uses[at] += 1
+        self.pieces.make_room(REMEMBERED // PIECES_SHARE)
+        pieces, begins = lists.flatten(), lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
+        place, new = self.pieces.places(pieces)
         # The first piece of a text has no blank before it; it isn't remembered.
-        firsts = self._new(flat.take(pa.array(begins)), "")
-        width = np.dtype(self.kind).itemsize
-        ends = self.ends[-1] + np.cumsum(np.fromiter(map(len, chain(found, firsts)), dtype=np.int64, count=len(found) + len(firsts))) // width
-        ids, ends = np.concatenate([self.ids, np.frombuffer(b"".join(chain(found, firsts)), dtype=self.kind)]), np.concatenate([self.ends, ends])
-        n_words = len(self.words)
-        self.ends = ends[: n_words + 1]
-        self.ids = ids[: self.ends[-1]]
-        place = at[coded.indices.to_numpy()]
-        place[begins] = n_words + np.arange(len(firsts))
-        sizes = ends[place + 1] - ends[place]
-        after = np.cumsum(sizes)
-        take = np.repeat(ends[place] - after + sizes, sizes)
-        take += np.arange(len(take))
-        return np.split(ids[take], after[begins[1:] - 1])
+        found = self._encoded(new, pieces.take(pa.array(begins)))
+        all_ids = put_after(self.pieces.known, found)
+        n_all, n_new = len(all_ids[1]) - 1, len(new)
+        place[begins] = np.arange(n_all - len(begins), n_all)
+        self.pieces.learn(new, (found[0][: found[1][n_new]], found[1][: n_new + 1]))
+        ids, ends = gathered(*all_ids, place)
+        return np.split(ids, ends[begins[1:]])
 
     def __call__(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text (no nulls)."""
@@ -181,7 +262,7 @@ class Encoder:
         even = ~whole & ~uneven
         take = lambda rows: texts.take(pa.array(np.flatnonzero(rows)))
         for rows, streams in (
-            (whole, lambda: [np.frombuffer(x, dtype=self.kind) for x in self.whole(take(whole).to_pylist())]),
+            (whole, lambda: [np.array(x, dtype=self.kind) for x in self.whole(take(whole).to_pylist())]),
             (uneven, lambda: self._streams(pa.array([LONE_BLANK.split(t) for t in take(uneven).to_pylist()], pa.list_(pa.string())))),
             (even, lambda: self._streams(pc.split_pattern(take(even), " "))),
         ):
@@ -260,7 +341,7 @@ def all_cuts(streams: list[np.ndarray]) -> Iterator[list[int]]:
 def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    schema = "kind string, doc_id long, n long, digest binary, ids binary, digests array<binary>, sizes array<int>, root binary"
+    schema = "key long, kind string, doc_id long, n long, digest binary, ids binary, digests array<binary>, sizes array<int>, root binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, seen = Encoder.of_worker(tokenizer), set()
@@ -283,6 +364,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col:
             c, r = len(chunks), len(recipes)
             doc, n, digests, sizes, root = zip(*recipes, strict=True)
             yield pa.RecordBatch.from_pydict({
+                "key": pa.array([int.from_bytes(x[:8]) >> 1 for x in chunks] + [-1 - zlib.crc32(b"%a" % i, zlib.crc32(x)) for i, x in zip(doc, root, strict=True)], pa.int64()),
                 "kind": ["chunk"] * c + ["recipe"] * r,
                 "doc_id": pa.array([None] * c + list(doc), pa.int64()),
                 "n": pa.array([len(x) // width for x in chunks.values()] + list(n), pa.int64()),
@@ -293,24 +375,14 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col:
                 "root": pa.array([None] * c + list(root), pa.binary()),
             })
 
-    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
-        for batch in batches:
-            digests = batch.column("digest")
-            first = np.ones(batch.num_rows, dtype=bool)
-            if batch.num_rows:
-                first[1:] = pc.fill_null(pc.not_equal(digests.slice(1), digests.slice(0, batch.num_rows - 1)), True).to_numpy(zero_copy_only=False)
-                first[0] = last is None or digests[0].as_py() != last
-                last = digests[-1].as_py()
-            yield batch.filter(pa.array(first))
-
-    # Texts are encoded once: chunks meet by digest, recipes stay spread, both in one shuffle.
-    key = F.when(F.col("kind") == "chunk", F.xxhash64("digest")).otherwise(F.xxhash64("doc_id", "root"))
-    met = texts.mapInArrow(run, schema).repartition(partitions(spark), key).sortWithinPartitions("kind", "digest")
+    # Texts are encoded once: chunks meet by digest, recipes stay spread, both in one shuffle. The key of a chunk begins its digest, so it sorts as that does, after recipes.
+    met = texts.mapInArrow(run, schema).repartition(partitions(spark), "key")
+    before = F.lag("digest").over(Window.partitionBy("key").orderBy("digest"))
+    once = met.withColumn("before", before).where((F.col("kind") == "recipe") | F.col("before").isNull() | (F.col("before") != F.col("digest")))
     # Ids and digests hardly repeat, so a dictionary of them is wasted work.
-    met.mapInArrow(once, schema).write.option("parquet.enable.dictionary", "false").parquet(f"{path}/streams")
+    once.drop("key", "before").write.option("parquet.enable.dictionary", "false").parquet(f"{path}/streams")
     # The chunks are final as they are; recipes get their order and their starts.
-    unsorted = spark.read.schema(schema).parquet(f"{path}/streams").where("kind = 'recipe'")
+    unsorted = spark.read.schema(schema.removeprefix("key long, ")).parquet(f"{path}/streams").where("kind = 'recipe'")
     recipes = sorted_table(unsorted.select("doc_id", "n", "digests", "sizes", "root"), ["doc_id"], "recipes")
     row = F.shiftleft(F.col("part").cast("long"), 33).bitwiseOR(F.col("at"))
     recipes = running_sum(recipes, "n", "start").select(row.alias("row"), "doc_id", F.col("start").cast("long").alias("start"), F.col("n").alias("n_tokens"), "digests", "sizes", "root")

@@ -194,6 +194,40 @@ def test_encoder_forgets_rare_pieces(monkeypatch):
     assert "common3" in split.words.to_pylist() and len(split.words) < 120
 
 
+@given(st.lists(st.tuples(st.booleans(), st.text(alphabet="aZé\nĀ'.,7strevlmd", min_size=1, max_size=20)), max_size=8))
+@settings(max_examples=150, deadline=None)
+def test_parts_are_the_pre_tokenizers(pieces):
+    """Pieces are split all together, at contractions and line feeds too, as the library splits each of them."""
+    pytest.importorskip("tokenizers")
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    pieces = [" " + p if blank and p[0] != "\n" else p for blank, p in pieces]
+    parts, counts = token_store.parts_of(pa.array(pieces, pa.string()))
+    wanted = [[p[a:b] for _, (a, b) in ByteLevel(add_prefix_space=False).pre_tokenize_str(p)] for p in pieces]
+    assert counts.tolist() == [len(x) for x in wanted] and parts.to_pylist() == [x for own in wanted for x in own]
+
+
+def test_encoder_keeps_no_long_pieces():
+    """Text without blanks is one piece; many such texts would fill a worker's memory."""
+    P = pytest.importorskip("public_tokenizers")
+    split = token_store.Encoder(P.path("byte_bpe_50k.json"))
+    texts = ["short " + "語の" * 40 + " end", "a " + "b" * 101, "a " + "c" * 100, "x 漢字 y"]
+    for _ in range(2):
+        assert [x.tolist() for x in split(pa.array(texts))] == [split.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert set(split.words.to_pylist()) >= {"end", "c" * 100, "漢字"} and max(len(x.encode()) for x in split.words.to_pylist()) == 100
+
+
+def test_only_new_parts_become_python_strings():
+    """Pieces made of known parts cost no call and no Python string: the CPU seconds of the store are in these."""
+    P = pytest.importorskip("public_tokenizers")
+    split = token_store.Encoder(P.path("byte_bpe_50k.json"))
+    seen, spelt = [], split.spelt
+    split.spelt = lambda parts: seen.append(len(parts)) or spelt(parts)
+    split(pa.array(["the word, and 12 end"]))
+    split(pa.array(["the word,12 and12 word end,12,,"]))
+    assert seen == [7, 2]  # "the", " the", " word", ",", " and", " 12", " end"; then "12", ",,"
+
+
 def test_deobfuscation():
     words = ("the and that idiot moron stupid clown with this have from trash loser " * 50).split()
     counts = np.zeros(27**3)
